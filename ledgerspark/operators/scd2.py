@@ -44,6 +44,7 @@ class MergeResult:
     outcomes: DataFrame  # one row per batch row with its outcome
     staged: DataFrame    # shrinks and inserts that were applied
     changes: DataFrame   # rows of the new history written by this merge (for the change log)
+    flagged: DataFrame | None = None  # new history plus ``_written`` (one write gives both)
 
 
 def open_end() -> Column:
@@ -180,7 +181,7 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
         F.when(F.col("_bad"), F.lit(AMBIGUOUS)).otherwise(o).alias("outcome"))
     staged_rows = y.filter(ok).select(*keys, F.col("_vf").alias(VF), *tracked, F.col("_vt").alias(VT),
                                       F.col("_cur").alias(CUR), "_kind")
-    return MergeResult(new_history, outcomes, staged_rows, changes)
+    return MergeResult(new_history, outcomes, staged_rows, changes, out)
 
 
 def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
@@ -215,7 +216,7 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
     new_history = out.drop("_written")
     changes = out.filter(F.col("_written")).drop("_written")
     empty = batch.limit(0).select(*keys, *tracked, eff, F.lit(None).cast("string").alias("outcome"))
-    return MergeResult(new_history, empty, changes.limit(0), changes)
+    return MergeResult(new_history, empty, changes.limit(0), changes, out)
 
 
 def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataFrame:
