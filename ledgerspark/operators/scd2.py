@@ -78,30 +78,26 @@ def _labelled(history: DataFrame, batch: DataFrame, keys: list[str], tracked: li
     """History rows and batch rows in one frame, partitioned by key; every batch row carries
     its outcome and the window it is compared with (``_w``: the current window for on-time
     rows, the window holding ``eff`` for late ones). One shuffle; no range join."""
-    h = history.select(*keys, *tracked, F.col(VF).alias("_d"), F.lit(0).alias("_is_b"), VF, VT, CUR,
-                       F.lit(None).cast(batch.schema[eff].dataType).alias(eff))
-    b = batch.select(*keys, *tracked, F.col(eff).alias("_d"), F.lit(1).alias("_is_b"),
-                     F.lit(None).cast(history.schema[VF].dataType).alias(VF),
-                     F.lit(None).cast(history.schema[VT].dataType).alias(VT),
-                     F.lit(None).cast("boolean").alias(CUR), eff)
-    u = h.unionByName(b)
+    h = history.select(*keys, *tracked, F.col(VF).alias("_d"), F.lit(0).alias("_is_b"), VF, VT, CUR)
+    b = batch.select(*keys, *tracked, F.col(eff).alias("_d"), F.lit(1).alias("_is_b"), eff)
+    u = h.unionByName(b, allowMissingColumns=True)  # typed NULLs fill the other side's columns
     is_h = F.col("_is_b") == 0
     by_key = Window.partitionBy(*keys)
     upto = by_key.orderBy("_d", "_is_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    u = (u.withColumn("_c", F.first(F.when(is_h & F.col(CUR), _window_struct(tracked)), ignorenulls=True).over(by_key))
-          .withColumn("_l", F.last(F.when(is_h, _window_struct(tracked)), ignorenulls=True).over(upto)))
+    u = u.withColumns({
+        "_c": F.first(F.when(is_h & F.col(CUR), _window_struct(tracked)), ignorenulls=True).over(by_key),
+        "_l": F.last(F.when(is_h, _window_struct(tracked)), ignorenulls=True).over(upto)})
     e, c, lw = F.col(eff), F.col("_c"), F.col("_l")
     vs_c = _differs([F.col(t) for t in tracked], [c[t] for t in tracked], null_safe)
     vs_l = _differs([F.col(t) for t in tracked], [lw[t] for t in tracked], null_safe)
-    outcome = (F.when(e.isNull(), F.lit(NULL_DATE))
-               .when(c.isNull(), F.lit(UNKNOWN_KEY))
-               .when(e >= c["vf"], F.when(vs_c, F.lit(FORWARD)).otherwise(F.lit(NO_OP)))
-               .when(lw.isNull() | (e >= lw["vt"]), F.lit(BEFORE_FIRST))
-               .when(vs_l, F.lit(LATE_SPLIT)).otherwise(F.lit(LATE_NO_OP)))
-    u = u.withColumn("outcome", F.when(F.col("_is_b") == 1, outcome))
-    o = F.col("outcome")
-    return (u.withColumn("_w", F.when(o.isin(FORWARD, NO_OP), c).when(o.isin(LATE_SPLIT, LATE_NO_OP), lw))
-             .drop("_c", "_l"))
+    outcome = F.when(F.col("_is_b") == 1, (
+        F.when(e.isNull(), F.lit(NULL_DATE))
+        .when(c.isNull(), F.lit(UNKNOWN_KEY))
+        .when(e >= c["vf"], F.when(vs_c, F.lit(FORWARD)).otherwise(F.lit(NO_OP)))
+        .when(lw.isNull() | (e >= lw["vt"]), F.lit(BEFORE_FIRST))
+        .when(vs_l, F.lit(LATE_SPLIT)).otherwise(F.lit(LATE_NO_OP))))
+    window = F.when(outcome.isin(FORWARD, NO_OP), c).when(outcome.isin(LATE_SPLIT, LATE_NO_OP), lw)
+    return u.select(*keys, *tracked, "_d", "_is_b", VF, VT, CUR, eff, outcome.alias("outcome"), window.alias("_w"))
 
 
 def classify(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
@@ -134,12 +130,12 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
         raise ValueError("on_ambiguous must be 'skip' or 'raise'")
     keys, tracked = list(keys), list(tracked)
     x = _labelled(history, batch, keys, tracked, eff, null_safe)
-    vf_t, vt_t = history.schema[VF].dataType, history.schema[VT].dataType
     e, w, o = F.col(eff), F.col("_w"), F.col("outcome")
+    no = F.lit(False)  # ``when(no, c)`` is a NULL typed like ``c`` (no schema lookup)
 
     def item(kind: str, vf: Column, vt: Column, cur: Column, values: bool) -> Column:
-        vals = [(F.col(t) if values else F.lit(None).cast(x.schema[t].dataType)).alias(t) for t in tracked]
-        return F.struct(F.lit(kind).alias("_kind"), vf.cast(vf_t).alias("_vf"), vt.cast(vt_t).alias("_vt"),
+        vals = [(F.col(t) if values else F.when(no, F.col(t))).alias(t) for t in tracked]
+        return F.struct(F.lit(kind).alias("_kind"), vf.alias("_vf"), vt.alias("_vt"),
                         cur.cast("boolean").alias("_cur"), *vals)
 
     items = (F.when(F.col("_is_b") == 0, F.array(item("target", F.col(VF), F.col(VT), F.col(CUR), True)))
@@ -147,7 +143,7 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
                                          item("insert", e, open_end(), F.lit(True), True)))
              .when(o == LATE_SPLIT, F.array(item("shrink", w["vf"], e, F.lit(False), False),
                                             item("insert", e, w["vt"], F.lit(False), True)))
-             .otherwise(F.array(item("none", F.lit(None), F.lit(None), F.lit(None), True))))
+             .otherwise(F.array(item("none", F.when(no, F.col(VF)), F.when(no, F.col(VT)), F.lit(None), True))))
     src = F.when(F.col("_is_b") == 1, F.struct(*[F.col(c) for c in [*keys, *tracked, eff]]))
     y = x.select(*keys, eff, "outcome", src.alias("_src"), *[F.col(t).alias(f"_b_{t}") for t in tracked],
                  F.inline(items))
@@ -158,9 +154,9 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
     y = y.withColumn("_n", F.count(F.when(staged, 1)).over(by_match))
     y = y.withColumn("_bad", F.coalesce(F.max(staged & (F.col("_n") > 1)).over(by_src), F.lit(False)))
     ok = staged & ~F.col("_bad")
-    y = (y.withColumn("_upd", F.max(F.when(ok, F.struct(F.col("_vt").alias("vt"), F.col("_cur").alias("cur"))))
-                      .over(by_match))
-          .withColumn("_has_t", F.max(F.col("_kind") == "target").over(by_match)))
+    y = y.withColumns({
+        "_upd": F.max(F.when(ok, F.struct(F.col("_vt").alias("vt"), F.col("_cur").alias("cur")))).over(by_match),
+        "_has_t": F.max(F.col("_kind") == "target").over(by_match)})
     if on_ambiguous == "raise":
         n = y.filter(F.col("_bad") & (F.col("_kind") == "shrink")).count()
         if n:
