@@ -73,20 +73,15 @@ def _window_struct(tracked: Sequence[str]) -> Column:
     return F.struct(F.col(VF).alias("vf"), F.col(VT).alias("vt"), *[F.col(t).alias(t) for t in tracked])
 
 
-def _labelled(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str,
-              null_safe: bool) -> DataFrame:
-    """History rows and batch rows in one frame, partitioned by key; every batch row carries
-    its outcome and the window it is compared with (``_w``: the current window for on-time
-    rows, the window holding ``eff`` for late ones). One shuffle; no range join."""
+def _combined(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str) -> DataFrame:
     h = history.select(*keys, *tracked, F.col(VF).alias("_d"), F.lit(0).alias("_is_b"), VF, VT, CUR)
     b = batch.select(*keys, *tracked, F.col(eff).alias("_d"), F.lit(1).alias("_is_b"), eff)
-    u = h.unionByName(b, allowMissingColumns=True)  # typed NULLs fill the other side's columns
-    is_h = F.col("_is_b") == 0
-    by_key = Window.partitionBy(*keys)
-    upto = by_key.orderBy("_d", "_is_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    u = u.withColumns({
-        "_c": F.first(F.when(is_h & F.col(CUR), _window_struct(tracked)), ignorenulls=True).over(by_key),
-        "_l": F.last(F.when(is_h, _window_struct(tracked)), ignorenulls=True).over(upto)})
+    return h.unionByName(b, allowMissingColumns=True)  # typed NULLs fill the other side's columns
+
+
+def _with_outcome(u: DataFrame, keys: list[str], tracked: list[str], eff: str, null_safe: bool) -> DataFrame:
+    """Outcome and compared window of every batch row, from ``_c`` (current window of the key)
+    and ``_l`` (last history window starting on or before the row's date)."""
     e, c, lw = F.col(eff), F.col("_c"), F.col("_l")
     vs_c = _differs([F.col(t) for t in tracked], [c[t] for t in tracked], null_safe)
     vs_l = _differs([F.col(t) for t in tracked], [lw[t] for t in tracked], null_safe)
@@ -100,6 +95,53 @@ def _labelled(history: DataFrame, batch: DataFrame, keys: list[str], tracked: li
     return u.select(*keys, *tracked, "_d", "_is_b", VF, VT, CUR, eff, outcome.alias("outcome"), window.alias("_w"))
 
 
+def _labelled(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str,
+              null_safe: bool) -> DataFrame:
+    """History rows and batch rows in one frame, partitioned by key; every batch row carries
+    its outcome and the window it is compared with (``_w``: the current window for on-time
+    rows, the window holding ``eff`` for late ones). One shuffle; no range join."""
+    u = _combined(history, batch, keys, tracked, eff)
+    is_h = F.col("_is_b") == 0
+    by_key = Window.partitionBy(*keys)
+    upto = by_key.orderBy("_d", "_is_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = u.withColumns({
+        "_c": F.first(F.when(is_h & F.col(CUR), _window_struct(tracked)), ignorenulls=True).over(by_key),
+        "_l": F.last(F.when(is_h, _window_struct(tracked)), ignorenulls=True).over(upto)})
+    return _with_outcome(u, keys, tracked, eff, null_safe)
+
+
+NULL_DATE_SALTS = 64
+
+
+def _labelled_split(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str,
+                    null_safe: bool, days: int) -> DataFrame:
+    """Same result as ``_labelled`` with no task holding more than one date range of one key.
+
+    Rows are grouped by (key, date bucket of ``days`` days). A per-(key, bucket) summary
+    (partial aggregation: one row per key and bucket) gives the key's current window and the
+    last history window of every bucket; a window over that small summary carries the last
+    window into later buckets. Inside a bucket, the running ``last`` is a window on
+    (key, bucket). Batch rows without a date are salted over negative buckets.
+    """
+    u = _combined(history, batch, keys, tracked, eff)
+    is_h = F.col("_is_b") == 0
+    ws = _window_struct(tracked)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in [*keys, *tracked]]), F.lit(NULL_DATE_SALTS))
+    u = u.withColumn("_bk", F.when(F.col("_d").isNull(), -1 - salt)
+                     .otherwise(F.floor(F.unix_date(F.col("_d")) / F.lit(days))))
+    summary = u.groupBy(*keys, "_bk").agg(F.max(F.when(is_h, ws)).alias("_last_h"),
+                                          F.max(F.when(is_h & F.col(CUR), ws)).alias("_cur_h"))
+    by_key = Window.partitionBy(*keys)
+    before = by_key.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, "_bk", F.last("_last_h", ignorenulls=True).over(before).alias("_carry"),
+                           F.max("_cur_h").over(by_key).alias("_c"))
+    within = (Window.partitionBy(*keys, "_bk").orderBy("_d", "_is_b")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = u.join(carry, [*keys, "_bk"], "left")
+    x = x.withColumn("_l", F.coalesce(F.last(F.when(is_h, ws), ignorenulls=True).over(within), F.col("_carry")))
+    return _with_outcome(x, keys, tracked, eff, null_safe)
+
+
 def classify(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
              tracked: Sequence[str] = ACCOUNT_TRACKED, eff: str = "effective_date",
              null_safe: bool = False) -> DataFrame:
@@ -113,9 +155,14 @@ def classify(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT
 
 def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
           tracked: Sequence[str] = ACCOUNT_TRACKED, eff: str = "effective_date", mode: str = "strict",
-          null_safe: bool = False, on_ambiguous: str = "skip") -> MergeResult:
+          null_safe: bool = False, on_ambiguous: str = "skip", split_days: int | None = None) -> MergeResult:
     """Apply one batch of dated states to a history. See the module docstring.
 
+    ``split_days`` (strict mode): None keeps every key in one window partition (one shuffle);
+    a number of days splits each key into date ranges and replaces the key-wide windows by
+    per-range summaries and joins on ``(keys, valid_from)``, so a key holding a large share of
+    the rows is spread over many tasks (two history shuffles instead of one).
+
     Strict mode as one partitioned pass: label batch rows, expand each applied change into a
     shrink (match key: the compared window's start) and an insert (match key: ``eff``), count
     staged rows per match key, flag the batch rows owning a key staged twice, then apply the
@@ -129,7 +176,10 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
     if on_ambiguous not in ("skip", "raise"):
         raise ValueError("on_ambiguous must be 'skip' or 'raise'")
     keys, tracked = list(keys), list(tracked)
-    x = _labelled(history, batch, keys, tracked, eff, null_safe)
+    if split_days is None:
+        x = _labelled(history, batch, keys, tracked, eff, null_safe)
+    else:
+        x = _labelled_split(history, batch, keys, tracked, eff, null_safe, split_days)
     e, w, o = F.col(eff), F.col("_w"), F.col("outcome")
     no = F.lit(False)  # ``when(no, c)`` is a NULL typed like ``c`` (no schema lookup)
 
@@ -149,27 +199,55 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
                  F.inline(items))
 
     staged = F.col("_kind").isin("shrink", "insert")
-    by_match = Window.partitionBy(*keys, "_vf")
-    by_src = Window.partitionBy(*keys, "_src")
-    y = y.withColumn("_n", F.count(F.when(staged, 1)).over(by_match))
-    y = y.withColumn("_bad", F.coalesce(F.max(staged & (F.col("_n") > 1)).over(by_src), F.lit(False)))
-    ok = staged & ~F.col("_bad")
-    y = y.withColumns({
-        "_upd": F.max(F.when(ok, F.struct(F.col("_vt").alias("vt"), F.col("_cur").alias("cur")))).over(by_match),
-        "_has_t": F.max(F.col("_kind") == "target").over(by_match)})
+    target = F.col("_kind") == "target"
+    if split_days is None:
+        by_match = Window.partitionBy(*keys, "_vf")
+        by_src = Window.partitionBy(*keys, "_src")
+        y = y.withColumn("_n", F.count(F.when(staged, 1)).over(by_match))
+        y = y.withColumn("_bad", F.coalesce(F.max(staged & (F.col("_n") > 1)).over(by_src), F.lit(False)))
+        ok = staged & ~F.col("_bad")
+        y = y.withColumns({
+            "_upd": F.max(F.when(ok, F.struct(F.col("_vt").alias("vt"), F.col("_cur").alias("cur")))).over(by_match),
+            "_has_t": F.max(target).over(by_match)})
+        upd = F.col("_upd")
+        inserted = ok & ~F.coalesce(F.col("_has_t"), F.lit(False))
+        out = y.filter(target | inserted).select(
+            *keys, *tracked, F.col("_vf").alias(VF),
+            F.when(target & upd.isNotNull(), upd["vt"]).otherwise(F.col("_vt")).alias(VT),
+            F.when(target & upd.isNotNull(), upd["cur"]).otherwise(F.col("_cur")).alias(CUR),
+            (inserted | (target & upd.isNotNull())).alias("_written"))
+    else:
+        # ambiguity by aggregation: a match key staged twice (partial counts, skew-safe), then
+        # the batch rows owning it; only batch-derived rows are joined to the flags
+        st = y.filter(staged)
+        twice = st.groupBy(*keys, "_vf").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).drop("_n")
+        bad = (st.join(twice, [*keys, "_vf"], "left_semi").select(*keys, "_src").distinct()
+               .select(*[F.col(k).alias(f"_x_{k}") for k in keys], F.col("_src").alias("_x_src"),
+                       F.lit(True).alias("_bad")))
+        from_batch = y.filter(~target)
+        cond = reduce(lambda p, q: p & q, [from_batch[k] == bad[f"_x_{k}"] for k in keys])
+        flagged = (from_batch.join(bad, cond & from_batch["_src"].eqNullSafe(bad["_x_src"]), "left")
+                   .drop(*[f"_x_{k}" for k in keys], "_x_src")
+                   .withColumn("_bad", F.coalesce(F.col("_bad"), F.lit(False))))
+        t = y.filter(target).select(*keys, "_vf", *[F.col(c).alias(f"_t_{c}") for c in tracked],
+                                    F.col("_vt").alias("_t_vt"), F.col("_cur").alias("_t_cur"), F.lit(True).alias("_t"))
+        sg = flagged.filter(staged & ~F.col("_bad")).select(
+            *keys, "_vf", *[F.col(c).alias(f"_s_{c}") for c in tracked], F.col("_vt").alias("_s_vt"),
+            F.col("_cur").alias("_s_cur"), F.lit(True).alias("_s"))
+        j = t.join(sg, [*keys, "_vf"], "full")  # (keys, valid_from) is unique on both sides
+        has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
+        out = j.select(
+            *keys, *[F.when(has_t, F.col(f"_t_{c}")).otherwise(F.col(f"_s_{c}")).alias(c) for c in tracked],
+            F.col("_vf").alias(VF),
+            F.when(has_s, F.col("_s_vt")).otherwise(F.col("_t_vt")).alias(VT),
+            F.when(has_s, F.col("_s_cur")).otherwise(F.col("_t_cur")).alias(CUR),
+            has_s.alias("_written"))
+        y = flagged
+        ok = staged & ~F.col("_bad")
     if on_ambiguous == "raise":
         n = y.filter(F.col("_bad") & (F.col("_kind") == "shrink")).count()
         if n:
             raise MergeCardinalityError(f"{n} batch rows match a history row more than once")
-
-    upd = F.col("_upd")
-    target = F.col("_kind") == "target"
-    inserted = ok & ~F.coalesce(F.col("_has_t"), F.lit(False))
-    out = y.filter(target | inserted).select(
-        *keys, *tracked, F.col("_vf").alias(VF),
-        F.when(target & upd.isNotNull(), upd["vt"]).otherwise(F.col("_vt")).alias(VT),
-        F.when(target & upd.isNotNull(), upd["cur"]).otherwise(F.col("_cur")).alias(CUR),
-        (inserted | (target & upd.isNotNull())).alias("_written"))
     new_history = out.drop("_written")
     changes = out.filter(F.col("_written")).drop("_written")
     outcomes = y.filter(F.col("_kind").isin("shrink", "none")).select(
@@ -215,25 +293,48 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
     return MergeResult(new_history, empty, changes.limit(0), changes, out)
 
 
-def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataFrame:
+def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, split_days: int | None = None) -> DataFrame:
     """One row of counts: gaps, overlaps, non-positive windows, keys without exactly one current
-    row, current flags disagreeing with the open end. All zero for a sound history."""
+    row, current flags disagreeing with the open end. All zero for a sound history.
+
+    ``split_days``: None uses one window per key; a number of days splits keys into date
+    ranges (``lead`` inside a range, the next range's first start carried by a window over a
+    per-(key, range) summary) and counts current rows per key with a partial aggregate.
+    """
     keys = list(keys)
-    by_key = Window.partitionBy(*keys)
-    w = by_key.orderBy(VF)
-    x = (history.withColumn("_next", F.lead(VF).over(w))
-         .withColumn("_ncur", F.sum(F.col(CUR).cast("int")).over(by_key)))
-    last = F.col("_next").isNull()
-    return x.agg(
+    if split_days is None:
+        by_key = Window.partitionBy(*keys)
+        x = (history.withColumn("_next", F.lead(VF).over(by_key.orderBy(VF)))
+             .withColumn("_ncur", F.sum(F.col(CUR).cast("int")).over(by_key)))
+        last = F.col("_next").isNull()
+        bad_current = F.count_if(last & (F.col("_ncur") != 1))
+    else:
+        h = history.withColumn("_bk", F.floor(F.unix_date(F.col(VF)) / F.lit(split_days)))
+        firsts = h.groupBy(*keys, "_bk").agg(F.min(VF).alias("_first"))
+        nxt = firsts.select(*keys, "_bk", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bk"))
+                            .alias("_next_bk"))
+        x = h.join(nxt, [*keys, "_bk"], "left").withColumn(
+            "_next", F.coalesce(F.lead(VF).over(Window.partitionBy(*keys, "_bk").orderBy(VF)), F.col("_next_bk")))
+        last = F.col("_next").isNull()
+        per_key = history.groupBy(*keys).agg(F.count_if(F.col(CUR)).alias("_ncur"))
+        bad_current = None
+    res = x.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(last).alias("n_keys"),
         F.count_if(~last & (F.col(VT) < F.col("_next"))).alias("gaps"),
         F.count_if(~last & (F.col(VT) > F.col("_next"))).alias("overlapping"),
         F.count_if(F.col(VT) <= F.col(VF)).alias("non_positive"),
-        F.count_if(last & (F.col("_ncur") != 1)).alias("bad_current"),
+        (bad_current if bad_current is not None else F.lit(0).cast("bigint")).alias("bad_current"),
         F.count_if(F.col(CUR) != (F.col(VT) == open_end())).alias("flag_mismatch"),
         F.count_if(last & (F.col(VT) != open_end())).alias("open_end_missing"),
     )
+    if split_days is None:
+        return res
+    # add the per-key current count as a second one-row aggregate (union + sum, no cross join)
+    cur = per_key.agg(F.count_if(F.col("_ncur") != 1).alias("bad_current"))
+    cols = res.columns
+    both = res.unionByName(cur, allowMissingColumns=True)
+    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in cols])
 
 
 def trace(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, tracked: Sequence[str] = ACCOUNT_TRACKED) -> DataFrame:

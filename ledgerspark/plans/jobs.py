@@ -89,12 +89,29 @@ def history(spark: SparkSession, layout: Layout, version: int) -> DataFrame:
     return df.drop(WRITTEN) if WRITTEN in df.columns else df
 
 
+HOT_KEY_SHARE = 0.01   # a key above this share of the rows is hot
+SPLIT_DAYS = 30        # date range per task for hot keys
+
+
+def hot_key_share(history: DataFrame, batch: DataFrame, keys=("account_id",)) -> float:
+    """Largest share of history + batch rows held by one key (one keyed partial count; two
+    numbers reach the driver)."""
+    k = history.select(*keys).unionByName(batch.select(*keys))
+    r = k.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m"), F.sum("n").alias("t")).first()
+    return 0.0 if not r.t else r.m / r.t
+
+
 def apply_account_batch(spark: SparkSession, layout: Layout, batch: DataFrame, version: int,
-                        mode: str = "strict", on_ambiguous: str = "skip") -> DataFrame:
+                        mode: str = "strict", on_ambiguous: str = "skip", split_days: int | None | str = "auto") -> DataFrame:
     """Merge a batch into history version ``version - 1``; write version ``version`` and append
-    its written rows to the change log. Returns the outcomes (read back from storage)."""
+    its written rows to the change log. Returns the outcomes (read back from storage).
+
+    ``split_days="auto"`` measures the hottest key first and splits keys into date ranges only
+    when one key holds more than ``HOT_KEY_SHARE`` of the rows."""
     prev = history(spark, layout, version - 1)
-    res = scd2.merge(prev, batch, mode=mode, on_ambiguous=on_ambiguous)
+    if split_days == "auto":
+        split_days = SPLIT_DAYS if hot_key_share(prev, batch) > HOT_KEY_SHARE else None
+    res = scd2.merge(prev, batch, mode=mode, on_ambiguous=on_ambiguous, split_days=split_days)
     # one merge job writes the version with a written-row flag; the change log is read back
     # from it (no second merge, no diff of two versions)
     new_path = sinks.write_version(res.flagged, layout.history, version)

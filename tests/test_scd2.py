@@ -34,7 +34,11 @@ def outcomes(res):
     return {(r.account_id, r.effective_date): r.outcome for r in res.outcomes.collect()}
 
 
-def test_forward_late_noop_unknown_before(spark, history):
+SPLITS = [None, 30, 1]
+
+
+@pytest.mark.parametrize("split_days", SPLITS)
+def test_forward_late_noop_unknown_before(spark, history, split_days):
     batch = spark.createDataFrame([
         ("A", "closed", 1000, D(2022, 1, 1)),   # forward change
         ("B", "active", 500, D(2022, 1, 1)),    # on-time no-op
@@ -43,7 +47,7 @@ def test_forward_late_noop_unknown_before(spark, history):
         ("Z", "active", 1, D(2022, 1, 1)),      # unknown key
         ("A", "active", 1, None),               # no date
     ], BATCH)
-    res = scd2.merge(history, batch)
+    res = scd2.merge(history, batch, split_days=split_days)
     assert outcomes(res) == {("A", D(2022, 1, 1)): "forward_change", ("B", D(2022, 1, 1)): "no_op",
                              ("A", D(2020, 6, 1)): "late_split", ("B", D(2019, 1, 1)): "before_first_window",
                              ("Z", D(2022, 1, 1)): "unknown_key", ("A", None): "null_effective_date"}
@@ -66,18 +70,20 @@ def test_late_equal_to_next_window_keeps_adjacent_windows(spark, history):
     assert res.history.filter("account_id = 'A'").count() == 3
 
 
-def test_same_day_change_is_ambiguous_and_strict_raises(spark, history):
+@pytest.mark.parametrize("split_days", SPLITS)
+def test_same_day_change_is_ambiguous_and_strict_raises(spark, history, split_days):
     batch = spark.createDataFrame([("A", "closed", 1000, D(2021, 1, 1))], BATCH)
-    res = scd2.merge(history, batch)
+    res = scd2.merge(history, batch, split_days=split_days)
     assert outcomes(res) == {("A", D(2021, 1, 1)): "ambiguous_match"}
     assert rows(res.history) == rows(history)
     with pytest.raises(scd2.MergeCardinalityError):
-        scd2.merge(history, batch, on_ambiguous="raise")
+        scd2.merge(history, batch, on_ambiguous="raise", split_days=split_days)
 
 
-def test_two_changes_in_one_window(spark, history):
+@pytest.mark.parametrize("split_days", SPLITS)
+def test_two_changes_in_one_window(spark, history, split_days):
     batch = spark.createDataFrame([("A", "closed", 1, D(2020, 3, 1)), ("A", "closed", 2, D(2020, 9, 1))], BATCH)
-    strict = scd2.merge(history, batch)
+    strict = scd2.merge(history, batch, split_days=split_days)
     assert set(outcomes(strict).values()) == {"ambiguous_match"}
     assert rows(strict.history) == rows(history)
     timeline = scd2.merge(history, batch, mode="timeline").history
@@ -142,3 +148,45 @@ def test_snapshot_vs_merge(spark, history):
 def test_row_conservation(spark, sf_small):
     L = Ledger(spark, sf_small)
     assert L.silver.count() + L.dead.count() == L.deduped.count()
+
+
+def test_split_merge_equals_single_pass_on_fixtures(spark, sf_small):
+    L = Ledger(spark, sf_small)
+    up = fixtures.acct_update(spark, sf_small)
+    b1 = scd2.merge(L.h0, up, split_days=30)
+    b2 = scd2.merge(b1.history, L.mixed, split_days=30)
+    for a, b in ((L.m1, b1), (L.m2, b2)):
+        for part in ("history", "outcomes", "staged", "changes"):
+            x, y = getattr(a, part), getattr(b, part)
+            assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, part
+
+
+@pytest.mark.parametrize("split_days", SPLITS)
+def test_check_timeline_finds_defects(spark, split_days):
+    bad = spark.createDataFrame([
+        ("A", "x", 1, D(2020, 1, 1), D(2020, 3, 1), False),
+        ("A", "y", 1, D(2020, 4, 1), D(2021, 1, 1), False),    # gap before it
+        ("A", "z", 1, D(2020, 12, 1), END, True),              # overlaps the previous window
+        ("B", "x", 1, D(2020, 1, 1), D(2020, 1, 1), True),     # non-positive, open end missing, flag mismatch
+        ("C", "x", 1, D(2020, 1, 1), END, True),
+        ("C", "y", 1, D(2023, 1, 1), END, True),               # two current rows, overlap
+    ], HIST)
+    r = scd2.check_timeline(bad, split_days=split_days).first()
+    assert (r.total_rows, r.n_keys, r.gaps, r.overlapping, r.non_positive, r.bad_current, r.flag_mismatch,
+            r.open_end_missing) == (6, 3, 1, 2, 1, 1, 1, 1)
+
+
+def test_job_splits_hot_keys(spark, tmp_path):
+    from ledgerspark.plans import jobs
+    layout = jobs.Layout(str(tmp_path / "lake"))
+    acc = tmp_path / "acc0.csv"
+    acc.write_text("account_id,account_status,credit_limit,effective_date\nH,active,1,2020-01-01\n"
+                   "Q,active,1,2020-01-01\n")
+    jobs.load_initial_history(spark, layout, str(acc))
+    rows = [("H", "active", i + 2, D(2020, 1, 1) + dt.timedelta(days=i)) for i in range(1, 40)]
+    batch = spark.createDataFrame(rows, BATCH)
+    assert jobs.hot_key_share(jobs.history(spark, layout, 0), batch) > jobs.HOT_KEY_SHARE
+    out = jobs.apply_account_batch(spark, layout, batch, 1)
+    # every change of the hot key shrinks the same current window: all ambiguous under strict rules
+    assert {r.outcome for r in out.collect()} == {"ambiguous_match"}
+    assert jobs.history(spark, layout, 1).count() == 2
