@@ -110,36 +110,39 @@ def _labelled(history: DataFrame, batch: DataFrame, keys: list[str], tracked: li
     return _with_outcome(u, keys, tracked, eff, null_safe)
 
 
-NULL_DATE_SALTS = 64
+def lookup_windows(history: DataFrame, points: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
+    """For distinct (keys, ``_d``) points: the key's current window ``_c`` and the last history
+    window starting on or before ``_d`` (``_l``).
 
-
-def _labelled_split(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str,
-                    null_safe: bool, days: int) -> DataFrame:
-    """Same result as ``_labelled`` with no task holding more than one date range of one key.
-
-    Rows are grouped by (key, date bucket of ``days`` days). A per-(key, bucket) summary
-    (partial aggregation: one row per key and bucket) gives the key's current window and the
-    last history window of every bucket; a window over that small summary carries the last
-    window into later buckets. Inside a bucket, the running ``last`` is a window on
-    (key, bucket). Batch rows without a date are salted over negative buckets.
+    One window partition per key over history + points. Both sides are bounded per key by the
+    number of distinct dates (a sound history has one window start per key and day; points
+    are distinct), so no key can grow a partition with the data volume.
     """
-    u = _combined(history, batch, keys, tracked, eff)
     is_h = F.col("_is_b") == 0
-    ws = _window_struct(tracked)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in [*keys, *tracked]]), F.lit(NULL_DATE_SALTS))
-    u = u.withColumn("_bk", F.when(F.col("_d").isNull(), -1 - salt)
-                     .otherwise(F.floor(F.unix_date(F.col("_d")) / F.lit(days))))
-    summary = u.groupBy(*keys, "_bk").agg(F.max(F.when(is_h, ws)).alias("_last_h"),
-                                          F.max(F.when(is_h & F.col(CUR), ws)).alias("_cur_h"))
+    h = history.select(*keys, *tracked, F.col(VF).alias("_d"), F.lit(0).alias("_is_b"), VF, VT, CUR)
+    u = h.unionByName(points.withColumn("_is_b", F.lit(1)), allowMissingColumns=True)
     by_key = Window.partitionBy(*keys)
-    before = by_key.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, "_bk", F.last("_last_h", ignorenulls=True).over(before).alias("_carry"),
-                           F.max("_cur_h").over(by_key).alias("_c"))
-    within = (Window.partitionBy(*keys, "_bk").orderBy("_d", "_is_b")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    x = u.join(carry, [*keys, "_bk"], "left")
-    x = x.withColumn("_l", F.coalesce(F.last(F.when(is_h, ws), ignorenulls=True).over(within), F.col("_carry")))
-    return _with_outcome(x, keys, tracked, eff, null_safe)
+    upto = by_key.orderBy("_d", "_is_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return u.select(
+        *keys, "_d", "_is_b",
+        F.first(F.when(is_h & F.col(CUR), _window_struct(tracked)), ignorenulls=True).over(by_key).alias("_c"),
+        F.last(F.when(is_h, _window_struct(tracked)), ignorenulls=True).over(upto).alias("_l")
+    ).filter(~is_h).drop("_is_b")
+
+
+def _labelled_lookup(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str,
+                     null_safe: bool) -> DataFrame:
+    """Same result as ``_labelled`` without a key-wide partition over batch rows: the batch is
+    reduced to distinct (key, date) points (partial aggregation), the points are labelled
+    against history, and batch rows get their labels by an equi join on (key, date), which AQE
+    can split when one (key, date) is hot."""
+    points = batch.select(*keys, F.col(eff).alias("_d")).filter(F.col("_d").isNotNull()).distinct()
+    look = lookup_windows(history, points, keys, tracked).withColumnRenamed("_d", eff)
+    labelled = (batch.select(*keys, *tracked, eff).join(look, [*keys, eff], "left")
+                .withColumns({"_d": F.col(eff), "_is_b": F.lit(1)}))
+    h = history.select(*keys, *tracked, F.col(VF).alias("_d"), F.lit(0).alias("_is_b"), VF, VT, CUR)
+    u = h.unionByName(labelled, allowMissingColumns=True)
+    return _with_outcome(u, keys, tracked, eff, null_safe)
 
 
 def classify(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
@@ -155,13 +158,14 @@ def classify(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT
 
 def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
           tracked: Sequence[str] = ACCOUNT_TRACKED, eff: str = "effective_date", mode: str = "strict",
-          null_safe: bool = False, on_ambiguous: str = "skip", split_days: int | None = None) -> MergeResult:
+          null_safe: bool = False, on_ambiguous: str = "skip", hot_keys: str = "window") -> MergeResult:
     """Apply one batch of dated states to a history. See the module docstring.
 
-    ``split_days`` (strict mode): None keeps every key in one window partition (one shuffle);
-    a number of days splits each key into date ranges and replaces the key-wide windows by
-    per-range summaries and joins on ``(keys, valid_from)``, so a key holding a large share of
-    the rows is spread over many tasks (two history shuffles instead of one).
+    ``hot_keys`` (strict mode): ``"window"`` keeps every key's history and batch rows in one
+    window partition (one shuffle). ``"lookup"`` labels distinct (key, date) points of the batch
+    against history and joins the labels back on (key, date); ambiguity counts become partial
+    aggregates and the MERGE a full outer join on ``(keys, valid_from)``, unique on both sides.
+    No partition then grows with the rows of one key (a history shuffle more).
 
     Strict mode as one partitioned pass: label batch rows, expand each applied change into a
     shrink (match key: the compared window's start) and an insert (match key: ``eff``), count
@@ -176,10 +180,12 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
     if on_ambiguous not in ("skip", "raise"):
         raise ValueError("on_ambiguous must be 'skip' or 'raise'")
     keys, tracked = list(keys), list(tracked)
-    if split_days is None:
+    if hot_keys not in ("window", "lookup"):
+        raise ValueError("hot_keys must be 'window' or 'lookup'")
+    if hot_keys == "window":
         x = _labelled(history, batch, keys, tracked, eff, null_safe)
     else:
-        x = _labelled_split(history, batch, keys, tracked, eff, null_safe, split_days)
+        x = _labelled_lookup(history, batch, keys, tracked, eff, null_safe)
     e, w, o = F.col(eff), F.col("_w"), F.col("outcome")
     no = F.lit(False)  # ``when(no, c)`` is a NULL typed like ``c`` (no schema lookup)
 
@@ -200,7 +206,7 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
 
     staged = F.col("_kind").isin("shrink", "insert")
     target = F.col("_kind") == "target"
-    if split_days is None:
+    if hot_keys == "window":
         by_match = Window.partitionBy(*keys, "_vf")
         by_src = Window.partitionBy(*keys, "_src")
         y = y.withColumn("_n", F.count(F.when(staged, 1)).over(by_match))

@@ -90,7 +90,6 @@ def history(spark: SparkSession, layout: Layout, version: int) -> DataFrame:
 
 
 HOT_KEY_SHARE = 0.01   # a key above this share of the rows is hot
-SPLIT_DAYS = 30        # date range per task for hot keys
 
 
 def hot_key_share(history: DataFrame, batch: DataFrame, keys=("account_id",)) -> float:
@@ -102,16 +101,16 @@ def hot_key_share(history: DataFrame, batch: DataFrame, keys=("account_id",)) ->
 
 
 def apply_account_batch(spark: SparkSession, layout: Layout, batch: DataFrame, version: int,
-                        mode: str = "strict", on_ambiguous: str = "skip", split_days: int | None | str = "auto") -> DataFrame:
+                        mode: str = "strict", on_ambiguous: str = "skip", hot_keys: str = "auto") -> DataFrame:
     """Merge a batch into history version ``version - 1``; write version ``version`` and append
     its written rows to the change log. Returns the outcomes (read back from storage).
 
-    ``split_days="auto"`` measures the hottest key first and splits keys into date ranges only
+    ``hot_keys="auto"`` measures the hottest key first and switches to the key-date lookup only
     when one key holds more than ``HOT_KEY_SHARE`` of the rows."""
     prev = history(spark, layout, version - 1)
-    if split_days == "auto":
-        split_days = SPLIT_DAYS if hot_key_share(prev, batch) > HOT_KEY_SHARE else None
-    res = scd2.merge(prev, batch, mode=mode, on_ambiguous=on_ambiguous, split_days=split_days)
+    if hot_keys == "auto":
+        hot_keys = "lookup" if hot_key_share(prev, batch) > HOT_KEY_SHARE else "window"
+    res = scd2.merge(prev, batch, mode=mode, on_ambiguous=on_ambiguous, hot_keys=hot_keys)
     # one merge job writes the version with a written-row flag; the change log is read back
     # from it (no second merge, no diff of two versions)
     new_path = sinks.write_version(res.flagged, layout.history, version)

@@ -34,11 +34,11 @@ def outcomes(res):
     return {(r.account_id, r.effective_date): r.outcome for r in res.outcomes.collect()}
 
 
-SPLITS = [None, 30, 1]
+HOT = ["window", "lookup"]
 
 
-@pytest.mark.parametrize("split_days", SPLITS)
-def test_forward_late_noop_unknown_before(spark, history, split_days):
+@pytest.mark.parametrize("hot_keys", HOT)
+def test_forward_late_noop_unknown_before(spark, history, hot_keys):
     batch = spark.createDataFrame([
         ("A", "closed", 1000, D(2022, 1, 1)),   # forward change
         ("B", "active", 500, D(2022, 1, 1)),    # on-time no-op
@@ -47,7 +47,7 @@ def test_forward_late_noop_unknown_before(spark, history, split_days):
         ("Z", "active", 1, D(2022, 1, 1)),      # unknown key
         ("A", "active", 1, None),               # no date
     ], BATCH)
-    res = scd2.merge(history, batch, split_days=split_days)
+    res = scd2.merge(history, batch, hot_keys=hot_keys)
     assert outcomes(res) == {("A", D(2022, 1, 1)): "forward_change", ("B", D(2022, 1, 1)): "no_op",
                              ("A", D(2020, 6, 1)): "late_split", ("B", D(2019, 1, 1)): "before_first_window",
                              ("Z", D(2022, 1, 1)): "unknown_key", ("A", None): "null_effective_date"}
@@ -70,20 +70,20 @@ def test_late_equal_to_next_window_keeps_adjacent_windows(spark, history):
     assert res.history.filter("account_id = 'A'").count() == 3
 
 
-@pytest.mark.parametrize("split_days", SPLITS)
-def test_same_day_change_is_ambiguous_and_strict_raises(spark, history, split_days):
+@pytest.mark.parametrize("hot_keys", HOT)
+def test_same_day_change_is_ambiguous_and_strict_raises(spark, history, hot_keys):
     batch = spark.createDataFrame([("A", "closed", 1000, D(2021, 1, 1))], BATCH)
-    res = scd2.merge(history, batch, split_days=split_days)
+    res = scd2.merge(history, batch, hot_keys=hot_keys)
     assert outcomes(res) == {("A", D(2021, 1, 1)): "ambiguous_match"}
     assert rows(res.history) == rows(history)
     with pytest.raises(scd2.MergeCardinalityError):
-        scd2.merge(history, batch, on_ambiguous="raise", split_days=split_days)
+        scd2.merge(history, batch, on_ambiguous="raise", hot_keys=hot_keys)
 
 
-@pytest.mark.parametrize("split_days", SPLITS)
-def test_two_changes_in_one_window(spark, history, split_days):
+@pytest.mark.parametrize("hot_keys", HOT)
+def test_two_changes_in_one_window(spark, history, hot_keys):
     batch = spark.createDataFrame([("A", "closed", 1, D(2020, 3, 1)), ("A", "closed", 2, D(2020, 9, 1))], BATCH)
-    strict = scd2.merge(history, batch, split_days=split_days)
+    strict = scd2.merge(history, batch, hot_keys=hot_keys)
     assert set(outcomes(strict).values()) == {"ambiguous_match"}
     assert rows(strict.history) == rows(history)
     timeline = scd2.merge(history, batch, mode="timeline").history
@@ -117,12 +117,13 @@ def test_change_log_reproduces_every_version(spark, sf_small):
     assert log == {0: 150, 1: 30, 2: 46}
 
 
-def test_state_on_and_as_of_join(spark, history):
+@pytest.mark.parametrize("method", ["lookup", "range"])
+def test_state_on_and_as_of_join(spark, history, method):
     s = temporal.state_on(history, "2020-12-31").select("account_id", "account_status").collect()
     assert sorted(tuple(r) for r in s) == [("A", "active"), ("B", "active")]
     facts = spark.createDataFrame([("t1", "A", dt.datetime(2021, 1, 1, 0, 0)), ("t2", "A", dt.datetime(2019, 1, 1)),
                                    ("t3", "C", dt.datetime(2021, 1, 1))], "transaction_id string, account_id string, ts timestamp")
-    out = {r.transaction_id: r.account_status for r in temporal.as_of_join(facts, history, date_col="ts").collect()}
+    out = {r.transaction_id: r.account_status for r in temporal.as_of_join(facts, history, date_col="ts", method=method).collect()}
     assert out == {"t1": "frozen", "t2": None, "t3": None}
 
 
@@ -150,18 +151,18 @@ def test_row_conservation(spark, sf_small):
     assert L.silver.count() + L.dead.count() == L.deduped.count()
 
 
-def test_split_merge_equals_single_pass_on_fixtures(spark, sf_small):
+def test_lookup_merge_equals_single_pass_on_fixtures(spark, sf_small):
     L = Ledger(spark, sf_small)
     up = fixtures.acct_update(spark, sf_small)
-    b1 = scd2.merge(L.h0, up, split_days=30)
-    b2 = scd2.merge(b1.history, L.mixed, split_days=30)
+    b1 = scd2.merge(L.h0, up, hot_keys="lookup")
+    b2 = scd2.merge(b1.history, L.mixed, hot_keys="lookup")
     for a, b in ((L.m1, b1), (L.m2, b2)):
         for part in ("history", "outcomes", "staged", "changes"):
             x, y = getattr(a, part), getattr(b, part)
             assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, part
 
 
-@pytest.mark.parametrize("split_days", SPLITS)
+@pytest.mark.parametrize("split_days", [None, 30, 1])
 def test_check_timeline_finds_defects(spark, split_days):
     bad = spark.createDataFrame([
         ("A", "x", 1, D(2020, 1, 1), D(2020, 3, 1), False),
