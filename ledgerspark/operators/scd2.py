@@ -276,9 +276,13 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
     keys, tracked = list(keys), list(tracked)
     h = history.select(*keys, *tracked, VF, F.col(VT).alias("_old_to"), F.col(CUR).alias("_old_cur"),
                        F.lit(0).alias("_src"))
-    b = batch.filter(F.col(eff).isNotNull()).select(
-        *keys, *tracked, F.col(eff).alias(VF), F.lit(None).cast("date").alias("_old_to"),
-        F.lit(None).cast("boolean").alias("_old_cur"), F.lit(1).alias("_src"))
+    # only the last statement of a (key, date) can survive, so keep it before the key-wide
+    # window: a partial top-1 (WindowGroupLimit) bounds every key to its number of distinct dates
+    last_stmt = Window.partitionBy(*keys, eff).orderBy(*[F.col(t).desc_nulls_last() for t in tracked])
+    b = (batch.filter(F.col(eff).isNotNull())
+         .withColumn("_rn", F.row_number().over(last_stmt)).filter(F.col("_rn") == 1)
+         .select(*keys, *tracked, F.col(eff).alias(VF), F.lit(None).cast("date").alias("_old_to"),
+                 F.lit(None).cast("boolean").alias("_old_cur"), F.lit(1).alias("_src")))
     u = h.unionByName(b)
     by_key = Window.partitionBy(*keys)
     ordered = by_key.orderBy(F.col(VF), F.col("_src"), *[F.col(t) for t in tracked])

@@ -191,3 +191,11 @@ def test_job_splits_hot_keys(spark, tmp_path):
     # every change of the hot key shrinks the same current window: all ambiguous under strict rules
     assert {r.outcome for r in out.collect()} == {"ambiguous_match"}
     assert jobs.history(spark, layout, 1).count() == 2
+
+
+def test_timeline_same_date_statements_keep_the_last(spark, history):
+    batch = spark.createDataFrame([("A", "closed", 5, D(2020, 3, 1)), ("A", "closed", 7, D(2020, 3, 1)),
+                                   ("A", "closed", 6, D(2020, 3, 1))], BATCH)
+    res = scd2.merge(history, batch, mode="timeline").history
+    a = [(r.credit_limit, r.valid_from, r.valid_to) for r in res.filter("account_id = 'A'").orderBy("valid_from").collect()]
+    assert a == [(1000, D(2020, 1, 1), D(2020, 3, 1)), (7, D(2020, 3, 1), D(2021, 1, 1)), (1000, D(2021, 1, 1), END)]
