@@ -95,3 +95,14 @@ def test_stream_ingest_reads_each_file_once(spark, tmp_path):
     df = spark.read.parquet(bronze)
     assert df.count() == 8 and df.select("_batch").distinct().count() == 2
     assert df.filter("ssn_last4 like 'XX%'").count() == 8
+
+
+def test_models_materialize_as_views_and_tables(spark, sf_small, tmp_path):
+    from ledgerspark.plans import models
+    L = Ledger(spark, sf_small)
+    views = models.register_models(spark, L.silver, L.h2, prefix="t_")
+    assert spark.table("t_stg_transactions").count() == 1410
+    assert spark.table("t_stg_accounts_current").count() == 150
+    assert spark.sql("select count(*) from t_stg_accounts where not is_current").first()[0] == 38
+    sinks.overwrite(views["fct_transactions_daily"], str(tmp_path / "mart"))
+    assert spark.read.parquet(str(tmp_path / "mart")).count() == 1041
