@@ -59,7 +59,7 @@ class Layout:
 def ingest_batch(spark: SparkSession, layout: Layout, path: str, batch_id: int, fmt: str = "csv") -> None:
     """Read one delivery with the declared schema, mask PII, append to bronze (by batch)."""
     raw = read_batch(spark, path, TRANSACTION_SCHEMA, fmt, batch_id=batch_id)
-    sinks.append(mask(raw, TRANSACTION_MASK), layout.bronze, partition_by=[BATCH_COL])
+    sinks.replace_partitions(mask(raw, TRANSACTION_MASK), layout.bronze, [BATCH_COL])
 
 
 def refresh_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
@@ -81,7 +81,8 @@ def load_initial_history(spark: SparkSession, layout: Layout, path: str, fmt: st
     states = read_batch(spark, path, ACCOUNT_STATE_SCHEMA, fmt)
     hist = scd2.initial_history(states)
     sinks.write_version(hist, layout.history, 0)
-    sinks.overwrite(temporal.start_log(spark.read.parquet(sinks.version_path(layout.history, 0))), layout.change_log)
+    sinks.replace_partitions(temporal.start_log(spark.read.parquet(sinks.version_path(layout.history, 0))),
+                             layout.change_log, [temporal.VERSION])
 
 
 def history(spark: SparkSession, layout: Layout, version: int) -> DataFrame:
@@ -115,8 +116,8 @@ def apply_account_batch(spark: SparkSession, layout: Layout, batch: DataFrame, v
     # from it (no second merge, no diff of two versions)
     new_path = sinks.write_version(res.flagged, layout.history, version)
     changes = spark.read.parquet(new_path).filter(F.col(WRITTEN)).drop(WRITTEN)
-    sinks.append(changes.withColumn(temporal.VERSION, F.lit(version))
-                 .withColumn(temporal.OPERATION, F.lit("MERGE")), layout.change_log)
+    sinks.replace_partitions(changes.withColumn(temporal.VERSION, F.lit(version))
+                             .withColumn(temporal.OPERATION, F.lit("MERGE")), layout.change_log, [temporal.VERSION])
     return res.outcomes
 
 

@@ -6,7 +6,8 @@
 * history versions go to a new path per version and the path being read is never
   overwritten, so a merge always reads one pinned version;
 * writes are whole-file and task-retry safe (Spark's commit protocol), so a lost executor
-  only reruns its tasks.
+  only reruns its tasks; appends keyed by batch or version use dynamic partition overwrite, so
+  a rerun job replaces its own output instead of duplicating it.
 """
 
 from __future__ import annotations
@@ -26,6 +27,14 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     w.parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Idempotent append: rewrite only the partitions present in ``df`` (dynamic partition
+    overwrite). A rerun of the same batch or version replaces its own files instead of adding a
+    second copy."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
@@ -56,6 +65,8 @@ def version_path(base: str, version: int) -> str:
 
 
 def write_version(df: DataFrame, base: str, version: int) -> str:
+    """Write one history version to its own path. Only this job writes it and no merge reads it
+    (a merge reads version - 1), so a rerun simply rewrites it."""
     path = version_path(base, version)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path

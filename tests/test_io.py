@@ -57,6 +57,8 @@ def test_jobs_end_to_end(spark, tmp_path):
                    + [line(3, amount="11.5", lag_min=50)])
     jobs.ingest_batch(spark, layout, b1, 1)
     jobs.ingest_batch(spark, layout, b2, 2)
+    jobs.ingest_batch(spark, layout, b2, 2)  # a rerun replaces batch 2, it does not duplicate it
+    assert spark.read.parquet(layout.bronze).count() == 14
     counts = jobs.refresh_silver(spark, layout)
     assert counts == {"total": 13, "valid": 10, "dead": 3}
     assert jobs.silver(spark, layout).filter("transaction_id = 'T3'").first().amount == 11.5
@@ -71,7 +73,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     batch = spark.createDataFrame([("A0", "frozen", 100, "2021-01-01"), ("A1", "active", 300, "2020-06-01")],
                                   "account_id string, account_status string, credit_limit int, effective_date string") \
         .withColumn("effective_date", F.to_date("effective_date"))
-    out = jobs.apply_account_batch(spark, layout, batch, 1)
+    jobs.apply_account_batch(spark, layout, batch, 1)
+    out = jobs.apply_account_batch(spark, layout, batch, 1)  # rerun of the same version
     assert sorted(r.outcome for r in out.collect()) == ["forward_change", "forward_change"]
     h1 = jobs.history(spark, layout, 1)
     assert h1.count() == 4 and "_written" not in h1.columns
