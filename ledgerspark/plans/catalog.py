@@ -266,6 +266,12 @@ def q_scd2_merge_timeline(L: Ledger) -> DataFrame:
     return scd2.merge_timeline(h1, L.mixed).history
 
 
+def q_scd2_merge_lookup(L: Ledger) -> DataFrame:
+    """The hot-key form of the strict merge (key-date lookup, joins instead of key-wide windows)."""
+    h1 = scd2.merge(L.h0, fixtures.acct_update(L.spark, L.sf), hot_keys="lookup").history
+    return scd2.merge(h1, L.mixed, hot_keys="lookup").history
+
+
 def q_scd2_outcomes(L: Ledger) -> DataFrame:
     return L.m2.outcomes
 
@@ -279,6 +285,10 @@ def q_scd2_invariants(L: Ledger) -> DataFrame:
     return scd2.check_timeline(L.h2)
 
 
+def q_scd2_invariants_split(L: Ledger) -> DataFrame:
+    return scd2.check_timeline(L.h2, split_days=30)
+
+
 def q_account_trace(L: Ledger) -> DataFrame:
     return scd2.trace(L.h2)
 
@@ -313,6 +323,11 @@ def q_as_of_join(L: Ledger) -> DataFrame:
     return temporal.as_of_join(facts, L.h2, date_col="event_timestamp")
 
 
+def q_as_of_join_range(L: Ledger) -> DataFrame:
+    facts = L.raw.select("transaction_id", "account_id", "event_timestamp", "amount")
+    return temporal.as_of_join(facts, L.h2, date_col="event_timestamp", method="range")
+
+
 # ---- step 5: checks ------------------------------------------------------------------------
 def _broken_copy(silver: DataFrame) -> DataFrame:
     """First 100 rows by id; row 1 gets a negative amount, row 2 a lowercase currency."""
@@ -395,10 +410,11 @@ _STEPS: dict[str, Callable[[Ledger], DataFrame]] = {
     "raw_account_states": q_raw_account_states, "scd2_initial": q_scd2_initial,
     "accounts_current": q_accounts_current, "scd2_normal": q_scd2_normal, "scd2_late_window": q_scd2_late_window,
     "scd2_late_noop": q_scd2_late_noop, "scd2_staged": q_scd2_staged, "scd2_merge": q_scd2_merge,
-    "scd2_merge_timeline": q_scd2_merge_timeline, "scd2_outcomes": q_scd2_outcomes, "scd2_totals": q_scd2_totals,
-    "scd2_invariants": q_scd2_invariants, "account_trace": q_account_trace, "stg_accounts": q_stg_accounts,
+    "scd2_merge_timeline": q_scd2_merge_timeline, "scd2_merge_lookup": q_scd2_merge_lookup, "scd2_outcomes": q_scd2_outcomes, "scd2_totals": q_scd2_totals,
+    "scd2_invariants": q_scd2_invariants, "scd2_invariants_split": q_scd2_invariants_split, "account_trace": q_account_trace, "stg_accounts": q_stg_accounts,
     "history_as_of_version": q_history_as_of_version, "version_log": q_version_log, "v0_vs_now": q_v0_vs_now,
     "v0_vs_now_top10": q_v0_vs_now_top10, "state_on_date": q_state_on_date, "as_of_join": q_as_of_join,
+    "as_of_join_range": q_as_of_join_range,
     "expectations": q_expectations, "expectations_broken": q_expectations_broken,
     "expectation_failures": q_expectation_failures, "contract": q_contract, "contract_types": q_contract_types,
     "test_unique": lambda L: _model_tests(L, "unique"), "test_not_null": lambda L: _model_tests(L, "not_null"),

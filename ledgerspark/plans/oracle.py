@@ -332,6 +332,12 @@ _BODIES = {
 }
 
 
+# the alternative physical forms must give the same rows as their default forms
+_BODIES["scd2_merge_lookup"] = _BODIES["scd2_merge"]
+_BODIES["scd2_invariants_split"] = _BODIES["scd2_invariants"]
+_BODIES["as_of_join_range"] = _BODIES["as_of_join"]
+
+
 def oracle_sql() -> dict[str, str]:
     pre = _prelude()
     out = {}
