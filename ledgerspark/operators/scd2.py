@@ -201,8 +201,10 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
                                             item("insert", e, w["vt"], F.lit(False), True)))
              .otherwise(F.array(item("none", F.when(no, F.col(VF)), F.when(no, F.col(VT)), F.lit(None), True))))
     src = F.when(F.col("_is_b") == 1, F.struct(*[F.col(c) for c in [*keys, *tracked, eff]]))
+    applied = o.isin(FORWARD, LATE_SPLIT)
+    # the two match keys of an applied change: the window it shrinks and its own date
     y = x.select(*keys, eff, "outcome", src.alias("_src"), *[F.col(t).alias(f"_b_{t}") for t in tracked],
-                 F.inline(items))
+                 F.when(applied, w["vf"]).alias("_m1"), F.when(applied, e).alias("_m2"), F.inline(items))
 
     staged = F.col("_kind").isin("shrink", "insert")
     target = F.col("_kind") == "target"
@@ -223,33 +225,31 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
             F.when(target & upd.isNotNull(), upd["cur"]).otherwise(F.col("_cur")).alias(CUR),
             (inserted | (target & upd.isNotNull())).alias("_written"))
     else:
-        # ambiguity by aggregation: a match key staged twice (partial counts, skew-safe), then
-        # the batch rows owning it; only batch-derived rows are joined to the flags
-        st = y.filter(staged)
-        twice = st.groupBy(*keys, "_vf").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).drop("_n")
-        bad = (st.join(twice, [*keys, "_vf"], "left_semi").select(*keys, "_src").distinct()
-               .select(*[F.col(k).alias(f"_x_{k}") for k in keys], F.col("_src").alias("_x_src"),
-                       F.lit(True).alias("_bad")))
-        from_batch = y.filter(~target)
-        cond = reduce(lambda p, q: p & q, [from_batch[k] == bad[f"_x_{k}"] for k in keys])
-        flagged = (from_batch.join(bad, cond & from_batch["_src"].eqNullSafe(bad["_x_src"]), "left")
-                   .drop(*[f"_x_{k}" for k in keys], "_x_src")
-                   .withColumn("_bad", F.coalesce(F.col("_bad"), F.lit(False))))
-        t = y.filter(target).select(*keys, "_vf", *[F.col(c).alias(f"_t_{c}") for c in tracked],
-                                    F.col("_vt").alias("_t_vt"), F.col("_cur").alias("_t_cur"), F.lit(True).alias("_t"))
-        sg = flagged.filter(staged & ~F.col("_bad")).select(
-            *keys, "_vf", *[F.col(c).alias(f"_s_{c}") for c in tracked], F.col("_vt").alias("_s_vt"),
-            F.col("_cur").alias("_s_cur"), F.lit(True).alias("_s"))
-        j = t.join(sg, [*keys, "_vf"], "full")  # (keys, valid_from) is unique on both sides
-        has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
-        out = j.select(
-            *keys, *[F.when(has_t, F.col(f"_t_{c}")).otherwise(F.col(f"_s_{c}")).alias(c) for c in tracked],
-            F.col("_vf").alias(VF),
-            F.when(has_s, F.col("_s_vt")).otherwise(F.col("_t_vt")).alias(VT),
-            F.when(has_s, F.col("_s_cur")).otherwise(F.col("_t_cur")).alias(CUR),
-            has_s.alias("_written"))
-        y = flagged
+        # ambiguity by aggregation: staged rows per match key (partial counts, skew-safe), joined
+        # back on both match keys of every change; no grouping by source row
+        counts = y.filter(staged).groupBy(*keys, "_vf").agg(F.count(F.lit(1)).alias("_n"))
+        for i in (1, 2):
+            ci = counts.select(*[F.col(k).alias(f"_c{i}_{k}") for k in keys], F.col("_vf").alias(f"_c{i}_vf"),
+                               F.col("_n").alias(f"_n{i}"))
+            cond = reduce(lambda p, q: p & q, [F.col(k) == F.col(f"_c{i}_{k}") for k in keys])
+            y = y.join(ci, cond & (F.col(f"_m{i}") == F.col(f"_c{i}_vf")), "left").drop(
+                *[f"_c{i}_{k}" for k in keys], f"_c{i}_vf")
+        y = y.withColumn("_bad", F.coalesce((F.col("_n1") > 1) | (F.col("_n2") > 1), F.lit(False)))
         ok = staged & ~F.col("_bad")
+        # after dropping ambiguous changes a (key, valid_from) holds at most one target and one
+        # change, so this window never grows with a hot key
+        z = y.filter(target | ok)
+        by_match = Window.partitionBy(*keys, "_vf")
+        z = z.withColumns({
+            "_upd": F.max(F.when(ok, F.struct(F.col("_vt").alias("vt"), F.col("_cur").alias("cur")))).over(by_match),
+            "_has_t": F.max(target).over(by_match)})
+        upd = F.col("_upd")
+        inserted = ok & ~F.coalesce(F.col("_has_t"), F.lit(False))
+        out = z.filter(target | inserted).select(
+            *keys, *tracked, F.col("_vf").alias(VF),
+            F.when(target & upd.isNotNull(), upd["vt"]).otherwise(F.col("_vt")).alias(VT),
+            F.when(target & upd.isNotNull(), upd["cur"]).otherwise(F.col("_cur")).alias(CUR),
+            (inserted | (target & upd.isNotNull())).alias("_written"))
     if on_ambiguous == "raise":
         n = y.filter(F.col("_bad") & (F.col("_kind") == "shrink")).count()
         if n:
