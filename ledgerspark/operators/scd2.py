@@ -264,6 +264,9 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
     return MergeResult(new_history, outcomes, staged_rows, changes, out)
 
 
+SUPERSEDED, SAME_DAY = "superseded_same_day", "same_day_replace"
+
+
 def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
                    tracked: Sequence[str] = ACCOUNT_TRACKED, eff: str = "effective_date",
                    null_safe: bool = False) -> MergeResult:
@@ -271,36 +274,58 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
 
     A batch row is dropped when its key has no history, when it predates the key's first
     window or has no date, and when its values equal the state just before it. At equal
-    dates the batch row replaces the history row. ``valid_to`` is the next start.
+    dates the last statement wins and a batch row replaces the history row. ``valid_to`` is
+    the next start. Outcomes: the strict labels plus ``superseded_same_day`` (a later
+    statement of the same key and date won) and ``same_day_replace``.
     """
     keys, tracked = list(keys), list(tracked)
+    src, vf = F.col("_src"), F.col(VF)
     h = history.select(*keys, *tracked, VF, F.col(VT).alias("_old_to"), F.col(CUR).alias("_old_cur"),
                        F.lit(0).alias("_src"))
     # only the last statement of a (key, date) can survive, so keep it before the key-wide
     # window: a partial top-1 (WindowGroupLimit) bounds every key to its number of distinct dates
     last_stmt = Window.partitionBy(*keys, eff).orderBy(*[F.col(t).desc_nulls_last() for t in tracked])
-    b = (batch.filter(F.col(eff).isNotNull())
-         .withColumn("_rn", F.row_number().over(last_stmt)).filter(F.col("_rn") == 1)
+    ranked = batch.filter(F.col(eff).isNotNull()).withColumn("_rn", F.row_number().over(last_stmt))
+    b = (ranked.filter(F.col("_rn") == 1)
          .select(*keys, *tracked, F.col(eff).alias(VF), F.lit(None).cast("date").alias("_old_to"),
                  F.lit(None).cast("boolean").alias("_old_cur"), F.lit(1).alias("_src")))
     u = h.unionByName(b)
     by_key = Window.partitionBy(*keys)
-    ordered = by_key.orderBy(F.col(VF), F.col("_src"), *[F.col(t) for t in tracked])
-    u = u.withColumn("_first", F.min(F.when(F.col("_src") == 0, F.col(VF))).over(by_key))
-    u = u.filter((F.col("_src") == 0) | (F.col("_first").isNotNull() & (F.col(VF) >= F.col("_first"))))
-    # at one date the last statement wins
-    u = u.withColumn("_same", F.coalesce(F.lead(VF).over(ordered) == F.col(VF), F.lit(False))).filter(~F.col("_same"))
+    ordered = by_key.orderBy(vf, src, *[F.col(t) for t in tracked])
+    u = u.withColumns({"_first": F.min(F.when(src == 0, vf)).over(by_key),
+                       "_last_h": F.max(F.when(src == 0, vf)).over(by_key)})
+    kept = (src == 0) | (F.col("_first").isNotNull() & (vf >= F.col("_first")))
+    early = u.filter(~kept)
+    u = u.filter(kept)
+    # at one date the last statement wins (a batch row after the history row of its date)
+    u = u.withColumns({"_same": F.coalesce(F.lead(VF).over(ordered) == vf, F.lit(False)),
+                       "_hit": F.coalesce((F.lag(VF).over(ordered) == vf) & (F.lag("_src").over(ordered) == 0),
+                                          F.lit(False))}).filter(~F.col("_same"))
     prev = [F.lag(t).over(ordered) for t in tracked]
-    u = u.withColumn("_chg", F.coalesce(_differs([F.col(t) for t in tracked], prev, null_safe), F.lit(False)))
-    u = u.filter((F.col("_src") == 0) | F.col("_chg"))
+    first_row = F.lag(F.lit(1)).over(ordered).isNull()  # no predecessor: a replaced first window
+    u = u.withColumn("_chg", first_row | F.coalesce(_differs([F.col(t) for t in tracked], prev, null_safe),
+                                                    F.lit(False)))
+    labelled = u
+    u = u.filter((src == 0) | F.col("_chg"))
     nxt = F.lead(VF).over(ordered)
     u = u.withColumn(VT, F.coalesce(nxt, open_end())).withColumn(CUR, nxt.isNull())
-    written = (F.col("_src") == 1) | (F.col(VT) != F.col("_old_to")) | (F.col(CUR) != F.col("_old_cur"))
+    written = (src == 1) | (F.col(VT) != F.col("_old_to")) | (F.col(CUR) != F.col("_old_cur"))
     out = u.select(*keys, *tracked, VF, VT, CUR, written.alias("_written"))
     new_history = out.drop("_written")
     changes = out.filter(F.col("_written")).drop("_written")
-    empty = batch.limit(0).select(*keys, *tracked, eff, F.lit(None).cast("string").alias("outcome"))
-    return MergeResult(new_history, empty, changes.limit(0), changes, out)
+
+    on_time = vf >= F.col("_last_h")
+    cols = [*keys, *tracked, F.col(VF).alias(eff)]
+    outcomes = (
+        batch.filter(F.col(eff).isNull()).select(*keys, *tracked, eff, F.lit(NULL_DATE).alias("outcome"))
+        .unionByName(ranked.filter(F.col("_rn") > 1).select(*keys, *tracked, eff, F.lit(SUPERSEDED).alias("outcome")))
+        .unionByName(early.filter(src == 1).select(*cols, F.when(F.col("_first").isNull(), F.lit(UNKNOWN_KEY))
+                                                   .otherwise(F.lit(BEFORE_FIRST)).alias("outcome")))
+        .unionByName(labelled.filter(src == 1).select(
+            *cols, F.when(~F.col("_chg"), F.when(on_time, F.lit(NO_OP)).otherwise(F.lit(LATE_NO_OP)))
+            .when(F.col("_hit"), F.lit(SAME_DAY))
+            .when(on_time, F.lit(FORWARD)).otherwise(F.lit(LATE_SPLIT)).alias("outcome"))))
+    return MergeResult(new_history, outcomes, changes.limit(0), changes, out)
 
 
 def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, split_days: int | None = None) -> DataFrame:

@@ -199,3 +199,32 @@ def test_timeline_same_date_statements_keep_the_last(spark, history):
     res = scd2.merge(history, batch, mode="timeline").history
     a = [(r.credit_limit, r.valid_from, r.valid_to) for r in res.filter("account_id = 'A'").orderBy("valid_from").collect()]
     assert a == [(1000, D(2020, 1, 1), D(2020, 3, 1)), (7, D(2020, 3, 1), D(2021, 1, 1)), (1000, D(2021, 1, 1), END)]
+
+
+def test_timeline_outcomes_match_strict_on_fixtures(spark, sf_small):
+    L = Ledger(spark, sf_small)
+    h1 = scd2.merge_timeline(L.h0, fixtures.acct_update(spark, sf_small)).history
+    t = scd2.merge_timeline(h1, L.mixed).outcomes
+    s = L.m2.outcomes
+    assert t.exceptAll(s).count() == 0 and s.exceptAll(t).count() == 0
+
+
+def test_timeline_outcome_labels(spark, history):
+    batch = spark.createDataFrame([
+        ("A", "closed", 5, D(2020, 3, 1)), ("A", "closed", 7, D(2020, 3, 1)),   # superseded, late split
+        ("A", "frozen", 1000, D(2022, 1, 1)),                                  # no-op
+        ("B", "closed", 500, D(2020, 6, 1)),                                   # same-day replace
+        ("Z", "x", 1, D(2022, 1, 1)), ("B", "x", 1, D(2019, 1, 1)), ("B", "x", 1, None),
+    ], BATCH)
+    got = {(r.account_id, r.credit_limit, r.effective_date): r.outcome
+           for r in scd2.merge_timeline(history, batch).outcomes.collect()}
+    assert got == {("A", 5, D(2020, 3, 1)): "superseded_same_day", ("A", 7, D(2020, 3, 1)): "late_split",
+                   ("A", 1000, D(2022, 1, 1)): "no_op", ("B", 500, D(2020, 6, 1)): "same_day_replace",
+                   ("Z", 1, D(2022, 1, 1)): "unknown_key", ("B", 1, D(2019, 1, 1)): "before_first_window",
+                   ("B", 1, None): "null_effective_date"}
+
+
+def test_timeline_same_day_replace_of_first_window_keeps_the_key(spark, history):
+    batch = spark.createDataFrame([("B", "closed", 500, D(2020, 6, 1))], BATCH)
+    res = scd2.merge_timeline(history, batch).history
+    assert [tuple(r) for r in res.filter("account_id = 'B'").collect()] == [("B", "closed", 500, D(2020, 6, 1), END, True)]
