@@ -272,6 +272,11 @@ def q_scd2_merge_lookup(L: Ledger) -> DataFrame:
     return scd2.merge(h1, L.mixed, hot_keys="lookup").history
 
 
+def q_scd2_outcomes_timeline(L: Ledger) -> DataFrame:
+    h1 = scd2.merge_timeline(L.h0, fixtures.acct_update(L.spark, L.sf)).history
+    return scd2.merge_timeline(h1, L.mixed).outcomes
+
+
 def q_scd2_outcomes(L: Ledger) -> DataFrame:
     return L.m2.outcomes
 
@@ -410,7 +415,8 @@ _STEPS: dict[str, Callable[[Ledger], DataFrame]] = {
     "raw_account_states": q_raw_account_states, "scd2_initial": q_scd2_initial,
     "accounts_current": q_accounts_current, "scd2_normal": q_scd2_normal, "scd2_late_window": q_scd2_late_window,
     "scd2_late_noop": q_scd2_late_noop, "scd2_staged": q_scd2_staged, "scd2_merge": q_scd2_merge,
-    "scd2_merge_timeline": q_scd2_merge_timeline, "scd2_merge_lookup": q_scd2_merge_lookup, "scd2_outcomes": q_scd2_outcomes, "scd2_totals": q_scd2_totals,
+    "scd2_merge_timeline": q_scd2_merge_timeline, "scd2_merge_lookup": q_scd2_merge_lookup, "scd2_outcomes": q_scd2_outcomes,
+    "scd2_outcomes_timeline": q_scd2_outcomes_timeline, "scd2_totals": q_scd2_totals,
     "scd2_invariants": q_scd2_invariants, "scd2_invariants_split": q_scd2_invariants_split, "account_trace": q_account_trace, "stg_accounts": q_stg_accounts,
     "history_as_of_version": q_history_as_of_version, "version_log": q_version_log, "v0_vs_now": q_v0_vs_now,
     "v0_vs_now_top10": q_v0_vs_now_top10, "state_on_date": q_state_on_date, "as_of_join": q_as_of_join,

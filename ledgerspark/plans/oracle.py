@@ -336,6 +336,7 @@ _BODIES = {
 _BODIES["scd2_merge_lookup"] = _BODIES["scd2_merge"]
 _BODIES["scd2_invariants_split"] = _BODIES["scd2_invariants"]
 _BODIES["as_of_join_range"] = _BODIES["as_of_join"]
+_BODIES["scd2_outcomes_timeline"] = _BODIES["scd2_outcomes"]
 
 
 def oracle_sql() -> dict[str, str]:
