@@ -271,7 +271,7 @@ _BODIES = {
                         f"from (select *, lead(valid_from) over (partition by account_id order by valid_from) nxt, "
                         f"sum(cast(is_current as integer)) over (partition by account_id) ncur from h2)"),
     "account_trace": ("select account_id, valid_from, valid_to, is_current, account_status, credit_limit, "
-                      "row_number() over w seq, lag(account_status) over w prev_account_status, "
+                      "cast(row_number() over w as integer) seq, lag(account_status) over w prev_account_status, "
                       "lag(credit_limit) over w prev_credit_limit from h2 "
                       "window w as (partition by account_id order by valid_from)"),
     "stg_accounts": "select * replace (cast(credit_limit as double) as credit_limit) from stg_acc",
