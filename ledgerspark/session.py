@@ -14,8 +14,29 @@ from pyspark.sql import SparkSession
 UTC = "UTC"
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB inputs). Partition sizes are
+# driven by bytes, not counts: scans split at 256 MB, AQE starts from many shuffle partitions
+# and coalesces them to ~256 MB, and splits skewed join partitions. Broadcasts stay under a
+# fixed size threshold checked by the planner on measured sizes.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": UTC,
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "ledgerspark", shuffle_partitions: int = 8,
-                  checkpoint_dir: str | None = None, extra: dict | None = None) -> SparkSession:
+                  checkpoint_dir: str | None = None, extra: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
     builder = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
@@ -29,7 +50,7 @@ def build_session(master: str = "local[*]", app: str = "ledgerspark", shuffle_pa
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
-    for k, v in (extra or {}).items():
+    for k, v in {**(CLUSTER_CONF if cluster else {}), **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
