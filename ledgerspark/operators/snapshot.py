@@ -23,8 +23,9 @@ SNAP_FROM, SNAP_TO = "dbt_valid_from", "dbt_valid_to"
 
 
 def _ts(value: datetime | str):
+    """A timestamp_ntz literal parsed from text: no driver or session time zone involved."""
     ts = value if isinstance(value, datetime) else datetime.fromisoformat(value)
-    return F.lit(ts).cast("timestamp_ntz")
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def snapshot_check(prev: DataFrame | None, current: DataFrame, keys: Sequence[str], check_cols: Sequence[str],
