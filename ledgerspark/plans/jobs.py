@@ -17,10 +17,10 @@ from ..functions.rules import transaction_rules
 from ..operators import checks as C
 from ..operators import scd2, temporal
 from ..operators.dedup import dedup_latest
-from ..operators.routing import tag
+from ..operators.routing import batch_metrics, tag
 from ..session import shared_dir
 from ..sources import sinks
-from ..sources.ingest import read_batch
+from ..sources.ingest import read_batch, read_keys
 from ..sources.schemas import ACCOUNT_STATE_SCHEMA, BATCH_COL, TRANSACTION_SCHEMA
 from . import models
 
@@ -77,6 +77,13 @@ def dead_letter(spark: SparkSession, layout: Layout) -> DataFrame:
     return sinks.read_route(spark, layout.routes, "dead_letter")
 
 
+def delivery_metrics(spark: SparkSession, layout: Layout, landing_path: str, fmt: str = "csv") -> DataFrame:
+    """Rejection metrics of one delivery: its ids (key-only scan of the landing file) against
+    the stored routes, one semi join over both routes."""
+    return batch_metrics(silver(spark, layout), dead_letter(spark, layout),
+                         read_keys(spark, landing_path, "transaction_id", fmt))
+
+
 def load_initial_history(spark: SparkSession, layout: Layout, path: str, fmt: str = "csv") -> None:
     states = read_batch(spark, path, ACCOUNT_STATE_SCHEMA, fmt)
     hist = scd2.initial_history(states)

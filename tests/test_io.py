@@ -4,12 +4,11 @@ import json
 
 from pyspark.sql import functions as F
 
-from ledgerspark.operators import scd2
 from ledgerspark.plans import jobs
 from ledgerspark.plans.catalog import Ledger
 from ledgerspark.sources import sinks
 from ledgerspark.sources.ingest import read_batch, read_keys, read_strings
-from ledgerspark.sources.schemas import ACCOUNT_STATE_SCHEMA, TRANSACTION_SCHEMA
+from ledgerspark.sources.schemas import TRANSACTION_SCHEMA
 from ledgerspark.streaming.ingest import stream_ingest
 
 HEADER = ("transaction_id,account_id,customer_name,ssn_last4,amount,currency,transaction_type,"
@@ -62,6 +61,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     counts = jobs.refresh_silver(spark, layout)
     assert counts == {"total": 13, "valid": 10, "dead": 3}
     assert jobs.silver(spark, layout).filter("transaction_id = 'T3'").first().amount == 11.5
+    m = jobs.delivery_metrics(spark, layout, b2).first()
+    assert (m.total, m.valid, m.dead, m.rejection_rate) == (4, 1, 3, 75.0)
     jobs.build_mart(spark, layout)
     assert spark.read.parquet(layout.mart).first().transaction_count == 10
     jobs.validate_silver(spark, layout)

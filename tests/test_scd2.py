@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerspark.operators import scd2, temporal
 from ledgerspark.operators.snapshot import snapshot_check
