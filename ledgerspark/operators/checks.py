@@ -171,10 +171,23 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
 
 
 def suite_failures(df: DataFrame, checks: Sequence[Check], columns: Sequence[str] = ("transaction_id",)) -> DataFrame:
-    """All offending rows of a suite: check_name, column_name and the given row columns."""
-    parts = [failing_rows(df, c).select(F.lit(c.name).alias("check_name"), F.lit(c.column).alias("column_name"),
-                                        *columns)
-             for c in checks]
+    """All offending rows of a suite: check_name, column_name and the given row columns.
+
+    Row checks are one scan: every row is exploded into the checks it fails. Each uniqueness
+    check adds one keyed semi join."""
+    columns = list(columns)
+    row_checks = [c for c in checks if c.kind == "row"]
+    parts = []
+    if row_checks:
+        hits = F.array_compact(F.array(*[
+            F.when(c.condition(), F.struct(F.lit(c.name).alias("check_name"), F.lit(c.column).alias("column_name")))
+            for c in row_checks]))
+        parts.append(df.select(*columns, F.explode(hits).alias("_hit"))
+                     .select("_hit.check_name", "_hit.column_name", *columns))
+    for c in checks:
+        if c.kind != "row":
+            parts.append(failing_rows(df, c).select(F.lit(c.name).alias("check_name"),
+                                                    F.lit(c.column).alias("column_name"), *columns))
     return reduce(DataFrame.unionByName, parts)
 
 
