@@ -431,9 +431,22 @@ _STEPS: dict[str, Callable[[Ledger], DataFrame]] = {
 }
 
 
+_LEDGERS: dict[tuple[str, str], Ledger] = {}
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
+    """The lazily built plans of one session and scale factor, defined once and shared by the
+    queries (plans only; nothing is cached in memory and every query re-reads its files)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LEDGERS or _LEDGERS[key].spark is not spark:
+        _LEDGERS[key] = Ledger(spark, sf_dir)
+    ensure_utc(spark)
+    return _LEDGERS[key]
+
+
 def _bind(step: Callable[[Ledger], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return step(Ledger(spark, sf_dir))
+        return step(ledger(spark, sf_dir))
     run.__doc__ = step.__doc__
     return run
 
