@@ -12,6 +12,12 @@ Two merge modes, both pure DataFrame transforms (history in, new history out):
   (``ambiguous_match``), or raise with ``on_ambiguous="raise"``.
 * ``timeline`` unions history and batch change points per key, drops no-op changes and
   recomputes every ``valid_to`` with ``lead``: one shuffle, several changes per key allowed.
+
+Partition sizes: a sound history has at most one window start per key and day, so per-key
+work over history is bounded by the number of distinct dates. Batch rows are not bounded
+per key. The strict merge's ``hot_keys="lookup"`` labels distinct (key, date) points instead
+of whole key partitions, and the timeline merge keeps only the last statement per (key, date)
+(a partial top-1) before its key-wide window.
 """
 
 from __future__ import annotations
