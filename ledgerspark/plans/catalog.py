@@ -103,9 +103,19 @@ class Ledger:
     def mixed(self) -> DataFrame:
         return self._get("mixed", lambda: fixtures.acct_mixed(self.spark, self.sf))
 
+    @property
+    def update(self) -> DataFrame:
+        return self._get("update", lambda: fixtures.acct_update(self.spark, self.sf))
+
     @property
     def m1(self) -> scd2.MergeResult:
-        return self._get("m1", lambda: scd2.merge(self.h0, fixtures.acct_update(self.spark, self.sf)))
+        return self._get("m1", lambda: scd2.merge(self.h0, self.update))
+
+    @property
+    def t2(self) -> scd2.MergeResult:
+        """The same two batches through the timeline merge."""
+        return self._get("t2", lambda: scd2.merge_timeline(scd2.merge_timeline(self.h0, self.update).history,
+                                                           self.mixed))
 
     @property
     def m2(self) -> scd2.MergeResult:
@@ -262,19 +272,17 @@ def q_scd2_merge(L: Ledger) -> DataFrame:
 
 
 def q_scd2_merge_timeline(L: Ledger) -> DataFrame:
-    h1 = scd2.merge_timeline(L.h0, fixtures.acct_update(L.spark, L.sf)).history
-    return scd2.merge_timeline(h1, L.mixed).history
+    return L.t2.history
 
 
 def q_scd2_merge_lookup(L: Ledger) -> DataFrame:
     """The hot-key form of the strict merge (key-date lookup, joins instead of key-wide windows)."""
-    h1 = scd2.merge(L.h0, fixtures.acct_update(L.spark, L.sf), hot_keys="lookup").history
+    h1 = scd2.merge(L.h0, L.update, hot_keys="lookup").history
     return scd2.merge(h1, L.mixed, hot_keys="lookup").history
 
 
 def q_scd2_outcomes_timeline(L: Ledger) -> DataFrame:
-    h1 = scd2.merge_timeline(L.h0, fixtures.acct_update(L.spark, L.sf)).history
-    return scd2.merge_timeline(h1, L.mixed).outcomes
+    return L.t2.outcomes
 
 
 def q_scd2_outcomes(L: Ledger) -> DataFrame:
