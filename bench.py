@@ -15,7 +15,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerspark.plans.catalog import QUERIES  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerspark.functions.rules import transaction_rules  # noqa: E402
+from ledgerspark.operators import checks as C  # noqa: E402
+from ledgerspark.plans.catalog import QUERIES, ledger  # noqa: E402
 from ledgerspark.session import build_session  # noqa: E402
 
 HEADLINE = ["dedup_latest", "tagged", "batch_metrics", "batch_compare", "fct_daily", "ingestion_lag",
@@ -29,6 +33,43 @@ def run(spark, name, sf_dir) -> float:
     return time.perf_counter() - t
 
 
+def timed(action) -> float:
+    t = time.perf_counter()
+    action()
+    return time.perf_counter() - t
+
+
+def variants(spark, sf_dir, reps) -> dict:
+    """Design comparisons: rule tagging as array + lambda (the original form) against
+    ``concat_ws`` of ``when``s, and a check suite as one job per check against one pass."""
+    deduped = ledger(spark, sf_dir).deduped
+    rules = transaction_rules()
+    arr = F.array(*[F.when(r.condition(), F.lit(r.name)) for r in rules])
+    array_form = deduped.withColumn("rejection_reason", F.array_join(F.filter(arr, lambda x: x.isNotNull()), "; "))
+    concat_form = deduped.withColumn("rejection_reason", F.concat_ws("; ", *[F.when(r.condition(), F.lit(r.name))
+                                                                           for r in rules]))
+    silver = ledger(spark, sf_dir).silver
+    suite = C.transaction_expectations()
+
+    def job_per_check():
+        for c in suite:
+            if c.kind == "row":
+                silver.filter(c.condition()).count()
+            else:
+                C.failing_rows(silver, c).count()
+
+    def noop(df):
+        return lambda: df.write.format("noop").mode("overwrite").save()
+
+    out = {}
+    for name, action in (("tagging_array_lambda", noop(array_form)), ("tagging_concat_ws", noop(concat_form)),
+                         ("suite_job_per_check", job_per_check),
+                         ("suite_one_pass", noop(C.run_suite(silver, suite)))):
+        action()
+        out[name] = round(statistics.median(timed(action) for _ in range(reps)), 3)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -40,10 +81,14 @@ def main() -> None:
     for n in names:  # warm-up: JIT, file listing, broadcast of small tables
         run(spark, n, sf_dir)
     results = {n: statistics.median(run(spark, n, sf_dir) for _ in range(reps)) for n in names}
+    L = ledger(spark, sf_dir)
+    rows = {"tx_raw": L.raw.count(), "deduped": L.deduped.count(), "acct_initial": L.h0.count(),
+            "acct_mixed": L.mixed.count(), "history_v2": L.h2.count()}
+    extra = variants(spark, sf_dir, reps) if os.environ.get("BENCH_VARIANTS", "1") == "1" else {}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(results.values()), 3), "unit": "sec",
                       "queries": {k: round(v, 3) for k, v in results.items()}, "sf": sf,
-                      "cpus": int(cpus), "reps": reps}))
+                      "cpus": int(cpus), "reps": reps, "input_rows": rows, "variants": extra}))
     spark.stop()
 
 
