@@ -291,10 +291,14 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
     # only the last statement of a (key, date) can survive, so keep it before the key-wide
     # window: a partial top-1 (WindowGroupLimit) bounds every key to its number of distinct dates
     last_stmt = Window.partitionBy(*keys, eff).orderBy(*[F.col(t).desc_nulls_last() for t in tracked])
-    ranked = batch.filter(F.col(eff).isNotNull()).withColumn("_rn", F.row_number().over(last_stmt))
-    b = (ranked.filter(F.col("_rn") == 1)
-         .select(*keys, *tracked, F.col(eff).alias(VF), F.lit(None).cast("date").alias("_old_to"),
-                 F.lit(None).cast("boolean").alias("_old_cur"), F.lit(1).alias("_src")))
+    dated = batch.filter(F.col(eff).isNotNull()).select(*keys, *tracked, eff)
+    top = (dated.withColumn("_rn", F.row_number().over(last_stmt)).filter(F.col("_rn") == 1)
+           .drop("_rn"))
+    # the losing statements as a multiset difference (partial counts per distinct row), so a
+    # hot (key, date) is never one collected group
+    superseded = dated.exceptAll(top)
+    b = top.select(*keys, *tracked, F.col(eff).alias(VF), F.lit(None).cast("date").alias("_old_to"),
+                   F.lit(None).cast("boolean").alias("_old_cur"), F.lit(1).alias("_src"))
     u = h.unionByName(b)
     by_key = Window.partitionBy(*keys)
     ordered = by_key.orderBy(vf, src, *[F.col(t) for t in tracked])
@@ -324,7 +328,7 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
     cols = [*keys, *tracked, F.col(VF).alias(eff)]
     outcomes = (
         batch.filter(F.col(eff).isNull()).select(*keys, *tracked, eff, F.lit(NULL_DATE).alias("outcome"))
-        .unionByName(ranked.filter(F.col("_rn") > 1).select(*keys, *tracked, eff, F.lit(SUPERSEDED).alias("outcome")))
+        .unionByName(superseded.withColumn("outcome", F.lit(SUPERSEDED)))
         .unionByName(early.filter(src == 1).select(*cols, F.when(F.col("_first").isNull(), F.lit(UNKNOWN_KEY))
                                                    .otherwise(F.lit(BEFORE_FIRST)).alias("outcome")))
         .unionByName(labelled.filter(src == 1).select(
