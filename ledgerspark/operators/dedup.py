@@ -23,13 +23,17 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 def dedup_latest(df: DataFrame, keys: Sequence[str] | str, order_col: str, ties: Sequence[str] = (),
                  null_keys: str = "keep") -> DataFrame:
-    """One row per key: the one with the greatest ``order_col``, then greatest ``ties``.
+    """One row per key: the one with the greatest ``order_col``, then greatest ``ties``, then a
+    deterministic hash of the row.
 
     null_keys: ``"keep"`` (all NULL-key rows survive) or ``"collapse"`` (they form one group,
     as a plain window would do).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [F.col(order_col).desc_nulls_last()] + [F.col(t).desc_nulls_last() for t in ties]
+    # a total order: remaining ties are broken by a hash of the whole row, so the survivor
+    # depends only on the data and a retried task picks the same row as the first attempt
+    order = ([F.col(order_col).desc_nulls_last()] + [F.col(t).desc_nulls_last() for t in ties]
+             + [F.xxhash64(*[F.col(c) for c in df.columns]).desc()])
     if null_keys == "collapse":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
