@@ -109,9 +109,9 @@ def _labelled(history: DataFrame, batch: DataFrame, keys: list[str], tracked: li
     u = _combined(history, batch, keys, tracked, eff)
     is_h = F.col("_is_b") == 0
     by_key = Window.partitionBy(*keys)
-    upto = by_key.orderBy("_d", "_is_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = by_key.orderBy("_d", "_is_b", VT, *tracked).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = u.withColumns({
-        "_c": F.first(F.when(is_h & F.col(CUR), _window_struct(tracked)), ignorenulls=True).over(by_key),
+        "_c": F.max(F.when(is_h & F.col(CUR), _window_struct(tracked))).over(by_key),
         "_l": F.last(F.when(is_h, _window_struct(tracked)), ignorenulls=True).over(upto)})
     return _with_outcome(u, keys, tracked, eff, null_safe)
 
@@ -128,10 +128,10 @@ def lookup_windows(history: DataFrame, points: DataFrame, keys: list[str], track
     h = history.select(*keys, *tracked, F.col(VF).alias("_d"), F.lit(0).alias("_is_b"), VF, VT, CUR)
     u = h.unionByName(points.withColumn("_is_b", F.lit(1)), allowMissingColumns=True)
     by_key = Window.partitionBy(*keys)
-    upto = by_key.orderBy("_d", "_is_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = by_key.orderBy("_d", "_is_b", VT, *tracked).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return u.select(
         *keys, "_d", "_is_b",
-        F.first(F.when(is_h & F.col(CUR), _window_struct(tracked)), ignorenulls=True).over(by_key).alias("_c"),
+        F.max(F.when(is_h & F.col(CUR), _window_struct(tracked))).over(by_key).alias("_c"),
         F.last(F.when(is_h, _window_struct(tracked)), ignorenulls=True).over(upto).alias("_l")
     ).filter(~is_h).drop("_is_b")
 
@@ -301,7 +301,7 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
                    F.lit(None).cast("boolean").alias("_old_cur"), F.lit(1).alias("_src"))
     u = h.unionByName(b)
     by_key = Window.partitionBy(*keys)
-    ordered = by_key.orderBy(vf, src, *[F.col(t) for t in tracked])
+    ordered = by_key.orderBy(vf, src, *[F.col(t) for t in tracked], "_old_to")
     u = u.withColumns({"_first": F.min(F.when(src == 0, vf)).over(by_key),
                        "_last_h": F.max(F.when(src == 0, vf)).over(by_key)})
     kept = (src == 0) | (F.col("_first").isNotNull() & (vf >= F.col("_first")))
@@ -349,7 +349,7 @@ def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, split
     keys = list(keys)
     if split_days is None:
         by_key = Window.partitionBy(*keys)
-        x = (history.withColumn("_next", F.lead(VF).over(by_key.orderBy(VF)))
+        x = (history.withColumn("_next", F.lead(VF).over(by_key.orderBy(VF, VT)))
              .withColumn("_ncur", F.sum(F.col(CUR).cast("int")).over(by_key)))
         last = F.col("_next").isNull()
         bad_current = F.count_if(last & (F.col("_ncur") != 1))
@@ -359,7 +359,8 @@ def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, split
         nxt = firsts.select(*keys, "_bk", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bk"))
                             .alias("_next_bk"))
         x = h.join(nxt, [*keys, "_bk"], "left").withColumn(
-            "_next", F.coalesce(F.lead(VF).over(Window.partitionBy(*keys, "_bk").orderBy(VF)), F.col("_next_bk")))
+            "_next", F.coalesce(F.lead(VF).over(Window.partitionBy(*keys, "_bk").orderBy(VF, VT)),
+                                F.col("_next_bk")))
         last = F.col("_next").isNull()
         per_key = history.groupBy(*keys).agg(F.count_if(F.col(CUR)).alias("_ncur"))
         bad_current = None
@@ -385,7 +386,7 @@ def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, split
 def trace(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, tracked: Sequence[str] = ACCOUNT_TRACKED) -> DataFrame:
     """Every key's windows in order, with a sequence number and the previous values."""
     keys, tracked = list(keys), list(tracked)
-    w = Window.partitionBy(*keys).orderBy(VF)
+    w = Window.partitionBy(*keys).orderBy(VF, VT, *tracked)
     return history.select(
         *keys, VF, VT, CUR, *tracked,
         F.row_number().over(w).alias("seq"),
