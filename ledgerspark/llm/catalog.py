@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import pii, quality
+from . import language, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_pii": pii.query,
+    "op7_simhash_near_dedup": simhash.query,
+    "op8_language_id": language.query,
     "op9_quality_rules": quality.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLE = {

@@ -8,7 +8,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Characters that separate words in every operator's contract: space, tab to carriage return.
@@ -54,7 +55,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.Record
     """Consecutive parts of a batch with at most ``limit`` bytes of text each (one row at least),
     so the working arrays of a task stay bounded however long the texts are."""
     at, size = 0, 0
-    lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+    lengths = pc.binary_length(batch.column(column)).to_pylist()
     for i, n in enumerate(lengths):
         if i > at and size + (n or 0) > limit:
             yield batch.slice(at, i - at)
@@ -75,7 +76,6 @@ def numbered(df: DataFrame, group: list[str], order: list[str], name: str, per_p
     part, first, here = "__part", "__first", "__here"
     split = df.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(max(1, -(-total // per_part)))))
     counts = split.groupBy(*group, part).agg(F.count(F.lit(1)).alias("__n"))
-    from pyspark.sql import Window
     before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*[F.col(c).alias(f"__g_{c}") for c in group], F.col(part).alias("__p"),
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(first))
@@ -100,7 +100,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         both = edge.select("u", "v").union(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         large = both.join(low, F.col("u") == F.col("k")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
         small_low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
         small = (large.join(small_low, F.col("u") == F.col("k"))
                  .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
