@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import language, pii, quality, simhash, toxicity
+from . import language, packing, pii, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_pii": pii.query,
+    "op4_packing": packing.query,
+    "op5_sharding": sharding.query,
     "op7_simhash_near_dedup": simhash.query,
     "op8_language_id": language.query,
     "op9_quality_rules": quality.query,

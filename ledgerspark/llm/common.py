@@ -65,16 +65,19 @@ def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.Record
         yield batch.slice(at)
 
 
-def numbered(df: DataFrame, group: list[str], order: list[str], name: str, per_part: int = 20_000) -> DataFrame:
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str, spread: Column | None = None,
+             rows: int | None = None, per_part: int = 20_000) -> DataFrame:
     """Add ``name``: 0, 1, 2, ... within each ``group``, without bringing a group into one task.
 
-    Rows are dealt by a hash of ``order`` into about one part per ``per_part`` rows, numbered
-    inside the part by ``order``, and shifted by the counts of the parts before it. ``order`` must
-    identify a row up to copies; rows equal in it get different numbers in either order.
+    Rows are dealt by ``spread`` (default: a hash of ``order``) into about one part per ``per_part``
+    rows, numbered inside the part by ``order``, and shifted by the counts of the parts before it,
+    a table of one row per part. ``order`` must identify a row up to copies; rows equal in it get
+    different numbers in either order. ``rows``: the number of rows, if known.
     """
-    total = df.count()
+    total = df.count() if rows is None else rows
     part, first, here = "__part", "__first", "__here"
-    split = df.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(max(1, -(-total // per_part)))))
+    dealt = F.xxhash64(*order) if spread is None else spread
+    split = df.withColumn(part, F.pmod(dealt, F.lit(max(1, -(-total // per_part)))))
     counts = split.groupBy(*group, part).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*[F.col(c).alias(f"__g_{c}") for c in group], F.col(part).alias("__p"),
