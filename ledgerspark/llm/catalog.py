@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import language, packing, pii, quality, sharding, simhash, toxicity
+from . import language, lines, packing, pii, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_pii": pii.query,
     "op4_packing": packing.query,
     "op5_sharding": sharding.query,
+    "op6_line_dedup": lines.query,
     "op7_simhash_near_dedup": simhash.query,
     "op8_language_id": language.query,
     "op9_quality_rules": quality.query,
@@ -16,5 +17,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_pii": pii.oracle_sql(),
+    "op6_line_dedup": lines.oracle_sql(),
     "op9_quality_rules": quality.oracle_sql(),
 }
