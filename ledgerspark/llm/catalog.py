@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import language, lines, packing, pii, quality, sharding, simhash, toxicity
+from . import decontamination, language, lines, packing, pii, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_pii": pii.query,
+    "op2_decontamination": decontamination.query,
     "op4_packing": packing.query,
     "op5_sharding": sharding.query,
     "op6_line_dedup": lines.query,

@@ -19,61 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .common import documents, slices
+from .tokens import Table, find, make_table
 
 ORDER = 3
 #: Rows of each language to learn from at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 400
 _CHUNK = 1 << 20
 _PAD = b"\n" * ORDER
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
-
-
-class Table(NamedTuple):
-    """Open addressing: ``keys`` by slot (all ones: empty) and the row of each."""
-    keys: np.ndarray
-    rows: np.ndarray
-    bits: int
-    reach: int
-
-
-_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
-def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
-    return ((keys * _SPREAD) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def make_table(keys: np.ndarray) -> Table:
-    bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
-    size = 1 << bits
-    slots, rows = np.full(size, _EMPTY), np.zeros(size, dtype=np.int32)
-    left, at, reach = np.arange(len(keys)), _slot(keys, bits), 0
-    while len(left):
-        free = slots[at] == _EMPTY
-        first = np.unique(at[free], return_index=True)[1]
-        took = np.flatnonzero(free)[first]
-        slots[at[took]], rows[at[took]] = keys[left[took]], left[took]
-        stay = np.ones(len(left), dtype=bool)
-        stay[took] = False
-        left, at, reach = left[stay], (at[stay] + 1) % size, reach + 1
-    return Table(slots, rows, bits, reach)
-
-
-def find(table: Table, keys: np.ndarray) -> np.ndarray:
-    """Row of each key, -1 if there is none."""
-    out = np.full(len(keys), -1, dtype=np.int32)
-    at, left = _slot(keys, table.bits), None
-    for step in range(table.reach):
-        here = table.keys[at]
-        same = here == (keys if left is None else keys[left])
-        index = np.flatnonzero(same) if left is None else left[same]
-        out[index] = table.rows[at[same]]
-        more = ~same & (here != _EMPTY)
-        left = np.flatnonzero(more) if left is None else left[more]
-        if not len(left):
-            break
-        at = (at[more] + 1) & ((1 << table.bits) - 1)
-    return out
 
 
 class Model(NamedTuple):
