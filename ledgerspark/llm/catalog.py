@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, language, lines, packing, pii, quality, sharding, simhash, toxicity
+from . import decontamination, language, lines, packing, pii, quality, sharding, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_pii": pii.query,
     "op2_decontamination": decontamination.query,
+    "op3_suffix_dedup": suffixes.query,
     "op4_packing": packing.query,
     "op5_sharding": sharding.query,
     "op6_line_dedup": lines.query,
