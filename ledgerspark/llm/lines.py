@@ -140,20 +140,22 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     """The input with its removed lines cut out of ``text`` (and ``n_chars`` counted anew where
     there is such a column). Lines without a word stay. A text that loses its last line with a word
     goes with its row, unless ``drop_emptied`` is false; null, empty and blank texts stay as they are."""
-    th, whole = fresh(docs, "th"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    hashed, id_, th, n, gone = (fresh(docs, x) for x in ("hashed", "id", "th", "n", "gone"))
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     found = removals(docs, id_column, text).filter(F.size("gone") > 0).select(
-        F.col("id").alias("__id"), F.col("th").alias("__t"), F.col("n_lines").alias("__n"), F.col("gone").alias("__gone"))
-    out = docs.withColumn(th, F.xxhash64(whole)).join(found, F.col(f"`{id_column}`").eqNullSafe(F.col("__id")) & (F.col(th) == F.col("__t")), "left")
+        F.col("id").alias(id_), F.col("th").alias(th), F.col("n_lines").alias(n), F.col("gone").alias(gone))
+    same_row = F.col(f"`{id_column}`").eqNullSafe(F.col(id_)) & (F.col(hashed) == F.col(th))
+    out = docs.withColumn(hashed, F.xxhash64(whole)).join(found, same_row, "left")
     if drop_emptied:
-        out = out.filter(F.coalesce(F.size("__gone") < F.col("__n"), F.lit(True)))
+        out = out.filter(F.coalesce(F.size(gone) < F.col(n), F.lit(True)))
     # Numbers of the kept lines; array_except works by hash, so many removals stay cheap.
     pieces = F.split(whole, "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col("__gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col(gone))
     left = F.array_join(F.transform(F.arrays_zip(F.array(pieces).alias("p"), F.array(kept).alias("k")),
                                     lambda z: F.array_join(F.transform(z.k, lambda i: F.get(z.p, i)), "\n")), "")
-    out = out.withColumn(text, F.when(F.col("__gone").isNotNull(), left).otherwise(F.col(f"`{text}`")))
+    out = out.withColumn(text, F.when(F.col(gone).isNotNull(), left).otherwise(F.col(f"`{text}`")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__gone").isNotNull(), F.length(F.col(f"`{text}`")))
+        out = out.withColumn("n_chars", F.when(F.col(gone).isNotNull(), F.length(F.col(f"`{text}`")))
                              .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*[f"`{c}`" for c in docs.columns])
 

@@ -150,13 +150,13 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", r
     """One row of every group of near-duplicates stays: the one with the smallest id (null ids come
     last; then the smallest hash of the text; one of identical rows). All columns are kept."""
     marked = durable(fingerprints(docs, id_column, text), "simhash-fingerprints")
+    hashed, rank, id_, th = (fresh(docs, x) for x in ("hashed", "rank", "id", "th"))
     first = (_grouped(marked, radius).groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "th")).alias("f"))
-             .select(F.col("f.id").alias("__id"), F.col("f.th").alias("__th")))
-    th, rank = fresh(docs, "th"), fresh(docs, "rank")
-    hashed = docs.withColumn(th, _text_hash(text))
-    kept = hashed.join(first, F.col(f"`{id_column}`").eqNullSafe(F.col("__id")) & (F.col(th) == F.col("__th")), "left_semi")
-    same = Window.partitionBy(f"`{id_column}`", th).orderBy(th)
-    return kept.withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).drop(rank, th)
+             .select(F.col("f.id").alias(id_), F.col("f.th").alias(th)))
+    same_row = F.col(f"`{id_column}`").eqNullSafe(F.col(id_)) & (F.col(hashed) == F.col(th))
+    kept = docs.withColumn(hashed, _text_hash(text)).join(first, same_row, "left_semi")
+    copies = Window.partitionBy(f"`{id_column}`", hashed).orderBy(hashed)
+    return kept.withColumn(rank, F.row_number().over(copies)).filter(F.col(rank) == 1).drop(rank, hashed)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

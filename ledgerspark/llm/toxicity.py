@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import documents, durable, slices
+from .common import documents, durable, fresh, slices
 from .tokens import mix, words
 
 #: Lengths in bytes of the word beginnings that count as features beside the whole word.
@@ -118,27 +119,34 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column, s: Settings = Settin
     return weights, float(w[at < 0].sum())
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, score) of every row. A feature counts once in a text, however often it occurs, and
-    texts are scored whole; null and empty texts get the bias alone."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], id_column: str = "doc_id", text: str = "text",
+          carry: bool = False) -> DataFrame:
+    """(id, score) of every row, or with ``carry`` all columns and ``score``. A feature counts once
+    in a text, however often it occurs, and texts are scored whole; null and empty texts get the
+    bias alone."""
     weights, bias = model
     bits = int(np.log2(len(weights)))
     kept = np.flatnonzero(weights)
-    values, ids = weights[kept], docs.schema[id_column].dataType.simpleString()
+    values = weights[kept]
+    name = fresh(docs, "score") if carry else "score"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << bits)
         table[kept] = values
         for batch in batches:
-            for part in slices(batch, "text", _CHUNK):
-                doc, coord = features(part.column("text").fill_null(""), bits)
+            for part in slices(batch, text, _CHUNK):
+                doc, coord = features(part.column(text).fill_null(""), bits)
                 hit = table[coord] != 0
                 doc, coord = _distinct(doc[hit], coord[hit], bits)
                 total = np.bincount(doc, weights=table[coord], minlength=part.num_rows) + bias
-                yield pa.record_batch({"id": part.column("id"), "score": 1 / (1 + np.exp(-np.clip(total, -30, 30)))})
+                found = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+                columns = dict(zip(part.schema.names, part.columns)) if carry else {id_column: part.column(id_column)}
+                yield pa.record_batch(columns | {name: pa.array(found)})
 
-    return (docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-            .mapInArrow(run, f"id {ids}, score double").withColumnRenamed("id", id_column))
+    used = docs.withColumn(text, F.col(f"`{text}`").cast("string")) if carry else docs.select(
+        F.col(f"`{id_column}`"), F.col(f"`{text}`").cast("string").alias(text))
+    shape = used.schema if carry else used.select(F.col(f"`{id_column}`")).schema
+    return used.mapInArrow(run, StructType([*shape.fields, StructField(name, DoubleType())]))
 
 
 def held_out(column: str = "doc_id") -> Column:
@@ -151,6 +159,14 @@ def toxic_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return score(docs, fit(docs, labels, ~held_out()))
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows of ``docs`` that score below one half, with all their columns; the texts stay where
+    they are, no join brings the scores back."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    scored = score(docs, fit(docs, labels, ~held_out()), carry=True)
+    return scored.filter(F.col(scored.columns[-1]) < 0.5).select(*[f"`{c}`" for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: score of every whole text of ``documents``."""
     docs = documents(spark, sf_dir)
