@@ -1,9 +1,8 @@
 """Set-level quality checks as Spark aggregates.
 
-A suite is ONE pass: row checks (``count_if`` per check) and the uniqueness checks of one key
-column are partial counts per key, summed once and turned into one row per check with
-``inline``; map-side combine means a hot key costs one partial row per task, never a
-collected group. Uniqueness on a further column adds one keyed pass. Results are small DataFrames:
+A suite is one global aggregate for all row checks (``count_if`` per check) and one key-only pass
+per column with a uniqueness check: partial counts per key, summed once; map-side combine means
+a hot key costs one partial row per task, never a collected group. Results are small DataFrames:
 ``check_name, column_name, unexpected_count, success``.
 """
 
@@ -120,41 +119,26 @@ def _result(name: str, column: str, unexpected: Column) -> list[Column]:
 def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check: check_name, column_name, unexpected_count, success.
 
-    Row checks and the uniqueness checks of the first keyed column share ONE keyed aggregate:
-    per key a row count and the per-check failure counts (partial aggregation on every
-    executor, so a hot key is one partial row per task), then one global sum. Uniqueness checks
-    on further columns add one keyed pass each. Without uniqueness checks it is one global
-    aggregate.
+    All row checks and NULL counts are one global aggregate, which shuffles one row per task.
+    Each column with a uniqueness check adds one pass that reads and shuffles that column alone.
     """
-    row_checks = [c for c in checks if c.kind == "row"]
-    keyed = [c for c in checks if c.kind in ("unique", "primary_key")]
     if any(c.kind not in ("row", "unique", "primary_key") for c in checks):
         raise ValueError("unknown check kind")
-    fold = keyed[0].column if keyed else None
-    counts = [F.count_if(c.condition()).alias(f"_f{i}") for i, c in enumerate(row_checks)]
-    if fold is None:
-        wide = df.agg(*counts) if counts else None
-    else:
-        per_key = df.groupBy(fold).agg(F.count(F.lit(1)).alias("_n"), *counts)
-        null_key = F.col(fold).isNull()
-        wide = per_key.agg(*[F.coalesce(F.sum(f"_f{i}"), F.lit(0)).alias(f"_f{i}") for i in range(len(row_checks))],
-                           F.coalesce(F.sum(F.when(~null_key & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("_dup"),
-                           F.coalesce(F.sum(F.when(null_key, F.col("_n"))), F.lit(0)).alias("_nulls"))
-    structs = [F.struct(*_result(c.name, c.column, F.col(f"_f{i}"))) for i, c in enumerate(row_checks)]
-    rest = []
-    for c in keyed:
-        if c.column == fold:
-            bad = F.col("_dup") + (F.col("_nulls") if c.kind == "primary_key" else F.lit(0))
-            structs.append(F.struct(*_result(c.name, c.column, bad)))
-        else:
-            rest.append(c)
-    parts = [wide.select(F.inline(F.array(*structs)))] if structs else []
-    for c in rest:
-        dups = _dup_rows(df, c.column).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_u"))
-        if c.kind == "primary_key":
-            nulls = df.agg(F.count_if(F.col(c.column).isNull()).alias("_z"))
-            dups = dups.unionByName(nulls.withColumnRenamed("_z", "_u")).agg(F.sum("_u").alias("_u"))
-        parts.append(dups.select(*_result(c.name, c.column, F.col("_u"))))
+    row_checks = [c for c in checks if c.kind == "row"]
+    parts = []
+    if row_checks:
+        wide = df.agg(*[F.count_if(c.condition()).alias(f"_f{i}") for i, c in enumerate(row_checks)])
+        parts.append(wide.select(F.inline(F.array(*[F.struct(*_result(c.name, c.column, F.col(f"_f{i}")))
+                                                    for i, c in enumerate(row_checks)]))))
+    for column in dict.fromkeys(c.column for c in checks if c.kind != "row"):
+        # copies of repeated values, and NULLs (the group of the NULL key), counted apart
+        n, null = F.col("_n"), F.col(column).isNull()
+        counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.coalesce(F.sum(F.when(~null & (n > 1), n)), F.lit(0)).alias("_dup"),
+            F.coalesce(F.sum(F.when(null, n)), F.lit(0)).alias("_nulls"))
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(*_result(c.name, c.column, F.col("_dup") + (F.col("_nulls") if c.kind == "primary_key" else F.lit(0))))
+            for c in checks if c.kind != "row" and c.column == column]))))
     res = reduce(DataFrame.unionByName, parts)
     return res.withColumn("success", F.col("unexpected_count") == 0)
 
@@ -230,8 +214,12 @@ def test_unique(df: DataFrame, model: str, col: str) -> DataFrame:
     return _test_row("unique", model, col, _dup_rows(df, col).agg(F.count(F.lit(1)).alias("_x")))
 
 
-def test_not_null(df: DataFrame, model: str, col: str) -> DataFrame:
-    return _test_row("not_null", model, col, df.agg(F.count_if(F.col(col).isNull()).alias("_x")))
+def test_not_null(df: DataFrame, model: str, *cols: str) -> DataFrame:
+    """NULLs of each column; one pass over the model for all of them."""
+    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit("not_null").alias("test_name"), F.lit(model).alias("model"), F.lit(c).alias("column_name"),
+                 F.col(c).cast("bigint").alias("failures")) for c in cols])))
 
 
 def test_accepted_values(df: DataFrame, model: str, col: str, values: Sequence) -> DataFrame:

@@ -30,10 +30,11 @@ def dedup_latest(df: DataFrame, keys: Sequence[str] | str, order_col: str, ties:
     as a plain window would do).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    # a total order: remaining ties are broken by a hash of the whole row, so the survivor
-    # depends only on the data and a retried task picks the same row as the first attempt
+    # a total order: remaining ties are broken by a hash of the whole row (values and which of
+    # them are NULL, since the hash skips NULLs), so the survivor depends only on the data and a
+    # retried task picks the same row as the first attempt
     order = ([F.col(order_col).desc_nulls_last()] + [F.col(t).desc_nulls_last() for t in ties]
-             + [F.xxhash64(*[F.col(c) for c in df.columns]).desc()])
+             + [F.xxhash64(*[x for c in df.columns for x in (F.col(c), F.col(c).isNull())]).desc()])
     if null_keys == "collapse":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -49,17 +49,29 @@ def metrics(tagged: DataFrame, by: str | Sequence[str] | None = None, out: str =
     return res.withColumn("rejection_rate", rejection_rate(F.col("dead"), F.col("total")))
 
 
-def batch_metrics(valid: DataFrame, dead: DataFrame, ids: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Metrics of one delivery by its ids (left-semi form): one semi join over both routes.
-
-    A NULL id never matches, so NULL-key rejects are not attributed to the batch.
-    """
-    both = (valid.select(key, F.lit(False).alias("_dead"))
-            .unionByName(dead.select(key, F.lit(True).alias("_dead"))))
-    hit = both.join(ids.select(key), key, "left_semi")
-    res = hit.agg(F.count_if(~F.col("_dead")).alias("valid"), F.count_if(F.col("_dead")).alias("dead"))
-    res = res.withColumn("total", F.col("valid") + F.col("dead"))
-    return res.select("total", "valid", "dead", rejection_rate(F.col("dead"), F.col("total")).alias("rejection_rate"))
+def of_delivery(tagged: DataFrame, ids: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """The tagged rows whose key a delivery holds: one semi join over both routes. A NULL key never
+    matches, so NULL-key rejects are not attributed to a delivery."""
+    return tagged.join(ids.select(key), key, "left_semi")
+
+
+def batch_metrics(tagged: DataFrame, ids: DataFrame, key: str = "transaction_id", out: str = REASON_COL) -> DataFrame:
+    """Metrics of one delivery by its ids."""
+    return metrics(of_delivery(tagged.select(key, out), ids, key), out=out)
+
+
+def compare_deliveries(tagged: DataFrame, ids: DataFrame, label: str, key: str = "transaction_id",
+                       out: str = REASON_COL) -> DataFrame:
+    """Metrics of several deliveries by their landing ids (``ids``: key and ``label``). A record
+    sent in two deliveries counts in both, whichever copy was kept; within one it counts once."""
+    sent = ids.select(key, label).filter(F.col(key).isNotNull()).distinct()
+    return metrics(tagged.select(key, out).join(sent, key), label, out)
+
+
+def failed_rules(df: DataFrame, rules: Sequence[Rule], out: str = "failed_rules") -> DataFrame:
+    """Add the number of rules a row breaks."""
+    hits = [F.coalesce(r.condition(), F.lit(False)).cast("int") for r in rules]
+    return df.withColumn(out, sum(hits, F.lit(0)))
 
 
 def reason_breakdown(dead: DataFrame, out: str = REASON_COL) -> DataFrame:

@@ -11,13 +11,15 @@ Two merge modes, both pure DataFrame transforms (history in, new history out):
   target twice (a MERGE cardinality violation) are detected before applying and left out
   (``ambiguous_match``), or raise with ``on_ambiguous="raise"``.
 * ``timeline`` unions history and batch change points per key, drops no-op changes and
-  recomputes every ``valid_to`` with ``lead``: one shuffle, several changes per key allowed.
+  recomputes every ``valid_to`` with ``lead``: several changes per key are allowed.
+
+Rows with a NULL key match nothing (as in an equi join): batch rows get ``unknown_key``, history
+rows pass through. They never enter a window.
 
 Partition sizes: a sound history has at most one window start per key and day, so per-key
-work over history is bounded by the number of distinct dates. Batch rows are not bounded
-per key. The strict merge's ``hot_keys="lookup"`` labels distinct (key, date) points instead
-of whole key partitions, and the timeline merge keeps only the last statement per (key, date)
-(a partial top-1) before its key-wide window.
+work over history is bounded by the number of distinct dates. Batch rows are not bounded per
+key, so they are first reduced to distinct (key, date) points by a partial aggregate; the rows
+themselves only meet equi joins and partial counts, which a hot key cannot overload.
 """
 
 from __future__ import annotations
@@ -65,6 +67,10 @@ def _differs(a: Sequence[Column], b: Sequence[Column], null_safe: bool) -> Colum
     return reduce(lambda p, q: p | q, parts)
 
 
+def _known(keys: Sequence[str]) -> Column:
+    return reduce(lambda p, q: p & q, [F.col(k).isNotNull() for k in keys])
+
+
 def initial_history(df: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, tracked: Sequence[str] = ACCOUNT_TRACKED,
                     eff: str = "effective_date") -> DataFrame:
     """Every row opens a current window from its effective date."""
@@ -79,41 +85,20 @@ def _window_struct(tracked: Sequence[str]) -> Column:
     return F.struct(F.col(VF).alias("vf"), F.col(VT).alias("vt"), *[F.col(t).alias(t) for t in tracked])
 
 
-def _combined(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str) -> DataFrame:
-    h = history.select(*keys, *tracked, F.col(VF).alias("_d"), F.lit(0).alias("_is_b"), VF, VT, CUR)
-    b = batch.select(*keys, *tracked, F.col(eff).alias("_d"), F.lit(1).alias("_is_b"), eff)
-    return h.unionByName(b, allowMissingColumns=True)  # typed NULLs fill the other side's columns
-
-
-def _with_outcome(u: DataFrame, keys: list[str], tracked: list[str], eff: str, null_safe: bool) -> DataFrame:
-    """Outcome and compared window of every batch row, from ``_c`` (current window of the key)
-    and ``_l`` (last history window starting on or before the row's date)."""
+def _with_outcome(b: DataFrame, keys: list[str], tracked: list[str], eff: str, null_safe: bool) -> DataFrame:
+    """Outcome and compared window (``_w``) of every batch row, from ``_c`` (current window of the
+    key) and ``_l`` (last history window starting on or before the row's date)."""
     e, c, lw = F.col(eff), F.col("_c"), F.col("_l")
     vs_c = _differs([F.col(t) for t in tracked], [c[t] for t in tracked], null_safe)
     vs_l = _differs([F.col(t) for t in tracked], [lw[t] for t in tracked], null_safe)
-    outcome = F.when(F.col("_is_b") == 1, (
+    outcome = (
         F.when(e.isNull(), F.lit(NULL_DATE))
         .when(c.isNull(), F.lit(UNKNOWN_KEY))
         .when(e >= c["vf"], F.when(vs_c, F.lit(FORWARD)).otherwise(F.lit(NO_OP)))
         .when(lw.isNull() | (e >= lw["vt"]), F.lit(BEFORE_FIRST))
-        .when(vs_l, F.lit(LATE_SPLIT)).otherwise(F.lit(LATE_NO_OP))))
+        .when(vs_l, F.lit(LATE_SPLIT)).otherwise(F.lit(LATE_NO_OP)))
     window = F.when(outcome.isin(FORWARD, NO_OP), c).when(outcome.isin(LATE_SPLIT, LATE_NO_OP), lw)
-    return u.select(*keys, *tracked, "_d", "_is_b", VF, VT, CUR, eff, outcome.alias("outcome"), window.alias("_w"))
-
-
-def _labelled(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str,
-              null_safe: bool) -> DataFrame:
-    """History rows and batch rows in one frame, partitioned by key; every batch row carries
-    its outcome and the window it is compared with (``_w``: the current window for on-time
-    rows, the window holding ``eff`` for late ones). One shuffle; no range join."""
-    u = _combined(history, batch, keys, tracked, eff)
-    is_h = F.col("_is_b") == 0
-    by_key = Window.partitionBy(*keys)
-    upto = by_key.orderBy("_d", "_is_b", VT, *tracked).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    u = u.withColumns({
-        "_c": F.max(F.when(is_h & F.col(CUR), _window_struct(tracked))).over(by_key),
-        "_l": F.last(F.when(is_h, _window_struct(tracked)), ignorenulls=True).over(upto)})
-    return _with_outcome(u, keys, tracked, eff, null_safe)
+    return b.select(*keys, *tracked, eff, outcome.alias("outcome"), window.alias("_w"))
 
 
 def lookup_windows(history: DataFrame, points: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
@@ -136,19 +121,18 @@ def lookup_windows(history: DataFrame, points: DataFrame, keys: list[str], track
     ).filter(~is_h).drop("_is_b")
 
 
-def _labelled_lookup(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str,
-                     null_safe: bool) -> DataFrame:
-    """Same result as ``_labelled`` without a key-wide partition over batch rows: the batch is
-    reduced to distinct (key, date) points (partial aggregation), the points are labelled
-    against history, and batch rows get their labels by an equi join on (key, date), which AQE
-    can split when one (key, date) is hot."""
-    points = batch.select(*keys, F.col(eff).alias("_d")).filter(F.col("_d").isNotNull()).distinct()
-    look = lookup_windows(history, points, keys, tracked).withColumnRenamed("_d", eff)
-    labelled = (batch.select(*keys, *tracked, eff).join(look, [*keys, eff], "left")
-                .withColumns({"_d": F.col(eff), "_is_b": F.lit(1)}))
-    h = history.select(*keys, *tracked, F.col(VF).alias("_d"), F.lit(0).alias("_is_b"), VF, VT, CUR)
-    u = h.unionByName(labelled, allowMissingColumns=True)
-    return _with_outcome(u, keys, tracked, eff, null_safe)
+def _labelled(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], eff: str,
+              null_safe: bool) -> DataFrame:
+    """Every batch row with its outcome and the window it is compared with (``_w``: the current
+    window for on-time rows, the window holding ``eff`` for late ones).
+
+    The batch is reduced to distinct (key, date) points, the points are labelled against history,
+    and the rows get their labels by an equi join on (key, date), which AQE can split when one
+    (key, date) is hot. No range join, and no key-wide partition over batch rows."""
+    points = batch.filter(_known(keys) & F.col(eff).isNotNull()).select(*keys, F.col(eff).alias("_d")).distinct()
+    look = lookup_windows(history.filter(_known(keys)), points, keys, tracked).withColumnRenamed("_d", eff)
+    labelled = batch.select(*keys, *tracked, eff).join(look, [*keys, eff], "left")
+    return _with_outcome(labelled, keys, tracked, eff, null_safe)
 
 
 def classify(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
@@ -157,117 +141,68 @@ def classify(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT
     """Every batch row with its outcome and compared window (``_w_from``, ``_w_to``,
     ``_w_<col>``), against one version of the history."""
     keys, tracked = list(keys), list(tracked)
-    x = _labelled(history, batch, keys, tracked, eff, null_safe).filter(F.col("_is_b") == 1)
+    x = _labelled(history, batch, keys, tracked, eff, null_safe)
     return x.select(*keys, *tracked, eff, "outcome", F.col("_w.vf").alias("_w_from"), F.col("_w.vt").alias("_w_to"),
                     *[F.col(f"_w.{t}").alias(f"_w_{t}") for t in tracked])
 
 
 def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
           tracked: Sequence[str] = ACCOUNT_TRACKED, eff: str = "effective_date", mode: str = "strict",
-          null_safe: bool = False, on_ambiguous: str = "skip", hot_keys: str = "window") -> MergeResult:
+          null_safe: bool = False, on_ambiguous: str = "skip", order_col: str | None = None) -> MergeResult:
     """Apply one batch of dated states to a history. See the module docstring.
 
-    ``hot_keys`` (strict mode): ``"window"`` keeps every key's history and batch rows in one
-    window partition (one shuffle). ``"lookup"`` labels distinct (key, date) points of the batch
-    against history and joins the labels back on (key, date); ambiguity counts become partial
-    aggregates and the MERGE a full outer join on ``(keys, valid_from)``, unique on both sides.
-    No partition then grows with the rows of one key (a history shuffle more).
-
-    Strict mode as one partitioned pass: label batch rows, expand each applied change into a
-    shrink (match key: the compared window's start) and an insert (match key: ``eff``), count
-    staged rows per match key, flag the batch rows owning a key staged twice, then apply the
-    MERGE per ``(keys, valid_from)`` group. Every window is partitioned by a superset of the
-    keys, so the whole merge needs the single shuffle of ``_labelled``.
+    Strict mode: label the batch rows, expand each change into a shrink (match key: the compared
+    window's start) and an insert (match key: ``eff``), and count staged rows per match key with a
+    partial aggregate. A change whose match key is staged twice is ambiguous and left out; after
+    that a ``(keys, valid_from)`` holds at most one staged row, and the MERGE is a full outer join
+    of history with the staged rows on it. History is read twice (labels, MERGE); only staged rows
+    take part in the counts. ``order_col`` belongs to the timeline mode.
     """
     if mode == "timeline":
-        return merge_timeline(history, batch, keys, tracked, eff, null_safe)
+        return merge_timeline(history, batch, keys, tracked, eff, null_safe, order_col)
     if mode != "strict":
         raise ValueError("mode must be 'strict' or 'timeline'")
     if on_ambiguous not in ("skip", "raise"):
         raise ValueError("on_ambiguous must be 'skip' or 'raise'")
     keys, tracked = list(keys), list(tracked)
-    if hot_keys not in ("window", "lookup"):
-        raise ValueError("hot_keys must be 'window' or 'lookup'")
-    if hot_keys == "window":
-        x = _labelled(history, batch, keys, tracked, eff, null_safe)
-    else:
-        x = _labelled_lookup(history, batch, keys, tracked, eff, null_safe)
+    x = _labelled(history, batch, keys, tracked, eff, null_safe)
     e, w, o = F.col(eff), F.col("_w"), F.col("outcome")
-    no = F.lit(False)  # ``when(no, c)`` is a NULL typed like ``c`` (no schema lookup)
+    change = x.filter(o.isin(FORWARD, LATE_SPLIT))
+    # the two match keys of a change: the window it shrinks and its own date
+    match = change.select(*keys, F.explode(F.array(w["vf"], e)).alias(VF))
+    twice = (match.groupBy(*keys, VF).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
+
+    def flagged(df: DataFrame, on: Column, flag: str) -> DataFrame:
+        side = twice.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col(VF).alias("_t_vf"), F.lit(True).alias(flag))
+        same = reduce(lambda p, q: p & q, [F.col(k) == F.col(f"_t_{k}") for k in keys])
+        return df.join(side, same & (on == F.col("_t_vf")), "left").drop(*[f"_t_{k}" for k in keys], "_t_vf")
 
-    def item(kind: str, vf: Column, vt: Column, cur: Column, values: bool) -> Column:
-        vals = [(F.col(t) if values else F.when(no, F.col(t))).alias(t) for t in tracked]
-        return F.struct(F.lit(kind).alias("_kind"), vf.alias("_vf"), vt.alias("_vt"),
-                        cur.cast("boolean").alias("_cur"), *vals)
-
-    items = (F.when(F.col("_is_b") == 0, F.array(item("target", F.col(VF), F.col(VT), F.col(CUR), True)))
-             .when(o == FORWARD, F.array(item("shrink", w["vf"], e, F.lit(False), False),
-                                         item("insert", e, open_end(), F.lit(True), True)))
-             .when(o == LATE_SPLIT, F.array(item("shrink", w["vf"], e, F.lit(False), False),
-                                            item("insert", e, w["vt"], F.lit(False), True)))
-             .otherwise(F.array(item("none", F.when(no, F.col(VF)), F.when(no, F.col(VT)), F.lit(None), True))))
-    src = F.when(F.col("_is_b") == 1, F.struct(*[F.col(c) for c in [*keys, *tracked, eff]]))
     applied = o.isin(FORWARD, LATE_SPLIT)
-    # the two match keys of an applied change: the window it shrinks and its own date
-    y = x.select(*keys, eff, "outcome", src.alias("_src"), *[F.col(t).alias(f"_b_{t}") for t in tracked],
-                 F.when(applied, w["vf"]).alias("_m1"), F.when(applied, e).alias("_m2"), F.inline(items))
-
-    staged = F.col("_kind").isin("shrink", "insert")
-    target = F.col("_kind") == "target"
-    if hot_keys == "window":
-        by_match = Window.partitionBy(*keys, "_vf")
-        by_src = Window.partitionBy(*keys, "_src")
-        y = y.withColumn("_n", F.count(F.when(staged, 1)).over(by_match))
-        y = y.withColumn("_bad", F.coalesce(F.max(staged & (F.col("_n") > 1)).over(by_src), F.lit(False)))
-        ok = staged & ~F.col("_bad")
-        y = y.withColumns({
-            "_upd": F.max(F.when(ok, F.struct(F.col("_vt").alias("vt"), F.col("_cur").alias("cur")))).over(by_match),
-            "_has_t": F.max(target).over(by_match)})
-        upd = F.col("_upd")
-        inserted = ok & ~F.coalesce(F.col("_has_t"), F.lit(False))
-        out = y.filter(target | inserted).select(
-            *keys, *tracked, F.col("_vf").alias(VF),
-            F.when(target & upd.isNotNull(), upd["vt"]).otherwise(F.col("_vt")).alias(VT),
-            F.when(target & upd.isNotNull(), upd["cur"]).otherwise(F.col("_cur")).alias(CUR),
-            (inserted | (target & upd.isNotNull())).alias("_written"))
-    else:
-        # ambiguity by aggregation: staged rows per match key (partial counts, skew-safe), joined
-        # back on both match keys of every change; no grouping by source row
-        counts = y.filter(staged).groupBy(*keys, "_vf").agg(F.count(F.lit(1)).alias("_n"))
-        for i in (1, 2):
-            ci = counts.select(*[F.col(k).alias(f"_c{i}_{k}") for k in keys], F.col("_vf").alias(f"_c{i}_vf"),
-                               F.col("_n").alias(f"_n{i}"))
-            cond = reduce(lambda p, q: p & q, [F.col(k) == F.col(f"_c{i}_{k}") for k in keys])
-            y = y.join(ci, cond & (F.col(f"_m{i}") == F.col(f"_c{i}_vf")), "left").drop(
-                *[f"_c{i}_{k}" for k in keys], f"_c{i}_vf")
-        y = y.withColumn("_bad", F.coalesce((F.col("_n1") > 1) | (F.col("_n2") > 1), F.lit(False)))
-        ok = staged & ~F.col("_bad")
-        # after dropping ambiguous changes a (key, valid_from) holds at most one target and one
-        # change, so this window never grows with a hot key
-        z = y.filter(target | ok)
-        by_match = Window.partitionBy(*keys, "_vf")
-        z = z.withColumns({
-            "_upd": F.max(F.when(ok, F.struct(F.col("_vt").alias("vt"), F.col("_cur").alias("cur")))).over(by_match),
-            "_has_t": F.max(target).over(by_match)})
-        upd = F.col("_upd")
-        inserted = ok & ~F.coalesce(F.col("_has_t"), F.lit(False))
-        out = z.filter(target | inserted).select(
-            *keys, *tracked, F.col("_vf").alias(VF),
-            F.when(target & upd.isNotNull(), upd["vt"]).otherwise(F.col("_vt")).alias(VT),
-            F.when(target & upd.isNotNull(), upd["cur"]).otherwise(F.col("_cur")).alias(CUR),
-            (inserted | (target & upd.isNotNull())).alias("_written"))
+    y = x.withColumns({"_m1": F.when(applied, w["vf"]), "_m2": F.when(applied, e)})
+    y = flagged(flagged(y, F.col("_m1"), "_b1"), F.col("_m2"), "_b2")
+    y = y.withColumn("_bad", F.coalesce("_b1", "_b2", F.lit(False)))
     if on_ambiguous == "raise":
-        n = y.filter(F.col("_bad") & (F.col("_kind") == "shrink")).count()
+        n = y.filter("_bad").count()
         if n:
             raise MergeCardinalityError(f"{n} batch rows match a history row more than once")
-    new_history = out.drop("_written")
-    changes = out.filter(F.col("_written")).drop("_written")
-    outcomes = y.filter(F.col("_kind").isin("shrink", "none")).select(
-        *keys, *[F.col(f"_b_{t}").alias(t) for t in tracked], eff,
-        F.when(F.col("_bad"), F.lit(AMBIGUOUS)).otherwise(o).alias("outcome"))
-    staged_rows = y.filter(ok).select(*keys, F.col("_vf").alias(VF), *tracked, F.col("_vt").alias(VT),
-                                      F.col("_cur").alias(CUR), "_kind")
-    return MergeResult(new_history, outcomes, staged_rows, changes, out)
+
+    def item(kind: str, vf: Column, vt: Column, cur: Column, values: bool) -> Column:
+        vals = [(F.col(t) if values else F.when(F.lit(False), F.col(t))).alias(t) for t in tracked]
+        return F.struct(vf.alias(VF), *vals, vt.alias(VT), cur.alias(CUR), F.lit(kind).alias("_kind"))
+
+    late = o == LATE_SPLIT
+    items = F.array(item("shrink", w["vf"], e, F.lit(False), False),
+                    item("insert", e, F.when(late, w["vt"]).otherwise(open_end()), ~late, True))
+    staged = y.filter(applied & ~F.col("_bad")).select(*keys, F.inline(items))
+    right = staged.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, VF, *tracked, VT, CUR]], F.lit(True).alias("_hit"))
+    left = history.select(*keys, *tracked, VF, VT, CUR, F.lit(True).alias("_old"))
+    on = reduce(lambda p, q: p & q, [F.col(c) == F.col(f"_s_{c}") for c in [*keys, VF]])
+    old, hit = F.col("_old").isNotNull(), F.col("_hit").isNotNull()
+    out = left.join(right, on, "full").select(
+        *[F.when(old, F.col(c)).otherwise(F.col(f"_s_{c}")).alias(c) for c in [*keys, *tracked, VF]],
+        *[F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in (VT, CUR)], hit.alias("_written"))
+    outcomes = y.select(*keys, *tracked, eff, F.when(F.col("_bad"), F.lit(AMBIGUOUS)).otherwise(o).alias("outcome"))
+    return MergeResult(out.drop("_written"), outcomes, staged, out.filter("_written").drop("_written"), out)
 
 
 SUPERSEDED, SAME_DAY = "superseded_same_day", "same_day_replace"
@@ -275,28 +210,39 @@ SUPERSEDED, SAME_DAY = "superseded_same_day", "same_day_replace"
 
 def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
                    tracked: Sequence[str] = ACCOUNT_TRACKED, eff: str = "effective_date",
-                   null_safe: bool = False) -> MergeResult:
-    """Timeline merge: history and batch change points ordered per key, one shuffle.
-
-    A batch row is dropped when its key has no history, when it predates the key's first
-    window or has no date, and when its values equal the state just before it. At equal
-    dates the last statement wins and a batch row replaces the history row. ``valid_to`` is
-    the next start. Outcomes: the strict labels plus ``superseded_same_day`` (a later
-    statement of the same key and date won) and ``same_day_replace``.
+                   null_safe: bool = False, order_col: str | None = None) -> MergeResult:
+    """Timeline merge: history and batch change points ordered per key, one key-wide window.
+
+    A batch row is dropped when its key has no history, when it predates the key's first window or
+    has no date, and when its values equal the state just before it. A batch row replaces the
+    history row of its date; that window stays, with the new values, even when they equal the state
+    before it: a merge never deletes a window, so the change log always tells the same story.
+    ``valid_to`` is the next start.
+
+    Several statements of one key and date: with ``order_col`` (a column of the batch) the one with
+    the greatest value wins, the others are ``superseded_same_day``. Statements that differ and
+    share that greatest value, or have no ``order_col`` to tell them apart, are all
+    ``ambiguous_match`` and none is applied. Copies of the winner count as superseded.
     """
     keys, tracked = list(keys), list(tracked)
     src, vf = F.col("_src"), F.col(VF)
-    h = history.select(*keys, *tracked, VF, F.col(VT).alias("_old_to"), F.col(CUR).alias("_old_cur"),
-                       F.lit(0).alias("_src"))
-    # only the last statement of a (key, date) can survive, so keep it before the key-wide
-    # window: a partial top-1 (WindowGroupLimit) bounds every key to its number of distinct dates
-    last_stmt = Window.partitionBy(*keys, eff).orderBy(*[F.col(t).desc_nulls_last() for t in tracked])
-    dated = batch.filter(F.col(eff).isNotNull()).select(*keys, *tracked, eff)
-    top = (dated.withColumn("_rn", F.row_number().over(last_stmt)).filter(F.col("_rn") == 1)
-           .drop("_rn"))
-    # the losing statements as a multiset difference (partial counts per distinct row), so a
-    # hot (key, date) is never one collected group
-    superseded = dated.exceptAll(top)
+    known = _known(keys)
+    dated = batch.filter(known & F.col(eff).isNotNull()).select(
+        *keys, *tracked, F.col(eff), (F.col(order_col) if order_col else F.lit(0)).alias("_seq"))
+    # one row per (key, date) by partial aggregates, so a hot key or date is never one group: the
+    # latest sequence, then the least and the greatest statement that carry it
+    values = F.struct(*[F.col(t) for t in tracked])
+    latest = dated.groupBy(*keys, eff).agg(F.max("_seq").alias("_top"))
+    right = latest.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(eff).alias("_k_eff"), "_top")
+    same = reduce(lambda p, q: p & q, [F.col(k) == F.col(f"_k_{k}") for k in keys]) & (F.col(eff) == F.col("_k_eff"))
+    tops = dated.join(right, same).filter(F.col("_seq").eqNullSafe(F.col("_top")))
+    point = tops.groupBy(*keys, eff).agg(F.min(values).alias("_lo"), F.max(values).alias("_hi"))
+    clear = F.col("_lo").eqNullSafe(F.col("_hi"))
+    top = point.filter(clear).select(*keys, *[F.col("_lo")[t].alias(t) for t in tracked], eff)
+    unclear = point.filter(~clear).select(*keys, eff)
+
+    h = history.filter(known).select(*keys, *tracked, VF, F.col(VT).alias("_old_to"), F.col(CUR).alias("_old_cur"),
+                                     F.lit(0).alias("_src"))
     b = top.select(*keys, *tracked, F.col(eff).alias(VF), F.lit(None).cast("date").alias("_old_to"),
                    F.lit(None).cast("boolean").alias("_old_cur"), F.lit(1).alias("_src"))
     u = h.unionByName(b)
@@ -307,35 +253,48 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
     kept = (src == 0) | (F.col("_first").isNotNull() & (vf >= F.col("_first")))
     early = u.filter(~kept)
     u = u.filter(kept)
-    # at one date the last statement wins (a batch row after the history row of its date)
-    u = u.withColumns({"_same": F.coalesce(F.lead(VF).over(ordered) == vf, F.lit(False)),
-                       "_hit": F.coalesce((F.lag(VF).over(ordered) == vf) & (F.lag("_src").over(ordered) == 0),
-                                          F.lit(False))}).filter(~F.col("_same"))
+    # a batch row takes the place of the history row of its date
+    same_values = ~_differs([F.col(t) for t in tracked], [F.lag(t).over(ordered) for t in tracked], True)
+    u = u.withColumns({
+        "_replaced": F.coalesce((src == 0) & (F.lead(VF).over(ordered) == vf) & (F.lead("_src").over(ordered) == 1), F.lit(False)),
+        "_hit": F.coalesce((src == 1) & (F.lag(VF).over(ordered) == vf) & (F.lag("_src").over(ordered) == 0), F.lit(False)),
+        "_restated": F.coalesce(same_values, F.lit(False)),
+        "_hit_to": F.lag("_old_to").over(ordered), "_hit_cur": F.lag("_old_cur").over(ordered)})
+    u = u.filter(~F.col("_replaced"))
     prev = [F.lag(t).over(ordered) for t in tracked]
-    first_row = F.lag(F.lit(1)).over(ordered).isNull()  # no predecessor: a replaced first window
-    u = u.withColumn("_chg", first_row | F.coalesce(_differs([F.col(t) for t in tracked], prev, null_safe),
-                                                    F.lit(False)))
+    first_row = F.lag(F.lit(1)).over(ordered).isNull()
+    u = u.withColumn("_chg", first_row | F.coalesce(_differs([F.col(t) for t in tracked], prev, null_safe), F.lit(False)))
     labelled = u
-    u = u.filter((src == 0) | F.col("_chg"))
+    hit, restated = F.col("_hit"), F.col("_hit") & F.col("_restated")
+    u = u.filter((src == 0) | hit | F.col("_chg"))
     nxt = F.lead(VF).over(ordered)
     u = u.withColumn(VT, F.coalesce(nxt, open_end())).withColumn(CUR, nxt.isNull())
-    written = (src == 1) | (F.col(VT) != F.col("_old_to")) | (F.col(CUR) != F.col("_old_cur"))
-    out = u.select(*keys, *tracked, VF, VT, CUR, written.alias("_written"))
-    new_history = out.drop("_written")
-    changes = out.filter(F.col("_written")).drop("_written")
+    moved = lambda to, cur: (F.col(VT) != F.col(to)) | (F.col(CUR) != F.col(cur))
+    written = F.when(src == 0, moved("_old_to", "_old_cur")).when(restated, moved("_hit_to", "_hit_cur")).otherwise(F.lit(True))
+    out = u.select(*keys, *tracked, VF, VT, CUR, written.alias("_written"), ((src == 1) & ~hit).alias("_new"))
+    untouched = history.filter(~known).select(*keys, *tracked, VF, VT, CUR, F.lit(False).alias("_written"), F.lit(False).alias("_new"))
+    out = out.unionByName(untouched)
+    staged = out.filter("_written").select(*keys, VF, *tracked, VT, CUR, F.when(F.col("_new"), "insert").otherwise("shrink").alias("_kind"))
+    out = out.drop("_new")
 
     on_time = vf >= F.col("_last_h")
     cols = [*keys, *tracked, F.col(VF).alias(eff)]
+    won = (early.filter(src == 1).select(*cols, F.when(F.col("_first").isNull(), F.lit(UNKNOWN_KEY))
+                                         .otherwise(F.lit(BEFORE_FIRST)).alias("outcome"))
+           .unionByName(labelled.filter(src == 1).select(
+               *cols, F.when(hit & ~restated, F.lit(SAME_DAY))
+               .when(restated | ~F.col("_chg"), F.when(on_time, F.lit(NO_OP)).otherwise(F.lit(LATE_NO_OP)))
+               .when(on_time, F.lit(FORWARD)).otherwise(F.lit(LATE_SPLIT)).alias("outcome"))))
+    # the rest of the statements of a decided (key, date), as a multiset difference
+    rows = dated.drop("_seq")
+    ambiguous = rows.join(unclear, [*keys, eff], "left_semi").select(*rows.columns)
+    superseded = rows.exceptAll(top.select(*rows.columns)).join(unclear, [*keys, eff], "left_anti").select(*rows.columns)
     outcomes = (
-        batch.filter(F.col(eff).isNull()).select(*keys, *tracked, eff, F.lit(NULL_DATE).alias("outcome"))
-        .unionByName(superseded.withColumn("outcome", F.lit(SUPERSEDED)))
-        .unionByName(early.filter(src == 1).select(*cols, F.when(F.col("_first").isNull(), F.lit(UNKNOWN_KEY))
-                                                   .otherwise(F.lit(BEFORE_FIRST)).alias("outcome")))
-        .unionByName(labelled.filter(src == 1).select(
-            *cols, F.when(~F.col("_chg"), F.when(on_time, F.lit(NO_OP)).otherwise(F.lit(LATE_NO_OP)))
-            .when(F.col("_hit"), F.lit(SAME_DAY))
-            .when(on_time, F.lit(FORWARD)).otherwise(F.lit(LATE_SPLIT)).alias("outcome"))))
-    return MergeResult(new_history, outcomes, changes.limit(0), changes, out)
+        won.unionByName(batch.filter(F.col(eff).isNull()).select(*keys, *tracked, eff, F.lit(NULL_DATE).alias("outcome")))
+        .unionByName(batch.filter(~known & F.col(eff).isNotNull()).select(*keys, *tracked, eff, F.lit(UNKNOWN_KEY).alias("outcome")))
+        .unionByName(ambiguous.withColumn("outcome", F.lit(AMBIGUOUS)))
+        .unionByName(superseded.withColumn("outcome", F.lit(SUPERSEDED))))
+    return MergeResult(out.drop("_written"), outcomes, staged, out.filter("_written").drop("_written"), out)
 
 
 def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, split_days: int | None = None) -> DataFrame:

@@ -4,7 +4,7 @@
   dated facts to the window they fall in.
 * System time (what had been recorded at version n): an append-only change log of
   ``(row, _version, _operation)``. A merge only inserts windows and updates end stamps, it
-  never deletes one, so the state at version n is the latest logged copy of every
+  never deletes one (in either mode), so the state at version n is the latest logged copy of every
   ``(keys, valid_from)`` with ``_version <= n``.
 """
 
@@ -37,31 +37,23 @@ def state_on(history: DataFrame, d: date | str | Column) -> DataFrame:
 
 def as_of_join(facts: DataFrame, history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS,
                date_col: str = "event_timestamp", tracked: Sequence[str] = ACCOUNT_TRACKED,
-               how: str = "left", method: str = "lookup") -> DataFrame:
+               how: str = "left") -> DataFrame:
     """Attach to every fact the history window its date falls in.
 
-    ``method="lookup"`` (default): the facts are reduced to distinct (key, day) points (a
-    partial aggregate), each point finds its window with a running ``last`` over history +
-    points per key (bounded per key by the number of distinct days), and the facts are
-    equi-joined back on (key, day): exactly one candidate per fact, so a key holding a third of
-    the facts is spread over its days and AQE can split a hot (key, day) further.
-    ``method="range"``: one equi join on the key with the half-open range as residual; cheaper
-    when keys have few windows, but every fact is compared with every window of its key.
+    The facts are reduced to distinct (key, day) points (a partial aggregate), each point finds its
+    window with a running ``last`` over history + points per key (bounded per key by the number of
+    distinct days), and the facts are equi-joined back on (key, day): exactly one candidate per
+    fact, so a key holding a third of the facts is spread over its days and AQE can split a hot
+    (key, day) further. No fact is compared with every window of its key.
     """
     keys, tracked = list(keys), list(tracked)
     day = F.to_date(facts[date_col])
     out_cols = [*facts.columns, *tracked, VF, VT]
-    if method == "range":
-        h = history.select(*[F.col(k).alias(f"_h_{k}") for k in keys], *tracked, VF, VT)
-        cond = reduce(lambda a, b: a & b, [facts[k] == h[f"_h_{k}"] for k in keys])
-        cond = cond & (h[VF] <= day) & (day < h[VT])
-        return facts.join(h, cond, how).select(*out_cols)
-    if method != "lookup":
-        raise ValueError("method must be 'lookup' or 'range'")
     f = facts.withColumn("_asof_d", day)
-    points = f.select(*keys, F.col("_asof_d").alias("_d")).filter(F.col("_d").isNotNull()).distinct()
+    known = reduce(lambda p, q: p & q, [F.col(k).isNotNull() for k in keys])
+    points = f.select(*keys, F.col("_asof_d").alias("_d")).filter(known & F.col("_d").isNotNull()).distinct()
     w = F.col("_l")
-    look = (lookup_windows(history, points, keys, tracked)
+    look = (lookup_windows(history.filter(known), points, keys, tracked)
             .filter(w.isNotNull() & (F.col("_d") < w["vt"]))
             .select(*keys, F.col("_d").alias("_asof_d"), *[w[t].alias(t) for t in tracked],
                     w["vf"].alias(VF), w["vt"].alias(VT)))

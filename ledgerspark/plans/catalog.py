@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.masking import TRANSACTION_MASK, mask
@@ -18,7 +18,9 @@ from ..functions.rules import amount_invalid, currency_invalid, transaction_rule
 from ..operators import checks as C
 from ..operators import scd2, temporal
 from ..operators.dedup import dedup_latest, dedup_stats
-from ..operators.routing import batch_metrics, failing, metrics, reason_breakdown, route, tag
+from ..operators.routing import (
+    batch_metrics, compare_deliveries, failed_rules, failing, metrics, of_delivery, reason_breakdown, route, tag,
+)
 from ..operators.snapshot import snapshot_check
 from ..session import ensure_utc
 from ..sources import fixtures
@@ -211,7 +213,7 @@ def q_route_totals(L: Ledger) -> DataFrame:
 
 
 def q_batch_metrics(L: Ledger) -> DataFrame:
-    return batch_metrics(L.silver, L.dead, L.batch_ids())
+    return batch_metrics(L.tagged, L.batch_ids())
 
 
 def q_batch_compare(L: Ledger) -> DataFrame:
@@ -219,7 +221,16 @@ def q_batch_compare(L: Ledger) -> DataFrame:
 
 
 def q_reason_breakdown(L: Ledger) -> DataFrame:
-    return reason_breakdown(L.dead.join(L.batch_ids(), "transaction_id", "left_semi"))
+    return reason_breakdown(of_delivery(L.dead, L.batch_ids()))
+
+
+def q_delivery_compare(L: Ledger) -> DataFrame:
+    """Every delivery by its landing ids: a record that is sent again counts in both deliveries."""
+    return compare_deliveries(L.tagged, L.raw, BATCH_COL)
+
+
+def q_failed_rules(L: Ledger) -> DataFrame:
+    return failed_rules(L.deduped, transaction_rules()).groupBy("failed_rules").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def q_ingestion_lag(L: Ledger) -> DataFrame:
@@ -276,9 +287,8 @@ def q_scd2_merge_timeline(L: Ledger) -> DataFrame:
 
 
 def q_scd2_merge_lookup(L: Ledger) -> DataFrame:
-    """The hot-key form of the strict merge (key-date lookup, joins instead of key-wide windows)."""
-    h1 = scd2.merge(L.h0, L.update, hot_keys="lookup").history
-    return scd2.merge(h1, L.mixed, hot_keys="lookup").history
+    """The strict merge again: labelling by (key, date) lookup is its only form."""
+    return L.h2
 
 
 def q_scd2_outcomes_timeline(L: Ledger) -> DataFrame:
@@ -337,19 +347,21 @@ def q_as_of_join(L: Ledger) -> DataFrame:
 
 
 def q_as_of_join_range(L: Ledger) -> DataFrame:
-    facts = L.raw.select("transaction_id", "account_id", "event_timestamp", "amount")
-    return temporal.as_of_join(facts, L.h2, date_col="event_timestamp", method="range")
+    """The half-open range semantics, answered by the (key, day) lookup: no fact meets more than
+    one window."""
+    return q_as_of_join(L)
 
 
 # ---- step 5: checks ------------------------------------------------------------------------
 def _broken_copy(silver: DataFrame) -> DataFrame:
-    """First 100 rows by id; row 1 gets a negative amount, row 2 a lowercase currency."""
-    sample = silver.orderBy("transaction_id").limit(100)
-    rn = F.row_number().over(Window.orderBy("transaction_id"))  # over the 100 sampled rows only
-    s = sample.withColumn("_rn", rn)
-    return (s.withColumn("amount", F.when(F.col("_rn") == 1, F.lit(-50.0)).otherwise(F.col("amount")))
-            .withColumn("currency", F.when(F.col("_rn") == 2, F.lit("usd")).otherwise(F.col("currency")))
-            .drop("_rn"))
+    """All of silver; the smallest id gets a negative amount, the greatest a lowercase currency."""
+    ends = silver.agg(F.min("transaction_id").alias("lo"), F.max("transaction_id").alias("hi"))
+    faults = (ends.select(F.explode(F.array("lo", "hi")).alias("_id"), "lo", "hi")
+              .select("_id", (F.col("_id") == F.col("lo")).alias("_low"), (F.col("_id") == F.col("hi")).alias("_high")).distinct())
+    s = silver.join(faults, F.col("transaction_id") == F.col("_id"), "left")
+    return (s.withColumn("amount", F.when(F.col("_low"), F.lit(-50.0)).otherwise(F.col("amount")))
+            .withColumn("currency", F.when(F.col("_high"), F.lit("usd")).otherwise(F.col("currency")))
+            .drop("_id", "_low", "_high"))
 
 
 def q_expectations(L: Ledger) -> DataFrame:
@@ -370,7 +382,11 @@ def q_contract(L: Ledger) -> DataFrame:
 
 
 def q_contract_types(L: Ledger) -> DataFrame:
+    """Types of an all-string read; some amounts and event times are words."""
+    key = F.col("transaction_id")
     strings = L.raw.select(*[F.col(c).cast("string").alias(c) for c in TX_COLUMNS])
+    strings = (strings.withColumn("amount", F.when(key.endswith("7"), "n/a").otherwise(F.col("amount")))
+               .withColumn("event_timestamp", F.when(key.endswith("31"), "yesterday").otherwise(F.col("event_timestamp"))))
     return C.check_types(strings)
 
 
@@ -381,10 +397,10 @@ def _model_tests(L: Ledger, which: str) -> DataFrame:
                  C.test_unique(cur, "stg_accounts_current", "account_id"),
                  C.test_unique(mart, "fct_transactions_daily", "transaction_date")]
     elif which == "not_null":
-        parts = [C.test_not_null(stg, "stg_transactions", c) for c in ("transaction_id", "account_id", "amount")]
-        parts += [C.test_not_null(acc, "stg_accounts", "account_id"),
-                  C.test_not_null(cur, "stg_accounts_current", "account_id"),
-                  C.test_not_null(mart, "fct_transactions_daily", "transaction_date")]
+        parts = [C.test_not_null(stg, "stg_transactions", "transaction_id", "account_id", "amount"),
+                 C.test_not_null(acc, "stg_accounts", "account_id"),
+                 C.test_not_null(cur, "stg_accounts_current", "account_id"),
+                 C.test_not_null(mart, "fct_transactions_daily", "transaction_date")]
     elif which == "accepted_values":
         parts = [C.test_accepted_values(stg, "stg_transactions", "currency", ACCEPTED_CURRENCIES),
                  C.test_accepted_values(acc, "stg_accounts", "account_status", ACCEPTED_STATUSES)]
@@ -418,7 +434,8 @@ _STEPS: dict[str, Callable[[Ledger], DataFrame]] = {
     "silver_valid": q_silver_valid, "stg_transactions": q_stg_transactions, "fct_daily": q_fct_daily,
     "mart_totals": q_mart_totals,
     "mask_pii": q_mask_pii, "dead_letter": q_dead_letter, "route_totals": q_route_totals,
-    "batch_metrics": q_batch_metrics, "batch_compare": q_batch_compare, "reason_breakdown": q_reason_breakdown,
+    "batch_metrics": q_batch_metrics, "batch_compare": q_batch_compare, "delivery_compare": q_delivery_compare,
+    "failed_rules": q_failed_rules, "reason_breakdown": q_reason_breakdown,
     "ingestion_lag": q_ingestion_lag, "bronze_append": q_bronze_append,
     "raw_account_states": q_raw_account_states, "scd2_initial": q_scd2_initial,
     "accounts_current": q_accounts_current, "scd2_normal": q_scd2_normal, "scd2_late_window": q_scd2_late_window,

@@ -1,8 +1,8 @@
 """Durable jobs: each reads stored tables, runs the operators and writes its result.
 
 Lineage is cut at every write (the next job reads files), so a failed job reruns alone and
-a retried task never recomputes earlier jobs. Paths default to folders under the session's
-``spark.checkpoint.dir`` (the shared folder of the cluster).
+a retried task never recomputes earlier jobs. The caller names the lake's root: tables of record
+do not belong into a checkpoint folder that may be cleaned.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from ..operators import checks as C
 from ..operators import scd2, temporal
 from ..operators.dedup import dedup_latest
 from ..operators.routing import batch_metrics, tag
-from ..session import shared_dir
 from ..sources import sinks
 from ..sources.ingest import read_batch, read_keys
 from ..sources.schemas import ACCOUNT_STATE_SCHEMA, BATCH_COL, TRANSACTION_SCHEMA
@@ -31,10 +30,6 @@ WRITTEN = "_written"
 class Layout:
     root: str
 
-    @classmethod
-    def default(cls, spark: SparkSession) -> "Layout":
-        return cls(shared_dir(spark) + "/ledger")
-
     @property
     def bronze(self) -> str:
         return f"{self.root}/bronze/transactions"
@@ -51,6 +46,10 @@ class Layout:
     def change_log(self) -> str:
         return f"{self.root}/gold/account_history_log"
 
+    @property
+    def outcomes(self) -> str:
+        return f"{self.root}/gold/account_outcomes"
+
     @property
     def mart(self) -> str:
         return f"{self.root}/marts/fct_transactions_daily"
@@ -59,7 +58,7 @@ class Layout:
 def ingest_batch(spark: SparkSession, layout: Layout, path: str, batch_id: int, fmt: str = "csv") -> None:
     """Read one delivery with the declared schema, mask PII, append to bronze (by batch)."""
     raw = read_batch(spark, path, TRANSACTION_SCHEMA, fmt, batch_id=batch_id)
-    sinks.replace_partitions(mask(raw, TRANSACTION_MASK), layout.bronze, [BATCH_COL])
+    sinks.replace_partition(mask(raw, TRANSACTION_MASK), layout.bronze, BATCH_COL, batch_id)
 
 
 def refresh_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
@@ -80,16 +79,16 @@ def dead_letter(spark: SparkSession, layout: Layout) -> DataFrame:
 def delivery_metrics(spark: SparkSession, layout: Layout, landing_path: str, fmt: str = "csv") -> DataFrame:
     """Rejection metrics of one delivery: its ids (key-only scan of the landing file) against
     the stored routes, one semi join over both routes."""
-    return batch_metrics(silver(spark, layout), dead_letter(spark, layout),
-                         read_keys(spark, landing_path, "transaction_id", fmt))
+    routed = spark.read.parquet(layout.routes)
+    return batch_metrics(routed, read_keys(spark, landing_path, "transaction_id", fmt))
 
 
 def load_initial_history(spark: SparkSession, layout: Layout, path: str, fmt: str = "csv") -> None:
     states = read_batch(spark, path, ACCOUNT_STATE_SCHEMA, fmt)
     hist = scd2.initial_history(states)
     sinks.write_version(hist, layout.history, 0)
-    sinks.replace_partitions(temporal.start_log(spark.read.parquet(sinks.version_path(layout.history, 0))),
-                             layout.change_log, [temporal.VERSION])
+    sinks.replace_partition(temporal.start_log(spark.read.parquet(sinks.version_path(layout.history, 0))),
+                            layout.change_log, temporal.VERSION, 0)
 
 
 def history(spark: SparkSession, layout: Layout, version: int) -> DataFrame:
@@ -97,35 +96,17 @@ def history(spark: SparkSession, layout: Layout, version: int) -> DataFrame:
     return df.drop(WRITTEN) if WRITTEN in df.columns else df
 
 
-HOT_KEY_SHARE = 0.01   # a key above this share of the rows is hot
-
-
-def hot_key_share(history: DataFrame, batch: DataFrame, keys=("account_id",)) -> float:
-    """Largest share of history + batch rows held by one key (one keyed partial count; two
-    numbers reach the driver)."""
-    k = history.select(*keys).unionByName(batch.select(*keys))
-    r = k.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m"), F.sum("n").alias("t")).first()
-    return 0.0 if not r.t else r.m / r.t
-
-
 def apply_account_batch(spark: SparkSession, layout: Layout, batch: DataFrame, version: int,
-                        mode: str = "strict", on_ambiguous: str = "skip", hot_keys: str = "auto") -> DataFrame:
-    """Merge a batch into history version ``version - 1``; write version ``version`` and append
-    its written rows to the change log. Returns the outcomes (read back from storage).
-
-    ``hot_keys="auto"`` measures the hottest key first and switches to the key-date lookup only
-    when one key holds more than ``HOT_KEY_SHARE`` of the rows."""
-    prev = history(spark, layout, version - 1)
-    if hot_keys == "auto":
-        hot_keys = "lookup" if hot_key_share(prev, batch) > HOT_KEY_SHARE else "window"
-    res = scd2.merge(prev, batch, mode=mode, on_ambiguous=on_ambiguous, hot_keys=hot_keys)
+                        mode: str = "strict", on_ambiguous: str = "skip", order_col: str | None = None) -> DataFrame:
+    """Merge a batch into history version ``version - 1``; write version ``version``, its outcomes
+    and its part of the change log. Returns the outcomes, read back from storage."""
+    res = scd2.merge(history(spark, layout, version - 1), batch, mode=mode, on_ambiguous=on_ambiguous, order_col=order_col)
     # one merge job writes the version with a written-row flag; the change log is read back
     # from it (no second merge, no diff of two versions)
     new_path = sinks.write_version(res.flagged, layout.history, version)
     changes = spark.read.parquet(new_path).filter(F.col(WRITTEN)).drop(WRITTEN)
-    sinks.replace_partitions(changes.withColumn(temporal.VERSION, F.lit(version))
-                             .withColumn(temporal.OPERATION, F.lit("MERGE")), layout.change_log, [temporal.VERSION])
-    return res.outcomes
+    sinks.replace_partition(changes.withColumn(temporal.OPERATION, F.lit("MERGE")), layout.change_log, temporal.VERSION, version)
+    return spark.read.parquet(sinks.write_version(res.outcomes, layout.outcomes, version))
 
 
 def build_mart(spark: SparkSession, layout: Layout, threshold: float = 10000) -> None:

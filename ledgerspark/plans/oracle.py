@@ -166,9 +166,9 @@ def _suite(src: str, row_checks, unique_cols=(), pk_cols=()) -> str:
 
 
 def _broken() -> str:
-    return ("select * exclude (amount, currency, rn), case when rn = 1 then -50.0 else amount end amount, "
-            "case when rn = 2 then 'usd' else currency end currency from (select *, row_number() over "
-            "(order by transaction_id) rn from (select * from silver order by transaction_id limit 100))")
+    return ("select * exclude (amount, currency), case when transaction_id = lo then -50.0 else amount end amount, "
+            "case when transaction_id = hi then 'usd' else currency end currency from silver, "
+            "(select min(transaction_id) lo, max(transaction_id) hi from silver) ends")
 
 
 _UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
@@ -193,7 +193,10 @@ def _contract_types() -> str:
         else:
             bad = "count(*) filter (where false)"
         parts.append(f"select '{c}' column_name, '{logical}' logical_type, true present, cast({bad} as bigint) "
-                     f"type_failures from tx_raw")
+                     f"type_failures from (select * replace ("
+                     f"case when ends_with(transaction_id, '7') then 'n/a' else cast(amount as varchar) end as amount, "
+                     f"case when ends_with(transaction_id, '31') then 'yesterday' else cast(event_timestamp as varchar) end "
+                     f"as event_timestamp) from tx_raw) strings")
     return "\nunion all ".join(parts)
 
 
@@ -239,6 +242,14 @@ _BODIES = {
                       "count(*) filter (where rejection_reason <> '') dead, "
                       "cast(count(*) filter (where rejection_reason <> '') as double) / cast(count(*) as double) * 100.0 "
                       "rejection_rate from tagged group by _batch"),
+    "delivery_compare": ("select _batch, count(*) total, count(*) filter (where rejection_reason = '') valid, "
+                         "count(*) filter (where rejection_reason <> '') dead, "
+                         "cast(count(*) filter (where rejection_reason <> '') as double) / cast(count(*) as double) * 100.0 "
+                         "rejection_rate from (select distinct t.transaction_id, t.rejection_reason, r._batch from tagged t "
+                         "join tx_raw r on t.transaction_id = r.transaction_id) x group by _batch"),
+    "failed_rules": ("select case when amount is null or amount <= 0 then 1 else 0 end "
+                     "+ case when not regexp_matches(currency, '^[A-Z]{3}$') then 1 else 0 end "
+                     "+ case when transaction_id is null then 1 else 0 end failed_rules, count(*) row_count from deduped group by 1"),
     "reason_breakdown": ("select rejection_reason, count(*) row_count from dead where transaction_id in "
                          "(select transaction_id from batch_ids) group by 1"),
     "ingestion_lag": (f"select transaction_id, account_id, event_timestamp, ingestion_timestamp, "

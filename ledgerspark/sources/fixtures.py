@@ -3,7 +3,7 @@
 Each statement is written once with ``{orders}``/``{customer}`` placeholders: Spark binds
 them to DataFrames (``spark.sql(text, orders=df, ...)``), the DuckDB oracle to view names.
 The shapes follow the source system's landing files: one transaction per order in three
-batches with injected faults and resends, and account-state batches (initial load, a full
+batches with injected faults and resends (in a later batch), and account-state batches (initial load, a full
 restatement, a mixed late/forward batch).
 """
 
@@ -13,11 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .tables import tables
 
-TX_RAW_SQL = """
-with base as (
+# Ids are padded to a fixed width but never cut: a longer number keeps all its digits.
+_TXN = "concat('TXN', lpad(cast(o_orderkey as string), cast(greatest(10, length(cast(o_orderkey as string))) as int), '0'))"
+
+
+def _account(column: str) -> str:
+    return f"concat('ACC', lpad(cast({column} as string), cast(greatest(9, length(cast({column} as string))) as int), '0'))"
+
+
+# One scan: an order that is sent again becomes two rows. ``@SENDINGS`` is the dialect's generator.
+SENDINGS = {"spark": "explode(case when o_orderkey % 20 = 7 then array(0, 1) else array(0) end)",
+            "duckdb": "unnest(case when o_orderkey % 20 = 7 then [0, 1] else [0] end)"}
+
+TX_RAW_SQL = f"""
+with sent as (
   select o_orderkey k, o_totalprice p, o_orderdate + interval '1' second * (o_orderkey % 86400) ev,
-    concat('TXN', lpad(cast(o_orderkey as string), 10, '0')) transaction_id,
-    concat('ACC', lpad(cast(o_custkey as string), 9, '0')) account_id,
+    {_TXN} transaction_id,
+    {_account('o_custkey')} account_id,
     c_name customer_name,
     lpad(cast((o_custkey * 7919) % 10000 as string), 4, '0') ssn_last4,
     case when o_orderkey % 101 = 0 then null when o_orderkey % 97 = 0 then 'usd'
@@ -25,44 +37,42 @@ with base as (
          when o_orderkey % 5 = 3 then 'CAD' else 'AUD' end currency,
     case o_orderpriority when '1-URGENT' then 'purchase' when '2-HIGH' then 'refund' when '3-MEDIUM' then 'transfer'
          when '5-LOW' then 'deposit' else 'withdrawal' end transaction_type,
-    cast(o_orderkey % 3 + 1 as int) _batch
-  from {orders} join {customer} on o_custkey = c_custkey
-), sent as (
-  select *, 0 d, 1 + (k * 37) % 7200 lag_s from base
-  union all
-  select *, 1 d, 7201 + k % 7200 lag_s from base where k % 20 = 7
+    @SENDINGS d
+  from {{orders}} join {{customer}} on o_custkey = c_custkey
 )
 select transaction_id, account_id, customer_name, ssn_last4,
   case when k % 40 = 0 then cast(null as double) when k % 40 = 20 then -p else p + d end amount,
-  currency, transaction_type, ev event_timestamp, ev + interval '1' second * lag_s ingestion_timestamp, _batch
+  currency, transaction_type, ev event_timestamp,
+  ev + interval '1' second * (case when d = 0 then 1 + (k * 37) % 7200 else 7201 + k % 7200 end) ingestion_timestamp,
+  cast(least(k % 3 + 1 + d, 3) as int) _batch
 from sent
 """
 
-ACCT_INITIAL_SQL = """
-select concat('ACC', lpad(cast(c_custkey as string), 9, '0')) account_id,
+ACCT_INITIAL_SQL = f"""
+select {_account('c_custkey')} account_id,
   case when c_custkey % 50 = 0 then 'closed' when c_custkey % 50 = 1 then 'frozen'
        when c_custkey % 20 = 3 then 'suspended' else 'active' end account_status,
   cast(1000 * (1 + c_custkey % 7) as int) credit_limit,
   date '1996-01-01' effective_date
-from {customer}
+from {{customer}}
 """
 
-ACCT_UPDATE_SQL = """
-select concat('ACC', lpad(cast(c_custkey as string), 9, '0')) account_id,
+ACCT_UPDATE_SQL = f"""
+select {_account('c_custkey')} account_id,
   case when c_custkey % 50 = 0 then 'closed' when c_custkey % 50 = 1 then 'frozen'
        when c_custkey % 20 = 3 then 'suspended' else 'active' end account_status,
   cast(1000 * (1 + c_custkey % 7) + case when c_custkey % 10 = 1 then 500 else 0 end as int) credit_limit,
   date '1998-06-01' effective_date
-from {customer}
+from {{customer}}
 """
 
-ACCT_MIXED_SQL = """
+ACCT_MIXED_SQL = f"""
 with a as (
-  select c_custkey k, concat('ACC', lpad(cast(c_custkey as string), 9, '0')) account_id,
+  select c_custkey k, {_account('c_custkey')} account_id,
     case when c_custkey % 50 = 0 then 'closed' when c_custkey % 50 = 1 then 'frozen'
          when c_custkey % 20 = 3 then 'suspended' else 'active' end account_status,
     cast(1000 * (1 + c_custkey % 7) as int) lim
-  from {customer})
+  from {{customer}})
 select account_id, case when account_status = 'frozen' then 'suspended' else 'frozen' end account_status,
   cast(lim + 250 as int) credit_limit, date '1997-03-01' effective_date from a where k % 20 = 1
 union all select account_id, account_status, lim, date '1997-02-01' from a where k % 20 = 11
@@ -84,13 +94,13 @@ FIXTURE_HIGH_VALUE = 450000
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text, deps = FIXTURE_SQL[name]
-    return spark.sql(text, **tables(spark, sf_dir, *deps))
+    return spark.sql(text.replace("@SENDINGS", SENDINGS["spark"]), **tables(spark, sf_dir, *deps))
 
 
 def fixture_sql_for_views(name: str) -> str:
     """The same statement bound to plain view names (for the DuckDB oracle)."""
     text, deps = FIXTURE_SQL[name]
-    return text.format(**{d: d for d in deps})
+    return text.replace("@SENDINGS", SENDINGS["duckdb"]).format(**{d: d for d in deps})
 
 
 def tx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

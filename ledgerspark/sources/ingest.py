@@ -45,4 +45,8 @@ def read_keys(spark: SparkSession, path: str, key: str = "transaction_id", fmt:
     """Key-only read of one delivery; the scan prunes every other column."""
     if fmt == "csv":
         return spark.read.option("header", True).csv(path).select(key)
-    return spark.read.parquet(path).select(key)
+    if fmt == "json":
+        return spark.read.schema(T.StructType([T.StructField(key, T.StringType())])).option("multiLine", True).json(path)
+    if fmt == "parquet":
+        return spark.read.parquet(path).select(key)
+    raise ValueError(f"unsupported format {fmt!r}")

@@ -6,8 +6,9 @@
 * history versions go to a new path per version and the path being read is never
   overwritten, so a merge always reads one pinned version;
 * writes are whole-file and task-retry safe (Spark's commit protocol), so a lost executor
-  only reruns its tasks; appends keyed by batch or version use dynamic partition overwrite, so
-  a rerun job replaces its own output instead of duplicating it.
+  only reruns its tasks; appends keyed by batch or version replace their own partition by name,
+  so a rerun job replaces its own output instead of duplicating it, also when it is empty;
+* recomputed tables are always replaced as a whole, whatever the session's overwrite mode.
 """
 
 from __future__ import annotations
@@ -20,28 +21,30 @@ from ..sources.schemas import REASON_COL
 ROUTE_COL = "_route"
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def replace_partition(df: DataFrame, path: str, column: str, value: int | str) -> None:
+    """Idempotent append: write ``df`` as the partition ``column=value`` of a table, in place of
+    what that partition held. An empty frame leaves an empty partition, so a rerun that finds
+    nothing also removes what an earlier run wrote. Other partitions are untouched."""
+    _static(df.drop(column)).parquet(f"{path.rstrip('/')}/{column}={value}")
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Idempotent append: rewrite only the partitions present in ``df`` (dynamic partition
-    overwrite). A rerun of the same batch or version replaces its own files instead of adding a
-    second copy."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+def _static(df: DataFrame):
+    """A writer that replaces the whole target, whatever the session's overwrite mode is."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
+    w = _static(df)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def save_table(df: DataFrame, name: str) -> None:
+    """Replace a table of the session's catalog."""
+    df.write.mode("overwrite").saveAsTable(name)
+
+
 def write_routes(tagged: DataFrame, path: str, out: str = REASON_COL) -> dict[str, int]:
     """Write valid and dead-letter rows in one job, partitioned by ``_route``; return the
     counts observed during that write."""
@@ -50,7 +53,7 @@ def write_routes(tagged: DataFrame, path: str, out: str = REASON_COL) -> dict[st
     routed = routed.observe(obs, F.count(F.lit(1)).alias("total"),
                             F.count_if(F.col(out) == "").alias("valid"),
                             F.count_if(F.col(out) != "").alias("dead"))
-    routed.write.mode("overwrite").partitionBy(ROUTE_COL).parquet(path)
+    _static(routed).partitionBy(ROUTE_COL).parquet(path)
     return dict(obs.get)
 
 
@@ -68,5 +71,5 @@ def write_version(df: DataFrame, base: str, version: int) -> str:
     """Write one history version to its own path. Only this job writes it and no merge reads it
     (a merge reads version - 1), so a rerun simply rewrites it."""
     path = version_path(base, version)
-    df.write.mode("overwrite").parquet(path)
+    _static(df).parquet(path)
     return path

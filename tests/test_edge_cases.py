@@ -129,9 +129,8 @@ def test_lag_boundary(spark):
 
 def test_empty_batch_rate_is_zero(spark):
     df = tx(spark, [dict(transaction_id="a")])
-    valid, dead = route(tag(df, transaction_rules()))
     ids = spark.createDataFrame([], "transaction_id string")
-    r = batch_metrics(valid, dead, ids).first()
+    r = batch_metrics(tag(df, transaction_rules()), ids).first()
     assert (r.total, r.rejection_rate) == (0, 0.0)
     m = metrics(tag(df, transaction_rules()).limit(0)).first()
     assert m.total == 0 and m.rejection_rate == 0.0
@@ -181,3 +180,32 @@ def test_unique_counts_every_copy(spark):
            C.run_suite(df, [C.unique("transaction_id"), C.Check("primaryKey", "transaction_id", "primary_key")]).collect()}
     assert res == {"expect_column_values_to_be_unique": 2, "primaryKey": 4}
     assert C.failing_rows(df, C.unique("transaction_id")).count() == 2
+
+
+def test_dedup_tells_nulls_apart(spark):
+    """Rows that differ only in which column is NULL: the survivor does not depend on their order."""
+    rows = [("k", T0, None, "x"), ("k", T0, "x", None)]
+    schema = "id string, ts timestamp, a string, b string"
+    got = {tuple(dedup_latest(spark.createDataFrame(r, schema), "id", "ts").first()) for r in (rows, rows[::-1])}
+    assert len(got) == 1
+
+
+def test_long_keys_stay_distinct(spark, tmp_path):
+    """Eleven-digit order keys and ten-digit customer keys keep all their digits."""
+    from ledgerspark.sources import fixtures
+    spark.createDataFrame([(k, 1, 10.0, dt.date(2020, 1, 1), "5-LOW") for k in (12345678901, 12345678902, 1234567890)],
+                          "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate date, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, "n"), (1234567891, "n"), (1234567892, "n")], "c_custkey long, c_name string").write.parquet(str(tmp_path / "customer.parquet"))
+    assert fixtures.tx_raw(spark, str(tmp_path)).select("transaction_id").distinct().count() == 3
+    assert fixtures.acct_initial(spark, str(tmp_path)).select("account_id").distinct().count() == 3
+
+
+def test_deliveries_by_landing_ids(spark):
+    """A record sent in two deliveries counts in both, whichever copy was kept."""
+    from ledgerspark.operators.routing import compare_deliveries, failed_rules
+    df = tx(spark, [dict(transaction_id="a"), dict(transaction_id="b", amount=None, currency="usd"), dict(transaction_id=None)])
+    tagged = tag(df, transaction_rules())
+    ids = spark.createDataFrame([("a", 1), ("b", 1), ("b", 1), ("b", 2), (None, 2)], "transaction_id string, _batch int")
+    got = {r._batch: (r.total, r.valid, r.dead) for r in compare_deliveries(tagged, ids, "_batch").collect()}
+    assert got == {1: (2, 1, 1), 2: (1, 0, 1)}
+    assert {r.transaction_id: r.failed_rules for r in failed_rules(df, transaction_rules()).collect()} == {"a": 0, "b": 2, None: 1}

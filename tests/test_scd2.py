@@ -33,11 +33,7 @@ def outcomes(res):
     return {(r.account_id, r.effective_date): r.outcome for r in res.outcomes.collect()}
 
 
-HOT = ["window", "lookup"]
-
-
-@pytest.mark.parametrize("hot_keys", HOT)
-def test_forward_late_noop_unknown_before(spark, history, hot_keys):
+def test_forward_late_noop_unknown_before(spark, history):
     batch = spark.createDataFrame([
         ("A", "closed", 1000, D(2022, 1, 1)),   # forward change
         ("B", "active", 500, D(2022, 1, 1)),    # on-time no-op
@@ -46,7 +42,7 @@ def test_forward_late_noop_unknown_before(spark, history, hot_keys):
         ("Z", "active", 1, D(2022, 1, 1)),      # unknown key
         ("A", "active", 1, None),               # no date
     ], BATCH)
-    res = scd2.merge(history, batch, hot_keys=hot_keys)
+    res = scd2.merge(history, batch)
     assert outcomes(res) == {("A", D(2022, 1, 1)): "forward_change", ("B", D(2022, 1, 1)): "no_op",
                              ("A", D(2020, 6, 1)): "late_split", ("B", D(2019, 1, 1)): "before_first_window",
                              ("Z", D(2022, 1, 1)): "unknown_key", ("A", None): "null_effective_date"}
@@ -69,20 +65,18 @@ def test_late_equal_to_next_window_keeps_adjacent_windows(spark, history):
     assert res.history.filter("account_id = 'A'").count() == 3
 
 
-@pytest.mark.parametrize("hot_keys", HOT)
-def test_same_day_change_is_ambiguous_and_strict_raises(spark, history, hot_keys):
+def test_same_day_change_is_ambiguous_and_strict_raises(spark, history):
     batch = spark.createDataFrame([("A", "closed", 1000, D(2021, 1, 1))], BATCH)
-    res = scd2.merge(history, batch, hot_keys=hot_keys)
+    res = scd2.merge(history, batch)
     assert outcomes(res) == {("A", D(2021, 1, 1)): "ambiguous_match"}
     assert rows(res.history) == rows(history)
     with pytest.raises(scd2.MergeCardinalityError):
-        scd2.merge(history, batch, on_ambiguous="raise", hot_keys=hot_keys)
+        scd2.merge(history, batch, on_ambiguous="raise")
 
 
-@pytest.mark.parametrize("hot_keys", HOT)
-def test_two_changes_in_one_window(spark, history, hot_keys):
+def test_two_changes_in_one_window(spark, history):
     batch = spark.createDataFrame([("A", "closed", 1, D(2020, 3, 1)), ("A", "closed", 2, D(2020, 9, 1))], BATCH)
-    strict = scd2.merge(history, batch, hot_keys=hot_keys)
+    strict = scd2.merge(history, batch)
     assert set(outcomes(strict).values()) == {"ambiguous_match"}
     assert rows(strict.history) == rows(history)
     timeline = scd2.merge(history, batch, mode="timeline").history
@@ -116,14 +110,13 @@ def test_change_log_reproduces_every_version(spark, sf_small):
     assert log == {0: 150, 1: 30, 2: 46}
 
 
-@pytest.mark.parametrize("method", ["lookup", "range"])
-def test_state_on_and_as_of_join(spark, history, method):
+def test_state_on_and_as_of_join(spark, history):
     s = temporal.state_on(history, "2020-12-31").select("account_id", "account_status").collect()
     assert sorted(tuple(r) for r in s) == [("A", "active"), ("B", "active")]
     facts = spark.createDataFrame([("t1", "A", dt.datetime(2021, 1, 1, 0, 0)), ("t2", "A", dt.datetime(2019, 1, 1)),
-                                   ("t3", "C", dt.datetime(2021, 1, 1))], "transaction_id string, account_id string, ts timestamp")
-    out = {r.transaction_id: r.account_status for r in temporal.as_of_join(facts, history, date_col="ts", method=method).collect()}
-    assert out == {"t1": "frozen", "t2": None, "t3": None}
+                                   ("t3", "C", dt.datetime(2021, 1, 1)), ("t4", None, dt.datetime(2021, 1, 1))], "transaction_id string, account_id string, ts timestamp")
+    out = {r.transaction_id: r.account_status for r in temporal.as_of_join(facts, history, date_col="ts").collect()}
+    assert out == {"t1": "frozen", "t2": None, "t3": None, "t4": None}
 
 
 def test_snapshot_vs_merge(spark, history):
@@ -150,17 +143,6 @@ def test_row_conservation(spark, sf_small):
     assert L.silver.count() + L.dead.count() == L.deduped.count()
 
 
-def test_lookup_merge_equals_single_pass_on_fixtures(spark, sf_small):
-    L = Ledger(spark, sf_small)
-    up = fixtures.acct_update(spark, sf_small)
-    b1 = scd2.merge(L.h0, up, hot_keys="lookup")
-    b2 = scd2.merge(b1.history, L.mixed, hot_keys="lookup")
-    for a, b in ((L.m1, b1), (L.m2, b2)):
-        for part in ("history", "outcomes", "staged", "changes"):
-            x, y = getattr(a, part), getattr(b, part)
-            assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, part
-
-
 @pytest.mark.parametrize("split_days", [None, 30, 1])
 def test_check_timeline_finds_defects(spark, split_days):
     bad = spark.createDataFrame([
@@ -176,7 +158,7 @@ def test_check_timeline_finds_defects(spark, split_days):
             r.open_end_missing) == (6, 3, 1, 2, 1, 1, 1, 1)
 
 
-def test_job_splits_hot_keys(spark, tmp_path):
+def test_hot_key_in_a_job(spark, tmp_path):
     from ledgerspark.plans import jobs
     layout = jobs.Layout(str(tmp_path / "lake"))
     acc = tmp_path / "acc0.csv"
@@ -184,20 +166,48 @@ def test_job_splits_hot_keys(spark, tmp_path):
                    "Q,active,1,2020-01-01\n")
     jobs.load_initial_history(spark, layout, str(acc))
     rows = [("H", "active", i + 2, D(2020, 1, 1) + dt.timedelta(days=i)) for i in range(1, 40)]
-    batch = spark.createDataFrame(rows, BATCH)
-    assert jobs.hot_key_share(jobs.history(spark, layout, 0), batch) > jobs.HOT_KEY_SHARE
-    out = jobs.apply_account_batch(spark, layout, batch, 1)
+    out = jobs.apply_account_batch(spark, layout, spark.createDataFrame(rows, BATCH), 1)
     # every change of the hot key shrinks the same current window: all ambiguous under strict rules
     assert {r.outcome for r in out.collect()} == {"ambiguous_match"}
     assert jobs.history(spark, layout, 1).count() == 2
 
 
-def test_timeline_same_date_statements_keep_the_last(spark, history):
-    batch = spark.createDataFrame([("A", "closed", 5, D(2020, 3, 1)), ("A", "closed", 7, D(2020, 3, 1)),
-                                   ("A", "closed", 6, D(2020, 3, 1))], BATCH)
-    res = scd2.merge(history, batch, mode="timeline").history
-    a = [(r.credit_limit, r.valid_from, r.valid_to) for r in res.filter("account_id = 'A'").orderBy("valid_from").collect()]
-    assert a == [(1000, D(2020, 1, 1), D(2020, 3, 1)), (7, D(2020, 3, 1), D(2021, 1, 1)), (1000, D(2021, 1, 1), END)]
+@pytest.mark.parametrize("mode", ["strict", "timeline"])
+def test_null_keys_match_nothing(spark, history, mode):
+    with_null = history.unionByName(spark.createDataFrame([(None, "active", 9, D(2020, 1, 1), END, True)], HIST))
+    batch = spark.createDataFrame([(None, "closed", 9, D(2021, 5, 1)), (None, "closed", 9, None), ("B", "closed", 500, D(2022, 1, 1))], BATCH)
+    res = scd2.merge(with_null, batch, mode=mode)
+    assert outcomes(res) == {(None, D(2021, 5, 1)): "unknown_key", (None, None): "null_effective_date", ("B", D(2022, 1, 1)): "forward_change"}
+    kept = [tuple(r) for r in res.history.filter("account_id is null").collect()]
+    assert kept == [(None, "active", 9, D(2020, 1, 1), END, True)]
+
+
+def test_timeline_same_date_statements(spark, history):
+    """The greatest order_col wins; without one, different statements of a date are ambiguous."""
+    seq = spark.createDataFrame([("A", "closed", 5, D(2020, 3, 1), 1), ("A", "closed", 7, D(2020, 3, 1), 2),
+                                 ("A", "closed", 6, D(2020, 3, 1), 3)], BATCH + ", seq int")
+    res = scd2.merge(history, seq, mode="timeline", order_col="seq")
+    a = [(r.credit_limit, r.valid_from, r.valid_to) for r in res.history.filter("account_id = 'A'").orderBy("valid_from").collect()]
+    assert a == [(1000, D(2020, 1, 1), D(2020, 3, 1)), (6, D(2020, 3, 1), D(2021, 1, 1)), (1000, D(2021, 1, 1), END)]
+    assert sorted((r.credit_limit, r.outcome) for r in res.outcomes.collect()) == [
+        (5, "superseded_same_day"), (6, "late_split"), (7, "superseded_same_day")]
+    res = scd2.merge(history, seq.drop("seq"), mode="timeline")
+    assert {r.outcome for r in res.outcomes.collect()} == {"ambiguous_match"} and rows(res.history) == rows(history)
+
+
+def test_timeline_replacing_a_window_keeps_it_and_the_log(spark, history):
+    """A statement of a window's own date that equals the state before it: the window stays, with
+    the new values, and the change log agrees with the history."""
+    batch = spark.createDataFrame([("A", "active", 1000, D(2021, 1, 1))], BATCH)
+    res = scd2.merge_timeline(history, batch)
+    assert rows(res.history.filter("account_id = 'A'")) == [("A", "active", 1000, D(2020, 1, 1), D(2021, 1, 1), False),
+                                                            ("A", "active", 1000, D(2021, 1, 1), END, True)]
+    assert outcomes(res) == {("A", D(2021, 1, 1)): "same_day_replace"}
+    log = temporal.append_changes(temporal.start_log(history), res.changes, 1)
+    assert rows(temporal.as_of_version(log, 1)) == rows(res.history)
+    # saying again what the window says changes nothing
+    again = scd2.merge_timeline(res.history, batch)
+    assert again.changes.count() == 0 and set(outcomes(again).values()) == {"no_op"}
 
 
 def test_timeline_outcomes_match_strict_on_fixtures(spark, sf_small):
@@ -210,15 +220,16 @@ def test_timeline_outcomes_match_strict_on_fixtures(spark, sf_small):
 
 def test_timeline_outcome_labels(spark, history):
     batch = spark.createDataFrame([
-        ("A", "closed", 5, D(2020, 3, 1)), ("A", "closed", 7, D(2020, 3, 1)),   # superseded, late split
+        ("A", "closed", 7, D(2020, 3, 1)), ("A", "closed", 7, D(2020, 3, 1)),   # late split, and its copy
         ("A", "frozen", 1000, D(2022, 1, 1)),                                  # no-op
         ("B", "closed", 500, D(2020, 6, 1)),                                   # same-day replace
         ("Z", "x", 1, D(2022, 1, 1)), ("B", "x", 1, D(2019, 1, 1)), ("B", "x", 1, None),
     ], BATCH)
-    got = {(r.account_id, r.credit_limit, r.effective_date): r.outcome
-           for r in scd2.merge_timeline(history, batch).outcomes.collect()}
-    assert got == {("A", 5, D(2020, 3, 1)): "superseded_same_day", ("A", 7, D(2020, 3, 1)): "late_split",
-                   ("A", 1000, D(2022, 1, 1)): "no_op", ("B", 500, D(2020, 6, 1)): "same_day_replace",
+    found = [((r.account_id, r.credit_limit, r.effective_date), r.outcome)
+             for r in scd2.merge_timeline(history, batch).outcomes.collect()]
+    assert sorted(o for k, o in found if k == ("A", 7, D(2020, 3, 1))) == ["late_split", "superseded_same_day"]
+    got = {k: o for k, o in found if k != ("A", 7, D(2020, 3, 1))}
+    assert got == {("A", 1000, D(2022, 1, 1)): "no_op", ("B", 500, D(2020, 6, 1)): "same_day_replace",
                    ("Z", 1, D(2022, 1, 1)): "unknown_key", ("B", 1, D(2019, 1, 1)): "before_first_window",
                    ("B", 1, None): "null_effective_date"}
 
