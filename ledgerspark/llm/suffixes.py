@@ -189,10 +189,6 @@ def _by_text(repeated: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
                          "at": [at[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])]})
 
 
-def _place(at: str) -> Column:
-    return F.struct(F.col("id").isNull().alias("last"), "id", "th", F.col(at).alias("at"))
-
-
 def _joined(texts: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
     """Texts with what ``other`` has for them by (id, th)."""
     right = other.withColumnsRenamed({"id": "__id", "th": "__th"})
@@ -226,7 +222,7 @@ def _wide_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"id": part.column("id").take(pa.array(owner)), "th": part.column("th").take(pa.array(owner)),
                                    **{k: v.view(np.int64) for k, v in names.items()},
                                    "left": pa.array(left.view(np.int64), mask=~has_left), "right": pa.array(right.view(np.int64), mask=~has_right),
-                                   "p": at, "low": low, "high": high})
+                                   "p": at, "before": (at - low).astype(np.int32), "after": (high - at).astype(np.int32)})
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,11 +247,19 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                    "w1": one.part(base, base + MATCH).view(np.int64), "w2": two.part(base, base + MATCH).view(np.int64), "p": at})
 
 
-def _later(rows: DataFrame) -> DataFrame:
+def _firsts(rows: DataFrame, *more: str) -> DataFrame:
+    """The first row of each name by its place, and how many rows have the name."""
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "th", "p", *more)).alias("f")
+    return rows.groupBy("w1", "w2").agg(first, F.count(F.lit(1)).alias("n")).select(
+        F.col("w1").alias("__w1"), F.col("w2").alias("__w2"), "f", "n")
+
+
+def _later(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """The rows that are not the first of their name; a row equal in place to the first is it too."""
-    first = (rows.groupBy("w1", "w2").agg(F.min(_place("p")).alias("first"), F.max(_place("p")).alias("final"))
-             .filter("first < final").select(F.col("w1").alias("__w1"), F.col("w2").alias("__w2"), "first"))
-    return rows.join(first, (F.col("w1") == F.col("__w1")) & (F.col("w2") == F.col("__w2"))).filter(_place("p") > F.col("first"))
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "th", "p")
+    first = F.struct("f.last", "f.id", "f.th", "f.p")
+    same = (F.col("w1") == F.col("__w1")) & (F.col("w2") == F.col("__w2"))
+    return rows.join(firsts.filter("n > 1"), same).filter(place > first)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,28 +308,28 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.xxhash64(whole).alias("th"), whole.alias("text"))
     remaining = durable(_remaining(texts), "suffixes-samples")
-    wide = _joined(texts, remaining).mapInArrow(_wide_names, "id long, th long, w1 long, w2 long, left long, right long, p long, low long, high long")
-    wholes = _later(wide).select("id", "th", "low", "high")
+    wide = _joined(texts, remaining).mapInArrow(
+        _wide_names, "id long, th long, w1 long, w2 long, left long, right long, p long, before int, after int")
+    # (Both filters are what joins infer; stated here, all uses of the frame share its exchanges.)
+    wide = wide.filter("w1 is not null and w2 is not null")
+    firsts = _firsts(wide, "left", "right")
+    wholes = _later(wide, firsts).select("id", "th", (F.col("p") - F.col("before")).alias("low"), (F.col("p") + F.col("after")).alias("high"))
     # Of samples equal in their wide name, the first one stands for all in what follows.
-    first = wide.groupBy("w1", "w2").agg(F.min(F.struct(*_fields("left", "right"))).alias("f")).select("f.*")
+    first = firsts.filter("n > 0").select("f.*")
     part = {}
     for side in ("left", "right"):
         shared = first.filter(F.col(side).isNotNull()).groupBy(side).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(side)
-        part[side] = first.join(shared, side, "left_semi").select("id", "th", *[(F.col("at") if side == s else F.lit(None).cast("long")).alias(s)
+        part[side] = first.join(shared, side, "left_semi").select("id", "th", *[(F.col("p") if side == s else F.lit(None).cast("long")).alias(s)
                                                                                for s in ("left", "right")])
     wanted = part["left"].union(part["right"]).groupBy("id", "th").agg(F.collect_list("left").alias("lefts"), F.collect_list("right").alias("rights"))
     strings = _joined(texts, wanted).mapInArrow(_strings, "id long, th long, w1 long, w2 long, p long")
-    singles = _later(strings).select("id", "th", F.col("p").alias("low"), (F.col("p") + MATCH).alias("high"))
+    singles = _later(strings, _firsts(strings)).select("id", "th", F.col("p").alias("low"), (F.col("p") + MATCH).alias("high"))
     spans = wholes.union(singles).groupBy("id", "th").agg(F.collect_list(F.struct("low", "high")).alias("s"))
     spans = spans.select("id", "th", F.col("s.low").alias("lows"), F.col("s.high").alias("highs"))
     return _joined(texts, spans, "left").mapInArrow(
         _cut, "id long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
 
 
-def _fields(*more: str) -> list[Column]:
-    return [F.col("id").isNull().alias("last"), F.col("id"), F.col("th"), F.col("p").alias("at"), *[F.col(c) for c in more]]
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: what is left of every whole text of ``documents``."""
     found = repeated_passages(documents(spark, sf_dir))
