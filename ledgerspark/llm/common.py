@@ -43,6 +43,14 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
+def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Let Arrow batches of this session hold ``limit`` bytes at most (one row at least), so that
+    a task's memory does not grow with the texts that happen to share a batch."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(key)).rstrip("b")) > limit:
+        spark.conf.set(key, str(limit))
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have (callers' extra columns may clash with ours)."""
     taken, name = {c.lower() for c in df.columns}, f"__{stem}"
@@ -91,6 +99,18 @@ def numbered(df: DataFrame, group: list[str], order: list[str], name: str, sprea
             .drop(part, first, here, "__p", *[f"__g_{c}" for c in group]))
 
 
+def ranked(df: DataFrame, order: list[str], name: str, per_part: int = 200_000) -> DataFrame:
+    """Add ``name``: 0, 1, 2, ... in the ``order`` of the whole table, which must tell all rows
+    apart. Rows are dealt by ranges of the order, so no task holds more than a range. Written once:
+    the numbers never change when a task runs again."""
+    df = durable(df, "ranked-rows")
+    rows, part = df.count(), fresh(df, "range")
+    dealt = df.repartitionByRange(max(1, -(-rows // per_part)), *order).withColumn(part, F.spark_partition_id())
+    dealt = durable(dealt, "ranked-ranges")
+    parts = (dealt.agg(F.max(part)).first()[0] or 0) + 1
+    return durable(numbered(dealt, [], order, name, spread=F.col(part), rows=parts, per_part=1).drop(part), "ranked")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (columns a, b; any order): rows (node, root), where root
     is the smallest node reachable. Alternating large-star and small-star steps on Spark; each

@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import documents, slices
+from .common import bounded_batches, documents, slices
 from .tokens import Table, find, make_table
 
 ORDER = 3
 #: Rows of each language to learn from at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 400
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _PAD = b"\n" * ORDER
 
 
@@ -114,6 +114,7 @@ def fit(docs: DataFrame, trains: Column, rows: int = SAMPLE_ROWS) -> Model | Non
     """Learn from rows with a language and a text for which ``trains`` holds: at most ``rows`` ids
     of each language, those with the smallest hash. Counting runs in Spark; the driver receives
     the counts of that bounded sample. None if no row has a language."""
+    bounded_batches(docs.sparkSession)
     base = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text"))
     usable = base.filter(trains & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -152,6 +153,7 @@ def predict(docs: DataFrame, model: Model | None, id_column: str = "doc_id", tex
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if model is None:
         return base.select(F.col("id").alias(id_column), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(_plain(model))
     ids = docs.schema[id_column].dataType.simpleString()
 

@@ -15,7 +15,8 @@ from .common import documents, fresh
 #: Separates pieces while a text is cut at its matches. No pattern matches it; a text's own
 #: U+0001 is replaced by another character that no pattern matches before the cut.
 MARK, STAND_IN = "\x01", "\x02"
-#: Code points of the text before and after a span in which context words count.
+#: Code points before and after a span in which context words count, up to the next match of the
+#: same pattern.
 WINDOW = 32
 #: Spans of the added kinds are reported from this score on (percent).
 THRESHOLD = 60

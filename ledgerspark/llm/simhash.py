@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, documents, durable, fresh
+from .common import bounded_batches, components, documents, durable, fresh
 
 #: The contract's shingle length in words, hash seed and largest number of differing bits.
 WORDS, SEED, RADIUS = 3, 42, 2
@@ -50,6 +50,7 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, seed: int = SEED) -> DataFrame:
     """(id, th, fp) of every row; th: hash of the text, fp: fingerprint, both as signed longs. Null
     texts have no words."""
+    bounded_batches(docs.sparkSession)
     ids = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

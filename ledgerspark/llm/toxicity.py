@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import documents, durable, fresh, slices
+from .common import bounded_batches, documents, durable, fresh, slices
 from .tokens import mix, words
 
 #: Lengths in bytes of the word beginnings that count as features beside the whole word.
 STEMS = (5, 7)
 #: Bytes of text that a task turns into arrays at once.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -59,11 +59,9 @@ def learn(rows: Iterable[tuple[int, np.ndarray]], s: Settings) -> tuple[np.ndarr
     """Weights and bias from (label, distinct coordinates) rows, in the order given."""
     rows = list(rows)
     z, n = np.zeros((1 << s.bits) + 1), np.zeros((1 << s.bits) + 1)
-    l1 = np.full(len(z), s.l1)
-    l1[-1] = 0  # the bias
 
     def weight(at):
-        big = np.maximum(np.abs(z[at]) - l1[at], 0)
+        big = np.maximum(np.abs(z[at]) - np.where(at < len(z) - 1, s.l1, 0), 0)  # the last is the bias
         return -np.sign(z[at]) * big / ((s.beta + np.sqrt(n[at])) / s.alpha + s.l2)
 
     for _ in range(s.epochs):
@@ -73,8 +71,9 @@ def learn(rows: Iterable[tuple[int, np.ndarray]], s: Settings) -> tuple[np.ndarr
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - label
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / s.alpha * w
             n[at] += g * g
-    every = weight(np.arange(len(z)))
-    return every[:-1], float(every[-1])
+    weights, kept = np.zeros(1 << s.bits), np.flatnonzero(np.abs(z[:-1]) > s.l1)
+    weights[kept] = weight(kept)
+    return weights, float(weight(np.array([len(z) - 1]))[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, trains: Column, s: Settings = Settings()) -> tuple[np.ndarray, float]:
@@ -85,6 +84,7 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column, s: Settings = Settin
     The features are made in parallel; one task then runs FTRL, which is sequential, over the
     bounded sample. Without any label every weight is zero and the score one half.
     """
+    bounded_batches(docs.sparkSession)
     marked = (labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__y"))
               .filter(F.col("__id").isNotNull() & F.col("__y").isNotNull()).groupBy("__id").agg(F.max("__y").alias("__y")))
     chosen = (marked.withColumnRenamed("__id", "doc_id").filter(trains).withColumnRenamed("doc_id", "__id")
@@ -124,6 +124,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_column: str = "do
     """(id, score) of every row, or with ``carry`` all columns and ``score``. A feature counts once
     in a text, however often it occurs, and texts are scored whole; null and empty texts get the
     bias alone."""
+    bounded_batches(docs.sparkSession)
     weights, bias = model
     bits = int(np.log2(len(weights)))
     kept = np.flatnonzero(weights)
