@@ -8,28 +8,31 @@ difference-cover suffix sort ends after two levels, and names may be hashes inst
    positions, one shift below ``PERIOD`` leads both to a sampled position. Name each sample by its
    next ``MATCH - PERIOD + 1`` bytes, sort the names bucket by bucket, compare adjacent ones, and
    forget every sample whose name is unique: no repeated string can lead to it.
-2. Recurse on the names that remain: name each sample by everything that the strings leading to it
-   can cover. Samples equal in that repeat the first of them as a whole.
+2. Recurse on the samples that remain: name each by everything that the strings leading to it can
+   cover, sort, and compare adjacent names. A sample equal to an earlier one in that repeats it as
+   a whole.
 3. Merge the remaining suffixes: where samples agree on a part only, the strings between are named
-   themselves, and each is compared with the first one of its name.
+   themselves and sorted, and each is compared with the first one of its name.
 
-Names of the last two levels have 128 bits. The texts travel once: all joins with them are by
-(id, hash of the text) on one reused exchange.
+Sorting works on packed arrays: a task sends the sorted names of a batch to each bucket as one
+row, and keeps back those that repeat within the batch, so a passage that every text holds sends
+one name per task. Names are 64 bits beside the bucket's. The texts travel once: all joins with
+them are by (id, hash of the text) on one reused exchange.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, durable, slices
+from .common import bounded_batches, documents, durable, ranked, slices
 from .tokens import buffer_of
 
 #: Bytes of a string that counts as repeated.
@@ -38,9 +41,11 @@ MATCH = 100
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 #: Bytes that name a sample at first, and half of the way that strings may start before it.
 NAME, HALF = MATCH - PERIOD + 1, (PERIOD - 1) // 2
-#: Samples that a task names, and that a bucket sorts, at once (about).
-BATCH, BUCKET = 2_000_000, 2_000_000
-_CHUNK = 1 << 21
+#: Names that a task packs, and that a bucket sorts, at once (about).
+BATCH, BUCKET = 1_000_000, 1_000_000
+#: Bits of a first name beside the bucket's; equal ones only cost a second look.
+_LOW = 28
+_CHUNK = 1 << 19
 _COVER = np.array(COVER, dtype=np.int64)
 _BEFORE = np.searchsorted(_COVER, np.arange(PERIOD), side="right")
 # Two independent polynomial hashes modulo 2^64: an odd factor, its inverse, a number per byte.
@@ -85,16 +90,39 @@ def _position(sample: np.ndarray) -> np.ndarray:
     return PERIOD * (sample // len(COVER)) + _COVER[sample % len(COVER)]
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """32-bit numbers with their bytes turned plane by plane; the shuffle's compression then finds
-    the planes that hardly change."""
-    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def _bucket(names: np.ndarray, buckets: int) -> np.ndarray:
+    return ((names >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def _pack(numbers: np.ndarray, kind: str = "<u4") -> bytes:
+    """Numbers with their bytes turned plane by plane; the shuffle's compression then finds the
+    planes that hardly change."""
+    whole = np.ascontiguousarray(numbers.astype(kind))
+    return np.ascontiguousarray(whole.view(np.uint8).reshape(-1, whole.itemsize).T).tobytes()
 
 
+def _unpack(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _pack_sorted(numbers: np.ndarray, kind: str = "<u4") -> bytes:
+    return _pack(np.diff(numbers, prepend=numbers.dtype.type(0)), kind)
+
+
+def _unpack_sorted(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    return np.cumsum(_unpack(raw, kind), dtype=np.uint64)
+
+
+def _cuts(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of equal numbers as (start, end)."""
+    if not len(sorted_keys):
+        return []
+    edges = np.concatenate([[0], np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1, [len(sorted_keys)]])
+    return list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+
+
+# --- first level -------------------------------------------------------------------------------
 _ROWS = "kind int, bucket int, batch long, n int, a binary, b binary"
 _NAMES, _TABLE, _REPEATED = 0, 1, 2
 
@@ -105,29 +133,26 @@ def _rows(kind: int, bucket: list[int], batch: int, n: list[int], a: list[bytes]
                             "n": pa.array(n, pa.int32()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
-def _name_samples(buckets: int):
+def _name_samples(buckets: int, size: int) -> Callable:
     """Per batch of texts: the distinct names of its samples by bucket, the table of its texts, and
     the samples that already repeat within the batch."""
     def flush(batch: int, names: list, table: list) -> Iterator[pa.RecordBatch]:
         h = np.concatenate(names)
-        bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        key = (bucket << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
+        key = (_bucket(h, buckets) << np.uint64(32)) | (h & np.uint64((1 << _LOW) - 1))
         order = np.argsort(key, kind="stable")
         key = key[order]
         first = np.concatenate([[True], key[1:] != key[:-1]])
         alone = first & np.concatenate([first[1:], [True]])
         repeated = np.sort(order[~alone])
         key, order = key[first], order[first]
-        bucket = (key >> np.uint64(32)).astype(np.int64)
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
-        low = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        bucket, low = key >> np.uint64(32), key & np.uint64(0xFFFFFFFF)
+        spans = _cuts(bucket)
         yield _rows(_NAMES, [int(bucket[x]) for x, _ in spans], batch, [y - x for x, y in spans],
-                    [_pack(np.diff(low[x:y], prepend=0)) for x, y in spans], [_pack(order[x:y]) for x, y in spans])
+                    [_pack_sorted(low[x:y]) for x, y in spans], [_pack(order[x:y]) for x, y in spans])
         texts = [np.concatenate(x) for x in zip(*table)]
         yield _rows(_TABLE, [batch % buckets], batch, [len(texts[0])], [b"".join(x.astype(np.int64).tobytes() for x in texts)], [b""])
         if len(repeated):
-            yield _rows(_REPEATED, [batch % buckets], batch, [len(repeated)], [repeated.astype(np.uint32).tobytes()], [b""])
+            yield _rows(_REPEATED, [batch % buckets], batch, [len(repeated)], [_pack_sorted(repeated)], [b""])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch, names, table, held = TaskContext.get().partitionId() << 24, [], [], 0
@@ -142,7 +167,7 @@ def _name_samples(buckets: int):
                 table.append((ids.fill_null(0).to_numpy(zero_copy_only=False), np.asarray(ids.is_null().to_numpy(zero_copy_only=False)),
                               part.column("th").to_numpy(), counts))
                 held += len(at)
-                if held >= BATCH:
+                if held >= size:
                     yield from flush(batch, names, table)
                     batch, names, table, held = batch + 1, [], [], 0
         if held:
@@ -151,150 +176,260 @@ def _name_samples(buckets: int):
     return run
 
 
-def _compare_names(group: pd.DataFrame) -> pd.DataFrame:
+def _compare_names(group: pa.Table) -> pa.Table:
     """One bucket: sort the names of all batches, and report those that occur in several."""
-    out = group[group["kind"] != _NAMES]
-    names = group[group["kind"] == _NAMES].reset_index(drop=True)
-    if len(names):
-        low = np.concatenate([np.cumsum(_unpack(a), dtype=np.uint64) for a in names["a"]])
-        sample = np.concatenate([_unpack(b) for b in names["b"]])
-        source = np.repeat(np.arange(len(names)), names["n"])
+    is_name = pa.array(group.column("kind").to_numpy() == _NAMES)
+    out, names = group.filter(pc.invert(is_name)), group.filter(is_name)
+    if names.num_rows:
+        batches = names.column("batch").to_pylist()
+        low = np.concatenate([_unpack_sorted(a) for a in names.column("a").to_pylist()]).astype(np.uint32)
+        sample = np.concatenate([_unpack(b) for b in names.column("b").to_pylist()])
+        source = np.repeat(np.arange(names.num_rows), names.column("n").to_numpy())
         order = np.argsort(low, kind="stable")
         same = low[order][1:] == low[order][:-1]
         twice = np.zeros(len(low), dtype=bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
         hit = np.flatnonzero(twice)
-        cuts = np.searchsorted(source[hit], np.arange(len(names) + 1))
-        found = [(int(names["batch"][k]), sample[hit[x:y]]) for k, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-        if found:
-            out = pd.concat([out, pd.DataFrame({"kind": _REPEATED, "bucket": int(group["bucket"].iloc[0]), "batch": [b for b, _ in found],
-                                                "n": [len(x) for _, x in found], "a": [x.astype(np.uint32).tobytes() for _, x in found], "b": b""})])
+        cuts = np.searchsorted(source[hit], np.arange(names.num_rows + 1))
+        here = group.column("bucket")[0].as_py()
+        found = [_rows(_REPEATED, [here], batches[k], [int(y - x)], [_pack_sorted(np.sort(sample[hit[x:y]]))], [b""])
+                 for k, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
+        out = pa.concat_tables([out, pa.Table.from_batches(found, out.schema)])
     return out
 
 
-def _by_text(repeated: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+def _by_text(repeated: pa.Table, table: pa.Table) -> pa.Table:
     """Samples of a batch back to the texts that hold them."""
-    if not len(repeated) or not len(table):
-        return pd.DataFrame({"id": pd.array([], dtype="Int64"), "th": [], "at": []})
-    n = int(table["n"].iloc[0])
-    ids, nulls, ths, counts = np.frombuffer(table["a"].iloc[0], dtype=np.int64).reshape(4, n)
-    sample = np.unique(np.concatenate([np.frombuffer(a, dtype=np.uint32) for a in repeated["a"]])).astype(np.int64)
-    first = np.cumsum(counts) - counts
-    text = np.searchsorted(first + counts, sample, side="right")
-    at = _position(sample - first[text]).astype(np.int64)
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(text)) + 1, [len(text)]])
-    owner = text[cuts[:-1]]
-    return pd.DataFrame({"id": pd.array(np.where(nulls[owner] > 0, None, ids[owner].astype(object)), dtype="Int64"), "th": ths[owner],
-                         "at": [at[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])]})
+    ids, ths, counts, packed = [], np.zeros(0, dtype=np.int64), [], []
+    if repeated.num_rows and table.num_rows:
+        n = table.column("n")[0].as_py()
+        all_ids, nulls, all_ths, held = np.frombuffer(table.column("a")[0].as_py(), dtype=np.int64).reshape(4, n)
+        sample = np.unique(np.concatenate([_unpack_sorted(a) for a in repeated.column("a").to_pylist()])).astype(np.int64)
+        first = np.cumsum(held) - held
+        text = np.searchsorted(first + held, sample, side="right")
+        at = _position(sample - first[text]).astype(np.uint64)
+        spans = _cuts(text)
+        owner = text[[x for x, _ in spans]]
+        ids, ths = [None if nulls[k] else int(all_ids[k]) for k in owner], all_ths[owner]
+        counts, packed = [y - x for x, y in spans], [_pack_sorted(at[x:y]) for x, y in spans]
+    return pa.table({"id": pa.array(ids, pa.int64()), "th": pa.array(ths, pa.int64()), "n": pa.array(counts, pa.int64()), "at": pa.array(packed, pa.binary())})
+
+
+# --- second and third level ---------------------------------------------------------------------
+_PLACED = "kind int, bucket int, r long, n int, a binary, b binary, c binary, d binary, e binary"
+_LATER, _LEFT, _RIGHT = 1, 2, 3
+
+
+def _placed(kind: int, bucket: list[int], r: list[int], n: list[int], *packed: list[bytes]) -> dict:
+    columns = [*packed, *[[None] * len(bucket)] * (5 - len(packed))]
+    return {"kind": pa.array([kind] * len(bucket), pa.int32()), "bucket": pa.array(bucket, pa.int32()), "r": pa.array(r, pa.int64()),
+            "n": pa.array(n, pa.int32()), **{c: pa.array(v, pa.binary()) for c, v in zip("abcde", columns)}}
+
+
+def _by_rank(kind: int, bucket: int | None, buckets: int, r: np.ndarray, p: np.ndarray) -> dict:
+    """Positions in rows of one text each, by its rank."""
+    order = np.lexsort((p, r))
+    r, p = r[order], p[order]
+    spans = _cuts(r)
+    ranks = [int(r[x]) for x, _ in spans]
+    return _placed(kind, [k % buckets if bucket is None else bucket for k in ranks], ranks, [y - x for x, y in spans],
+                   [_pack_sorted(p[x:y]) for x, y in spans])
+
+
+def _judge(bucket: np.ndarray, name: np.ndarray, r: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted by name and place: (order, first of each name, places behind the first one)."""
+    order = np.lexsort((p, r, name, bucket))
+    b, h, r, p = bucket[order], name[order], r[order], p[order]
+    first = np.concatenate([[True], (h[1:] != h[:-1]) | (b[1:] != b[:-1])]) if len(h) else np.zeros(0, dtype=bool)
+    start = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
+    return order, first, (r != r[start]) | (p != p[start])
+
+
+class _Names:
+    """Names of one task with their places, packed by bucket whenever a batch is full. A place that
+    repeats an earlier one of the same batch is known to be later and goes no further."""
+
+    def __init__(self, buckets: int, size: int) -> None:
+        self.buckets, self.size, self.held, self.parts = buckets, size, 0, []
+
+    def add(self, bucket, name, r, p, left=None, right=None) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(len(name), dtype=np.uint32)
+        self.parts.append((bucket, name, r, p, none if left is None else left, none if right is None else right))
+        self.held += len(name)
+        if self.held >= self.size:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            bucket, name, r, p, left, right = (np.concatenate(x) for x in zip(*self.parts))
+            order, first, later = _judge(bucket, name, r, p)
+            gone, stay = order[later], order[first]
+            if len(gone):
+                yield pa.record_batch(_by_rank(_LATER, None, self.buckets, r[gone], p[gone]))
+            bucket, name, r, p, left, right = (x[stay] for x in (bucket, name, r, p, left, right))
+            spans = _cuts(bucket)
+            cut = lambda x, kind: [_pack(x[a:b], kind) for a, b in spans]
+            yield pa.record_batch(_placed(_NAMES, [int(bucket[a]) for a, _ in spans], [0] * len(spans), [b - a for a, b in spans],
+                                          [_pack_sorted(name[a:b], "<u8") for a, b in spans], cut(r, "<u8"), cut(p, "<u4"),
+                                          cut(left, "<u4"), cut(right, "<u4")))
+        self.parts, self.held = [], 0
+
+
+def _compare_places(buckets: int, sides: bool) -> Callable:
+    """One bucket: sort the names of all batches; places behind the first one of their name are
+    later. With ``sides``, first places that agree with another first one on a part as well."""
+    def run(group: pa.Table) -> pa.Table:
+        is_name = pa.array(group.column("kind").to_numpy() == _NAMES)
+        out, names = group.filter(pc.invert(is_name)), group.filter(is_name)
+        found = []
+        if names.num_rows:
+            name = np.concatenate([_unpack_sorted(a, "<u8") for a in names.column("a").to_pylist()])
+            r, p, left, right = (np.concatenate([_unpack(x, kind) for x in names.column(c).to_pylist()])
+                                 for c, kind in zip("bcde", ("<u8", "<u4", "<u4", "<u4")))
+            order, first, later = _judge(np.zeros(len(name), dtype=np.uint8), name, r, p)
+            here = group.column("bucket")[0].as_py()
+            gone, stay = order[later], order[first]
+            found = [(_LATER, gone)]
+            if sides:
+                for kind, side in ((_LEFT, left[stay]), (_RIGHT, right[stay])):
+                    _, where, count = np.unique(side, return_inverse=True, return_counts=True)
+                    found.append((kind, stay[(count[where] > 1) & (side > 0)]))
+        return pa.concat_tables([out, *[pa.table(_by_rank(kind, here, buckets, r[at], p[at]), schema=out.schema) for kind, at in found if len(at)]])
 
+    return run
 
-def _joined(texts: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
-    """Texts with what ``other`` has for them by (id, th)."""
-    right = other.withColumnsRenamed({"id": "__id", "th": "__th"})
-    return texts.join(right, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), how).drop("__id", "__th")
 
+def _side(hashes: np.ndarray, has: np.ndarray) -> np.ndarray:
+    """32 bits of a part's name, 0 for none."""
+    return np.where(has, np.maximum(hashes.astype(np.uint32), 1), 0).astype(np.uint32)
 
-def _numbers(column) -> list[np.ndarray]:
-    """For each row, the distinct numbers in its list of packed arrays."""
-    return [np.unique(np.concatenate([np.frombuffer(x, dtype=np.int64) for x in row])) for row in column.to_pylist()]
 
+def _lists(column) -> list[np.ndarray]:
+    """For each row, the distinct numbers in its packed lists, as positions."""
+    return [np.unique(np.concatenate([_unpack_sorted(x) for x in row])).astype(np.int64) if row else np.zeros(0, dtype=np.int64)
+            for row in column.to_pylist()]
 
-def _wide_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Second level: each remaining sample by all that strings leading to it cover (128 bits), and
-    by the two parts one of which any such string covers."""
-    for record in batches:
-        for part in slices(record, "text", _CHUNK):
-            data, offsets = buffer_of(part.column("text"))
-            found = _numbers(part.column("at"))
-            owner = np.repeat(np.arange(len(found)), [len(x) for x in found])
-            if not len(owner):
-                continue
-            at = np.concatenate(found)
-            n, base = np.diff(offsets)[owner], offsets[:-1][owner]
-            low, high = np.maximum(at - PERIOD + 1, 0), np.minimum(at, n - MATCH) + MATCH
-            one, two = _Sums(data, 0), _Sums(data, 1)
-            salt = (at - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            names = {"w1": one.part(base + low, base + high) + salt, "w2": two.part(base + low, base + high) + salt}
-            has_left, has_right = at >= HALF, at + MATCH - HALF <= n
-            left = two.part(base + np.where(has_left, at - HALF, at), base + at + NAME)
-            right = one.part(base + at, base + np.where(has_right, at + MATCH - HALF, at))
-            yield pa.record_batch({"id": part.column("id").take(pa.array(owner)), "th": part.column("th").take(pa.array(owner)),
-                                   **{k: v.view(np.int64) for k, v in names.items()},
-                                   "left": pa.array(left.view(np.int64), mask=~has_left), "right": pa.array(right.view(np.int64), mask=~has_right),
-                                   "p": at, "before": (at - low).astype(np.int32), "after": (high - at).astype(np.int32)})
-
-
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _wide_names(buckets: int, size: int) -> Callable:
+    """Second level: each remaining sample by all that strings leading to it cover, and by the two
+    parts one of which any such string covers. Samples of one first name meet in one bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Names(buckets, size)
+        for record in batches:
+            for part in slices(record, "text", _CHUNK):
+                data, offsets = buffer_of(part.column("text"))
+                found = _lists(part.column("at"))
+                owner = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                if not len(owner):
+                    continue
+                at = np.concatenate(found)
+                n, base = np.diff(offsets)[owner], offsets[:-1][owner]
+                low, high = np.maximum(at - PERIOD + 1, 0), np.minimum(at, n - MATCH) + MATCH
+                one, two = _Sums(data, 0), _Sums(data, 1)
+                salt = (at - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                has_left, has_right = at >= HALF, at + MATCH - HALF <= n
+                left = two.part(base + np.where(has_left, at - HALF, at), base + at + NAME)
+                right = two.part(base + at, base + np.where(has_right, at + MATCH - HALF, at))
+                yield from out.add(_bucket(one.part(base + at, base + at + NAME), buckets), two.part(base + low, base + high) + salt,
+                                   part.column("r").to_numpy()[owner].astype(np.uint64), at.astype(np.uint32),
+                                   _side(left, has_left), _side(right, has_right))
+        yield from out.flush()
+
+    return run
+
+
+def _strings(buckets: int, size: int) -> Callable:
     """Third level: the strings themselves that lead to a sample which agrees with another one on
-    the part before it (``lefts``) or behind it (``rights``)."""
-    for record in batches:
-        for part in slices(record, "text", _CHUNK):
-            data, offsets = buffer_of(part.column("text"))
-            one, two = _Sums(data, 0), _Sums(data, 1)
-            owners, starts = [], []
-            for k, (lefts, rights) in enumerate(zip(part.column("lefts").to_pylist(), part.column("rights").to_pylist())):
-                n = offsets[k + 1] - offsets[k]
-                reach = [np.array(lefts or [], dtype=np.int64)[:, None] - np.arange(HALF, PERIOD),
-                         np.array(rights or [], dtype=np.int64)[:, None] - np.arange(HALF + 1)]
-                at = np.unique(np.concatenate([x.ravel() for x in reach]))
-                at = at[(at >= 0) & (at + MATCH <= n)]
-                owners.append(np.full(len(at), k))
-                starts.append(at)
-            owner, at = np.concatenate(owners), np.concatenate(starts)
-            base = offsets[:-1][owner] + at
-            yield pa.record_batch({"id": part.column("id").take(pa.array(owner)), "th": part.column("th").take(pa.array(owner)),
-                                   "w1": one.part(base, base + MATCH).view(np.int64), "w2": two.part(base, base + MATCH).view(np.int64), "p": at})
-
-
-def _firsts(rows: DataFrame, *more: str) -> DataFrame:
-    """The first row of each name by its place, and how many rows have the name."""
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "th", "p", *more)).alias("f")
-    return rows.groupBy("w1", "w2").agg(first, F.count(F.lit(1)).alias("n")).select(
-        F.col("w1").alias("__w1"), F.col("w2").alias("__w2"), "f", "n")
-
-
-def _later(rows: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The rows that are not the first of their name; a row equal in place to the first is it too."""
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "th", "p")
-    first = F.struct("f.last", "f.id", "f.th", "f.p")
-    same = (F.col("w1") == F.col("__w1")) & (F.col("w2") == F.col("__w2"))
-    return rows.join(firsts.filter("n > 1"), same).filter(place > first)
+    the part before it (``lefts``) or behind it (``rights``). Strings inside a passage that repeats
+    an earlier one as a whole are settled, and the first place of any string lies in none."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Names(buckets, size)
+        for record in batches:
+            for part in slices(record, "text", _CHUNK):
+                data, offsets = buffer_of(part.column("text"))
+                one, starts = _Sums(data, 1), []
+                for k, (laters, lefts, rights) in enumerate(zip(*(_lists(part.column(c)) for c in ("laters", "lefts", "rights")))):
+                    n = offsets[k + 1] - offsets[k]
+                    at = np.unique(np.concatenate([(lefts[:, None] - np.arange(HALF, PERIOD)).ravel(), (rights[:, None] - np.arange(HALF + 1)).ravel()]))
+                    at = at[(at >= 0) & (at + MATCH <= n)]
+                    if len(laters):
+                        low, high = _passages(laters, n)
+                        k_low = np.searchsorted(low, at, side="right") - 1
+                        at = at[(k_low < 0) | (at + MATCH > high[k_low])]
+                    starts.append(at)
+                owner, at = np.repeat(np.arange(len(starts)), [len(x) for x in starts]), np.concatenate(starts)
+                base = offsets[:-1][owner] + at
+                name = one.part(base, base + MATCH)
+                yield from out.add(_bucket(name, buckets), name, part.column("r").to_numpy()[owner].astype(np.uint64), at.astype(np.uint32))
+        yield from out.flush()
+
+    return run
+
+
+def _passages(samples: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """What samples equal to earlier ones repeat: (starts, ends) in order, each end the largest so far."""
+    samples = np.sort(samples)
+    return np.maximum(samples - PERIOD + 1, 0), np.maximum.accumulate(np.minimum(samples, n - MATCH) + MATCH)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unite the spans of each text and take them out."""
+    """Unite the repeated passages of each text and take them out."""
     for record in batches:
-        ids, sizes, removed, runs, digests, spans = [], [], [], [], [], []
-        for text, lows, highs in zip(record.column("text"), record.column("lows").to_pylist(), record.column("highs").to_pylist()):
+        sizes, removed, digests, spans = [], [], [], []
+        for text, copy, laters, starts in zip(record.column("text"), record.column("copy").to_pylist(), *(_lists(record.column(c)) for c in ("laters", "starts"))):
             data = text.as_py().encode()
-            kept, found = data, []
-            if lows:
-                order = np.argsort(lows, kind="stable")
-                low, high = np.array(lows)[order], np.maximum.accumulate(np.array(highs)[order])
-                opens = np.concatenate([[True], low[1:] > high[:-1]])
-                starts, ends = low[opens], high[np.concatenate([opens[1:], [True]])]
-                found = list(zip(starts.tolist(), ends.tolist()))
-                kept = b"".join(data[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(data)]))
+            low, high = _passages(laters, len(data))
+            low, high = np.concatenate([low, starts]), np.concatenate([high, starts + MATCH])
+            if copy:
+                low, high = np.array([0]), np.array([len(data)])
+            order = np.argsort(low, kind="stable")
+            low, high = low[order], np.maximum.accumulate(high[order]) if len(high) else high
+            opens = np.concatenate([[True], low[1:] > high[:-1]]) if len(low) else np.zeros(0, dtype=bool)
+            begin, end = low[opens].tolist(), high[np.roll(opens, -1)].tolist()
+            kept = b"".join(data[x:y] for x, y in zip([0, *end], [*begin, len(data)]))
             sizes.append(len(data))
             removed.append(len(data) - len(kept))
-            runs.append(len(found))
             digests.append(hashlib.sha256(kept).hexdigest())
-            spans.append([x for pair in found for x in pair])
+            spans.append([int(x) for pair in zip(begin, end) for x in pair])
         yield pa.record_batch({"id": record.column("id"), "th": record.column("th"), "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                               "n_spans": pa.array(runs, pa.int64()), "kept_sha256": pa.array(digests, pa.string()),
+                               "n_spans": pa.array([len(s) // 2 for s in spans], pa.int64()), "kept_sha256": pa.array(digests, pa.string()),
                                "spans": pa.array(spans, pa.list_(pa.int64()))})
 
 
-def _remaining(texts: DataFrame) -> DataFrame:
-    """First level: (id, th, at) of the samples whose name occurs again; at: packed positions."""
+# --- plan ---------------------------------------------------------------------------------------
+def _joined(texts: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """Texts with what ``other`` has for them by (id, th)."""
+    right = other.withColumnsRenamed({"id": "__id", "th": "__th"})
+    return texts.join(right, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), how).drop("__id", "__th")
+
+
+def _ranks(texts: DataFrame) -> DataFrame:
+    """(id, th, r, copy) of the distinct (id, th): r numbers them in the order of the corpus; copy
+    marks texts of ``MATCH`` bytes or more that an earlier one equals as a whole."""
+    keys = texts.groupBy("id", "th").agg(F.min(F.xxhash64(F.lit(1), "text")).alias("th2"), F.min(F.octet_length("text")).alias("n"))
+    numbers = ranked(keys.withColumn("last", F.col("id").isNull()), ["last", "id", "th"], "r")
+    first = numbers.groupBy("th", "th2", "n").agg(F.min("r").alias("first"), F.max("r").alias("final")).filter("first < final")
+    first = first.select(F.col("th").alias("__t"), F.col("th2").alias("__u"), F.col("n").alias("__n"), "first")
+    same = (F.col("th") == F.col("__t")) & (F.col("th2") == F.col("__u")) & (F.col("n") == F.col("__n"))
+    copy = F.coalesce((F.col("r") > F.col("first")) & (F.col("n") >= MATCH), F.lit(False))
+    return durable(numbers.join(first, same, "left").select("id", "th", "r", copy.alias("copy")), "suffixes-ranks")
+
+
+def _remaining(texts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """First level: (id, th, r, n, at) of the samples whose name occurs again; at: packed positions."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, int(size * len(COVER) / PERIOD) // BUCKET + 1)
-    named = texts.mapInArrow(_name_samples(buckets), _ROWS)
-    compared = durable(named.groupBy("bucket").applyInPandas(_compare_names, _ROWS), "suffixes-names")
+    named = texts.mapInArrow(_name_samples(buckets, BATCH), _ROWS)
+    compared = durable(named.groupBy("bucket").applyInArrow(_compare_names, _ROWS), "suffixes-names")
     repeated, table = (compared.filter(F.col("kind") == k).select("batch", "n", "a") for k in (_REPEATED, _TABLE))
-    return (repeated.groupBy("batch").cogroup(table.groupBy("batch")).applyInPandas(_by_text, "id long, th long, at binary")
-            .groupBy("id", "th").agg(F.collect_list("at").alias("at")))
+    found = (repeated.groupBy("batch").cogroup(table.groupBy("batch")).applyInArrow(_by_text, "id long, th long, n long, at binary")
+             .groupBy("id", "th").agg(F.sum("n").alias("n"), F.collect_list("at").alias("at")))
+    return durable(_joined(found, ranks.filter(~F.col("copy")).drop("copy")), "suffixes-samples")
+
+
+def _of_kind(kind: int) -> Column:
+    return F.collect_list(F.when(F.col("kind") == kind, F.col("a")))
 
 
 def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -305,28 +440,28 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     everything. Rows with equal id and text are one text listed several times, so neither copy
     precedes the other.
     """
+    bounded_batches(docs.sparkSession)
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.xxhash64(whole).alias("th"), whole.alias("text"))
-    remaining = durable(_remaining(texts), "suffixes-samples")
-    wide = _joined(texts, remaining).mapInArrow(
-        _wide_names, "id long, th long, w1 long, w2 long, left long, right long, p long, before int, after int")
-    # (Both filters are what joins infer; stated here, all uses of the frame share its exchanges.)
-    wide = wide.filter("w1 is not null and w2 is not null")
-    firsts = _firsts(wide, "left", "right")
-    wholes = _later(wide, firsts).select("id", "th", (F.col("p") - F.col("before")).alias("low"), (F.col("p") + F.col("after")).alias("high"))
-    # Of samples equal in their wide name, the first one stands for all in what follows.
-    first = firsts.filter("n > 0").select("f.*")
-    part = {}
-    for side in ("left", "right"):
-        shared = first.filter(F.col(side).isNotNull()).groupBy(side).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(side)
-        part[side] = first.join(shared, side, "left_semi").select("id", "th", *[(F.col("p") if side == s else F.lit(None).cast("long")).alias(s)
-                                                                               for s in ("left", "right")])
-    wanted = part["left"].union(part["right"]).groupBy("id", "th").agg(F.collect_list("left").alias("lefts"), F.collect_list("right").alias("rights"))
-    strings = _joined(texts, wanted).mapInArrow(_strings, "id long, th long, w1 long, w2 long, p long")
-    singles = _later(strings, _firsts(strings)).select("id", "th", F.col("p").alias("low"), (F.col("p") + MATCH).alias("high"))
-    spans = wholes.union(singles).groupBy("id", "th").agg(F.collect_list(F.struct("low", "high")).alias("s"))
-    spans = spans.select("id", "th", F.col("s.low").alias("lows"), F.col("s.high").alias("highs"))
-    return _joined(texts, spans, "left").mapInArrow(
+    ranks = _ranks(texts)
+    remaining = _remaining(texts, ranks)
+    left = remaining.agg(F.sum("n")).first()[0] or 0
+    few, many = left // BUCKET + 1, 16 * left // BUCKET + 1
+    wide = _joined(texts, remaining.select("id", "th", "r", "at")).mapInArrow(_wide_names(few, BATCH), _PLACED)
+    places = (wide.groupBy("bucket").applyInArrow(_compare_places(few, True), _PLACED).groupBy("r")
+              .agg(_of_kind(_LATER).alias("laters"), _of_kind(_LEFT).alias("lefts"), _of_kind(_RIGHT).alias("rights")))
+    # (Always true; it keeps all three lists in both uses, which then share one exchange.)
+    places = places.filter((F.size("laters") >= 0) & (F.size("lefts") >= 0) & (F.size("rights") >= 0))
+    wanted = places.filter((F.size("lefts") > 0) | (F.size("rights") > 0)).join(ranks.drop("copy"), "r")
+    strings = _joined(texts, wanted).mapInArrow(_strings(many, BATCH), _PLACED)
+    singles = strings.groupBy("bucket").applyInArrow(_compare_places(many, False), _PLACED)
+    none = F.array().cast("array<binary>")
+    found = (places.filter(F.size("laters") > 0).select("r", "laters", none.alias("starts"))
+             .union(singles.groupBy("r").agg(_of_kind(_LATER).alias("s")).select("r", none, "s"))
+             .union(ranks.filter("copy").select("r", none, none))
+             .groupBy("r").agg(F.flatten(F.collect_list("laters")).alias("laters"), F.flatten(F.collect_list("starts")).alias("starts"))
+             .join(ranks, "r").drop("r"))
+    return _joined(texts, found, "left").mapInArrow(
         _cut, "id long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
 
 
