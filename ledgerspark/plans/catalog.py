@@ -469,6 +469,11 @@ def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
     return _LEDGERS[key]
 
 
+def fresh_ledgers() -> None:
+    """Forget all plans, so that the next query lists its files and builds its plan anew."""
+    _LEDGERS.clear()
+
+
 def _bind(step: Callable[[Ledger], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return step(ledger(spark, sf_dir))
