@@ -17,15 +17,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, documents, durable, fresh
+from .common import SPACE, documents, durable, fresh, ranked
 
 #: Words that the longer of two lines needs for an edit: five words keep four fifths alike.
 MIN_WORDS = 5
 _BLOCK = 256
 
 
+_BLANKS = " \t\n\x0b\f\r"
+
+
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, f"[{SPACE}]++"), lambda w: w != "")
+    """The words of a line that has one."""
+    return F.split(F.btrim(line, F.lit(_BLANKS)), f"[{SPACE}]++")
 
 
 def _half(n: Column) -> Column:
@@ -41,8 +45,10 @@ def _lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """(id, th, line, n, a, b, halves): every line with a word; a and b together identify its
     words, halves are the keys of its first and last half."""
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    cut = (docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(whole).alias("th"), F.posexplode(F.split(whole, "\n")).alias("line", "raw"))
-           .withColumn("words", _words(F.col("raw"))).withColumn("n", F.size("words")).filter("n > 0"))
+    # The text's hash and lines come first, so that no line carries the whole text.
+    cut = (docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(whole).alias("th"), F.split(whole, "\n").alias("all"))
+           .select("id", "th", F.posexplode("all").alias("line", "raw"))
+           .filter(F.col("raw").rlike(f"[^{SPACE}]")).withColumn("words", _words(F.col("raw"))).withColumn("n", F.size("words")))
     cut = cut.withColumn("h", F.when(F.col("n") >= MIN_WORDS - 1, _half(F.col("n")))).withColumn(
         "g", F.when(F.col("n") >= MIN_WORDS, _half(F.col("n") - 1)))
     key = lambda h: [F.xxhash64(F.lit(0), h, F.slice("words", F.lit(1), h)),
@@ -73,41 +79,55 @@ def _chain(words: Column) -> Column:
     return F.concat(F.array(F.lit(0).cast("long")), F.flatten(F.transform(blocks, lambda k: steps(part(k), F.get(ends, k)))))
 
 
+def _candidates(lines: DataFrame) -> DataFrame:
+    """(a, b, at, ahead, behind) of the lines that share a half with another line: first place, and
+    the shortest shared first and last half (null if it shares none). An edit lies behind a shared
+    first half and before a shared last one."""
+    keyed = lines.select("id", "th", "line", "n", "a", "b", F.posexplode("halves").alias("k", "key"))
+    shared = keyed.groupBy("key").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter("x <> y").select("key")
+    n = F.col("n")
+    h = F.when(F.col("k") < 2, _half(n)).otherwise(_half(n - 1))
+    found = keyed.join(shared, "key", "left_semi").select("id", "th", "line", "a", "b", "k", h.alias("h"))
+    return found.groupBy("a", "b").agg(F.min(_place()).alias("at"), F.min(F.when(F.col("k") % 2 == 0, F.col("h"))).alias("ahead"),
+                                       F.min(F.when(F.col("k") % 2 == 1, F.col("h"))).alias("behind"))
+
+
 def _near(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """(a, b) of the lines that differ in one word from a line before their own first place."""
-    keyed = lines.select("id", "th", "line", "a", "b", F.explode("halves").alias("key"))
-    shared = (keyed.groupBy("key").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter("x <> y").select("key"))
-    firsts = keyed.join(shared, "key", "left_semi").groupBy("a", "b").agg(F.min(_place()).alias("at"))
-    firsts = durable(firsts, "lines-candidates")
+    firsts = durable(_candidates(lines), "lines-candidates")
     # Their words, from the documents that hold their first places.
     wanted = (firsts.groupBy(F.col("at.id").alias("__id"), F.col("at.th").alias("__th"))
-              .agg(F.collect_list(F.struct("a", "b", "at")).alias("want")))
+              .agg(F.collect_list(F.struct("a", "b", "at", "ahead", "behind")).alias("want")))
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     source = docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(whole).alias("th"), whole.alias("text"))
     found = source.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
-    found = found.withColumn("raw", F.split("text", "\n")).select("raw", F.explode("want").alias("w"))
-    found = (found.select("w.a", "w.b", "w.at", _words(F.get("raw", F.col("w.at.line"))).alias("words"))
-             .dropDuplicates(["a", "b"]))
-    found = durable(found, "lines-words")
-    n = F.size("words")
-    ready = (found.select("a", "b", "at", "words", _chain(F.col("words")).alias("p"), F.reverse("words").alias("turned"))
-             .select("a", "b", "at", n.alias("n"), "p", F.reverse(_chain(F.col("turned"))).alias("s")))
-    gap = lambda i, r, skip: F.struct(i.alias("i"), F.lit(skip).alias("skip"),
-                                      F.xxhash64(r, i, F.get("p", i), F.get("s", i + skip)).alias("v"))
+    found = found.select("want", F.split("text", "\n").alias("raw"))
+    picked = F.transform("want", lambda w: F.struct(w.a.alias("a"), w.b.alias("b"), w["at"].alias("at"), w.ahead.alias("ahead"), w.behind.alias("behind"),
+                                                    F.get("raw", w["at"]["line"]).alias("raw")))
+    found = found.select(F.explode(picked).alias("w")).select("w.*")
+    found = found.select("a", "b", "at", "ahead", "behind", _words(F.col("raw")).alias("words")).dropDuplicates(["a", "b"])
+    # Numbered in the order of their places: one number stands for a line and for its place.
+    found = ranked(found.select("*", "at.*").drop("at"), ["last", "id", "th", "line"], "k").select("k", "a", "b", "ahead", "behind", "words")
+    ready = (found.select("k", "ahead", "behind", "words", _chain(F.col("words")).alias("p"), F.reverse("words").alias("turned"))
+             .select("k", "ahead", "behind", F.size("words").alias("n"), "p", F.reverse(_chain(F.col("turned"))).alias("s")))
+    # Variants at the places where an edit can lie: a gap before word i, or word i left out.
     n = F.col("n")
-    variants = F.concat(F.transform(F.sequence(F.lit(0), n), lambda i: gap(i, n, 0)),
-                        F.when(n >= MIN_WORDS, F.transform(F.sequence(F.lit(0), n - 1), lambda i: gap(i, n - 1, 1)))
-                        .otherwise(F.array().cast("array<struct<i:int,skip:int,v:bigint>>")))
-    variants = durable(ready.select("a", "b", "at", F.explode(variants).alias("g")).select("a", "b", "at", "g.i", "g.skip", "g.v"), "lines-variants")
-    first = (variants.groupBy("v").agg(F.min(F.struct("at", "a", "b", "skip")).alias("f"), F.count(F.lit(1)).alias("m"))
-             .filter("m > 1").select(F.col("v").alias("__v"), "f"))
-    met = variants.join(first, F.col("v") == F.col("__v")).filter(F.col("f.at") < F.col("at")).select(
-        "a", "b", "i", "skip", F.col("f.a").alias("fa"), F.col("f.b").alias("fb"), F.col("f.skip").alias("fskip"))
+    low = F.when(F.col("behind").isNotNull(), F.lit(0)).otherwise(F.col("ahead"))
+    high = F.when(F.col("ahead").isNotNull(), n).otherwise(n - F.col("behind"))
+    span = high - low + 1
+    cut = F.arrays_zip(F.slice("p", low + 1, span).alias("p"), F.slice("s", low + 1, span).alias("s"), F.slice("s", low + 2, span).alias("t"))
+    places = ready.repartition("k").select("k", "n", low.alias("low"), F.posexplode(cut).alias("j", "z")).withColumn("i", F.col("j") + F.col("low"))
+    gap = F.struct(F.lit(0).alias("skip"), F.xxhash64("n", "i", "z.p", "z.s").alias("v"))
+    left_out = F.struct(F.lit(1).alias("skip"), F.when(F.col("z.t").isNotNull() & (n >= MIN_WORDS), F.xxhash64(n - 1, "i", "z.p", "z.t")).alias("v"))
+    variants = places.select("k", "i", F.inline(F.array(gap, left_out))).filter("v is not null")
+    variants = durable(variants.select("k", "i", "skip", "v"), "lines-variants")
+    first = variants.groupBy("v").agg(F.min("k").alias("f"), F.max("k").alias("l")).filter("f < l").select(F.col("v").alias("__v"), "f")
+    met = variants.join(first, F.col("v") == F.col("__v")).filter("k > f").select("k", "i", "skip", "f")
     # Verify on the words themselves: equal before the place and after what is left out.
-    mine = found.select(F.col("a").alias("__a"), F.col("b").alias("__b"), "words")
-    other = found.select(F.col("a").alias("__fa"), F.col("b").alias("__fb"), F.col("words").alias("fwords"))
-    both = (met.join(mine, (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")))
-            .join(other, (F.col("fa") == F.col("__fa")) & (F.col("fb") == F.col("__fb"))))
+    mine = found.select(F.col("k").alias("__k"), "a", "b", "words")
+    other = found.select(F.col("k").alias("__f"), F.col("words").alias("fwords"))
+    both = met.join(mine, F.col("k") == F.col("__k")).join(other, F.col("f") == F.col("__f"))
+    both = both.withColumn("fskip", F.size("fwords") - F.size("words") + F.col("skip")).filter("fskip in (0, 1)")
     head = lambda w: F.slice(w, F.lit(1), F.col("i"))
     tail = lambda w, skip: F.slice(w, F.col("i") + F.col(skip) + 1, F.size(w))
     same = (head("words") == head("fwords")) & (tail("words", "skip") == tail("fwords", "fskip"))
@@ -189,4 +209,4 @@ def oracle_sql() -> str:
       k as (select doc_id, count(*) as n_lines, count(*) filter (gone) as n_removed,
               coalesce(string_agg(line, ',' order by line) filter (gone), '') as removed_lines from j group by doc_id)
       select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, coalesce(removed_lines, '') as removed_lines
-      from documents d left join k on d.doc_id = k.doc_id"""
+      from documents d left join k on d.doc_id is not distinct from k.doc_id"""
