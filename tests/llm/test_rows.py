@@ -70,6 +70,22 @@ def test_shards(spark, n):
         assert cut <= 0.1 * 117 and len(where["hot"]) <= 18
 
 
+def test_shards_beside_a_class_beyond_quotas(spark):
+    """Pairs too small to be seeded (a quota is 300 rows), a third of all rows in one class: shards
+    that the class fills take no pairs, and the others keep them whole."""
+    n = 12_000
+    texts = ["hot"] * (n // 3) + [f"pair {k // 2}" for k in range(n // 3)] + [f"lone {k}" for k in range(n // 3)]
+    got = sharding.shard(spark.createDataFrame([(None if k % 5 == 0 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")).collect()
+    sizes = [sorted(r.slot for r in got if r.shard == s) for s in range(40)]
+    assert all(s == list(range(300)) for s in sizes)
+    shards = {}
+    for r in got:
+        shards.setdefault(r.text_crc32, set()).add(r.shard)
+    pairs = [shards[zlib.crc32(f"pair {k}".encode())] for k in range(n // 6)]
+    assert sum(len(s) > 1 for s in pairs) <= 0.02 * len(pairs)
+    assert len(shards[zlib.crc32(b"hot")]) <= 15
+
+
 def test_languages_of_unseen_rows(spark, sf_small):
     truth = {r.doc_id: r.lang for r in common.documents(spark, sf_small).collect()}
     rows = language.query(spark, sf_small).collect()
