@@ -152,6 +152,24 @@ def test_stream_ingest_reads_each_file_once(spark, tmp_path):
     assert df.filter("ssn_last4 like 'XX%'").count() == 8
 
 
+def test_stream_files_never_share_a_partition(spark, tmp_path):
+    """Two names whose paths agree in 31 bits of their hash, delivered one after the other."""
+    src = tmp_path / "landing"
+    src.mkdir()
+    write_csv(src / "b.csv", [])
+    prefix = spark.read.text(str(src)).select("_metadata.file_path").first()[0].removesuffix("b.csv")
+    names = spark.range(400_000).select(F.concat(F.lit("b"), F.col("id").cast("string"), F.lit(".csv")).alias("name"))
+    cut = F.shiftrightunsigned(F.xxhash64(F.concat(F.lit(prefix), "name")), 33)
+    pair = names.groupBy(cut.alias("cut")).agg(F.collect_list("name").alias("names")).filter(F.size("names") > 1).first().names
+    bronze, ckpt = str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    for k, name in enumerate(pair):
+        write_csv(src / name, [line(i) for i in range(3 * k, 3 * k + 3)])
+        stream_ingest(spark, str(src), bronze, ckpt)
+    df = spark.read.parquet(bronze)
+    assert df.count() == 3 * len(pair) and df.select("_batch").distinct().count() == len(pair)
+    assert df.filter("_batch >= 0").count() == 0
+
+
 def test_models_materialize_as_views_and_tables(spark, sf_small, tmp_path):
     from ledgerspark.plans import models
     L = Ledger(spark, sf_small)
