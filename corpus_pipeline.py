@@ -18,7 +18,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line repeats within one word go; a text left without a line goes too."""
+    """Lines that an earlier line repeats within one word, or a tenth of a long line's, go; a text left without a line goes too."""
     return lines.dedup_lines(docs)
 
 

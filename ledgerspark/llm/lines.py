@@ -10,6 +10,12 @@ with no other line are done after one grouped pass over hashes. The others emit
 within the edit bound as a hashed key: each word deleted, and each gap where the other line may
 have one word more. Lines that meet in a variant are within one edit. A group only passes on its
 earliest line, so its size never matters, and the words of both are compared before a line goes.
+
+``dedup_lines`` also takes lines that differ in up to a tenth of the longer one's words, from 20
+words on (``wide``; op6 leaves it out, its SQL has one word). Each edit touches ``GRAM`` runs of as
+many words at most, so two such lines share a run that is among the rarest of both: lines meet in
+these, and their word edit distance is computed. A line is compared with the earliest of each
+meeting first, and only what is left with every earlier one.
 """
 
 from __future__ import annotations
@@ -21,6 +27,10 @@ from .common import SPACE, documents, durable, fresh, ranked
 
 #: Words that the longer of two lines needs for an edit: five words keep four fifths alike.
 MIN_WORDS = 5
+#: One word in so many may differ under ``wide``.
+TENTH = 10
+#: Words of a run.
+GRAM = 6
 _BLOCK = 256
 
 
@@ -92,20 +102,69 @@ def _candidates(lines: DataFrame) -> DataFrame:
                                        F.min(F.when(F.col("k") % 2 == 1, F.col("h"))).alias("behind"))
 
 
-def _near(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(a, b) of the lines that differ in one word from a line before their own first place."""
-    firsts = durable(_candidates(lines), "lines-candidates")
-    # Their words, from the documents that hold their first places.
+def _with_words(firsts: DataFrame, docs: DataFrame, id_column: str, text: str, columns: list[str]) -> DataFrame:
+    """``columns`` (``at`` among them) and the words of lines, from the documents that hold their
+    first places; once for each of several equal documents."""
     wanted = (firsts.groupBy(F.col("at.id").alias("__id"), F.col("at.th").alias("__th"))
-              .agg(F.collect_list(F.struct("a", "b", "at", "ahead", "behind")).alias("want")))
+              .agg(F.collect_list(F.struct(*columns)).alias("want")))
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     source = docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(whole).alias("th"), whole.alias("text"))
     found = source.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
     found = found.select("want", F.split("text", "\n").alias("raw"))
-    picked = F.transform("want", lambda w: F.struct(w.a.alias("a"), w.b.alias("b"), w["at"].alias("at"), w.ahead.alias("ahead"), w.behind.alias("behind"),
-                                                    F.get("raw", w["at"]["line"]).alias("raw")))
-    found = found.select(F.explode(picked).alias("w")).select("w.*")
-    found = found.select("a", "b", "at", "ahead", "behind", _words(F.col("raw")).alias("words")).dropDuplicates(["a", "b"])
+    picked = F.transform("want", lambda w: F.struct(*[w[c].alias(c) for c in columns], F.get("raw", w["at"]["line"]).alias("raw")))
+    return found.select(F.explode(picked).alias("w")).select("w.*").select(*columns, _words(F.col("raw")).alias("words"))
+
+
+def _within(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """k of the (k, f) whose words differ in a tenth of the longer line's number at most. Words
+    become characters, numbered within the pair, so that the distance counts words."""
+    mine = found.select(F.col("k").alias("__k"), "words")
+    other = found.select(F.col("k").alias("__f"), F.col("words").alias("fwords"))
+    both = pairs.join(mine, F.col("k") == F.col("__k")).join(other, F.col("f") == F.col("__f"))
+    both = both.select("k", "words", "fwords", F.array_distinct(F.concat("words", "fwords")).alias("all"))
+
+    def letter(w: Column) -> Column:
+        at = F.array_position("all", w) + 255
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(at < 0xD800, at).otherwise(at + 0x800)), 8, "0")), "UTF-32")
+
+    both = both.select("k", F.floor(F.greatest(F.size("words"), F.size("fwords")) / TENTH).cast("int").alias("bound"),
+                       *[F.array_join(F.transform(c, letter), "").alias(c) for c in ("words", "fwords")])
+    return both.filter(F.levenshtein("words", "fwords") <= F.col("bound")).select("k").distinct()
+
+
+def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(a, b) of the lines that differ from an earlier one in up to a tenth of the longer one's
+    words, two words or more."""
+    n = F.col("n")
+    edits = F.floor(n / (TENTH - 1)).cast("int")  # the most, if the other line is the longer one
+    firsts = lines.filter(edits > 1).groupBy("a", "b", "n").agg(F.min(_place()).alias("at"))
+    firsts = ranked(firsts.select("a", "b", "n", "at.*"), ["last", "id", "th", "line"], "k")
+    firsts = firsts.withColumn("at", F.struct("id", "th", "line"))
+    found = durable(_with_words(firsts, docs, id_column, text, ["k", "n", "at"]).dropDuplicates(["k"]).select("k", "n", "words"), "lines-long")
+    # Runs of GRAM words; one that a line holds again counts as another.
+    runs = found.select("k", "n", F.transform(F.sequence(F.lit(1), n - GRAM + 1), lambda i: F.xxhash64(F.slice("words", i, F.lit(GRAM)))).alias("g"))
+    again = F.transform("g", lambda x, i: F.xxhash64(x, F.size(F.filter(F.slice("g", F.lit(1), i), lambda y: y == x))))
+    runs = runs.select("k", "n", F.explode(F.when(F.size(F.array_distinct("g")) == F.size("g"), F.transform("g", lambda x: F.xxhash64(x, F.lit(0)))).otherwise(again)).alias("t"))
+    shared = durable(runs.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("t").alias("__t"), "c"), "lines-runs")
+    per = runs.join(shared, F.col("t") == F.col("__t")).groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
+    # A line and its partner share one of their rarest GRAM * edits + 1 runs; those it shares with none come first.
+    rarest = edits * GRAM + 1 - (n - GRAM + 1 - F.size("r"))
+    keys = durable(per.filter(rarest > 0).select("k", "n", F.explode(F.slice("r", F.lit(1), rarest)).alias("r")).select("k", "n", "r.t"), "lines-keys")
+    first = keys.groupBy(F.col("t").alias("__t")).agg(F.min("k").alias("f"))
+    met = keys.join(first, F.col("t") == F.col("__t")).filter("k > f").select("k", "f").distinct()
+    near = durable(_within(met, found), "lines-wide-first")
+    left = keys.join(near, "k", "left_anti")
+    earlier = keys.select(F.col("t").alias("__t"), F.col("k").alias("f"), F.col("n").alias("m"))
+    close = F.abs(n - F.col("m")) <= F.floor(F.greatest("n", "m") / TENTH)
+    met = left.join(earlier, F.col("t") == F.col("__t")).filter((F.col("k") > F.col("f")) & close).select("k", "f").distinct()
+    near = near.union(durable(_within(met, found), "lines-wide-rest"))
+    return firsts.join(near, "k", "left_semi").select("a", "b")
+
+
+def _near(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(a, b) of the lines that differ in one word from a line before their own first place."""
+    firsts = durable(_candidates(lines), "lines-candidates")
+    found = _with_words(firsts, docs, id_column, text, ["a", "b", "at", "ahead", "behind"]).dropDuplicates(["a", "b"])
     # Numbered in the order of their places: one number stands for a line and for its place.
     found = ranked(found.select("*", "at.*").drop("at"), ["last", "id", "th", "line"], "k").select("k", "a", "b", "ahead", "behind", "words")
     ready = (found.select("k", "ahead", "behind", "words", _chain(F.col("words")).alias("p"), F.reverse("words").alias("turned"))
@@ -134,11 +193,14 @@ def _near(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataF
     return both.filter(same).select("a", "b").distinct()
 
 
-def judged_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def judged_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", wide: bool = False) -> DataFrame:
     """(id, th, line, removed) of every line with a word; th is a hash of the whole text. Rows with
     equal id and text are one document listed several times: each copy is judged alike."""
     lines = durable(_lines(docs, id_column, text), "lines")
-    near = durable(_near(lines, docs, id_column, text), "lines-near").withColumn("near", F.lit(True))
+    near = durable(_near(lines, docs, id_column, text), "lines-near")
+    if wide:
+        near = durable(near.union(_wide(lines, docs, id_column, text)).distinct(), "lines-near")
+    near = near.withColumn("near", F.lit(True))
     again = lines.groupBy("a", "b").agg(F.min(_place()).alias("first"), F.max(_place()).alias("final")).filter(
         F.col("first") < F.col("final")).select("a", "b", "first")
     bad = again.join(near, ["a", "b"], "full").select(F.col("a").alias("__a"), F.col("b").alias("__b"), "first",
@@ -148,21 +210,21 @@ def judged_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     return joined.select("id", "th", "line", gone.alias("removed"))
 
 
-def removals(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def removals(docs: DataFrame, id_column: str = "doc_id", text: str = "text", wide: bool = False) -> DataFrame:
     """(id, th, n_lines, gone) of every text with a line that has a word; gone: line numbers."""
-    per = judged_lines(docs, id_column, text).groupBy("id", "th").agg(
+    per = judged_lines(docs, id_column, text, wide).groupBy("id", "th").agg(
         F.max("line").alias("m"), F.collect_set(F.when(F.col("removed"), F.col("line"))).alias("gone"),
         F.count_distinct("line").alias("n_lines"))
     return per.select("id", "th", "n_lines", F.sort_array("gone").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", drop_emptied: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", drop_emptied: bool = True, wide: bool = True) -> DataFrame:
     """The input with its removed lines cut out of ``text`` (and ``n_chars`` counted anew where
     there is such a column). Lines without a word stay. A text that loses its last line with a word
     goes with its row, unless ``drop_emptied`` is false; null, empty and blank texts stay as they are."""
     hashed, id_, th, n, gone = (fresh(docs, x) for x in ("hashed", "id", "th", "n", "gone"))
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    found = removals(docs, id_column, text).filter(F.size("gone") > 0).select(
+    found = removals(docs, id_column, text, wide).filter(F.size("gone") > 0).select(
         F.col("id").alias(id_), F.col("th").alias(th), F.col("n_lines").alias(n), F.col("gone").alias(gone))
     same_row = F.col(f"`{id_column}`").eqNullSafe(F.col(id_)) & (F.col(hashed) == F.col(th))
     out = docs.withColumn(hashed, F.xxhash64(whole)).join(found, same_row, "left")

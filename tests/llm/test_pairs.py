@@ -142,6 +142,34 @@ def test_lines_of_the_example(spark):
     assert out == {1: rows[0][1], 3: "short lines", 5: rows[4][1], 7: None, 8: "", 9: " \n "}
 
 
+def word_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_lines_within_a_tenth_of_their_words(spark):
+    """All pairs by brute force: edits around the bound, long repeats, one passage in many lines."""
+    rnd, rows = random.Random(9), [(0, "9 " * 60), (1, "9 " * 57)]
+    passage = prose(77, 12)
+    for k in range(16):
+        base = (passage + " " + prose(100 + k, rnd.choice([10, 18, 40]))).split() if k % 3 == 0 else prose(100 + k, rnd.choice([18, 20, 29, 50, 90])).split()
+        for edits in (0, 1, 2, len(base) // 10, len(base) // 10 + 1):
+            words = list(base)
+            for _ in range(edits):
+                at = rnd.randrange(len(words))
+                words[at:at + 1] = rnd.choice([[], ["qqq"], [words[at], "zz"]])
+            rows.append((len(rows), " ".join(words)))
+    lists = [t.split() for _, t in rows]
+    want = {i for i, w in enumerate(lists) if any(
+        w == v or word_distance(w, v) <= max(max(len(w), len(v)) // 10, 1) for v in lists[:i])}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in lines.dedup_lines(df).collect()} == set(range(len(rows))) - want
+
+
 def test_benchmark_passages(spark, sf_small):
     """Whole items in long texts, and items with every sixth word replaced, are found; texts
     without any are not."""
