@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language, lines, packing, pii, quality, sharding, simhash, suffixes, toxicity
+from . import conversations, decontamination, language, lines, packing, pii, quality, sharding, simhash, suffixes, toxicity, whitening
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -15,10 +15,13 @@ QUERIES = {
     "op8_language_id": language.query,
     "op9_quality_rules": quality.query,
     "op10_toxicity": toxicity.query,
+    "op11_conversation_repair": conversations.query,
+    "op13_embedding_whitening": whitening.query,
 }
 
 ORACLE = {
     "op1_pii": pii.oracle_sql(),
     "op6_line_dedup": lines.oracle_sql(),
     "op9_quality_rules": quality.oracle_sql(),
+    "op11_conversation_repair": conversations.oracle_sql(),
 }
