@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import conversations, decontamination, language, lines, packing, pii, quality, sharding, simhash, suffixes, toxicity, whitening
+from . import conversations, decontamination, language, lines, minhash, packing, pii, quality, sharding, simhash, suffixes, toxicity, whitening
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quality_rules": quality.query,
     "op10_toxicity": toxicity.query,
     "op11_conversation_repair": conversations.query,
+    "op12_minhash_near_dedup": minhash.query,
     "op13_embedding_whitening": whitening.query,
 }
 
@@ -24,4 +25,5 @@ ORACLE = {
     "op6_line_dedup": lines.oracle_sql(),
     "op9_quality_rules": quality.oracle_sql(),
     "op11_conversation_repair": conversations.oracle_sql(),
+    "op12_minhash_near_dedup": minhash.oracle_sql(),
 }
