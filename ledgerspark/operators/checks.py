@@ -96,6 +96,30 @@ def transaction_contract(with_uuid: bool = True) -> list[Check]:
     return checks
 
 
+def text_contract(json: bool = False) -> list[Check]:
+    """The whole contract of the feed on undecoded text (every field a string, see
+    ``sources.ingest.read_strings``): a type check per field, the field constraints, and for a JSON
+    delivery one check of the record's formats, which a decoded value no longer shows: identifiers
+    are uuids and timestamps carry their zone. 28 checks, or 29."""
+    number = lambda: F.col("amount").try_cast("double")
+    checks = []
+    for c, logical in TRANSACTION_LOGICAL_TYPES.items():
+        cast_to = _CASTS.get(logical)
+        wrong = (lambda c=c, t=cast_to: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()) if cast_to else (lambda: F.lit(False))
+        checks.append(Check("type", c, "row", wrong))
+    for check in transaction_contract(with_uuid=False):
+        if check.column == "amount" and check.name == "exclusiveMinimum":
+            check = Check(check.name, "amount", "row", lambda: ~(number() > 0))
+        elif check.column == "amount" and check.name == "maximum":
+            check = Check(check.name, "amount", "row", lambda: ~(number() <= 1_000_000))
+        checks.append(check)
+    if json:
+        zones = [~F.col(c).rlike(OFFSET_TIMESTAMP_PATTERN) for c, t in TRANSACTION_LOGICAL_TYPES.items() if t == "timestamp"]
+        wrong = reduce(lambda p, q: p | q, [F.coalesce(z, F.lit(False)) for z in [~F.col("transaction_id").rlike(UUID_PATTERN), *zones]])
+        checks.append(Check("format", "record", "row", lambda: wrong))
+    return checks
+
+
 TRANSACTION_LOGICAL_TYPES = {
     "transaction_id": "string", "account_id": "string", "customer_name": "string", "ssn_last4": "string",
     "amount": "number", "currency": "string", "transaction_type": "string",

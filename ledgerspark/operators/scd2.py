@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 from ..sources.schemas import ACCOUNT_KEYS, ACCOUNT_TRACKED, OPEN_END
 
 VF, VT, CUR = "valid_from", "valid_to", "is_current"
+#: Flags of a merge's output: rows that this merge wrote, and those of them that are new.
+WRITTEN, INSERTED = "_written", "_inserted"
+FLAGS = (WRITTEN, INSERTED)
 
 # outcome labels of a batch row
 FORWARD, NO_OP = "forward_change", "no_op"
@@ -52,7 +55,7 @@ class MergeResult:
     outcomes: DataFrame  # one row per batch row with its outcome
     staged: DataFrame    # shrinks and inserts that were applied
     changes: DataFrame   # rows of the new history written by this merge (for the change log)
-    flagged: DataFrame | None = None  # new history plus ``_written`` (one write gives both)
+    flagged: DataFrame | None = None  # new history plus ``FLAGS`` (one write gives all)
 
 
 def open_end() -> Column:
@@ -200,9 +203,9 @@ def merge(history: DataFrame, batch: DataFrame, keys: Sequence[str] = ACCOUNT_KE
     old, hit = F.col("_old").isNotNull(), F.col("_hit").isNotNull()
     out = left.join(right, on, "full").select(
         *[F.when(old, F.col(c)).otherwise(F.col(f"_s_{c}")).alias(c) for c in [*keys, *tracked, VF]],
-        *[F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in (VT, CUR)], hit.alias("_written"))
+        *[F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in (VT, CUR)], hit.alias(WRITTEN), (hit & ~old).alias(INSERTED))
     outcomes = y.select(*keys, *tracked, eff, F.when(F.col("_bad"), F.lit(AMBIGUOUS)).otherwise(o).alias("outcome"))
-    return MergeResult(out.drop("_written"), outcomes, staged, out.filter("_written").drop("_written"), out)
+    return MergeResult(out.drop(*FLAGS), outcomes, staged, out.filter(WRITTEN).drop(*FLAGS), out)
 
 
 SUPERSEDED, SAME_DAY = "superseded_same_day", "same_day_replace"
@@ -271,11 +274,10 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
     u = u.withColumn(VT, F.coalesce(nxt, open_end())).withColumn(CUR, nxt.isNull())
     moved = lambda to, cur: (F.col(VT) != F.col(to)) | (F.col(CUR) != F.col(cur))
     written = F.when(src == 0, moved("_old_to", "_old_cur")).when(restated, moved("_hit_to", "_hit_cur")).otherwise(F.lit(True))
-    out = u.select(*keys, *tracked, VF, VT, CUR, written.alias("_written"), ((src == 1) & ~hit).alias("_new"))
-    untouched = history.filter(~known).select(*keys, *tracked, VF, VT, CUR, F.lit(False).alias("_written"), F.lit(False).alias("_new"))
+    out = u.select(*keys, *tracked, VF, VT, CUR, written.alias(WRITTEN), ((src == 1) & ~hit).alias(INSERTED))
+    untouched = history.filter(~known).select(*keys, *tracked, VF, VT, CUR, F.lit(False).alias(WRITTEN), F.lit(False).alias(INSERTED))
     out = out.unionByName(untouched)
-    staged = out.filter("_written").select(*keys, VF, *tracked, VT, CUR, F.when(F.col("_new"), "insert").otherwise("shrink").alias("_kind"))
-    out = out.drop("_new")
+    staged = out.filter(WRITTEN).select(*keys, VF, *tracked, VT, CUR, F.when(F.col(INSERTED), "insert").otherwise("shrink").alias("_kind"))
 
     on_time = vf >= F.col("_last_h")
     cols = [*keys, *tracked, F.col(VF).alias(eff)]
@@ -294,7 +296,7 @@ def merge_timeline(history: DataFrame, batch: DataFrame, keys: Sequence[str] = A
         .unionByName(batch.filter(~known & F.col(eff).isNotNull()).select(*keys, *tracked, eff, F.lit(UNKNOWN_KEY).alias("outcome")))
         .unionByName(ambiguous.withColumn("outcome", F.lit(AMBIGUOUS)))
         .unionByName(superseded.withColumn("outcome", F.lit(SUPERSEDED))))
-    return MergeResult(out.drop("_written"), outcomes, staged, out.filter("_written").drop("_written"), out)
+    return MergeResult(out.drop(*FLAGS), outcomes, staged, out.filter(WRITTEN).drop(*FLAGS), out)
 
 
 def check_timeline(history: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS, split_days: int | None = None) -> DataFrame:

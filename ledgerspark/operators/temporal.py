@@ -79,6 +79,16 @@ def as_of_version(log: DataFrame, version: int | None = None, keys: Sequence[str
             .drop("_rn", VERSION, OPERATION))
 
 
+def as_of_checkpoint(state: DataFrame, changes: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataFrame:
+    """A recorded full state brought forward by the changes logged behind it. Only the changes are
+    ranked; the state gives up the rows that they replace and is not shuffled where they are few."""
+    latest = as_of_version(changes, keys=keys)
+    on = [*keys, VF]
+    hit = latest.select(*[F.col(c).alias(f"_n_{c}") for c in on])
+    same = reduce(lambda p, q: p & q, [F.col(c).eqNullSafe(F.col(f"_n_{c}")) for c in on])
+    return state.join(hit, same, "left_anti").unionByName(latest)
+
+
 def version_log(log: DataFrame) -> DataFrame:
     """version, operation, rows written (the data-loss check of a table history)."""
     return (log.groupBy(F.col(VERSION).alias("version"), F.col(OPERATION).alias("operation"))

@@ -23,11 +23,10 @@ def ingestion_lag(silver: DataFrame, min_seconds: int = LATE_INGESTION_SECONDS)
             .orderBy(F.col("lag_hours").desc(), "transaction_id"))
 
 
-def v0_vs_now(log: DataFrame, version: int = 0) -> DataFrame:
-    """Accounts whose recorded state at ``version`` differs from their current row today."""
-    old = as_of_version(log, version).select(
-        "account_id", F.col("credit_limit").alias("credit_limit_at_v0"), F.col("account_status").alias("status_at_v0"))
-    now = as_of_version(log).filter(F.col("is_current")).select(
+def compare_states(old: DataFrame, now: DataFrame) -> DataFrame:
+    """Accounts whose recorded state in ``old`` differs from their current row in ``now``."""
+    old = old.select("account_id", F.col("credit_limit").alias("credit_limit_at_v0"), F.col("account_status").alias("status_at_v0"))
+    now = now.filter(F.col("is_current")).select(
         "account_id", F.col("credit_limit").alias("credit_limit_now"), F.col("account_status").alias("status_now"))
     j = old.join(now, "account_id")
     return (j.filter((F.col("credit_limit_at_v0") != F.col("credit_limit_now"))
@@ -35,8 +34,13 @@ def v0_vs_now(log: DataFrame, version: int = 0) -> DataFrame:
             .select("account_id", "credit_limit_at_v0", "credit_limit_now", "status_at_v0", "status_now"))
 
 
-def v0_vs_now_top(log: DataFrame, n: int = 10) -> DataFrame:
-    return v0_vs_now(log).orderBy("account_id").limit(n)
+def v0_vs_now(log: DataFrame, version: int = 0) -> DataFrame:
+    """The same from a change log alone, which is replayed twice."""
+    return compare_states(as_of_version(log, version), as_of_version(log))
+
+
+def top_accounts(changed: DataFrame, n: int = 10) -> DataFrame:
+    return changed.orderBy("account_id").limit(n)
 
 
 def batch_compare(tagged: DataFrame, by: str = BATCH_COL) -> DataFrame:

@@ -22,12 +22,13 @@ from ..operators.routing import (
     batch_metrics, compare_deliveries, failed_rules, failing, metrics, of_delivery, reason_breakdown, route, tag,
 )
 from ..operators.snapshot import snapshot_check
-from ..session import ensure_utc
+from ..session import ensure_utc, scratch_path
 from ..sources import fixtures
 from ..sources.schemas import (
     ACCEPTED_CURRENCIES, ACCEPTED_STATUSES, ACCOUNT_KEYS, ACCOUNT_TRACKED, BATCH_COL, TRANSACTION_SCHEMA,
 )
 from . import audit, models
+from .store import HistoryStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,30 +110,65 @@ class Ledger:
     def update(self) -> DataFrame:
         return self._get("update", lambda: fixtures.acct_update(self.spark, self.sf))
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that is written once per session and scale factor and read from then on."""
+        key = (self.spark.sparkContext.applicationId, self.sf.rstrip("/"), name)
+        if key not in _STORED:
+            path = scratch_path(self.spark, name)
+            build().write.parquet(path)
+            _STORED[key] = path
+        return self._get(f"stored {name}", lambda: self.spark.read.parquet(_STORED[key]))
+
+    @property
+    def store(self) -> HistoryStore:
+        """The stored history of both account batches, in buckets, with a state every other version."""
+        key = (self.spark.sparkContext.applicationId, self.sf.rstrip("/"), "history store")
+        if key not in _STORED:
+            store = HistoryStore(scratch_path(self.spark, "history"), buckets=16, every=2)
+            store.create(self.h0)
+            store.merge(self.update, 1)
+            store.merge(self.mixed, 2)
+            _STORED[key] = store
+        return _STORED[key]
+
     @property
     def m1(self) -> scd2.MergeResult:
         return self._get("m1", lambda: scd2.merge(self.h0, self.update))
 
+    @property
+    def f1(self) -> DataFrame:
+        """Version 1 with its flags, as a merge job writes it."""
+        return self.stored("version-1", lambda: self.m1.flagged)
+
+    @property
+    def h1(self) -> DataFrame:
+        return self.f1.drop(*scd2.FLAGS)
+
+    @property
+    def f2(self) -> DataFrame:
+        return self.stored("version-2", lambda: self.m2.flagged)
+
     @property
     def t2(self) -> scd2.MergeResult:
         """The same two batches through the timeline merge."""
-        return self._get("t2", lambda: scd2.merge_timeline(scd2.merge_timeline(self.h0, self.update).history,
-                                                           self.mixed))
+        first = lambda: self.stored("timeline-1", lambda: scd2.merge_timeline(self.h0, self.update).history)
+        return self._get("t2", lambda: scd2.merge_timeline(first(), self.mixed))
 
     @property
     def m2(self) -> scd2.MergeResult:
-        return self._get("m2", lambda: scd2.merge(self.m1.history, self.mixed))
+        return self._get("m2", lambda: scd2.merge(self.h1, self.mixed))
 
     @property
     def h2(self) -> DataFrame:
-        return self.m2.history
+        return self.f2.drop(*scd2.FLAGS)
 
     @property
     def log(self) -> DataFrame:
         def build():
             log = temporal.start_log(self.h0)
-            log = temporal.append_changes(log, self.m1.changes, 1)
-            return temporal.append_changes(log, self.m2.changes, 2)
+            for version, flagged in ((1, self.f1), (2, self.f2)):
+                log = temporal.append_changes(log, flagged.filter(scd2.WRITTEN).drop(*scd2.FLAGS), version)
+            return log
         return self._get("log", build)
 
     @property
@@ -147,7 +183,7 @@ class Ledger:
     def snapshot(self) -> DataFrame:
         def build():
             snap = None
-            for hist, ts in zip((self.h0, self.m1.history, self.h2), SNAPSHOT_RUNS):
+            for hist, ts in zip((self.h0, self.h1, self.h2), SNAPSHOT_RUNS):
                 cur = models.stg_accounts_current(models.stg_accounts(hist))
                 snap = snapshot_check(snap, cur, ACCOUNT_KEYS, ACCOUNT_TRACKED, ts)
             return snap
@@ -239,7 +275,7 @@ def q_ingestion_lag(L: Ledger) -> DataFrame:
 
 # ---- step 3: SCD2 ------------------------------------------------------------------------
 def _classified(L: Ledger):
-    return L._get("classified", lambda: scd2.classify(L.m1.history, L.mixed))
+    return L._get("classified", lambda: scd2.classify(L.h1, L.mixed))
 
 
 def _window_cols(prefix: str) -> list:
@@ -279,7 +315,7 @@ def q_scd2_staged(L: Ledger) -> DataFrame:
 
 
 def q_scd2_merge(L: Ledger) -> DataFrame:
-    return L.h2
+    return L.m2.history
 
 
 def q_scd2_merge_timeline(L: Ledger) -> DataFrame:
@@ -287,8 +323,19 @@ def q_scd2_merge_timeline(L: Ledger) -> DataFrame:
 
 
 def q_scd2_merge_lookup(L: Ledger) -> DataFrame:
-    """The strict merge again: labelling by (key, date) lookup is its only form."""
-    return L.h2
+    """Both batches merged copy-on-write into the stored, bucketed history, and the table as read:
+    each merge looks up and replaces the buckets of its batch only."""
+    return L.store.current(L.spark)
+
+
+def q_write_audit(L: Ledger) -> DataFrame:
+    """Observed writes of the stored history against its change log as read."""
+    return L.store.check_writes(L.spark)
+
+
+def q_history_checkpoint(L: Ledger) -> DataFrame:
+    """Version 1 of the stored history: the state of version 0 and one version's changes."""
+    return L.store.as_of(L.spark, 1)
 
 
 def q_scd2_outcomes_timeline(L: Ledger) -> DataFrame:
@@ -326,15 +373,15 @@ def q_history_as_of_version(L: Ledger) -> DataFrame:
 
 
 def q_version_log(L: Ledger) -> DataFrame:
-    return temporal.version_log(L.log)
+    return L.store.version_log(L.spark)
 
 
 def q_v0_vs_now(L: Ledger) -> DataFrame:
-    return audit.v0_vs_now(L.log)
+    return audit.compare_states(L.store.as_of(L.spark, 0), L.store.current(L.spark))
 
 
 def q_v0_vs_now_top10(L: Ledger) -> DataFrame:
-    return audit.v0_vs_now_top(L.log, 10)
+    return audit.top_accounts(q_v0_vs_now(L), 10)
 
 
 def q_state_on_date(L: Ledger) -> DataFrame:
@@ -440,7 +487,7 @@ _STEPS: dict[str, Callable[[Ledger], DataFrame]] = {
     "raw_account_states": q_raw_account_states, "scd2_initial": q_scd2_initial,
     "accounts_current": q_accounts_current, "scd2_normal": q_scd2_normal, "scd2_late_window": q_scd2_late_window,
     "scd2_late_noop": q_scd2_late_noop, "scd2_staged": q_scd2_staged, "scd2_merge": q_scd2_merge,
-    "scd2_merge_timeline": q_scd2_merge_timeline, "scd2_merge_lookup": q_scd2_merge_lookup, "scd2_outcomes": q_scd2_outcomes,
+    "scd2_merge_timeline": q_scd2_merge_timeline, "scd2_merge_lookup": q_scd2_merge_lookup, "write_audit": q_write_audit, "history_checkpoint": q_history_checkpoint, "scd2_outcomes": q_scd2_outcomes,
     "scd2_outcomes_timeline": q_scd2_outcomes_timeline, "scd2_totals": q_scd2_totals,
     "scd2_invariants": q_scd2_invariants, "scd2_invariants_split": q_scd2_invariants_split, "account_trace": q_account_trace, "stg_accounts": q_stg_accounts,
     "history_as_of_version": q_history_as_of_version, "version_log": q_version_log, "v0_vs_now": q_v0_vs_now,
@@ -457,6 +504,8 @@ _STEPS: dict[str, Callable[[Ledger], DataFrame]] = {
 
 
 _LEDGERS: dict[tuple[str, str], Ledger] = {}
+#: What a session has written: paths and stores by (application, data, name).
+_STORED: dict[tuple[str, str, str], object] = {}
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
@@ -470,8 +519,15 @@ def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
 
 
 def fresh_ledgers() -> None:
-    """Forget all plans, so that the next query lists its files and builds its plan anew."""
+    """Forget all plans, so that the next query lists its files and builds its plan anew. Stored
+    versions stay: a query on the history reads it and does not rebuild it."""
+    _LEDGERS.clear()
+
+
+def fresh_stores() -> None:
+    """Forget what was written as well."""
     _LEDGERS.clear()
+    _STORED.clear()
 
 
 def _bind(step: Callable[[Ledger], DataFrame]) -> Query:

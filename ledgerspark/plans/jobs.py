@@ -19,11 +19,13 @@ from ..operators import scd2, temporal
 from ..operators.dedup import dedup_latest
 from ..operators.routing import batch_metrics, tag
 from ..sources import sinks
-from ..sources.ingest import read_batch, read_keys
-from ..sources.schemas import ACCOUNT_STATE_SCHEMA, BATCH_COL, TRANSACTION_SCHEMA
+from ..sources.ingest import read_batch, read_keys, split_unparsed
+from ..sources.schemas import ACCOUNT_STATE_SCHEMA, BATCH_COL, REASON_COL, TRANSACTION_SCHEMA
 from . import models
 
-WRITTEN = "_written"
+
+#: Reason of a record that could not be read as declared.
+UNPARSED = "record_unparsed"
 
 
 @dataclass
@@ -34,6 +36,10 @@ class Layout:
     def bronze(self) -> str:
         return f"{self.root}/bronze/transactions"
 
+    @property
+    def unparsed(self) -> str:
+        return f"{self.root}/bronze/transactions_unparsed"
+
     @property
     def routes(self) -> str:
         return f"{self.root}/silver/transactions_routed"
@@ -55,10 +61,14 @@ class Layout:
         return f"{self.root}/marts/fct_transactions_daily"
 
 
-def ingest_batch(spark: SparkSession, layout: Layout, path: str, batch_id: int, fmt: str = "csv") -> None:
-    """Read one delivery with the declared schema, mask PII, append to bronze (by batch)."""
-    raw = read_batch(spark, path, TRANSACTION_SCHEMA, fmt, batch_id=batch_id)
-    sinks.replace_partition(mask(raw, TRANSACTION_MASK), layout.bronze, BATCH_COL, batch_id)
+def ingest_batch(spark: SparkSession, layout: Layout, path: str, batch_id: int, fmt: str = "csv", header: bool = True) -> None:
+    """Read one delivery with the declared schema, mask PII, append to bronze (by batch). Records
+    that do not parse go to a table of their own, with their text as it came. That text is not
+    masked, so the table is apart from bronze and its readers can be chosen apart."""
+    raw = read_batch(spark, path, TRANSACTION_SCHEMA, fmt, batch_id=batch_id, header=header, keep_text=True)
+    parsed, unparsed = split_unparsed(mask(raw, TRANSACTION_MASK))
+    sinks.replace_partition(parsed, layout.bronze, BATCH_COL, batch_id)
+    sinks.replace_partition(unparsed, layout.unparsed, BATCH_COL, batch_id)
 
 
 def refresh_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
@@ -76,6 +86,13 @@ def dead_letter(spark: SparkSession, layout: Layout) -> DataFrame:
     return sinks.read_route(spark, layout.routes, "dead_letter")
 
 
+def dead_letter_with_text(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The dead letter and, with the reason ``UNPARSED`` and their text, the records that did not
+    parse. These were never deduplicated: a broken record has no sure key."""
+    unparsed = spark.read.parquet(layout.unparsed).withColumn(REASON_COL, F.lit(UNPARSED))
+    return dead_letter(spark, layout).unionByName(unparsed, allowMissingColumns=True)
+
+
 def delivery_metrics(spark: SparkSession, layout: Layout, landing_path: str, fmt: str = "csv") -> DataFrame:
     """Rejection metrics of one delivery: its ids (key-only scan of the landing file) against
     the stored routes, one semi join over both routes."""
@@ -93,7 +110,7 @@ def load_initial_history(spark: SparkSession, layout: Layout, path: str, fmt: st
 
 def history(spark: SparkSession, layout: Layout, version: int) -> DataFrame:
     df = spark.read.parquet(sinks.version_path(layout.history, version))
-    return df.drop(WRITTEN) if WRITTEN in df.columns else df
+    return df.drop(*scd2.FLAGS)
 
 
 def apply_account_batch(spark: SparkSession, layout: Layout, batch: DataFrame, version: int,
@@ -104,7 +121,7 @@ def apply_account_batch(spark: SparkSession, layout: Layout, batch: DataFrame, v
     # one merge job writes the version with a written-row flag; the change log is read back
     # from it (no second merge, no diff of two versions)
     new_path = sinks.write_version(res.flagged, layout.history, version)
-    changes = spark.read.parquet(new_path).filter(F.col(WRITTEN)).drop(WRITTEN)
+    changes = spark.read.parquet(new_path).filter(scd2.WRITTEN).drop(*scd2.FLAGS)
     sinks.replace_partition(changes.withColumn(temporal.OPERATION, F.lit("MERGE")), layout.change_log, temporal.VERSION, version)
     return spark.read.parquet(sinks.write_version(res.outcomes, layout.outcomes, version))
 

@@ -286,6 +286,11 @@ _BODIES = {
                       "lag(credit_limit) over w prev_credit_limit from h2 "
                       "window w as (partition by account_id order by valid_from)"),
     "stg_accounts": "select * replace (cast(credit_limit as double) as credit_limit) from stg_acc",
+    "write_audit": ("select _version version, _operation operation, count(*) rows_written, "
+                    "count(*) filter (where _version = 0 or not known) inserted, count(*) filter (where _version > 0 and known) closed, "
+                    "count(*) rows_read, 'ok' status from (select l.*, exists (select 1 from log p where p._version < l._version "
+                    "and p.account_id = l.account_id and p.valid_from = l.valid_from) known from log l) group by all"),
+    "history_checkpoint": "select * from h1",
     "history_as_of_version": "select * from h1",
     "version_log": "select _version version, _operation operation, count(*) num_output_rows from log group by all",
     "v0_vs_now": ("select n.account_id, o.credit_limit credit_limit_at_v0, n.credit_limit credit_limit_now, "

@@ -7,6 +7,8 @@ tests and the bench, and ``shared_dir`` resolves where durable intermediate tabl
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,9 +70,18 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for durable intermediate tables (``spark.checkpoint.dir``).
 
-    Read from the session; never falls back to a machine-local temporary folder.
+    Read from the session. Where it is unset, a local master (tests) gets a temporary folder of its
+    own; on a cluster, whose executors would each write to their own disk, this raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for durable tables")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for durable tables")
+        path = tempfile.mkdtemp(prefix="ledgerspark-")
+        spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a durable intermediate table."""
+    return f"{shared_dir(spark)}/ledgerspark/{name}-{uuid.uuid4().hex}"

@@ -13,7 +13,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.schemas import REASON_COL
@@ -33,6 +33,20 @@ def _static(df: DataFrame):
     return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
 
 
+def replace_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Replace the partitions of a table that ``df`` has rows for; all others keep their files.
+    AQE cuts or unites the rows of a partition into files of the advisory size."""
+    (df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).parquet(path))
+
+
+def checksum(columns: list[str]) -> Column:
+    """An aggregate that depends on the rows only, not on their order or partitions: the sum of the
+    rows' hashes (of every value and of which values are NULL, since the hash skips NULLs)."""
+    row = F.xxhash64(*[x for c in sorted(columns) for x in (F.col(c), F.col(c).isNull())])
+    return F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = _static(df)
     if partition_by:
