@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.schemas import OPEN_END_TS
@@ -54,3 +54,32 @@ def snapshot_check(prev: DataFrame | None, current: DataFrame, keys: Sequence[st
                    *[F.col(f"_c_{x}").alias(x) for x in non_key], run.alias(SNAP_FROM), end.alias(SNAP_TO))
     out = j.select(F.inline(F.array(old, new))).filter(F.col("_keep"))
     return out.select(*cols, SNAP_FROM, SNAP_TO)
+
+
+STATE, RUN = "_state", "_run"
+
+
+class SnapshotStore:
+    """A stored snapshot, one partition per run and state. A run joins the current table with the
+    open records of the run before, writes the records it closes and all that are open now, and
+    touches nothing else: closed records are written once and never read by a later run. The
+    snapshot at run n is the open part of run n and the closed parts of all runs up to it. A run
+    that is repeated replaces its own partitions."""
+
+    def __init__(self, path: str, keys: Sequence[str], check_cols: Sequence[str]) -> None:
+        self.path, self.keys, self.check_cols = path.rstrip("/"), list(keys), list(check_cols)
+
+    def run(self, current: DataFrame, number: int, run_ts: datetime | str) -> None:
+        """Run ``number`` (0, 1, 2, ...) at ``run_ts``."""
+        prev = self._read(current.sparkSession).filter((F.col(RUN) == number - 1) & (F.col(STATE) == "open")).drop(RUN, STATE) if number else None
+        state = F.when(F.col(SNAP_TO) == _ts(OPEN_END_TS), "open").otherwise("closed")
+        (snapshot_check(prev, current, self.keys, self.check_cols, run_ts).withColumn(STATE, state)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(STATE).parquet(f"{self.path}/{RUN}={number}"))
+
+    def _read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.option("basePath", self.path).parquet(f"{self.path}/{RUN}=*")
+
+    def records(self, spark: SparkSession, number: int) -> DataFrame:
+        """All records as of run ``number``."""
+        run, state = F.col(RUN), F.col(STATE)
+        return self._read(spark).filter(((state == "open") & (run == number)) | ((state == "closed") & (run <= number))).drop(RUN, STATE)

@@ -21,13 +21,15 @@ from ..operators.dedup import dedup_latest, dedup_stats
 from ..operators.routing import (
     batch_metrics, compare_deliveries, failed_rules, failing, metrics, of_delivery, reason_breakdown, route, tag,
 )
-from ..operators.snapshot import snapshot_check
+from ..operators.snapshot import SnapshotStore, snapshot_check
 from ..session import ensure_utc, scratch_path
 from ..sources import fixtures
+from ..sources.ingest import CORRUPT_COL
 from ..sources.schemas import (
     ACCEPTED_CURRENCIES, ACCEPTED_STATUSES, ACCOUNT_KEYS, ACCOUNT_TRACKED, BATCH_COL, TRANSACTION_SCHEMA,
 )
-from . import audit, models
+from . import audit, jobs, models
+from .silver import SilverStore
 from .store import HistoryStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +173,51 @@ class Ledger:
             return log
         return self._get("log", build)
 
+    @property
+    def lake(self) -> jobs.Layout:
+        """Bronze of the three deliveries, from landing files with a header. Some records are broken:
+        one field short, one too long, or a word for an amount."""
+        key = (self.spark.sparkContext.applicationId, self.sf.rstrip("/"), "lake")
+        if key not in _STORED:
+            layout = jobs.Layout(scratch_path(self.spark, "lake"))
+            for batch in (1, 2, 3):
+                landing = f"{layout.root}/landing/{batch}"
+                self.landing(batch).write.text(landing)
+                jobs.ingest_batch(self.spark, layout, landing, batch, header=False)
+            _STORED[key] = layout
+        return _STORED[key]
+
+    def landing(self, batch: int) -> DataFrame:
+        """The lines of one delivery: every sending of the fixture, and a broken copy of some."""
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TX_COLUMNS]
+        line = F.concat_ws(",", *fields)
+        number = F.regexp_extract("transaction_id", "[0-9]+", 0).cast("long")
+        broken = (F.when(number % 50 == 1, F.concat_ws(",", *fields[:-1])).when(number % 50 == 2, F.concat(line, F.lit(",more")))
+                  .when(number % 50 == 3, F.concat_ws(",", *fields[:4], F.lit("many"), *fields[5:])))
+        sent = self.raw.filter(F.col(BATCH_COL) == batch)
+        return sent.select(F.explode(F.array_compact(F.array(line, broken))).alias("value"))
+
+    @property
+    def silver_store(self) -> SilverStore:
+        key = (self.spark.sparkContext.applicationId, self.sf.rstrip("/"), "silver store")
+        if key not in _STORED:
+            store = SilverStore(scratch_path(self.spark, "silver"), buckets=16, threshold=fixtures.FIXTURE_HIGH_VALUE)
+            store.create(self.bronze)
+            for batch in (1, 2, 3):
+                store.add(self.bronze.filter(F.col(BATCH_COL) == batch), batch)
+            _STORED[key] = store
+        return _STORED[key]
+
+    @property
+    def snapshot_store(self) -> SnapshotStore:
+        key = (self.spark.sparkContext.applicationId, self.sf.rstrip("/"), "snapshot store")
+        if key not in _STORED:
+            store = SnapshotStore(scratch_path(self.spark, "snapshot"), ACCOUNT_KEYS, ACCOUNT_TRACKED)
+            for n, (hist, ts) in enumerate(zip((self.h0, self.h1, self.h2), SNAPSHOT_RUNS)):
+                store.run(models.stg_accounts_current(models.stg_accounts(hist)), n, ts)
+            _STORED[key] = store
+        return _STORED[key]
+
     @property
     def stg_acc(self) -> DataFrame:
         return self._get("stg_acc", lambda: models.stg_accounts(self.h2))
@@ -237,7 +284,23 @@ def q_mask_pii(L: Ledger) -> DataFrame:
 
 
 def q_bronze_append(L: Ledger) -> DataFrame:
-    return L.bronze
+    """The three deliveries as landing files, read with the declared schema, masked and appended."""
+    return L.spark.read.parquet(L.lake.bronze)
+
+
+def q_unparsed_records(L: Ledger) -> DataFrame:
+    """Records of the landing files that do not parse, with their text."""
+    return L.spark.read.parquet(L.lake.unparsed).select(BATCH_COL, F.col(CORRUPT_COL).alias("record"))
+
+
+def q_silver_incremental(L: Ledger) -> DataFrame:
+    """Silver after three deliveries, each merged into the buckets of its keys."""
+    return L.silver_store.silver(L.spark)
+
+
+def q_mart_incremental(L: Ledger) -> DataFrame:
+    """The daily mart after three deliveries, from what each added or took away."""
+    return _decimals_to_double(L.silver_store.daily_mart(L.spark))
 
 
 def q_dead_letter(L: Ledger) -> DataFrame:
@@ -461,11 +524,33 @@ def _model_tests(L: Ledger, which: str) -> DataFrame:
     return C.with_success(out)
 
 
+def q_contract_json(L: Ledger) -> DataFrame:
+    """The contract on JSON records as they came: some stamps lack their zone, some amounts are words."""
+    key = F.col("transaction_id")
+    stamp = lambda c: F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.when(key.endswith("31"), "").otherwise("Z"))
+    fields = {c: F.col(c) for c in TX_COLUMNS} | {c: stamp(c) for c in TX_COLUMNS if c.endswith("timestamp")}
+    uuid = F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(F.regexp_extract("transaction_id", "[0-9]+", 0), 12, "0"))
+    fields["transaction_id"] = F.when(key.endswith("77"), key).otherwise(uuid)
+    fields["amount"] = F.when(key.endswith("7"), F.lit('"n/a"')).otherwise(F.col("amount").cast("string"))
+    # (to_json would quote the amounts: a number stands as it is)
+    text = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items() if n != "amount"]))
+    record = F.concat(F.lit('{"amount":'), F.coalesce(fields["amount"], F.lit("null")), F.lit(","), F.substr(text, F.lit(2)))
+    records = L.raw.select(record.alias("record"))
+    schema = ", ".join(f"{c} string" for c in TX_COLUMNS)
+    return C.run_suite(records.select(F.from_json("record", schema).alias("r")).select("r.*"), C.text_contract(json=True))
+
+
 # ---- step 6: snapshot ----------------------------------------------------------------------
 def q_snapshot_check(L: Ledger) -> DataFrame:
     return _decimals_to_double(L.snapshot)
 
 
+def q_snapshot_append(L: Ledger) -> DataFrame:
+    """The same three runs on stored partitions, closed records written once."""
+    store = L.snapshot_store
+    return _decimals_to_double(store.records(L.spark, len(SNAPSHOT_RUNS) - 1))
+
+
 def q_scd2_vs_snapshot(L: Ledger) -> DataFrame:
     m = L.h2.groupBy("account_id").agg(F.count(F.lit(1)).alias("merge_windows"),
                                        F.min("valid_from").alias("merge_first_from"))
@@ -499,7 +584,8 @@ _STEPS: dict[str, Callable[[Ledger], DataFrame]] = {
     "test_accepted_values": lambda L: _model_tests(L, "accepted_values"),
     "test_relationships": lambda L: _model_tests(L, "relationships"),
     "test_no_negative": lambda L: _model_tests(L, "no_negative"),
-    "snapshot_check": q_snapshot_check, "scd2_vs_snapshot": q_scd2_vs_snapshot,
+    "unparsed_records": q_unparsed_records, "silver_incremental": q_silver_incremental, "mart_incremental": q_mart_incremental,
+    "contract_json": q_contract_json, "snapshot_check": q_snapshot_check, "snapshot_append": q_snapshot_append, "scd2_vs_snapshot": q_scd2_vs_snapshot,
 }
 
 

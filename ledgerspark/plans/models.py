@@ -35,22 +35,31 @@ def stg_accounts_current(stg_acc: DataFrame) -> DataFrame:
     return stg_acc.filter(F.col(CUR)).select("account_id", "account_status", "credit_limit", "valid_from", "valid_to")
 
 
-def daily_mart(stg: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
-    """One row per calendar date: count, total, average, rows strictly above ``threshold`` and
-    their share in percent. Money stays decimal; averages and shares are rounded half-up
-    exactly (integer arithmetic), not through a double."""
+def daily_parts(stg: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
+    """Counts and sums per calendar date; those of two sets of rows add up."""
     high = F.col("amount") > F.lit(threshold)
-    g = (stg.groupBy(F.to_date("transacted_at").alias("transaction_date"))
-         .agg(F.count(F.lit(1)).alias("transaction_count"),
-              F.sum("amount").alias("_sum"),
-              F.count("amount").alias("_n"),
-              F.count_if(high).alias("high_value_count")))
-    return g.select(
+    return (stg.groupBy(F.to_date("transacted_at").alias("transaction_date"))
+            .agg(F.count(F.lit(1)).alias("transaction_count"),
+                 F.sum("amount").alias("_sum"),
+                 F.count("amount").alias("_n"),
+                 F.count_if(high).alias("high_value_count")))
+
+
+def daily_measures(parts: DataFrame, *extra: str) -> DataFrame:
+    """The mart's columns from ``daily_parts``."""
+    return parts.select(
         "transaction_date", "transaction_count",
         F.round("_sum", 2).alias("total_amount"),
-        half_up_ratio(F.col("_sum"), F.col("_n"), 2).alias("avg_amount"),
+        half_up_ratio(F.col("_sum"), F.nullif("_n", F.lit(0)), 2).alias("avg_amount"),
         "high_value_count",
-        half_up_ratio(F.col("high_value_count"), F.col("transaction_count"), 2, factor=100).alias("high_value_pct"))
+        half_up_ratio(F.col("high_value_count"), F.nullif("transaction_count", F.lit(0)), 2, factor=100).alias("high_value_pct"), *extra)
+
+
+def daily_mart(stg: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
+    """One row per calendar date: count, total, average, rows strictly above ``threshold`` and
+    their share in percent. Money stays decimal; averages and shares are rounded half-up
+    exactly (integer arithmetic), not through a double."""
+    return daily_measures(daily_parts(stg, threshold))
 
 
 def mart_totals(mart: DataFrame) -> DataFrame:

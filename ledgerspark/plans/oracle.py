@@ -349,6 +349,24 @@ _BODIES = {
 
 
 # the alternative physical forms must give the same rows as their default forms
+_BODIES["silver_incremental"] = _BODIES["silver_valid"]
+_BODIES["mart_incremental"] = _BODIES["fct_daily"]
+_BODIES["snapshot_append"] = _BODIES["snapshot_check"]
+_LINE = [f"coalesce(cast({c} as varchar), '')" for c in TXC.split(", ")]
+_BODIES["unparsed_records"] = (
+    "select _batch, unnest(list_filter([case when k % 50 = 1 then concat_ws(',', " + ", ".join(_LINE[:-1]) + ") "
+    "when k % 50 = 2 then concat_ws(',', " + ", ".join(_LINE) + ", 'more') "
+    "when k % 50 = 3 then concat_ws(',', " + ", ".join([*_LINE[:4], "'many'", *_LINE[5:]]) + ") end], lambda x: x is not null)) record "
+    "from (select *, cast(substring(transaction_id, 4) as bigint) k from tx_raw)")
+_JSON_COUNTS = {("required", "amount"): "amount is null and not ends_with(transaction_id, '7')",
+                ("type", "amount"): "ends_with(transaction_id, '7')",
+                ("exclusiveMinimum", "amount"): "not ends_with(transaction_id, '7') and not (amount > 0)",
+                ("maximum", "amount"): "not ends_with(transaction_id, '7') and not (amount <= 1000000)",
+                ("format", "record"): "ends_with(transaction_id, '31') or ends_with(transaction_id, '77')"}
+_BODIES["contract_json"] = _suite(
+    "tx_raw", [(n, c, _JSON_COUNTS.get((n, c), cond)) for n, c, cond in
+               [("type", c, "false") for c in TXC.split(", ")] + [x for x in _CONTRACT if x[0] != "format:uuid"] + [("format", "record", "false")]],
+    [("unique", "transaction_id")], [("primaryKey", "transaction_id")])
 _BODIES["scd2_merge_lookup"] = _BODIES["scd2_merge"]
 _BODIES["scd2_invariants_split"] = _BODIES["scd2_invariants"]
 _BODIES["as_of_join_range"] = _BODIES["as_of_join"]
