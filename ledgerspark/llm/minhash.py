@@ -12,10 +12,13 @@ later offer can win, so long texts stop after one or two ranks.
    no band with a chance of 2e-9. Classes that share a band are compared with the band's leader:
    first by size and by the share of equal places (``ESTIMATE``: six deviations below the threshold),
    then exactly, on both full sets. Connected components follow on Spark.
-3. Members of a band that are in one component need nothing more. Where several are left, other
-   leaders are tried (``STARS`` rounds), and at last every member outside the band's main component
-   is compared with all members outside its own component, tile by tile. So a large group of copies
-   costs a comparison for each member and not for each pair, and no link between components is lost.
+3. Members of a band that are linked with one and the same class need nothing more. Where a band
+   holds others, members of bands of up to ``HOT`` classes are compared with the other members that
+   are not in their own group. Members of larger bands are dealt into tiles, and any two tiles that
+   meet in a band are compared exactly, set by set, in one task; it hands back links that connect the
+   same groups, never more than there are. So a group of copies costs a comparison for each member and
+   not for each pair, a crowd of copies that are all too different costs tasks but no rows, and no
+   link between groups is lost.
 
 Cases with a defined result: null, empty and blank texts have the empty set, are linked with nothing
 and are their own component. Fewer than ``WORDS`` words: the whole sequence is the one shingle. Null
@@ -29,6 +32,7 @@ if their 64-bit hashes are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +48,10 @@ WORDS, PERCENT = 5, 85
 PLACES, BANDS, ROWS = 256, 42, 6
 #: Least share of equal places that is worth an exact comparison.
 ESTIMATE = 0.716
-#: Rounds of comparisons with leaders, and classes in a tile of the last one.
-STARS, TILE = 3, 512
+#: Rounds of comparisons with leaders, classes of a band that is not large, classes in a tile.
+STARS, HOT, TILE = 1, 32, 512
+#: Elements in a tile.
+TILE_ELEMENTS = 1 << 20
 #: Bytes of text, and elements, that a task works on at once.
 PIECE, ELEMENTS = 1 << 19, 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -225,21 +231,57 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_()))
 
 
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of links that connect the same as all of them."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    stay = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            stay.append(k)
+    return np.array(stay, dtype=np.int64)
+
+
+def _tile_links(one: list[dict], two: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Links between classes of two tiles whose labels differ, as a forest over the labels."""
+    rows = [np.frombuffer(r["shingles"], dtype=np.uint64) for r in two]
+    sizes = np.array([len(r) for r in rows])
+    labels, numbers = np.array([r["label"] for r in two]), np.array([r["c"] for r in two])
+    elements, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    a, b, la, lb = [], [], [], []
+    for r in one:
+        mine = np.frombuffer(r["shingles"], dtype=np.uint64)
+        if (labels == r["label"]).all():
+            continue
+        # How many elements this set has in common with each of the other tile.
+        low, high = np.searchsorted(elements, mine, side="left"), np.searchsorted(elements, mine, side="right")
+        count = high - low
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        both = np.bincount(owner[at], minlength=len(rows))
+        hit = np.flatnonzero((100 * both >= PERCENT * (len(mine) + sizes - both)) & (labels != r["label"]))
+        a.append(np.full(len(hit), r["c"])), la.append(np.full(len(hit), r["label"]))
+        b.append(numbers[hit]), lb.append(labels[hit])
+    if not a:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    a, b, la, lb = (np.concatenate(x) for x in (a, b, la, lb))
+    stay = _forest(la, lb)
+    return a[stay], b[stay]
+
+
 def _compare_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs between two tiles whose classes are in different components."""
     for batch in batches:
-        for one, two in zip(batch.column("one"), batch.column("two")):
-            (c, label, n, marks), (d, other, m, signs) = (
-                [*(np.asarray(t.values.field(k)) for k in ("c", "label", "n")),
-                 np.frombuffer(b"".join(t.values.field("marks").to_pylist()), dtype=np.uint8).reshape(len(t), -1)] for t in (one, two))
-            found = []
-            for i in range(len(c)):
-                maybe = np.flatnonzero((other != label[i]) & _close(m, n[i]))
-                if len(maybe):
-                    found.append((c[i], d[maybe[(signs[maybe] == marks[i]).mean(axis=1) >= ESTIMATE]]))
-            if found:
-                a, b = np.concatenate([np.full(len(y), x) for x, y in found]), np.concatenate([y for _, y in found])
-                yield pa.record_batch({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+        for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist()):
+            a, b = _tile_links(one, two)
+            yield pa.record_batch({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
 class _Classes:
@@ -253,10 +295,8 @@ class _Classes:
         one, two = (self.signed.select(F.col("c").alias(c), F.col("n").alias(n), F.col("marks").alias(m)) for c, n, m in (("a", "n", "marks"), ("b", "m", "others")))
         return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "marks", "others").mapInArrow(_likely, "a long, b long")
 
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Of the likely pairs (a, b), those that are linked."""
-        pairs = durable(pairs.distinct(), f"minhash-{name}")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    def sets(self, wanted: DataFrame, name: str) -> DataFrame:
+        """(c, shingles) of the classes in ``wanted``, from the text of their first row."""
         places = self.known.join(wanted, "c", "left_semi").select("c", F.col("place.id").alias("__id"), F.col("place.th").alias("__th"))
         found = self.docs.join(places, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th"))).select("c", "text")
 
@@ -267,42 +307,59 @@ class _Classes:
                     cuts = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
                     yield pa.record_batch({"c": part.column("c"), "shingles": pa.array([h[x:y].tobytes() for x, y in zip(cuts, cuts[1:])], pa.binary())})
 
-        full = durable(found.mapInArrow(hashed, "c long, shingles binary").dropDuplicates(["c"]), f"minhash-{name}-sets")
+        return durable(found.mapInArrow(hashed, "c long, shingles binary").dropDuplicates(["c"]), f"minhash-{name}-sets")
+
+    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Of the likely pairs (a, b), those that are linked."""
+        pairs = durable(pairs.distinct(), f"minhash-{name}")
+        full = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), name)
         one, two = (full.select(F.col("c").alias(c), F.col("shingles").alias(s)) for c, s in (("a", "one"), ("b", "two")))
         return durable(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_verify, "a long, b long"), f"minhash-{name}-links")
 
 
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(band, c, label) of the members of bands that lie in several components."""
-    roots = durable(components(links), "minhash-components").select(F.col("node").alias("c"), "root")
-    all_ = members.join(roots, "c", "left").select("band", "c", F.coalesce("root", "c").alias("label"))
+    """(band, c, label) of the members of bands with several labels. Classes of one label are linked
+    with one class, or are it; that they may be connected otherwise costs a comparison only."""
+    ends = links.union(links.select("b", "a")).toDF("c", "d")
+    least = ends.groupBy("c").agg(F.least(F.min("d"), F.col("c")).alias("label"))
+    all_ = members.join(least, "c", "left").select("band", "c", F.coalesce("label", "c").alias("label"))
     mixed = all_.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band")
     return durable(all_.join(mixed, "band", "left_semi"), "minhash-mixed")
 
 
 def _star(members: DataFrame, seed: int) -> DataFrame:
-    """(a, b): each member and the leader of its band, if they are in different components."""
+    """(a, b): each member and the leader of its band, if their labels differ."""
     lead = members.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "c").alias("h"), "c", "label")).alias("f"))
     return (members.join(lead, "band").filter(F.col("label") != F.col("f.label"))
             .select(F.least("c", "f.c").alias("a"), F.greatest("c", "f.c").alias("b")).distinct())
 
 
-def _rest(members: DataFrame, signed: DataFrame, tile: int) -> DataFrame:
-    """(a, b): likely pairs of members in different components, one of them outside the main one of
-    their band. Tiles hold ``tile`` classes or so; the table of their pairs is small and dealt out."""
-    counts = members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = counts.groupBy("band").agg(F.max(F.struct("k", "label")).alias("most")).select("band", F.col("most.label").alias("main"))
-    sided = members.join(main, "band").withColumn("outside", F.col("label") != F.col("main"))
-    parts = sided.groupBy("band", "outside").agg(F.ceil(F.count(F.lit(1)) / tile).alias("parts"))
-    rows = (sided.join(parts, ["band", "outside"]).withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts"))).join(signed, "c")
-            .groupBy("band", "outside", "part").agg(F.collect_list(F.struct("c", "label", "n", "marks")).alias("t")))
-    rows = durable(rows, "minhash-tiles")
-    keys = rows.select("band", "outside", "part")
-    left = keys.filter("outside").select("band", F.col("part").alias("p"))
-    pairs = left.join(keys, "band").filter("not outside or p <= part").repartition("band", "p", "part")
-    one = rows.filter("outside").select("band", F.col("part").alias("p"), F.col("t").alias("one"))
-    two = rows.select("band", "outside", "part", F.col("t").alias("two"))
-    return pairs.join(one, ["band", "p"]).join(two, ["band", "outside", "part"]).select("one", "two").mapInArrow(_compare_tiles, "a long, b long")
+def _cold(left: DataFrame, sizes: DataFrame, hot: DataFrame) -> DataFrame:
+    """(a, b): pairs of classes in one band, of different labels, of which one is in no large band."""
+    rows = left.join(sizes.filter(F.col("k") <= F.lit(HOT)).select("band"), "band", "left_semi")
+    marked = rows.join(hot.select("c", F.lit(True).alias("hot")), "c", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    other = marked.select("band", F.col("c").alias("d"), F.col("label").alias("l"), F.col("hot").alias("h"))
+    pairs = marked.filter(~F.col("hot")).join(other, "band").filter((F.col("label") != F.col("l")) & (F.col("h") | (F.col("c") < F.col("d"))))
+    return pairs.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
+
+
+def _hot(left: DataFrame, hot: DataFrame, known: _Classes, tile: int) -> DataFrame:
+    """Links (a, b) between members of large bands. A member's tile belongs to the largest of its
+    bands, so copies of one text share few tiles; the table of tiles that meet is small."""
+    full = known.sets(hot.select("c"), "hot")
+    labels = left.groupBy("c").agg(F.min("label").alias("label"))
+    members = hot.join(labels, "c").join(known.signed.select("c", "n"), "c")
+    parts = members.groupBy("anchor").agg(F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n") / TILE_ELEMENTS)).alias("parts"))
+    members = members.join(parts, "anchor").select("c", "label", F.col("anchor").alias("t"), F.pmod(F.xxhash64("c"), F.col("parts")).alias("p"))
+    members = durable(members, "minhash-hot")
+    tiles = durable(members.join(full, "c").groupBy("t", "p").agg(F.collect_list(F.struct("c", "label", "shingles")).alias("rows")), "minhash-tiles")
+    # (numbered so that each unordered pair of tiles comes once)
+    meets = left.select("band", "c").join(members, "c").select("band", "t", "p").distinct()
+    other = meets.select("band", F.col("t").alias("u"), F.col("p").alias("q"))
+    pairs = meets.join(other, "band").filter((F.col("t") < F.col("u")) | ((F.col("t") == F.col("u")) & (F.col("p") <= F.col("q"))))
+    pairs = durable(pairs.select("t", "p", "u", "q").distinct(), "minhash-tile-pairs").repartition("t", "p", "u", "q")
+    one, two = tiles.withColumnRenamed("rows", "one"), tiles.toDF("u", "q", "two")
+    return durable(pairs.join(one, ["t", "p"]).join(two, ["u", "q"]).select("one", "two").mapInArrow(_compare_tiles, "a long, b long"), "minhash-hot-links")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", stars: int = STARS, tile: int = TILE) -> DataFrame:
@@ -321,15 +378,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     rows = classes.filter("marks is not null").select("c", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("band")
     members = durable(rows.join(shared, "band", "left_semi"), "minhash-members")
-    links, left = None, members.withColumn("label", F.col("c"))
-    for k in range(stars + 1):
-        pairs = known.likely(_star(left, k)) if k < stars else _rest(left, known.signed, tile)
-        found = known.verified(pairs, f"pairs-{k}")
-        links = found if links is None else links.union(found)
-        if k < stars:
-            left = _labelled(members, links)
-            if left.isEmpty():
-                break
+    links, left = [], members.withColumn("label", F.col("c"))
+    for k in range(stars):
+        links.append(known.verified(known.likely(_star(left, k)), f"star-{k}"))
+        left = _labelled(members, reduce(DataFrame.union, links))
+    sizes = durable(left.groupBy("band").agg(F.count(F.lit(1)).alias("k")), "minhash-sizes")
+    large = left.join(sizes.filter(F.col("k") > F.lit(HOT)), "band")
+    hot = durable(large.groupBy("c").agg(F.max(F.struct("k", "band")).alias("m")).select("c", F.col("m.band").alias("anchor")), "minhash-anchors")
+    links.append(known.verified(known.likely(_cold(left, sizes, hot)), "cold"))
+    links.append(_hot(left, hot, known, tile))
+    links = reduce(DataFrame.union, links)
     roots = durable(components(links), "minhash-components").select(F.col("node").alias("c"), "root")
     rooted = classes.select("key", "c", F.col("place.id").alias("id")).join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     named = rooted.groupBy("root").agg(F.min("id").alias("component_id"))

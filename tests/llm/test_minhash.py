@@ -48,7 +48,7 @@ def got(spark, rows, **options):
     return sorted((tuple(r) for r in M.near_duplicates(df, **options).collect()), key=str)
 
 
-def test_components_against_sets_of_words(spark):
+def test_components_against_sets_of_words(spark, monkeypatch):
     base = [prose(s, 200) for s in range(6)]
     # Chains and groups around the threshold: a third of all rows near one text, others just beside it.
     rows = [(k, changed(base[0], k, 0.01)) for k in range(60)] + [(100 + k, changed(base[0], k, 0.025)) for k in range(60)]
@@ -57,8 +57,11 @@ def test_components_against_sets_of_words(spark):
     random.Random(1).shuffle(rows)
     want = expected(rows)
     assert got(spark, rows) == want
-    # Without leaders the last comparison alone finds the same, in tiles of any size.
-    assert got(spark, rows, stars=1, tile=7) == want
+    # Without leaders the last comparisons alone find the same, in tiles of any size, or without any.
+    for large in (2, 10, 1_000):
+        monkeypatch.setattr(M, "HOT", large)
+        assert got(spark, rows, stars=0, tile=7) == want
+    assert got(spark, rows, stars=2, tile=50) == want
     assert len({c for _, n, c in want if n}) > 20
 
 
