@@ -1,7 +1,9 @@
 """Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Each query is executed in full through the ``noop`` sink (no collect to the driver); the
-reported time is the median of $BENCH_REPS runs after one warm-up run of the whole set.
+reported time is the median of $BENCH_REPS runs after one warm-up run of the whole set. Queries on
+the history read versions that an earlier job has stored; ``builds`` is what storing them takes, and
+``planning`` the part of a query's time that goes into building and planning it.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerspark.functions.rules import transaction_rules  # noqa: E402
 from ledgerspark.operators import checks as C  # noqa: E402
-from ledgerspark.plans.catalog import QUERIES, fresh_ledgers, ledger  # noqa: E402
+from ledgerspark.plans.catalog import QUERIES, fresh_ledgers, fresh_stores, ledger  # noqa: E402
 from ledgerspark.session import build_session  # noqa: E402
 
 HEADLINE = ["dedup_latest", "tagged", "batch_metrics", "batch_compare", "fct_daily", "ingestion_lag",
@@ -40,6 +42,22 @@ def timed(action) -> float:
     return time.perf_counter() - t
 
 
+PLANNED = ["scd2_merge", "v0_vs_now", "snapshot_check", "test_not_null"]
+
+
+def planning(spark, name, sf_dir) -> float:
+    fresh_ledgers()
+    return timed(lambda: QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan())
+
+
+def builds(spark, sf_dir) -> dict:
+    """Seconds to write what later queries read: both versions, the bucketed history with its log
+    and audit, three deliveries into silver and mart, three snapshot runs."""
+    fresh_stores()
+    L = ledger(spark, sf_dir)
+    return {name: round(timed(lambda: getattr(L, name)), 3) for name in ("h1", "h2", "store", "silver_store", "snapshot_store")}
+
+
 def variants(spark, sf_dir, reps) -> dict:
     """Design comparisons: rule tagging as array + lambda (the original form) against
     ``concat_ws`` of ``when``s, and a check suite as one job per check against one pass."""
@@ -82,6 +100,8 @@ def main() -> None:
     for n in names:  # warm-up: JIT, file listing, broadcast of small tables
         run(spark, n, sf_dir)
     results = {n: statistics.median(run(spark, n, sf_dir) for _ in range(reps)) for n in names}
+    planned = {n: round(statistics.median(planning(spark, n, sf_dir) for _ in range(reps)), 3) for n in PLANNED if n in names}
+    built = builds(spark, sf_dir) if os.environ.get("BENCH_VARIANTS", "1") == "1" else {}
     L = ledger(spark, sf_dir)
     rows = {"tx_raw": L.raw.count(), "deduped": L.deduped.count(), "acct_initial": L.h0.count(),
             "acct_mixed": L.mixed.count(), "history_v2": L.h2.count()}
@@ -89,7 +109,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(results.values()), 3), "unit": "sec",
                       "queries": {k: round(v, 3) for k, v in results.items()}, "sf": sf,
-                      "cpus": int(cpus), "reps": reps, "input_rows": rows, "variants": extra}))
+                      "cpus": int(cpus), "reps": reps, "input_rows": rows, "planning": planned, "builds": built, "variants": extra}))
     spark.stop()
 
 

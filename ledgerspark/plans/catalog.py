@@ -246,6 +246,12 @@ def q_dedup_latest(L: Ledger) -> DataFrame:
     return L.deduped
 
 
+def q_dedup_faults(L: Ledger) -> DataFrame:
+    """Keep-latest where ids are missing and copies share their ingestion time, and the reasons."""
+    rows = dedup_latest(fixtures.fixture(L.spark, L.sf, "tx_faults"), "transaction_id", "ingestion_timestamp", ties=("amount",))
+    return tag(rows, transaction_rules())
+
+
 def q_dedup_stats(L: Ledger) -> DataFrame:
     return dedup_stats(L.bronze, "transaction_id")
 
@@ -409,6 +415,19 @@ def q_scd2_outcomes(L: Ledger) -> DataFrame:
     return L.m2.outcomes
 
 
+def _faults(L: Ledger) -> scd2.MergeResult:
+    return L._get("faults", lambda: scd2.merge(L.h2, fixtures.fixture(L.spark, L.sf, "acct_faults")))
+
+
+def q_scd2_faults(L: Ledger) -> DataFrame:
+    """The history after a batch with ambiguous and incomplete statements."""
+    return _faults(L).history
+
+
+def q_scd2_outcomes_faults(L: Ledger) -> DataFrame:
+    return _faults(L).outcomes
+
+
 def q_scd2_totals(L: Ledger) -> DataFrame:
     return L.h2.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(F.col("is_current")).alias("current_rows"),
                     F.count_if(~F.col("is_current")).alias("historical_rows"))
@@ -457,9 +476,9 @@ def q_as_of_join(L: Ledger) -> DataFrame:
 
 
 def q_as_of_join_range(L: Ledger) -> DataFrame:
-    """The half-open range semantics, answered by the (key, day) lookup: no fact meets more than
-    one window."""
-    return q_as_of_join(L)
+    """The half-open range semantics on windows listed by span: a fact meets those of its key and span."""
+    facts = L.raw.select("transaction_id", "account_id", "event_timestamp", "amount")
+    return temporal.as_of_join_spans(facts, L.h2, date_col="event_timestamp")
 
 
 # ---- step 5: checks ------------------------------------------------------------------------
@@ -501,7 +520,9 @@ def q_contract_types(L: Ledger) -> DataFrame:
 
 
 def _model_tests(L: Ledger, which: str) -> DataFrame:
-    stg, acc, cur, mart = L.stg, L.stg_acc, L.stg_cur, L.mart
+    # Tests run on the stored layers, as after a build.
+    stg = models.stg_transactions(L.stored("silver", lambda: L.silver))
+    acc, cur, mart = L.stg_acc, L.stg_cur, L.stored("mart", lambda: L.mart)
     if which == "unique":
         parts = [C.test_unique(stg, "stg_transactions", "transaction_id"),
                  C.test_unique(cur, "stg_accounts_current", "account_id"),
@@ -573,6 +594,7 @@ _STEPS: dict[str, Callable[[Ledger], DataFrame]] = {
     "accounts_current": q_accounts_current, "scd2_normal": q_scd2_normal, "scd2_late_window": q_scd2_late_window,
     "scd2_late_noop": q_scd2_late_noop, "scd2_staged": q_scd2_staged, "scd2_merge": q_scd2_merge,
     "scd2_merge_timeline": q_scd2_merge_timeline, "scd2_merge_lookup": q_scd2_merge_lookup, "write_audit": q_write_audit, "history_checkpoint": q_history_checkpoint, "scd2_outcomes": q_scd2_outcomes,
+    "dedup_faults": q_dedup_faults, "scd2_faults": q_scd2_faults, "scd2_outcomes_faults": q_scd2_outcomes_faults,
     "scd2_outcomes_timeline": q_scd2_outcomes_timeline, "scd2_totals": q_scd2_totals,
     "scd2_invariants": q_scd2_invariants, "scd2_invariants_split": q_scd2_invariants_split, "account_trace": q_account_trace, "stg_accounts": q_stg_accounts,
     "history_as_of_version": q_history_as_of_version, "version_log": q_version_log, "v0_vs_now": q_v0_vs_now,

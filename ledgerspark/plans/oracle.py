@@ -110,6 +110,8 @@ tx_raw as ({fixture_sql_for_views('tx_raw')}),
 acct_initial as ({fixture_sql_for_views('acct_initial')}),
 acct_update as ({fixture_sql_for_views('acct_update')}),
 acct_mixed as ({fixture_sql_for_views('acct_mixed')}),
+acct_faults as ({fixture_sql_for_views('acct_faults')}),
+tx_faults as ({fixture_sql_for_views('tx_faults')}),
 bronze as ({mask}),
 deduped as (select * exclude (rn) from (select *, row_number() over (partition by transaction_id
     order by ingestion_timestamp desc nulls last) rn from bronze where transaction_id is not null) where rn = 1
@@ -128,6 +130,7 @@ h0 as (select account_id, account_status, credit_limit, effective_date valid_fro
   true is_current from acct_initial)"""
     ctes += _merge("h1", "h0", "acct_update")
     ctes += _merge("h2", "h1", "acct_mixed")
+    ctes += _merge("h3", "h2", "acct_faults")
     ctes += """,
 log as (select *, 0 _version, 'WRITE' _operation from h0
   union all select * exclude (written), 1, 'MERGE' from h1_m where written
@@ -349,6 +352,15 @@ _BODIES = {
 
 
 # the alternative physical forms must give the same rows as their default forms
+_BODIES["scd2_faults"] = "select * from h3"
+_BODIES["scd2_outcomes_faults"] = "select * from h3_out"
+_BODIES["dedup_faults"] = (
+    "select *, concat_ws('; ', case when amount is null or amount <= 0 then 'amount_invalid' end, "
+    "case when not regexp_matches(currency, '^[A-Z]{3}$') then 'currency_invalid' end, "
+    "case when transaction_id is null then 'transaction_id_invalid' end) rejection_reason from ("
+    "select * exclude (rn) from (select *, row_number() over (partition by transaction_id order by ingestion_timestamp desc nulls last, "
+    "amount desc nulls last) rn from tx_faults where transaction_id is not null) where rn = 1 "
+    "union all select * from tx_faults where transaction_id is null)")
 _BODIES["silver_incremental"] = _BODIES["silver_valid"]
 _BODIES["mart_incremental"] = _BODIES["fct_daily"]
 _BODIES["snapshot_append"] = _BODIES["snapshot_check"]

@@ -81,7 +81,31 @@ union all select concat('NEW', account_id), account_status, lim, date '1999-07-0
 union all select account_id, account_status, cast(lim + 9 as int), date '1995-01-01' from a where k % 100 = 6
 """
 
+# Deliveries with the faults a source can have: no id, and another copy with the same ingestion time.
+TX_FAULTS_SQL = f"""
+select case when number % 41 = 3 then cast(null as string) else transaction_id end transaction_id, account_id, customer_name, ssn_last4,
+  amount, currency, transaction_type, event_timestamp, ingestion_timestamp, _batch
+from (select *, cast(substring(transaction_id, 4) as bigint) number from ({TX_RAW_SQL}) raw) numbered
+union all
+select transaction_id, account_id, customer_name, ssn_last4, amount + 1, currency, transaction_type, event_timestamp, ingestion_timestamp, _batch
+from ({TX_RAW_SQL}) again where cast(substring(transaction_id, 4) as bigint) % 13 = 5
+"""
+
+# Two changes in one window, a change on the day its window starts, no date, no account.
+ACCT_FAULTS_SQL = f"""
+with a as (
+  select c_custkey k, {_account('c_custkey')} account_id, cast(1000 * (1 + c_custkey % 7) as int) lim from {{customer}})
+select account_id, 'active' account_status, cast(lim + 31 as int) credit_limit, date '1999-09-01' effective_date from a where k % 20 = 8
+union all select account_id, 'active', cast(lim + 32 as int), date '1999-10-01' from a where k % 20 = 8
+union all select account_id, 'active', cast(lim + 33 as int), date '1996-01-01' from a where k % 20 = 9
+union all select account_id, 'active', cast(lim + 34 as int), cast(null as date) from a where k % 20 = 2
+union all select cast(null as string), 'active', cast(lim + 35 as int), date '1999-09-01' from a where k % 20 = 3
+union all select account_id, 'closed', cast(lim + 36 as int), date '1999-11-01' from a where k % 20 = 12
+"""
+
 FIXTURE_SQL = {
+    "tx_faults": (TX_FAULTS_SQL, ("orders", "customer")),
+    "acct_faults": (ACCT_FAULTS_SQL, ("customer",)),
     "tx_raw": (TX_RAW_SQL, ("orders", "customer")),
     "acct_initial": (ACCT_INITIAL_SQL, ("customer",)),
     "acct_update": (ACCT_UPDATE_SQL, ("customer",)),
