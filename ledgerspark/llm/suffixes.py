@@ -219,6 +219,7 @@ def _by_text(repeated: pa.Table, table: pa.Table) -> pa.Table:
 # --- second and third level ---------------------------------------------------------------------
 _PLACED = "kind int, bucket int, r long, n int, a binary, b binary, c binary, d binary, e binary"
 _LATER, _LEFT, _RIGHT = 1, 2, 3
+_LISTS = ["laters", "lefts", "rights"]
 
 
 def _placed(kind: int, bucket: list[int], r: list[int], n: list[int], *packed: list[bytes]) -> dict:
@@ -227,14 +228,33 @@ def _placed(kind: int, bucket: list[int], r: list[int], n: list[int], *packed: l
             "n": pa.array(n, pa.int32()), **{c: pa.array(v, pa.binary()) for c, v in zip("abcde", columns)}}
 
 
-def _by_rank(kind: int, bucket: int | None, buckets: int, r: np.ndarray, p: np.ndarray) -> dict:
-    """Positions in rows of one text each, by its rank."""
-    order = np.lexsort((p, r))
-    r, p = r[order], p[order]
-    spans = _cuts(r)
-    ranks = [int(r[x]) for x, _ in spans]
-    return _placed(kind, [k % buckets if bucket is None else bucket for k in ranks], ranks, [y - x for x, y in spans],
-                   [_pack_sorted(p[x:y]) for x, y in spans])
+def _by_group(kind: int, bucket: int | None, buckets: int, groups: int, r: np.ndarray, p: np.ndarray) -> dict:
+    """Places in rows of one group of texts each: their ranks and positions, in order. Texts are dealt
+    into ``groups`` by rank, so the rows number buckets times groups and not buckets times texts."""
+    g = r % np.uint64(groups)
+    order = np.lexsort((p, r, g))
+    g, r, p = g[order], r[order], p[order]
+    spans = _cuts(g)
+    numbers = [int(g[x]) for x, _ in spans]
+    return _placed(kind, [k % buckets if bucket is None else bucket for k in numbers], numbers, [y - x for x, y in spans],
+                   [_pack_sorted(r[x:y], "<u8") for x, y in spans], [_pack(p[x:y]) for x, y in spans])
+
+
+def _by_text_rank(group: pa.Table) -> pa.Table:
+    """One group of texts: the positions of each text and kind, from all buckets."""
+    found: dict[int, list] = {}
+    for kind, column in ((_LATER, 0), (_LEFT, 1), (_RIGHT, 2)):
+        mine = group.filter(pa.array(group.column("kind").to_numpy() == kind))
+        if not mine.num_rows:
+            continue
+        r = np.concatenate([_unpack_sorted(x, "<u8") for x in mine.column("a").to_pylist()])
+        p = np.concatenate([_unpack(x) for x in mine.column("b").to_pylist()])
+        order = np.lexsort((p, r))
+        r, p = r[order], p[order]
+        for x, y in _cuts(r):
+            found.setdefault(int(r[x]), [None] * 3)[column] = _pack_sorted(p[x:y])
+    ranks = sorted(found)
+    return pa.table({"r": pa.array(ranks, pa.int64()), **{c: pa.array([found[k][j] for k in ranks], pa.binary()) for j, c in enumerate(_LISTS)}})
 
 
 def _judge(bucket: np.ndarray, name: np.ndarray, r: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,8 +270,8 @@ class _Names:
     """Names of one task with their places, packed by bucket whenever a batch is full. A place that
     repeats an earlier one of the same batch is known to be later and goes no further."""
 
-    def __init__(self, buckets: int, size: int) -> None:
-        self.buckets, self.size, self.held, self.parts = buckets, size, 0, []
+    def __init__(self, buckets: int, groups: int, size: int) -> None:
+        self.buckets, self.groups, self.size, self.held, self.parts = buckets, groups, size, 0, []
 
     def add(self, bucket, name, r, p, left=None, right=None) -> Iterator[pa.RecordBatch]:
         none = np.zeros(len(name), dtype=np.uint32)
@@ -266,7 +286,7 @@ class _Names:
             order, first, later = _judge(bucket, name, r, p)
             gone, stay = order[later], order[first]
             if len(gone):
-                yield pa.record_batch(_by_rank(_LATER, None, self.buckets, r[gone], p[gone]))
+                yield pa.record_batch(_by_group(_LATER, None, self.buckets, self.groups, r[gone], p[gone]))
             bucket, name, r, p, left, right = (x[stay] for x in (bucket, name, r, p, left, right))
             spans = _cuts(bucket)
             cut = lambda x, kind: [_pack(x[a:b], kind) for a, b in spans]
@@ -276,7 +296,7 @@ class _Names:
         self.parts, self.held = [], 0
 
 
-def _compare_places(buckets: int, sides: bool) -> Callable:
+def _compare_places(buckets: int, groups: int, sides: bool) -> Callable:
     """One bucket: sort the names of all batches; places behind the first one of their name are
     later. With ``sides``, first places that agree with another first one on a part as well."""
     def run(group: pa.Table) -> pa.Table:
@@ -295,7 +315,7 @@ def _compare_places(buckets: int, sides: bool) -> Callable:
                 for kind, side in ((_LEFT, left[stay]), (_RIGHT, right[stay])):
                     _, where, count = np.unique(side, return_inverse=True, return_counts=True)
                     found.append((kind, stay[(count[where] > 1) & (side > 0)]))
-        return pa.concat_tables([out, *[pa.table(_by_rank(kind, here, buckets, r[at], p[at]), schema=out.schema) for kind, at in found if len(at)]])
+        return pa.concat_tables([out, *[pa.table(_by_group(kind, here, buckets, groups, r[at], p[at]), schema=out.schema) for kind, at in found if len(at)]])
 
     return run
 
@@ -306,16 +326,16 @@ def _side(hashes: np.ndarray, has: np.ndarray) -> np.ndarray:
 
 
 def _lists(column) -> list[np.ndarray]:
-    """For each row, the distinct numbers in its packed lists, as positions."""
-    return [np.unique(np.concatenate([_unpack_sorted(x) for x in row])).astype(np.int64) if row else np.zeros(0, dtype=np.int64)
-            for row in column.to_pylist()]
+    """For each row, the distinct numbers in its packed list or lists, as positions."""
+    rows = ([row] if isinstance(row, bytes) else row for row in column.to_pylist())
+    return [np.unique(np.concatenate([_unpack_sorted(x) for x in row])).astype(np.int64) if row else np.zeros(0, dtype=np.int64) for row in rows]
 
 
-def _wide_names(buckets: int, size: int) -> Callable:
+def _wide_names(buckets: int, groups: int, size: int) -> Callable:
     """Second level: each remaining sample by all that strings leading to it cover, and by the two
     parts one of which any such string covers. Samples of one first name meet in one bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Names(buckets, size)
+        out = _Names(buckets, groups, size)
         for record in batches:
             for part in slices(record, "text", _CHUNK):
                 data, offsets = buffer_of(part.column("text"))
@@ -339,16 +359,16 @@ def _wide_names(buckets: int, size: int) -> Callable:
     return run
 
 
-def _strings(buckets: int, size: int) -> Callable:
+def _strings(buckets: int, groups: int, size: int) -> Callable:
     """Third level: the strings themselves that lead to a sample which agrees with another one on
     the part before it (``lefts``) or behind it (``rights``). Strings inside a passage that repeats
     an earlier one as a whole are settled, and the first place of any string lies in none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Names(buckets, size)
+        out = _Names(buckets, groups, size)
         for record in batches:
             for part in slices(record, "text", _CHUNK):
                 data, offsets = buffer_of(part.column("text"))
-                one, starts = _Sums(data, 1), []
+                one, two, starts = _Sums(data, 1), _Sums(data, 0), []
                 for k, (laters, lefts, rights) in enumerate(zip(*(_lists(part.column(c)) for c in ("laters", "lefts", "rights")))):
                     n = offsets[k + 1] - offsets[k]
                     at = np.unique(np.concatenate([(lefts[:, None] - np.arange(HALF, PERIOD)).ravel(), (rights[:, None] - np.arange(HALF + 1)).ravel()]))
@@ -361,7 +381,8 @@ def _strings(buckets: int, size: int) -> Callable:
                 owner, at = np.repeat(np.arange(len(starts)), [len(x) for x in starts]), np.concatenate(starts)
                 base = offsets[:-1][owner] + at
                 name = one.part(base, base + MATCH)
-                yield from out.add(_bucket(name, buckets), name, part.column("r").to_numpy()[owner].astype(np.uint64), at.astype(np.uint32))
+                # (the bucket comes from another hash, so it tells names apart beside their 64 bits)
+                yield from out.add(_bucket(two.part(base, base + MATCH), buckets), name, part.column("r").to_numpy()[owner].astype(np.uint64), at.astype(np.uint32))
         yield from out.flush()
 
     return run
@@ -428,10 +449,6 @@ def _remaining(texts: DataFrame, ranks: DataFrame) -> DataFrame:
     return durable(_joined(found, ranks.filter(~F.col("copy")).drop("copy")), "suffixes-samples")
 
 
-def _of_kind(kind: int) -> Column:
-    return F.collect_list(F.when(F.col("kind") == kind, F.col("a")))
-
-
 def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, th, n_bytes, n_removed, n_spans, kept_sha256, spans) of every row; th is a hash of the
     whole text, spans are start and end bytes in turn. A string starts earlier in a text with a
@@ -447,19 +464,18 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     remaining = _remaining(texts, ranks)
     left = remaining.agg(F.sum("n")).first()[0] or 0
     few, many = left // BUCKET + 1, 16 * left // BUCKET + 1
-    wide = _joined(texts, remaining.select("id", "th", "r", "at")).mapInArrow(_wide_names(few, BATCH), _PLACED)
-    places = (wide.groupBy("bucket").applyInArrow(_compare_places(few, True), _PLACED).groupBy("r")
-              .agg(_of_kind(_LATER).alias("laters"), _of_kind(_LEFT).alias("lefts"), _of_kind(_RIGHT).alias("rights")))
-    # (Always true; it keeps all three lists in both uses, which then share one exchange.)
-    places = places.filter((F.size("laters") >= 0) & (F.size("lefts") >= 0) & (F.size("rights") >= 0))
-    wanted = places.filter((F.size("lefts") > 0) | (F.size("rights") > 0)).join(ranks.drop("copy"), "r")
-    strings = _joined(texts, wanted).mapInArrow(_strings(many, BATCH), _PLACED)
-    singles = strings.groupBy("bucket").applyInArrow(_compare_places(many, False), _PLACED)
-    none = F.array().cast("array<binary>")
-    found = (places.filter(F.size("laters") > 0).select("r", "laters", none.alias("starts"))
-             .union(singles.groupBy("r").agg(_of_kind(_LATER).alias("s")).select("r", none, "s"))
+    lists = ", ".join(["r long", *[f"{c} binary" for c in _LISTS]])
+    wide = _joined(texts, remaining.select("id", "th", "r", "at")).mapInArrow(_wide_names(few, few, BATCH), _PLACED)
+    places = wide.groupBy("bucket").applyInArrow(_compare_places(few, few, True), _PLACED).groupBy("r").applyInArrow(_by_text_rank, lists)
+    places = durable(places, "suffixes-places")
+    wanted = places.filter("lefts is not null or rights is not null").join(ranks.drop("copy"), "r")
+    strings = _joined(texts, wanted).mapInArrow(_strings(many, many, BATCH), _PLACED)
+    singles = strings.groupBy("bucket").applyInArrow(_compare_places(many, many, False), _PLACED).groupBy("r").applyInArrow(_by_text_rank, lists)
+    none = F.lit(None).cast("binary")
+    found = (places.filter("laters is not null").select("r", "laters", none.alias("starts"))
+             .union(singles.select("r", none, F.col("laters").alias("starts")))
              .union(ranks.filter("copy").select("r", none, none))
-             .groupBy("r").agg(F.flatten(F.collect_list("laters")).alias("laters"), F.flatten(F.collect_list("starts")).alias("starts"))
+             .groupBy("r").agg(F.collect_list("laters").alias("laters"), F.collect_list("starts").alias("starts"))
              .join(ranks, "r").drop("r"))
     return _joined(texts, found, "left").mapInArrow(
         _cut, "id long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
