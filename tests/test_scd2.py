@@ -110,6 +110,19 @@ def test_change_log_reproduces_every_version(spark, sf_small):
     assert log == {0: 150, 1: 30, 2: 46}
 
 
+def test_as_of_join_by_spans_says_the_same(spark, history):
+    """Every day around the windows, unknown and NULL keys, NULL dates; spans of every length."""
+    rows = [(i, a, dt.datetime(2019, 6, 1) + dt.timedelta(days=i * 9) if i % 11 else None) for i, a in enumerate(["A", "B", "C", "Z", None] * 40)]
+    facts = spark.createDataFrame(rows, "id int, account_id string, ts timestamp")
+    want = sorted((tuple(r) for r in temporal.as_of_join(facts, history, date_col="ts").collect()), key=str)
+    for days in (1, 30, 10_000):
+        got = temporal.as_of_join_spans(facts, history, date_col="ts", span_days=days)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    inner = temporal.as_of_join_spans(facts, history, date_col="ts", how="inner")
+    assert inner.count() == sum(r[-1] is not None for r in want)
+    assert temporal.as_of_join_spans(facts.limit(0), history, date_col="ts").count() == 0
+
+
 def test_state_on_and_as_of_join(spark, history):
     s = temporal.state_on(history, "2020-12-31").select("account_id", "account_status").collect()
     assert sorted(tuple(r) for r in s) == [("A", "active"), ("B", "active")]
