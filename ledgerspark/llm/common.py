@@ -3,9 +3,11 @@ and keys, distributed numbering, connected components and Arrow batch slicing.""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,23 +19,49 @@ SPACE = r" \t\n\x0B\f\r"
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where neither
-    the session nor the context has any (tests on one machine)."""
+    """The shared folder named by ``spark.checkpoint.dir``. Where neither the session nor the context
+    has any, a local master (tests) gets a temporary folder; a cluster, whose executors would each
+    write to their own disk, is refused."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for intermediate tables")
         path = tempfile.mkdtemp(prefix="ledgerspark-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+def durable(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends here, so a lost
-    executor never reruns what lies above."""
+    executor never reruns what lies above. Inside ``passing``, the table goes when the block ends;
+    with ``keep`` it outlives the block."""
     path = f"{work_dir(df.sparkSession)}/ledgerspark-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if len(_scopes) > keep:
+        _scopes[-1 - keep].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``durable`` writes in this block are removed at its end. Nothing that is used later
+    may read them: what the block hands on is written with ``keep``. Spark's cleaner is woken as well:
+    it drops the shuffle files of plans that nobody holds any more."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _scopes.pop():
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        gc.collect()
+        jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 

@@ -12,25 +12,35 @@ have one word more. Lines that meet in a variant are within one edit. A group on
 earliest line, so its size never matters, and the words of both are compared before a line goes.
 
 ``dedup_lines`` also takes lines that differ in up to a tenth of the longer one's words, from 20
-words on (``wide``; op6 leaves it out, its SQL has one word). Each edit touches ``GRAM`` runs of as
-many words at most, so two such lines share a run that is among the rarest of both: lines meet in
-these, and their word edit distance is computed. A line is compared with the earliest of each
-meeting first, and only what is left with every earlier one.
+words on (``wide``; op6 leaves it out, its SQL has one word). An edit touches ``SEED`` runs of as many
+words at most. So of any order of all runs, such as that of their hashes, the first few distinct runs
+of two such lines have some in common: of ``SEED`` for each edit and ``SHARED`` more, ``SHARED``. Lines
+that share fewer of them with all others are done after one grouped pass over these. The others emit every run of ``GRAM``
+words; two such lines share one that is among the rarest of both, and their word edit distance is
+computed. A line is compared with the earliest of each meeting first, and only what is left with
+every earlier one.
+
+Long texts: a line is one value, whatever its length, and its hashes are arrays of as many numbers as
+it has words; nothing else grows with a text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, documents, durable, fresh, ranked
+from .common import SPACE, documents, durable, fresh, passing, ranked
 
 #: Words that the longer of two lines needs for an edit: five words keep four fifths alike.
 MIN_WORDS = 5
 #: One word in so many may differ under ``wide``.
 TENTH = 10
-#: Words of a run.
-GRAM = 6
+#: Words of a run: of those that tell whether a line can have a partner, and of those that find it.
+SEED, GRAM = 4, 6
+#: First runs that a line must share with others to go on.
+SHARED = 5
 _BLOCK = 256
 
 
@@ -51,23 +61,63 @@ def _half(n: Column) -> Column:
     return F.when((power > 1) & (wide <= q), wide).otherwise(power)
 
 
-def _lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(id, th, line, n, a, b, halves): every line with a word; a and b together identify its
-    words, halves are the keys of its first and last half."""
+def _edits(n: Column) -> Column:
+    """The most edits under ``wide``: those of a partner that is the longer line."""
+    return F.floor(n / (TENTH - 1)).cast("int")
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once: as the one element of an array, it is not pasted
+    into every place that refers to it, loops included."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _runs(words: Column, n: Column, size: int, then: Callable[[Column], Column]) -> Column:
+    """``then`` of the hashes of every run of ``size`` words."""
+    def runs(h: Column) -> Column:
+        run = lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, size)])
+        return F.transform(F.slice(h, F.lit(1), F.greatest(n - size + 1, F.lit(0))), run)
+
+    return _once(F.transform(words, lambda w: F.xxhash64(w)), lambda h: _once(runs(h), then))
+
+
+def _first_runs(words: Column, n: Column) -> Column:
+    """The first ``SEED`` distinct runs for each edit and ``SHARED`` more, in the order of their
+    hashes."""
+    return F.slice(_runs(words, n, SEED, lambda g: F.sort_array(F.array_distinct(g))), F.lit(1), _edits(n) * SEED + SHARED)
+
+
+def _told_apart(g: Column) -> Column:
+    """Runs of a line; one that it holds again counts as another."""
+    again = lambda x, i: F.xxhash64(x, F.size(F.filter(F.slice(g, F.lit(1), i), lambda y: y == x)))
+    return F.when(F.size(F.array_distinct(g)) == F.size(g), F.transform(g, lambda x: F.xxhash64(x, F.lit(0)))).otherwise(F.transform(g, again))
+
+
+def _cut(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(id, th, line, words, n): every line with a word."""
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     # The text's hash and lines come first, so that no line carries the whole text.
-    cut = (docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(whole).alias("th"), F.split(whole, "\n").alias("all"))
+    return (docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(whole).alias("th"), F.split(whole, "\n").alias("all"))
            .select("id", "th", F.posexplode("all").alias("line", "raw"))
            .filter(F.col("raw").rlike(f"[^{SPACE}]")).withColumn("words", _words(F.col("raw"))).withColumn("n", F.size("words")))
-    cut = cut.withColumn("h", F.when(F.col("n") >= MIN_WORDS - 1, _half(F.col("n")))).withColumn(
+
+
+def _identity() -> list[Column]:
+    """a and b, which together identify the words of a line."""
+    return [F.xxhash64("words").alias("a"), F.shiftright(F.xxhash64(F.lit(17), "words"), 32).cast("int").alias("b")]
+
+
+def _lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(id, th, line, n, a, b, halves): every line with a word; halves are the keys of its first and
+    last half."""
+    cut = _cut(docs, id_column, text).withColumn("h", F.when(F.col("n") >= MIN_WORDS - 1, _half(F.col("n")))).withColumn(
         "g", F.when(F.col("n") >= MIN_WORDS, _half(F.col("n") - 1)))
     key = lambda h: [F.xxhash64(F.lit(0), h, F.slice("words", F.lit(1), h)),
                      F.xxhash64(F.lit(1), h, F.slice("words", F.col("n") - h + 1, h))]
     halves = (F.when(F.col("h").isNull(), F.array().cast("array<long>"))
               .when(F.col("g").isNull() | (F.col("g") == F.col("h")), F.array(*key(F.col("h"))))
               .otherwise(F.array(*key(F.col("h")), *key(F.col("g")))))
-    return cut.select("id", "th", "line", "n", F.xxhash64("words").alias("a"),
-                      F.shiftright(F.xxhash64(F.lit(17), "words"), 32).cast("int").alias("b"), halves.alias("halves"))
+    return cut.select("id", "th", "line", "n", *_identity(), halves.alias("halves"))
 
 
 def _place() -> Column:
@@ -104,12 +154,15 @@ def _candidates(lines: DataFrame) -> DataFrame:
 
 def _with_words(firsts: DataFrame, docs: DataFrame, id_column: str, text: str, columns: list[str]) -> DataFrame:
     """``columns`` (``at`` among them) and the words of lines, from the documents that hold their
-    first places; once for each of several equal documents."""
+    first places; of several equal documents, one. The texts travel once, dealt by one key."""
+    key = lambda i, t: F.xxhash64(i, t).alias("key")
     wanted = (firsts.groupBy(F.col("at.id").alias("__id"), F.col("at.th").alias("__th"))
               .agg(F.collect_list(F.struct(*columns)).alias("want")))
+    wanted = wanted.select(key("__id", "__th"), "__id", "__th", "want")
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     source = docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(whole).alias("th"), whole.alias("text"))
-    found = source.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
+    found = source.select(key("id", "th"), "id", "th", "text").join(wanted, "key")
+    found = found.filter(F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th"))).dropDuplicates(["key", "id", "th"])
     found = found.select("want", F.split("text", "\n").alias("raw"))
     picked = F.transform("want", lambda w: F.struct(*[w[c].alias(c) for c in columns], F.get("raw", w["at"]["line"]).alias("raw")))
     return found.select(F.explode(picked).alias("w")).select("w.*").select(*columns, _words(F.col("raw")).alias("words"))
@@ -132,19 +185,31 @@ def _within(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.filter(F.levenshtein("words", "fwords") <= F.col("bound")).select("k").distinct()
 
 
+def _with_partner(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(a, b) of the lines that share ``SHARED`` of their first runs with other lines. A line with too
+    few distinct runs to tell (it repeats itself) stays. The runs are computed twice and not kept:
+    they would be most of the disk."""
+    long = _cut(docs, id_column, text).filter(_edits(F.col("n")) > 1)
+    long = long.select("n", *_identity(), _first_runs(F.col("words"), F.col("n")).alias("runs"))
+    few = long.filter(F.size("runs") < _edits(F.col("n")) * SEED + SHARED).select("a", "b")
+    keys = long.select("a", "b", F.explode("runs").alias("t"))
+    shared = durable(keys.groupBy("t").agg(F.min("b").alias("x"), F.max("b").alias("y")).filter("x < y").select("t"), "lines-shared")
+    some = keys.join(shared, "t", "left_semi").groupBy("a", "b").agg(F.count_distinct("t").alias("c")).filter(F.col("c") >= SHARED)
+    return durable(some.select("a", "b").union(few).distinct(), "lines-with-partner", keep=True)
+
+
 def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """(a, b) of the lines that differ from an earlier one in up to a tenth of the longer one's
     words, two words or more."""
     n = F.col("n")
-    edits = F.floor(n / (TENTH - 1)).cast("int")  # the most, if the other line is the longer one
-    firsts = lines.filter(edits > 1).groupBy("a", "b", "n").agg(F.min(_place()).alias("at"))
+    edits = _edits(n)
+    with passing(docs.sparkSession):
+        partner = _with_partner(docs, id_column, text)
+    firsts = lines.filter(edits > 1).join(partner, ["a", "b"], "left_semi").groupBy("a", "b", "n").agg(F.min(_place()).alias("at"))
     firsts = ranked(firsts.select("a", "b", "n", "at.*"), ["last", "id", "th", "line"], "k")
     firsts = firsts.withColumn("at", F.struct("id", "th", "line"))
-    found = durable(_with_words(firsts, docs, id_column, text, ["k", "n", "at"]).dropDuplicates(["k"]).select("k", "n", "words"), "lines-long")
-    # Runs of GRAM words; one that a line holds again counts as another.
-    runs = found.select("k", "n", F.transform(F.sequence(F.lit(1), n - GRAM + 1), lambda i: F.xxhash64(F.slice("words", i, F.lit(GRAM)))).alias("g"))
-    again = F.transform("g", lambda x, i: F.xxhash64(x, F.size(F.filter(F.slice("g", F.lit(1), i), lambda y: y == x))))
-    runs = runs.select("k", "n", F.explode(F.when(F.size(F.array_distinct("g")) == F.size("g"), F.transform("g", lambda x: F.xxhash64(x, F.lit(0)))).otherwise(again)).alias("t"))
+    found = durable(_with_words(firsts, docs, id_column, text, ["k", "n", "at"]).select("k", "n", "words"), "lines-long")
+    runs = found.select("k", "n", F.explode(_runs(F.col("words"), n, GRAM, _told_apart)).alias("t"))
     shared = durable(runs.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("t").alias("__t"), "c"), "lines-runs")
     per = runs.join(shared, F.col("t") == F.col("__t")).groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
     # A line and its partner share one of their rarest GRAM * edits + 1 runs; those it shares with none come first.
@@ -164,9 +229,11 @@ def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataF
 def _near(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """(a, b) of the lines that differ in one word from a line before their own first place."""
     firsts = durable(_candidates(lines), "lines-candidates")
-    found = _with_words(firsts, docs, id_column, text, ["a", "b", "at", "ahead", "behind"]).dropDuplicates(["a", "b"])
+    found = _with_words(firsts, docs, id_column, text, ["a", "b", "at", "ahead", "behind"])
     # Numbered in the order of their places: one number stands for a line and for its place.
     found = ranked(found.select("*", "at.*").drop("at"), ["last", "id", "th", "line"], "k").select("k", "a", "b", "ahead", "behind", "words")
+    # (dealt anew first: the numbered table has parts of many rows, and these hashes are the work)
+    found = found.repartition("k")
     ready = (found.select("k", "ahead", "behind", "words", _chain(F.col("words")).alias("p"), F.reverse("words").alias("turned"))
              .select("k", "ahead", "behind", F.size("words").alias("n"), "p", F.reverse(_chain(F.col("turned"))).alias("s")))
     # Variants at the places where an edit can lie: a gap before word i, or word i left out.
@@ -175,7 +242,7 @@ def _near(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataF
     high = F.when(F.col("ahead").isNotNull(), n).otherwise(n - F.col("behind"))
     span = high - low + 1
     cut = F.arrays_zip(F.slice("p", low + 1, span).alias("p"), F.slice("s", low + 1, span).alias("s"), F.slice("s", low + 2, span).alias("t"))
-    places = ready.repartition("k").select("k", "n", low.alias("low"), F.posexplode(cut).alias("j", "z")).withColumn("i", F.col("j") + F.col("low"))
+    places = ready.select("k", "n", low.alias("low"), F.posexplode(cut).alias("j", "z")).withColumn("i", F.col("j") + F.col("low"))
     gap = F.struct(F.lit(0).alias("skip"), F.xxhash64("n", "i", "z.p", "z.s").alias("v"))
     left_out = F.struct(F.lit(1).alias("skip"), F.when(F.col("z.t").isNotNull() & (n >= MIN_WORDS), F.xxhash64(n - 1, "i", "z.p", "z.t")).alias("v"))
     variants = places.select("k", "i", F.inline(F.array(gap, left_out))).filter("v is not null")
@@ -197,9 +264,12 @@ def judged_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     """(id, th, line, removed) of every line with a word; th is a hash of the whole text. Rows with
     equal id and text are one document listed several times: each copy is judged alike."""
     lines = durable(_lines(docs, id_column, text), "lines")
-    near = durable(_near(lines, docs, id_column, text), "lines-near")
+    spark = docs.sparkSession
+    with passing(spark):
+        near = durable(_near(lines, docs, id_column, text), "lines-near", keep=True)
     if wide:
-        near = durable(near.union(_wide(lines, docs, id_column, text)).distinct(), "lines-near")
+        with passing(spark):
+            near = durable(near.union(_wide(lines, docs, id_column, text)).distinct(), "lines-near", keep=True)
     near = near.withColumn("near", F.lit(True))
     again = lines.groupBy("a", "b").agg(F.min(_place()).alias("first"), F.max(_place()).alias("final")).filter(
         F.col("first") < F.col("final")).select("a", "b", "first")
