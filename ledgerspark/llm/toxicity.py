@@ -169,7 +169,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op10: score of every whole text of ``documents``."""
+    """op10: score of every whole text of ``documents``. A row with a null doc_id is not held out."""
     docs = documents(spark, sf_dir)
     return toxic_scores(spark, docs, sf_dir).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
