@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm import decontamination, lines, packing, simhash, toxicity
-from ledgerspark.llm.common import documents, durable
+from ledgerspark.llm.common import documents, durable, passing
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with passing(spark):  # a stage's own tables go once its result is written
+            docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
