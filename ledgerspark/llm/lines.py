@@ -16,9 +16,9 @@ words on (``wide``; op6 leaves it out, its SQL has one word). An edit touches ``
 words at most. So of any order of all runs, such as that of their hashes, the first few distinct runs
 of two such lines have some in common: of ``SEED`` for each edit and ``SHARED`` more, ``SHARED``. Lines
 that share fewer of them with all others are done after one grouped pass over these. The others emit every run of ``GRAM``
-words; two such lines share one that is among the rarest of both, and their word edit distance is
-computed. A line is compared with the earliest of each meeting first, and only what is left with
-every earlier one.
+words; two such lines share ``SHARED`` (fewer if their lengths leave fewer whole) among the rarest of
+both, agree in all but a tenth of their different words, and their word edit distance is computed. A line
+is compared with the earliest of each meeting first, and only what is left with every earlier one.
 
 Long texts: a line is one value, whatever its length, and its hashes are arrays of as many numbers as
 it has words; nothing else grows with a text.
@@ -72,25 +72,13 @@ def _once(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def _runs(words: Column, n: Column, size: int, then: Callable[[Column], Column]) -> Column:
-    """``then`` of the hashes of every run of ``size`` words."""
+def _runs(size: int) -> Column:
+    """The hashes of every run of ``size`` of ``n`` words."""
     def runs(h: Column) -> Column:
         run = lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, size)])
-        return F.transform(F.slice(h, F.lit(1), F.greatest(n - size + 1, F.lit(0))), run)
+        return F.transform(F.slice(h, F.lit(1), F.greatest(F.col("n") - size + 1, F.lit(0))), run)
 
-    return _once(F.transform(words, lambda w: F.xxhash64(w)), lambda h: _once(runs(h), then))
-
-
-def _first_runs(words: Column, n: Column) -> Column:
-    """The first ``SEED`` distinct runs for each edit and ``SHARED`` more, in the order of their
-    hashes."""
-    return F.slice(_runs(words, n, SEED, lambda g: F.sort_array(F.array_distinct(g))), F.lit(1), _edits(n) * SEED + SHARED)
-
-
-def _told_apart(g: Column) -> Column:
-    """Runs of a line; one that it holds again counts as another."""
-    again = lambda x, i: F.xxhash64(x, F.size(F.filter(F.slice(g, F.lit(1), i), lambda y: y == x)))
-    return F.when(F.size(F.array_distinct(g)) == F.size(g), F.transform(g, lambda x: F.xxhash64(x, F.lit(0)))).otherwise(F.transform(g, again))
+    return _once(F.transform("words", lambda w: F.xxhash64(w)), runs)
 
 
 def _cut(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -169,33 +157,43 @@ def _with_words(firsts: DataFrame, docs: DataFrame, id_column: str, text: str, c
 
 
 def _within(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """k of the (k, f) whose words differ in a tenth of the longer line's number at most. Words
-    become characters, numbered within the pair, so that the distance counts words."""
-    mine = found.select(F.col("k").alias("__k"), "words")
-    other = found.select(F.col("k").alias("__f"), F.col("words").alias("fwords"))
-    both = pairs.join(mine, F.col("k") == F.col("__k")).join(other, F.col("f") == F.col("__f"))
-    both = both.select("k", "words", "fwords", F.array_distinct(F.concat("words", "fwords")).alias("all"))
-
-    def letter(w: Column) -> Column:
-        at = F.array_position("all", w) + 255
-        return F.decode(F.unhex(F.lpad(F.hex(F.when(at < 0xD800, at).otherwise(at + 0x800)), 8, "0")), "UTF-32")
-
-    both = both.select("k", F.floor(F.greatest(F.size("words"), F.size("fwords")) / TENTH).cast("int").alias("bound"),
-                       *[F.array_join(F.transform(c, letter), "").alias(c) for c in ("words", "fwords")])
-    return both.filter(F.levenshtein("words", "fwords") <= F.col("bound")).select("k").distinct()
+    """k of the (k, f) whose words differ in a tenth of the longer line's number at most. A line that
+    has more words of its own than that is told by its set of word hashes. For the others words
+    become characters, numbered within the pair, so that the distance counts words; it is computed
+    within a band of the bound."""
+    def joined(pairs: DataFrame, columns: list[str]) -> DataFrame:
+        mine = found.select(F.col("k").alias("__k"), *columns)
+        other = found.select(F.col("k").alias("__f"), *[F.col(c).alias(f"f{c}") for c in columns])
+        return pairs.join(mine, F.col("k") == F.col("__k")).join(other, F.col("f") == F.col("__f")).drop("__k", "__f")
+
+    bound = F.floor(F.greatest("n", "fn") / TENTH).cast("int")
+    alike = joined(pairs, ["n", "bag"]).withColumn("bound", bound).filter(
+        (F.size(F.array_except("bag", "fbag")) <= F.col("bound")) & (F.size(F.array_except("fbag", "bag")) <= F.col("bound")))
+    alike = durable(alike.select("k", "f", "bound"), "lines-alike")
+
+    def letter(every: Column) -> Callable[[Column], Column]:
+        at = lambda w: F.array_position(every, w) + 255
+        return lambda w: F.decode(F.unhex(F.lpad(F.hex(F.when(at(w) < 0xD800, at(w)).otherwise(at(w) + 0x800)), 8, "0")), "UTF-32")
+
+    every = F.array_distinct(F.concat("words", "fwords"))
+    spelt = _once(every, lambda x: F.struct(*[F.array_join(F.transform(c, letter(x)), "").alias(c) for c in ("words", "fwords")]))
+    distance = _once(spelt, lambda z: F.call_function("levenshtein", z["words"], z["fwords"], F.col("bound")))
+    return joined(alike, ["words"]).select("k", distance.alias("d")).filter("d >= 0").select("k").distinct()
 
 
 def _with_partner(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(a, b) of the lines that share ``SHARED`` of their first runs with other lines. A line with too
-    few distinct runs to tell (it repeats itself) stays. The runs are computed twice and not kept:
-    they would be most of the disk."""
+    """a of the lines that share ``SHARED`` of their first runs with other lines. A line with too few
+    distinct runs to tell (it repeats itself) stays. First runs: the first ``SEED`` distinct runs for
+    each edit and ``SHARED`` more, in the order of their hashes. They are dealt once, by run; the
+    count of their lines and the lines themselves are read from that one exchange."""
     long = _cut(docs, id_column, text).filter(_edits(F.col("n")) > 1)
-    long = long.select("n", *_identity(), _first_runs(F.col("words"), F.col("n")).alias("runs"))
-    few = long.filter(F.size("runs") < _edits(F.col("n")) * SEED + SHARED).select("a", "b")
-    keys = long.select("a", "b", F.explode("runs").alias("t"))
-    shared = durable(keys.groupBy("t").agg(F.min("b").alias("x"), F.max("b").alias("y")).filter("x < y").select("t"), "lines-shared")
-    some = keys.join(shared, "t", "left_semi").groupBy("a", "b").agg(F.count_distinct("t").alias("c")).filter(F.col("c") >= SHARED)
-    return durable(some.select("a", "b").union(few).distinct(), "lines-with-partner", keep=True)
+    wanted = _edits(F.col("n")) * SEED + SHARED
+    ordered = long.select("n", _identity()[0], F.sort_array(F.array_distinct(_runs(SEED))).alias("runs"))
+    keys = ordered.select("a", F.explode(F.slice("runs", F.lit(1), wanted)).alias("t"), (F.size("runs") < wanted).alias("few")).repartition("t")
+    shared = keys.groupBy("t").agg(F.min("a").alias("x"), F.max("a").alias("y"), F.max("few").alias("any")).filter("x < y or any")
+    some = keys.join(shared.select(F.col("t").alias("__t"), (F.col("x") < F.col("y")).alias("met")), F.col("t") == F.col("__t"))
+    per = some.filter("met or few").groupBy("a").agg(F.count_if("met").alias("c"), F.max("few").alias("few"))
+    return durable(per.filter((F.col("c") >= SHARED) | F.col("few")).select("a"), "lines-with-partner", keep=True)
 
 
 def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -205,24 +203,33 @@ def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataF
     edits = _edits(n)
     with passing(docs.sparkSession):
         partner = _with_partner(docs, id_column, text)
-    firsts = lines.filter(edits > 1).join(partner, ["a", "b"], "left_semi").groupBy("a", "b", "n").agg(F.min(_place()).alias("at"))
+    firsts = lines.filter(edits > 1).join(partner, "a", "left_semi").groupBy("a", "b", "n").agg(F.min(_place()).alias("at"))
     firsts = ranked(firsts.select("a", "b", "n", "at.*"), ["last", "id", "th", "line"], "k")
     firsts = firsts.withColumn("at", F.struct("id", "th", "line"))
-    found = durable(_with_words(firsts, docs, id_column, text, ["k", "n", "at"]).select("k", "n", "words"), "lines-long")
-    runs = found.select("k", "n", F.explode(_runs(F.col("words"), n, GRAM, _told_apart)).alias("t"))
-    shared = durable(runs.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("t").alias("__t"), "c"), "lines-runs")
+    found = _with_words(firsts, docs, id_column, text, ["k", "n", "at"])
+    found = durable(found.select("k", "n", "words", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("bag")), "lines-long")
+    # A run that a line holds again counts as another.
+    runs = found.select("k", "n", F.explode(_runs(GRAM)).alias("r")).groupBy("k", "n", "r").agg(F.count(F.lit(1)).alias("c"))
+    runs = runs.select("k", "n", "r", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("i")).select("k", "n", F.xxhash64("r", "i").alias("t"))
+    runs = durable(runs, "lines-runs")
+    shared = durable(runs.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("t").alias("__t"), "c"), "lines-shared-runs")
     per = runs.join(shared, F.col("t") == F.col("__t")).groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
-    # A line and its partner share one of their rarest GRAM * edits + 1 runs; those it shares with none come first.
-    rarest = edits * GRAM + 1 - (n - GRAM + 1 - F.size("r"))
+    # A line and its partner share SHARED of their rarest GRAM * edits + SHARED runs, or all that
+    # their lengths leave whole; those a line shares with none come first.
+    rarest = edits * GRAM + SHARED - (n - GRAM + 1 - F.size("r"))
     keys = durable(per.filter(rarest > 0).select("k", "n", F.explode(F.slice("r", F.lit(1), rarest)).alias("r")).select("k", "n", "r.t"), "lines-keys")
-    first = keys.groupBy(F.col("t").alias("__t")).agg(F.min("k").alias("f"))
-    met = keys.join(first, F.col("t") == F.col("__t")).filter("k > f").select("k", "f").distinct()
-    near = durable(_within(met, found), "lines-wide-first")
+    longer = F.greatest("n", "m")
+    whole = F.least(F.lit(SHARED), longer - GRAM + 1 - GRAM * F.floor(longer / TENTH))
+
+    def meetings(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+        met = mine.join(theirs, F.col("t") == F.col("__t")).filter((F.col("k") > F.col("f")) & (F.abs(n - F.col("m")) <= F.floor(longer / TENTH)))
+        return met.groupBy("k", "f").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m")).filter(F.col("c") >= whole).select("k", "f")
+
+    first = keys.groupBy(F.col("t").alias("__t")).agg(F.min(F.struct(F.col("k").alias("f"), F.col("n").alias("m"))).alias("z")).select("__t", "z.*")
+    near = durable(_within(meetings(keys, first), found), "lines-wide-first")
     left = keys.join(near, "k", "left_anti")
     earlier = keys.select(F.col("t").alias("__t"), F.col("k").alias("f"), F.col("n").alias("m"))
-    close = F.abs(n - F.col("m")) <= F.floor(F.greatest("n", "m") / TENTH)
-    met = left.join(earlier, F.col("t") == F.col("__t")).filter((F.col("k") > F.col("f")) & close).select("k", "f").distinct()
-    near = near.union(durable(_within(met, found), "lines-wide-rest"))
+    near = near.union(durable(_within(meetings(left, earlier), found), "lines-wide-rest"))
     return firsts.join(near, "k", "left_semi").select("a", "b")
 
 
