@@ -196,28 +196,36 @@ def _with_partner(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return durable(per.filter((F.col("c") >= SHARED) | F.col("few")).select("a"), "lines-with-partner", keep=True)
 
 
-def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(a, b) of the lines that differ from an earlier one in up to a tenth of the longer one's
-    words, two words or more."""
+def _rare_runs(found: DataFrame) -> DataFrame:
+    """(k, n, t): of each line's runs that another line shares, those among its rarest. A line and its
+    partner share SHARED of their rarest GRAM * edits + SHARED runs, or all that their lengths leave
+    whole; those a line shares with none come first."""
     n = F.col("n")
-    edits = _edits(n)
-    with passing(docs.sparkSession):
-        partner = _with_partner(docs, id_column, text)
-    firsts = lines.filter(edits > 1).join(partner, "a", "left_semi").groupBy("a", "b", "n").agg(F.min(_place()).alias("at"))
-    firsts = ranked(firsts.select("a", "b", "n", "at.*"), ["last", "id", "th", "line"], "k")
-    firsts = firsts.withColumn("at", F.struct("id", "th", "line"))
-    found = _with_words(firsts, docs, id_column, text, ["k", "n", "at"])
-    found = durable(found.select("k", "n", "words", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("bag")), "lines-long")
-    # A run that a line holds again counts as another.
-    runs = found.select("k", "n", F.explode(_runs(GRAM)).alias("r")).groupBy("k", "n", "r").agg(F.count(F.lit(1)).alias("c"))
-    runs = runs.select("k", "n", "r", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("i")).select("k", "n", F.xxhash64("r", "i").alias("t"))
-    runs = durable(runs, "lines-runs")
+    with passing(found.sparkSession):
+        # A run that a line holds again counts as another.
+        runs = found.select("k", "n", F.explode(_runs(GRAM)).alias("r")).groupBy("k", "n", "r").agg(F.count(F.lit(1)).alias("c"))
+        runs = runs.select("k", "n", "r", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("i")).select("k", "n", F.xxhash64("r", "i").alias("t"))
+        runs = durable(runs, "lines-runs", keep=True)
     shared = durable(runs.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("t").alias("__t"), "c"), "lines-shared-runs")
     per = runs.join(shared, F.col("t") == F.col("__t")).groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
-    # A line and its partner share SHARED of their rarest GRAM * edits + SHARED runs, or all that
-    # their lengths leave whole; those a line shares with none come first.
-    rarest = edits * GRAM + SHARED - (n - GRAM + 1 - F.size("r"))
-    keys = durable(per.filter(rarest > 0).select("k", "n", F.explode(F.slice("r", F.lit(1), rarest)).alias("r")).select("k", "n", "r.t"), "lines-keys")
+    rarest = _edits(n) * GRAM + SHARED - (n - GRAM + 1 - F.size("r"))
+    return durable(per.filter(rarest > 0).select("k", "n", F.explode(F.slice("r", F.lit(1), rarest)).alias("r")).select("k", "n", "r.t"), "lines-keys", keep=True)
+
+
+def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(a, b) of the lines that differ from an earlier one in up to a tenth of the longer one's
+    words, two words or more. The tables and exchanges of each step go before the next begins."""
+    spark, n = docs.sparkSession, F.col("n")
+    with passing(spark):
+        partner = _with_partner(docs, id_column, text)
+    with passing(spark):
+        firsts = lines.filter(_edits(n) > 1).join(partner, "a", "left_semi").groupBy("a", "b", "n").agg(F.min(_place()).alias("at"))
+        firsts = ranked(firsts.select("a", "b", "n", "at.*"), ["last", "id", "th", "line"], "k").withColumn("at", F.struct("id", "th", "line"))
+        found = _with_words(firsts, docs, id_column, text, ["k", "a", "b", "n", "at"])
+        found = found.select("k", "a", "b", "n", "words", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("bag"))
+        found = durable(found, "lines-long", keep=True)
+    with passing(spark):
+        keys = _rare_runs(found)
     longer = F.greatest("n", "m")
     whole = F.least(F.lit(SHARED), longer - GRAM + 1 - GRAM * F.floor(longer / TENTH))
 
@@ -230,7 +238,7 @@ def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataF
     left = keys.join(near, "k", "left_anti")
     earlier = keys.select(F.col("t").alias("__t"), F.col("k").alias("f"), F.col("n").alias("m"))
     near = near.union(durable(_within(meetings(left, earlier), found), "lines-wide-rest"))
-    return firsts.join(near, "k", "left_semi").select("a", "b")
+    return found.join(near, "k", "left_semi").select("a", "b")
 
 
 def _near(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
