@@ -74,3 +74,18 @@ def test_as_of_lookup_has_no_range_join(spark, sf_small):
     for line in p.splitlines():
         if "Join" in line and "account_id" in line:
             assert "_asof_d" in line
+
+
+def test_windows_are_listed_where_their_key_has_facts(spark, sf_small):
+    """The windows of the span join are never broadcast (their number is not that of the history's
+    rows), and a long window costs one row per span with facts of its key."""
+    h0 = scd2.initial_history(fixtures.acct_initial(spark, sf_small))
+    facts = fixtures.tx_raw(spark, sf_small).select("transaction_id", "account_id", "event_timestamp")
+    p = plan(temporal.as_of_join_spans(facts, h0))
+    assert not [line for line in p.splitlines() if "BroadcastHashJoin" in line and "_w_span" in line]
+    few = spark.sql("select 'A' account_id, timestamp'2000-01-01' ts union all select 'A', timestamp'2020-01-01' union all select 'Z', timestamp'2010-01-01'")
+    long = spark.sql("select 'A' account_id, 'x' account_status, 1 credit_limit, date'1999-01-01' valid_from, date'9999-12-31' valid_to")
+    got = temporal.as_of_join_spans(few, long, date_col="ts", span_days=1)
+    # (the spans of the key's facts, not a sequence of all spans)
+    assert re.findall(r"Generate explode\(([a-z]+)", plan(got)) == ["filter"]
+    assert sorted((r.account_id, r.ts.year, r.account_status) for r in got.collect()) == [("A", 2000, "x"), ("A", 2020, "x"), ("Z", 2010, None)]
