@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Items and the passages of all documents become TF-IDF vectors over the benchmark's words, with
-document frequencies of the whole corpus. A distributed randomised SVD gives the latent space;
+document frequencies of the whole corpus. A distributed randomised SVD gives the latent space,
+from exact counts, made in one pass, of the words that stand together in a passage;
 passages whose cosine to an item passes a threshold are candidates; their words are then compared
 by longest common subsequence, and looser matches also need the item's answer.
 
@@ -31,12 +32,14 @@ PASSAGE = 64
 #: Passages of the benchmark that are looked for in one pass.
 QUERIES = 1_024
 _CHUNK = 1 << 18
+#: Pairs of words in a part of the counts, and how many a task sums up at once.
+_CELLS = 1 << 16
+_DENSE = 1 << 24
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``rank``: dimensions of the latent space. ``sample``: documents, about, whose passages shape
-    it together with the items (every passage is searched; frequencies are of all documents).
+    """``rank``: dimensions of the latent space, which all passages and the items shape.
     ``damping``: share of the largest spread that is added to every dimension's.
     ``cosine``: from here on a passage is a candidate. ``copy``: share of an item's words in common
     order that makes a match; ``close`` is enough where ``answer`` of its last sentence is there.
@@ -45,7 +48,6 @@ class Settings:
     rank: int = 128
     extra: int = 10
     power: int = 2
-    sample: int = 2_000
     damping: float = 0.03
     cosine: float = 0.5
     copy: float = 0.7
@@ -85,23 +87,6 @@ def queries(rows: list[tuple], least: int) -> Queries:
     return Queries(items, [np.searchsorted(vocabulary, t).tolist() for t in texts], answers, vocabulary)
 
 
-def _frequencies(docs: DataFrame, table: tuple, size: int) -> np.ndarray:
-    """In how many documents each word of the vocabulary occurs, over all documents."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, total = Table(*table), np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            for part in slices(batch, "text", _CHUNK):
-                w = words(part.column("text").fill_null(""))
-                at = find(t, w.hashes)
-                total += np.bincount(np.unique(w.doc[at >= 0] * size + at[at >= 0]) % size, minlength=size)
-        yield pa.record_batch({"w": np.flatnonzero(total), "n": total[total > 0]})
-
-    found = docs.select("text").mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size)
-    out[found.column("w").to_numpy()] = found.column("n").to_numpy()
-    return out
-
-
 def _blocks(hashes: np.ndarray, doc: np.ndarray, table: Table, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word numbers or -1, block of each word, first block of each document and the end)."""
     counts = np.bincount(doc, minlength=n_docs)
@@ -110,65 +95,143 @@ def _blocks(hashes: np.ndarray, doc: np.ndarray, table: Table, n_docs: int) -> t
     return find(table, hashes), first[doc] + place // STEP, first
 
 
-def _gram(sample: DataFrame, weight: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, float]:
-    """A'A times ``basis`` and the squared norm of A, the TF-IDF matrix of the sampled passages;
-    summed up task by task. Both factors are of bounded size."""
-    size, width = basis.shape
-    shared = sample.sparkSession.sparkContext.broadcast((weight, basis))
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, basis = shared.value
-        total, norm = np.zeros((size, width)), 0.0
-        for batch in batches:
-            for raw in batch.column("words").to_pylist():
-                at = np.frombuffer(raw, dtype=np.int32)
-                w = weight[at][:, None]
-                np.add.at(total, at, w * (w * basis[at]).sum(axis=0))
-                norm += float((w ** 2).sum())
-        yield pa.record_batch({"y": [total.tobytes()], "n": [norm]})
-
-    total, norm = np.zeros((size, width)), 0.0
-    for row in sample.mapInArrow(multiply, "y binary, n double").toLocalIterator():
-        total += np.frombuffer(row["y"]).reshape(size, width)
-        norm += row["n"]
-    shared.unpersist()
-    return total, norm
-
-
-def _passages(docs: DataFrame, table: tuple, s: Settings) -> DataFrame:
-    """Passages of four blocks of about ``s.sample`` documents, as vocabulary numbers."""
-    share = min(1.0, s.sample / max(1, docs.count()))
-    # By a hash of the row: the same documents however the table is cut into partitions.
-    drawn = F.pmod(F.xxhash64("id", "th"), F.lit(1 << 31)) < int(share * (1 << 31))
+def _pairs(at: np.ndarray, passage: np.ndarray, size: int) -> np.ndarray:
+    """The places (``_CELLS``) of all pairs of words that stand in one passage."""
+    both = np.sort(passage * size + at)
+    at, passage = both % size, both // size
+    row, out = at * (at + 1) // 2, []
+    for d in range(1, 4 * STEP):
+        near = np.flatnonzero(passage[d:] == passage[:-d])
+        if not len(near):
+            break
+        out.append(row[near + d] + at[near])
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+
+
+def _packed(cells: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Sorted cells and their counts as rows (part, cells within the part, counts)."""
+    cuts = np.flatnonzero(np.diff(cells // _CELLS)) + 1
+    wide = next((t for t in (np.uint8, np.uint16, np.uint32) if counts.max(initial=0) <= np.iinfo(t).max), np.int64)
+    pieces = [(c, n) for c, n in zip(np.split(cells, cuts), np.split(counts.astype(wide), cuts)) if len(c)]
+    return pa.record_batch({"part": pa.array([int(c[0]) // _CELLS for c, _ in pieces], pa.int64()),
+                            "cells": pa.array([(c % _CELLS).astype(np.uint16).tobytes() for c, _ in pieces], pa.binary()),
+                            "counts": pa.array([n.tobytes() for _, n in pieces], pa.binary())})
+
+
+def _counts(docs: DataFrame, table: tuple, size: int) -> DataFrame:
+    """What the space is made of, counted over every passage (four blocks) of all documents: how
+    often each two words of the vocabulary stand in one passage. The pairs are a triangle, row after
+    row, in parts of ``_CELLS`` cells: (part, cells, counts). Part -1 has in how many documents each
+    word occurs, part -2 how often it occurs. The rows are as many as the vocabulary has pairs, however
+    many documents there are."""
+    triangle = size * (size + 1) // 2
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Table(*table)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, held, times = Table(*table), np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+        # A small vocabulary's pairs are summed up in the task, those of a large one batch by batch.
+        dense = np.zeros(triangle if triangle <= _DENSE else 0, dtype=np.uint32)
+        waiting, room, seen = [], 0, 0
         for batch in batches:
             for part in slices(batch, "text", _CHUNK):
                 w = words(part.column("text").fill_null(""))
                 at, block, first = _blocks(w.hashes, w.doc, t, part.num_rows)
-                passage = (block - first[w.doc]) // 4 + first[w.doc]
-                keep = at >= 0
-                at, passage = at[keep].astype(np.int32), passage[keep]
-                cuts = np.flatnonzero(np.diff(passage)) + 1
-                yield pa.record_batch({"words": pa.array([x.tobytes() for x in np.split(at, cuts) if len(x)], pa.binary())})
+                passage, keep = (block - first[w.doc]) // 4 + first[w.doc], at >= 0
+                at, passage = at[keep].astype(np.int64), passage[keep]
+                held += np.bincount(np.unique(w.doc[keep] * size + at) % size, minlength=size)
+                times += np.bincount(at, minlength=size)
+                met = _pairs(at, passage, size)
+                seen += len(met)
+                if len(dense):
+                    np.add.at(dense, met, dense.dtype.type(1))  # (of one type: the fast way)
+                    if seen > 1 << 31:
+                        cells, seen = np.flatnonzero(dense), 0
+                        yield _packed(cells, dense[cells])
+                        dense[:] = 0
+                else:
+                    waiting, room = [*waiting, met], room + len(met)
+                    if room > _DENSE // 4:
+                        yield _packed(*np.unique(np.concatenate(waiting), return_counts=True))
+                        waiting, room = [], 0
+        if len(dense):
+            cells = np.flatnonzero(dense)
+            yield _packed(cells, dense[cells])
+        elif waiting:
+            yield _packed(*np.unique(np.concatenate(waiting), return_counts=True))
+        yield pa.record_batch({"part": pa.array([-1, -2], pa.int64()), "cells": pa.array([b"", b""], pa.binary()),
+                               "counts": pa.array([held.tobytes(), times.tobytes()], pa.binary())})
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, np.zeros(0, dtype=np.int64)
+
+        def ready() -> pa.RecordBatch:
+            cells = np.flatnonzero(sums).astype(np.uint16) if now >= 0 else np.zeros(0, dtype=np.uint16)
+            kept = sums[cells] if now >= 0 else sums
+            return pa.record_batch({"part": pa.array([now], pa.int64()), "cells": pa.array([cells.tobytes()], pa.binary()),
+                                    "counts": pa.array([kept.tobytes()], pa.binary())})
+
+        for batch in batches:
+            for part, cells, counts in zip(*[batch.column(c).to_pylist() for c in ("part", "cells", "counts")]):
+                if part != now:
+                    if now is not None:
+                        yield ready()
+                    now, sums = part, np.zeros(_CELLS if part >= 0 else size, dtype=np.int64)
+                if part < 0:
+                    sums += np.frombuffer(counts, dtype=np.int64)
+                    continue
+                at = np.frombuffer(cells, dtype=np.uint16)
+                kind = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.int64}[len(counts) // len(at)]
+                sums[at] += np.frombuffer(counts, dtype=kind)
+        if now is not None:
+            yield ready()
+
+    schema = "part long, cells binary, counts binary"
+    found = docs.select("text").mapInArrow(count, schema).repartition("part").sortWithinPartitions("part")
+    return durable(found.mapInArrow(total, schema), "decontamination-counts")
+
+
+def _gram(counts: DataFrame, weight: np.ndarray, times: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, float]:
+    """A'A times ``basis`` and the squared norm of A, the TF-IDF matrix of all passages, from the
+    counts of their pairs; summed up task by task. Both factors are of bounded size."""
+    size, width = basis.shape
+    scaled = weight[:, None].astype(np.float64) * basis
+    shared = counts.sparkSession.sparkContext.broadcast(scaled)
 
-    return durable(docs.filter(drawn).select("text").mapInArrow(cut, "words binary").repartitionByRange(4, "words").sortWithinPartitions("words"), "decontamination-sample")
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = shared.value
+        starts = np.arange(size + 1) * (np.arange(size + 1) + 1) // 2  # (of the triangle's rows)
+        total = np.zeros((size, width))
+        for batch in batches:
+            for part, cells, n in zip(*[batch.column(c).to_pylist() for c in ("part", "cells", "counts")]):
+                at = np.frombuffer(cells, dtype=np.uint16).astype(np.int64) + part * _CELLS
+                row = np.searchsorted(starts, at, side="right") - 1
+                low, high = int(row[0]), int(row[-1]) + 1
+                here = np.zeros((high - low, high))
+                here[row - low, at - starts[row]] = np.frombuffer(n, dtype=np.int64)
+                total[low:high] += here @ x[:high]
+                total[:high] += here.T @ x[low:high]
+        yield pa.record_batch({"y": [total.tobytes()]})
+
+    total = times[:, None] * scaled  # (a word with itself)
+    for row in counts.filter("part >= 0").coalesce(8).mapInArrow(multiply, "y binary").toLocalIterator():
+        total += np.frombuffer(row["y"]).reshape(size, width)
+    shared.unpersist()
+    return weight[:, None] * total, float((times * weight.astype(np.float64) ** 2).sum())
 
 
 def latent_space(docs: DataFrame, q: Queries, table: tuple, s: Settings) -> np.ndarray:
     """Vocabulary words in the latent space (word, dimension), weighted by their inverse document
-    frequency; randomised SVD of sampled passages and items, either with norm 1 as a whole,
+    frequency; randomised SVD of all passages and the items, either with norm 1 as a whole,
     dimensions scaled to about equal spread."""
     size = len(q.vocabulary)
-    seen = _frequencies(docs, table, size)
+    counts = _counts(docs, table, size)
+    of_words = {r["part"]: np.frombuffer(r["counts"], dtype=np.int64) for r in counts.filter("part < 0").toLocalIterator()}
+    seen, times = (of_words.get(k, np.zeros(size)) for k in (-1, -2))  # (no row: no documents)
     weight = np.log((docs.count() + 1) / (seen + 1)).astype(np.float32) + np.float32(1e-3)
-    sample = _passages(docs, table, s)
     width = min(size, s.rank + s.extra)
     item = [np.array(x) for x in q.words]
     basis = np.linalg.qr(np.random.default_rng(5).standard_normal((size, width)))[0].astype(np.float32)
     for _ in range(s.power + 1):
-        y, norm = _gram(sample, weight, basis)
+        y, norm = _gram(counts, weight, times, basis)
         mine, own = np.zeros((size, width)), 0.0
         for at in item:
             w = weight[at][:, None]

@@ -4,6 +4,7 @@ tables that go, and lines whose runs repeat."""
 import glob
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -95,3 +96,39 @@ def test_sequence_hashes_tell_order():
     h = words(pa.array(["one two three two one"])).hashes
     two = decontamination._sequence(h, 2)
     assert len(set(two.tolist())) == 4 and len(decontamination._sequence(h, 6)) == 0
+
+
+@pytest.mark.parametrize("dense", [decontamination._DENSE, 1_000])
+def test_all_passages_shape_the_space(spark, monkeypatch, dense):
+    """The space of 3,000 documents against the same steps in numpy over every passage of every one;
+    pairs of a vocabulary that a task sums up, and of one that leaves it batch by batch."""
+    monkeypatch.setattr(decontamination, "_DENSE", dense)
+    rnd = random.Random(8)
+    pool = [f"w{k}" for k in range(400)]
+    pick = lambda n: " ".join(pool[int(400 * rnd.random() ** 2)] for _ in range(n))
+    texts, items = [pick(rnd.choice([0, 3, 30, 64, 65, 150])) for _ in range(3_000)] + [None], [(k, pick(40)) for k in range(20)]
+    q, s = decontamination.queries(items, 8), decontamination.Settings(rank=16, extra=4)
+    table = tuple(decontamination.make_table(q.vocabulary))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = decontamination.latent_space(docs, q, table, s)
+
+    size, known = len(q.vocabulary), {int(h): k for k, h in enumerate(q.vocabulary)}
+    rows, seen = [], np.zeros(size)
+    for t in texts:
+        at = [known.get(int(h), -1) for h in words(pa.array([t or ""])).hashes]
+        for w in {a for a in at if a >= 0}:
+            seen[w] += 1
+        rows += [np.bincount([a for a in at[k:k + 64] if a >= 0], minlength=size) for k in range(0, len(at), 64)]
+    weight = np.log((len(texts) + 1) / (seen + 1)).astype(np.float32) + np.float32(1e-3)
+    every, own = np.array(rows, dtype=float), np.array([np.bincount(x, minlength=size) for x in q.words], dtype=float)
+    square = lambda x: np.outer(weight, weight) * (x.T @ x) / (x.sum(axis=0) * weight.astype(float) ** 2).sum()
+    whole, width = square(every) + square(own), s.rank + s.extra
+    basis = np.linalg.qr(np.random.default_rng(5).standard_normal((size, width)))[0]
+    for _ in range(s.power + 1):
+        y = whole @ basis
+        small, before, basis = basis.T @ y, basis, np.linalg.qr(y)[0]
+    values, turn = np.linalg.eigh((small + small.T) / 2)
+    order = np.argsort(values)[::-1][:s.rank]
+    want = before @ turn[:, order] / np.sqrt(np.maximum(values[order], 0) + s.damping * values.max()) * weight[:, None]
+    want, got = want @ want.T, got.astype(float) @ got.T.astype(float)
+    assert np.abs(want - got).max() < 1e-3 * np.abs(want).max()
