@@ -18,7 +18,8 @@ of two such lines have some in common: of ``SEED`` for each edit and ``SHARED``
 that share fewer of them with all others are done after one grouped pass over these. The others emit every run of ``GRAM``
 words; two such lines share ``SHARED`` (fewer if their lengths leave fewer whole) among the rarest of
 both, agree in all but a tenth of their different words, and their word edit distance is computed. A line
-is compared with the earliest of each meeting first, and only what is left with every earlier one.
+is compared with the earliest of each meeting first, and only what is left with every earlier one; lines
+of a crowd that holds one passage by their rarest runs of ``SHORT`` words.
 
 Long texts: a line is one value, whatever its length, and its hashes are arrays of as many numbers as
 it has words; nothing else grows with a text.
@@ -27,6 +28,7 @@ it has words; nothing else grows with a text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +41,11 @@ MIN_WORDS = 5
 TENTH = 10
 #: Words of a run: of those that tell whether a line can have a partner, and of those that find it.
 SEED, GRAM = 4, 6
-#: First runs that a line must share with others to go on.
-SHARED = 5
+#: First runs that a line must share with others to go on, and parts in which they are dealt.
+SHARED, ROUNDS = 5, 2
+#: A run that more lines hold is a crowd's: its lines are told apart by short runs, of which an edit
+#: touches fewer, so that a passage they share does not bring together lines that differ elsewhere.
+CROWD, SHORT = 64, 2
 _BLOCK = 256
 
 
@@ -184,32 +189,48 @@ def _within(pairs: DataFrame, found: DataFrame) -> DataFrame:
 def _with_partner(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """a of the lines that share ``SHARED`` of their first runs with other lines. A line with too few
     distinct runs to tell (it repeats itself) stays. First runs: the first ``SEED`` distinct runs for
-    each edit and ``SHARED`` more, in the order of their hashes. They are dealt once, by run; the
-    count of their lines and the lines themselves are read from that one exchange."""
+    each edit and ``SHARED`` more, in the order of their hashes. They are dealt by run, ``ROUNDS`` of them one after the other so that
+    only a part lies on disk at a time; the count of a run's lines and the lines themselves are read
+    from one exchange."""
     long = _cut(docs, id_column, text).filter(_edits(F.col("n")) > 1)
     wanted = _edits(F.col("n")) * SEED + SHARED
     ordered = long.select("n", _identity()[0], F.sort_array(F.array_distinct(_runs(SEED))).alias("runs"))
-    keys = ordered.select("a", F.explode(F.slice("runs", F.lit(1), wanted)).alias("t"), (F.size("runs") < wanted).alias("few")).repartition("t")
-    shared = keys.groupBy("t").agg(F.min("a").alias("x"), F.max("a").alias("y"), F.max("few").alias("any")).filter("x < y or any")
-    some = keys.join(shared.select(F.col("t").alias("__t"), (F.col("x") < F.col("y")).alias("met")), F.col("t") == F.col("__t"))
-    per = some.filter("met or few").groupBy("a").agg(F.count_if("met").alias("c"), F.max("few").alias("few"))
-    return durable(per.filter((F.col("c") >= SHARED) | F.col("few")).select("a"), "lines-with-partner", keep=True)
-
-
-def _rare_runs(found: DataFrame) -> DataFrame:
-    """(k, n, t): of each line's runs that another line shares, those among its rarest. A line and its
-    partner share SHARED of their rarest GRAM * edits + SHARED runs, or all that their lengths leave
-    whole; those a line shares with none come first."""
-    n = F.col("n")
-    with passing(found.sparkSession):
+    firsts = ordered.select("a", F.slice("runs", F.lit(1), wanted).alias("runs"), (F.size("runs") < wanted).alias("few"))
+    found = []
+    for k in range(ROUNDS):
+        with passing(docs.sparkSession):
+            mine = F.filter("runs", lambda t: F.pmod(t, F.lit(ROUNDS)) == k)  # noqa: B023
+            keys = firsts.select("a", F.explode(mine).alias("t"), "few").repartition("t")
+            shared = keys.groupBy("t").agg(F.min("a").alias("x"), F.max("a").alias("y"), F.max("few").alias("any")).filter("x < y or any")
+            some = keys.join(shared.select(F.col("t").alias("__t"), (F.col("x") < F.col("y")).alias("met")), F.col("t") == F.col("__t"))
+            per = some.filter("met or few").groupBy("a").agg(F.count_if("met").alias("c"), F.max("few").alias("few"))
+            found.append(durable(per, "lines-partner-counts", keep=True))
+            del keys, shared, some, per  # (their exchange goes with them)
+    every = reduce(DataFrame.union, found).groupBy("a").agg(F.sum("c").alias("c"), F.max("few").alias("few"))
+    return durable(every.filter((F.col("c") >= SHARED) | F.col("few")).select("a"), "lines-with-partner", keep=True)
+
+
+def _rare_runs(found: DataFrame, size: int) -> DataFrame:
+    """(k, n, t, c): of each line's runs of ``size`` words that another line shares, those among its
+    rarest; c: how often the run occurs. A line and its partner share SHARED of their rarest
+    size * edits + SHARED runs, or all that their lengths leave whole; those a line shares with none
+    come first. Runs are counted where their line is, then across lines in ``ROUNDS`` parts."""
+    spark, n = found.sparkSession, F.col("n")
+    with passing(spark):
         # A run that a line holds again counts as another.
-        runs = found.select("k", "n", F.explode(_runs(GRAM)).alias("r")).groupBy("k", "n", "r").agg(F.count(F.lit(1)).alias("c"))
+        runs = found.select("k", "n", "words").repartition("k").select("k", "n", F.explode(_runs(size)).alias("r")).groupBy("k", "n", "r").agg(F.count(F.lit(1)).alias("c"))
         runs = runs.select("k", "n", "r", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("i")).select("k", "n", F.xxhash64("r", "i").alias("t"))
         runs = durable(runs, "lines-runs", keep=True)
-    shared = durable(runs.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("t").alias("__t"), "c"), "lines-shared-runs")
-    per = runs.join(shared, F.col("t") == F.col("__t")).groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
-    rarest = _edits(n) * GRAM + SHARED - (n - GRAM + 1 - F.size("r"))
-    return durable(per.filter(rarest > 0).select("k", "n", F.explode(F.slice("r", F.lit(1), rarest)).alias("r")).select("k", "n", "r.t"), "lines-keys", keep=True)
+    parts = []
+    for part in range(ROUNDS):
+        with passing(spark):
+            mine = runs.filter(F.pmod("t", F.lit(ROUNDS)) == part)
+            shared = mine.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("t").alias("__t"), "c")
+            parts.append(durable(mine.join(shared, F.col("t") == F.col("__t")).select("k", "n", "t", "c"), "lines-shared-runs", keep=True))
+            del mine, shared  # (their exchanges go with them)
+    per = reduce(DataFrame.union, parts).groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
+    rarest = _edits(n) * size + SHARED - (n - size + 1 - F.size("r"))
+    return durable(per.filter(rarest > 0).select("k", "n", F.explode(F.slice("r", F.lit(1), rarest)).alias("r")).select("k", "n", "r.t", "r.c"), "lines-keys", keep=True)
 
 
 def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -225,19 +246,27 @@ def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataF
         found = found.select("k", "a", "b", "n", "words", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("bag"))
         found = durable(found, "lines-long", keep=True)
     with passing(spark):
-        keys = _rare_runs(found)
+        keys = _rare_runs(found, GRAM)
     longer = F.greatest("n", "m")
-    whole = F.least(F.lit(SHARED), longer - GRAM + 1 - GRAM * F.floor(longer / TENTH))
 
-    def meetings(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    def meetings(mine: DataFrame, theirs: DataFrame, size: int) -> DataFrame:
+        whole = F.least(F.lit(SHARED), longer - size + 1 - size * F.floor(longer / TENTH))
         met = mine.join(theirs, F.col("t") == F.col("__t")).filter((F.col("k") > F.col("f")) & (F.abs(n - F.col("m")) <= F.floor(longer / TENTH)))
         return met.groupBy("k", "f").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m")).filter(F.col("c") >= whole).select("k", "f")
 
+    def rest(keys: DataFrame, near: DataFrame, size: int) -> DataFrame:
+        left = keys.join(near, "k", "left_anti")
+        earlier = keys.select(F.col("t").alias("__t"), F.col("k").alias("f"), F.col("n").alias("m"))
+        return durable(_within(meetings(left.select("k", "n", "t"), earlier, size), found), "lines-wide-rest")
+
     first = keys.groupBy(F.col("t").alias("__t")).agg(F.min(F.struct(F.col("k").alias("f"), F.col("n").alias("m"))).alias("z")).select("__t", "z.*")
-    near = durable(_within(meetings(keys, first), found), "lines-wide-first")
-    left = keys.join(near, "k", "left_anti")
-    earlier = keys.select(F.col("t").alias("__t"), F.col("k").alias("f"), F.col("n").alias("m"))
-    near = near.union(durable(_within(meetings(left, earlier), found), "lines-wide-rest"))
+    near = durable(_within(meetings(keys.select("k", "n", "t"), first, GRAM), found), "lines-wide-first")
+    # Two lines that share a run of a crowd both hold one, and meet in short runs; all others share rare runs only.
+    crowd = keys.filter(F.col("c") > CROWD).select("k").distinct()
+    near = near.union(rest(keys.filter(F.col("c") <= CROWD), near, GRAM))
+    with passing(spark):
+        short = _rare_runs(found.join(crowd, "k", "left_semi"), SHORT)
+    near = near.union(rest(short, near, SHORT))
     return found.join(near, "k", "left_semi").select("a", "b")
 
 

@@ -132,3 +132,24 @@ def test_all_passages_shape_the_space(spark, monkeypatch, dense):
     want = before @ turn[:, order] / np.sqrt(np.maximum(values[order], 0) + s.damping * values.max()) * weight[:, None]
     want, got = want @ want.T, got.astype(float) @ got.T.astype(float)
     assert np.abs(want - got).max() < 1e-3 * np.abs(want).max()
+
+
+def test_a_crowd_with_one_passage_meets_in_short_runs(spark):
+    """More lines than ``CROWD`` hold one passage. Lines near each other are found by brute force's
+    measure; lines that differ elsewhere leave no short run by which they could meet."""
+    rnd, passage, rows = random.Random(3), [f"p{k}" for k in range(40)], []
+    own = lambda n: [f"o{rnd.randrange(10 ** 6)}" for _ in range(n)]
+    for k in range(70):
+        rows.append(own(rnd.choice([3, 4, 20])) + passage)
+        if k % 5 == 0:
+            w = list(rows[-1])
+            for at in rnd.sample(range(len(w)), len(w) // 10 + (k % 2)):
+                w[at] = f"x{k}"
+            rows.append(w)
+    want = {i for i, w in enumerate(rows) if any(distance(w, v) <= max(len(w), len(v)) // 10 for v in rows[:i])}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in lines.dedup_lines(df).collect()} == set(range(len(rows))) - want and len(want) > 30
+    apart = spark.createDataFrame([(k, 60, own(20) + passage) for k in range(200)], "k long, n int, words array<string>")
+    with common.passing(spark):
+        keys = lines._rare_runs(apart, lines.SHORT)
+    assert keys.count() == 0
