@@ -19,7 +19,8 @@ that share fewer of them with all others are done after one grouped pass over th
 words; two such lines share ``SHARED`` (fewer if their lengths leave fewer whole) among the rarest of
 both, agree in all but a tenth of their different words, and their word edit distance is computed. A line
 is compared with the earliest of each meeting first, and only what is left with every earlier one; lines
-of a crowd that holds one passage by their rarest runs of ``SHORT`` words.
+of a crowd that holds one passage by their rarest words, one more than edits: an edit touches one word, but
+``GRAM`` runs, so words of its own set a line apart from the crowd soonest there.
 
 Long texts: a line is one value, whatever its length, and its hashes are arrays of as many numbers as
 it has words; nothing else grows with a text.
@@ -43,9 +44,9 @@ TENTH = 10
 SEED, GRAM = 4, 6
 #: First runs that a line must share with others to go on, and parts in which they are dealt.
 SHARED, ROUNDS = 5, 2
-#: A run that more lines hold is a crowd's: its lines are told apart by short runs, of which an edit
-#: touches fewer, so that a passage they share does not bring together lines that differ elsewhere.
-CROWD, SHORT = 64, 2
+#: A run that more lines hold is a crowd's: its lines are told apart by short runs (single words), of which
+#: an edit touches fewest, so that a passage they share does not bring together lines that differ elsewhere.
+CROWD, SHORT = 64, 1
 _BLOCK = 256
 
 
@@ -210,10 +211,16 @@ def _with_partner(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return durable(every.filter((F.col("c") >= SHARED) | F.col("few")).select("a"), "lines-with-partner", keep=True)
 
 
+def _least(size: int) -> int:
+    """How many of their rarest runs of ``size`` words two lines must share. In a crowd one: each more
+    makes every line of it hand out one of the crowd's own runs more, and a pair meets in all of them."""
+    return 1 if size == SHORT else SHARED
+
+
 def _rare_runs(found: DataFrame, size: int) -> DataFrame:
     """(k, n, t, c): of each line's runs of ``size`` words that another line shares, those among its
-    rarest; c: how often the run occurs. A line and its partner share SHARED of their rarest
-    size * edits + SHARED runs, or all that their lengths leave whole; those a line shares with none
+    rarest; c: how often the run occurs. A line and its partner share ``_least`` of their rarest
+    size * edits + ``_least`` runs, or all that their lengths leave whole; those a line shares with none
     come first. Runs are counted where their line is, then across lines in ``ROUNDS`` parts."""
     spark, n = found.sparkSession, F.col("n")
     with passing(spark):
@@ -229,7 +236,7 @@ def _rare_runs(found: DataFrame, size: int) -> DataFrame:
             parts.append(durable(mine.join(shared, F.col("t") == F.col("__t")).select("k", "n", "t", "c"), "lines-shared-runs", keep=True))
             del mine, shared  # (their exchanges go with them)
     per = reduce(DataFrame.union, parts).groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
-    rarest = _edits(n) * size + SHARED - (n - size + 1 - F.size("r"))
+    rarest = _edits(n) * size + _least(size) - (n - size + 1 - F.size("r"))
     return durable(per.filter(rarest > 0).select("k", "n", F.explode(F.slice("r", F.lit(1), rarest)).alias("r")).select("k", "n", "r.t", "r.c"), "lines-keys", keep=True)
 
 
@@ -250,7 +257,7 @@ def _wide(lines: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataF
     longer = F.greatest("n", "m")
 
     def meetings(mine: DataFrame, theirs: DataFrame, size: int) -> DataFrame:
-        whole = F.least(F.lit(SHARED), longer - size + 1 - size * F.floor(longer / TENTH))
+        whole = F.least(F.lit(_least(size)), longer - size + 1 - size * F.floor(longer / TENTH))
         met = mine.join(theirs, F.col("t") == F.col("__t")).filter((F.col("k") > F.col("f")) & (F.abs(n - F.col("m")) <= F.floor(longer / TENTH)))
         return met.groupBy("k", "f").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m")).filter(F.col("c") >= whole).select("k", "f")
 

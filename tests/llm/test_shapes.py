@@ -153,3 +153,26 @@ def test_a_crowd_with_one_passage_meets_in_short_runs(spark):
     with common.passing(spark):
         keys = lines._rare_runs(apart, lines.SHORT)
     assert keys.count() == 0
+
+
+def test_few_words_of_its_own_set_a_line_apart_from_its_crowd(spark):
+    """Lines of 46 common words and 14 of their own, more than the edits allowed but not twice as many,
+    hand out nothing by which the crowd could meet. Edits of every sort, up to the bound and one
+    more, are judged as by brute force, lines that repeat their words included."""
+    rnd, passage, rows = random.Random(5), [f"p{k}" for k in range(46)], []
+    own = lambda n: [rnd.choice(["the", "of", f"o{rnd.randrange(10 ** 6)}", f"o{rnd.randrange(10 ** 6)}"]) for _ in range(n)]
+    for k in range(80):
+        rows.append(own(rnd.choice([4, 9, 14])) + passage + ["on", "he"] * rnd.choice([0, 0, 15]))
+        if k % 4 == 0:
+            w = list(rows[-1])
+            for at in sorted(rnd.sample(range(len(w)), len(w) // 10 + (k // 4) % 2), reverse=True):
+                w[at:at + 1] = rnd.choice([[], [f"x{k}"], [w[at], f"x{k}"], ["p3"]])
+            rows.append(w)
+    want = {i for i, w in enumerate(rows) if any(distance(w, v) <= max(len(w), len(v)) // 10 for v in rows[:i])}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in lines.dedup_lines(df).collect()} == set(range(len(rows))) - want
+    assert 10 < len(want) < len(rows) - 10
+    apart = spark.createDataFrame([(k, 60, [f"o{k}-{i}" for i in range(14)] + passage) for k in range(100)], "k long, n int, words array<string>")
+    with common.passing(spark):
+        keys = lines._rare_runs(apart, lines.SHORT)
+    assert keys.count() == 0
